@@ -36,6 +36,10 @@ def spark_default_stop_words(language: str = "english") -> list[str]:
 
 
 def stop_words_frame(spark, words=None, col: str = "word"):
-    """A one-column DataFrame of stop words (default: Spark's list)."""
+    """A one-column DataFrame of stop words (default: Spark's list).
+
+    Built as an exploded literal array, so it is a local table on the JVM
+    (no Python worker, no RDD)."""
+    from pyspark.sql import functions as F
     words = list(words) if words is not None else spark_default_stop_words()
-    return spark.createDataFrame([(w,) for w in words], f"{col} string")
+    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in words])).alias(col))

@@ -27,13 +27,13 @@ def _stop_list() -> str:
 # --- event-type panel (country_panel and everything built on it) -----------
 PANEL = f"""
 daily AS (
-  SELECT event_type AS entity, CAST(ts AS DATE) AS date,
+  SELECT trim(event_type, {WS}) AS entity, CAST(ts AS DATE) AS date,
          CAST(count(*) AS BIGINT) AS c,
          CAST(sum(CASE WHEN value >= 100 THEN 1 ELSE 0 END) AS BIGINT) AS d,
          CAST(sum(CASE WHEN value < 10 THEN 1 ELSE 0 END) AS BIGINT) AS r
   FROM events GROUP BY 1, 2),
 lv AS (
-  SELECT trim(entity, {WS}) AS entity, date,
+  SELECT entity, date,
          CAST(sum(c) OVER w AS BIGINT) AS confirmed,
          CAST(sum(d) OVER w AS BIGINT) AS deaths,
          CAST(sum(r) OVER w AS BIGINT) AS recovered

@@ -51,9 +51,13 @@ def cumulate(df: DataFrame, entity: str, date: str, measures: Sequence[str]) ->
 def country_panel(base: DataFrame, entity: str = "country", date: str = "date",
                   measures: Sequence[str] = COUNTRY_MEASURES,
                   population: DataFrame | None = None, threshold: int = 100,
-                  rollup: bool = True) -> DataFrame:
+                  rollup: bool = True, flows: bool = False) -> DataFrame:
     """K7: cumulative levels per (entity, sub-entity, date) -> entity panel.
 
+    ``flows=True`` means the input holds per-period counts rather than
+    levels: after the roll-up they are turned into running totals inside
+    the same entity window as the rest of the panel (one exchange).
+
     Columns: levels; max_date; most_recent (0/1, ties kept); population in
     millions; <m>_per_mil (1 place); new_<m> (first row keeps its level);
     new_<m>_per_mil; base_day (running count of days with the first
@@ -63,6 +67,8 @@ def country_panel(base: DataFrame, entity: str = "country", date: str = "date",
     df = base.withColumn(entity, trim_ws(entity))
     if rollup:
         df = rollup_sum0(df, [entity, date], measures)              # A1
+    if flows:
+        df = cumulate(df, entity, date, measures)
     df = attach_population(df, entity, population)                  # J2, F11
     df = df.withColumns({                                           # stage 1
         "max_date": F.max(date).over(whole(entity)),

@@ -33,6 +33,7 @@ from panelspark.operators.select import (
     DATE_HEADER, between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
     sort_desc_last, top_n, with_stages,
 )
+from panelspark.operators.partitioning import spread
 from panelspark.operators.stats import correlation_long
 from panelspark.operators.window import gap_fill, latest_rows
 from panelspark.plans import panel as P
@@ -55,8 +56,9 @@ LOG_SERIES = ("purchase", "signup")
 MEASURES = P.COUNTRY_MEASURES
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, cpu_heavy: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return spread(df) if cpu_heavy else df
 
 
 # ---- derived inputs ---------------------------------------------------------
@@ -66,16 +68,14 @@ def event_days(spark, sf) -> DataFrame:
     return ev.withColumn("date", F.to_date("ts"))
 
 
-def event_type_levels(spark, sf) -> DataFrame:
-    """Cumulative levels per (event_type, day): confirmed = all events,
-    deaths = events with value >= 100, recovered = events with value < 10.
-    Daily counts are the A1 roll-up; running totals make them levels."""
-    ev = event_days(spark, sf).select(
+def event_type_flows(spark, sf) -> DataFrame:
+    """Per-event indicator rows keyed by (event_type, day): confirmed = every
+    event, deaths = value >= 100, recovered = value < 10.  The panel rolls
+    them up per (entity, day) (A1) and turns the counts into levels."""
+    return event_days(spark, sf).select(
         F.col("event_type").alias("entity"), "date", F.lit(1).alias("confirmed"),
         flag(F.col("value") >= HIGH_VALUE).alias("deaths"),
         flag(F.col("value") < LOW_VALUE).alias("recovered"))
-    daily = rollup_sum0(ev, ["entity", "date"], MEASURES)
-    return P.cumulate(daily, "entity", "date", MEASURES)
 
 
 def event_type_population(spark, sf) -> DataFrame:
@@ -85,19 +85,26 @@ def event_type_population(spark, sf) -> DataFrame:
 
 
 def event_type_panel(spark, sf) -> DataFrame:
-    return P.country_panel(event_type_levels(spark, sf), "entity", "date", MEASURES,
-                           population=event_type_population(spark, sf), rollup=False)
+    return P.country_panel(event_type_flows(spark, sf), "entity", "date", MEASURES,
+                           population=event_type_population(spark, sf), flows=True)
 
 
-def user_levels(spark, sf) -> DataFrame:
-    """Cumulative levels per (user, active day): confirmed = events, deaths =
-    error events, purchases = purchase events."""
-    ev = event_days(spark, sf).select(
+USER_MEASURES = ("confirmed", "deaths", "purchases")
+
+
+def user_flows(spark, sf) -> DataFrame:
+    """Per-event indicator rows keyed by (user, day): confirmed = events,
+    deaths = error events, purchases = purchase events."""
+    return event_days(spark, sf).select(
         "user_id", "date", F.lit(1).alias("confirmed"),
         flag(F.col("event_type") == "error").alias("deaths"),
         flag(F.col("event_type") == "purchase").alias("purchases"))
-    daily = rollup_sum0(ev, ["user_id", "date"], ["confirmed", "deaths", "purchases"])
-    return P.cumulate(daily, "user_id", "date", ["confirmed", "deaths", "purchases"])
+
+
+def user_levels(spark, sf) -> DataFrame:
+    """Cumulative levels per (user, active day)."""
+    daily = rollup_sum0(user_flows(spark, sf), ["user_id", "date"], USER_MEASURES)
+    return P.cumulate(daily, "user_id", "date", USER_MEASURES)
 
 
 def order_prices(spark, sf) -> DataFrame:
@@ -253,9 +260,8 @@ def q_select_by_rank(spark, sf):
 
 
 def q_adaptive_curve(spark, sf):
-    lv = user_levels(spark, sf)
-    panel = P.country_panel(lv.withColumn("user_id", F.col("user_id").cast("string")),
-                            "user_id", "date", ["confirmed", "deaths", "purchases"], rollup=False)
+    fl = user_flows(spark, sf).withColumn("user_id", F.col("user_id").cast("string"))
+    panel = P.country_panel(fl, "user_id", "date", USER_MEASURES, flows=True)
     return RP.cumulative_curve(panel, "user_id", "date", "confirmed")
 
 
@@ -274,7 +280,7 @@ def q_latest_points(spark, sf):
 
 
 def q_word_counts(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = table(spark, sf, "documents", cpu_heavy=True).select("doc_id", "text")
     tokens = TX.token_table(docs, "text")
     return TX.word_counts(tokens, stop_words_frame(spark))
 
@@ -293,7 +299,7 @@ def day_number_to_date_py(n: int) -> _dt.date:
 
 
 def q_marker_extract(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = table(spark, sf, "pages", cpu_heavy=True).select("page_id", "html")
     items = TX.marked_items(pages, "html", "<ul>", "</ul>", "</li>", keep=["page_id"], out="raw")
     return items.withColumn("item", trim_ws(strip_tags("raw")))
 
@@ -347,14 +353,35 @@ def _nation_monthly(spark, sf) -> DataFrame:
     return oc.join(geo, oc.c_nationkey == geo.n_nationkey).drop("c_nationkey", "n_nationkey")
 
 
-def landed_wide(spark, sf, measure: str, year_digits: int) -> DataFrame:
+def _nation_month_counts(spark, sf) -> DataFrame:
+    """Orders per (location, month) with the three measures, aggregated
+    once; the three landed wide files are pivots of this one table, so
+    Spark reuses its exchange."""
+    nm = _nation_monthly(spark, sf)
+    return nm.groupBy("state", "country", "Lat", "Long", "month").agg(
+        F.count(F.lit(1)).alias("confirmed"),
+        F.sum(flag(F.col("o_orderstatus") == "F")).alias("deaths"),
+        F.sum(flag(F.col("o_orderstatus") == "P")).alias("recovered"))
+
+
+def month_list(counts: DataFrame) -> list:
+    """Months present: the header set of the landed files (bounded by the
+    date span, not by the data volume)."""
+    return sorted(r[0] for r in counts.select("month").distinct().collect())
+
+
+def month_labels(months: list, year_digits: int) -> list[str]:
+    return [f"{m.month}/{m.day}/{m.year % 100:02d}" if year_digits == 2
+            else f"{m.month}/{m.day}/{m.year}" for m in months]
+
+
+def landed_wide(counts: DataFrame, measure: str, year_digits: int,
+                labels: list[str]) -> DataFrame:
     """A wide file as landed: ids + one column per date label."""
     fmt = "M/d/yy" if year_digits == 2 else "M/d/yyyy"
-    nm = _nation_monthly(spark, sf)
-    val = {"confirmed": F.lit(1), "deaths": flag(F.col("o_orderstatus") == "F"),
-           "recovered": flag(F.col("o_orderstatus") == "P")}[measure]
-    return (nm.withColumn("label", F.date_format("month", fmt)).withColumn("v", val)
-              .groupBy("state", "country", "Lat", "Long").pivot("label").agg(F.sum("v")))
+    return (counts.withColumn("label", F.date_format("month", fmt))
+                  .groupBy("state", "country", "Lat", "Long").pivot("label", labels)
+                  .agg(F.first(measure)))
 
 
 def country_long(wide: DataFrame, value_name: str) -> DataFrame:
@@ -369,9 +396,12 @@ def country_long(wide: DataFrame, value_name: str) -> DataFrame:
 
 def q_wide_to_long(spark, sf):
     keys = ["state", "country", "Lat", "Long", "date"]
-    cc = country_long(landed_wide(spark, sf, "confirmed", 2), "confirmed")
-    cd = country_long(landed_wide(spark, sf, "deaths", 2), "deaths")
-    cr = country_long(landed_wide(spark, sf, "recovered", 4), "recovered")
+    counts = _nation_month_counts(spark, sf)
+    months = month_list(counts)
+    short, long4 = month_labels(months, 2), month_labels(months, 4)
+    cc = country_long(landed_wide(counts, "confirmed", 2, short), "confirmed")
+    cd = country_long(landed_wide(counts, "deaths", 2, short), "deaths")
+    cr = country_long(landed_wide(counts, "recovered", 4, long4), "recovered")
     return null_safe_join(null_safe_join(cc, cd, keys, "left"), cr, keys, "left")
 
 

@@ -146,5 +146,13 @@ def log_load(spark: SparkSession, log_path: str, table_name: str, df: DataFrame,
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small inline table."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small inline table, as a JVM-side VALUES list (no Python
+    worker is started to read it)."""
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if not isinstance(fields, T.StructType):
+        fields = T.StructType([T.StructField("value", fields)])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(r, fields.fields)]) for r in rows]
+    if not structs:
+        return spark.createDataFrame([], fields)
+    return spark.range(1).select(F.inline(F.array(*structs)))
