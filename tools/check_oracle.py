@@ -37,18 +37,15 @@ def key(row):
     return tuple((0, "") if x is None else (1, str(x)) for x in row)
 
 
-def main():
-    from panelspark.session import build_session
+def compare(spark, sf: str, only=(), verbose: bool = True) -> list[str]:
+    """Run the keys on Spark and DuckDB; return the names that differ."""
     import __spark_entry__ as E
-
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = sys.argv[2:]
-    spark = build_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     qs, sql = E.queries(), E.oracle_sql()
-    bad = 0
+    bad = []
+    say = print if verbose else (lambda *a, **k: None)
     for name, fn in qs.items():
         if only and name not in only:
             continue
@@ -58,20 +55,20 @@ def main():
             cols = df.columns
             rows = [tuple(norm(x) for x in r) for r in df.collect()]
         except Exception as e:  # noqa: BLE001
-            print(f"{name:24s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
-            bad += 1
+            say(f"{name:24s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
+            bad.append(name)
             continue
         dt = time.time() - t0
         if name not in sql:
-            print(f"{name:24s} rows={len(rows)} (no oracle) {dt:.1f}s")
+            say(f"{name:24s} rows={len(rows)} (no oracle) {dt:.1f}s")
             continue
         try:
             cur = con.execute(sql[name])
             ocols = [d[0] for d in cur.description]
             orows = [tuple(norm(x) for x in r) for r in cur.fetchall()]
         except Exception as e:  # noqa: BLE001
-            print(f"{name:24s} ORACLE ERROR {type(e).__name__}: {str(e)[:300]}")
-            bad += 1
+            say(f"{name:24s} ORACLE ERROR {type(e).__name__}: {str(e)[:300]}")
+            bad.append(name)
             continue
         ok_cols = sorted(cols) == sorted(ocols)
         msg = ""
@@ -93,9 +90,18 @@ def main():
             msg = f" cols spark-only={sorted(set(cols)-set(ocols))} oracle-only={sorted(set(ocols)-set(cols))}"
         status = "OK " if (ok_cols and ok_vals and len(rows) == len(orows)) else "BAD"
         if status == "BAD":
-            bad += 1
-        print(f"{name:24s} {status} rows={len(rows)}/{len(orows)} {dt:.1f}s{msg}")
-    print("mismatches:", bad)
+            bad.append(name)
+        say(f"{name:24s} {status} rows={len(rows)}/{len(orows)} {dt:.1f}s{msg}")
+    return bad
+
+
+def main():
+    from panelspark.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = build_session("local[8]", shuffle_partitions=8)
+    bad = compare(spark, sf, sys.argv[2:])
+    print("mismatches:", len(bad), bad)
     spark.stop()
 
 
