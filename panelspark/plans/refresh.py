@@ -30,7 +30,7 @@ def replace_trailing_dates(old: DataFrame, source: DataFrame, keys: Sequence[str
     (entity, date) pairs that arrived.  Unlike a whole-date replace, a pair
     that failed to arrive keeps its old row."""
     start = F.date_sub(watermark(old, date), overlap_days)
-    new = source.filter(F.col(date) >= start)
+    new = source.filter(start.isNull() | (F.col(date) >= start))   # empty store: all is new
     return union_by_name(drop_keys(old, new, list(keys) + [date], null_safe=True), new)
 
 
@@ -58,5 +58,6 @@ def upsert(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
 def append_new_days(old: DataFrame, source: DataFrame, date: str = "date") -> DataFrame:
     """K5: rows of the source after the stored watermark, appended, then
     distinct over all columns (U2) so a re-run adds nothing."""
-    new = source.filter(F.col(date) > watermark(old, date))
+    wm = watermark(old, date)
+    new = source.filter(wm.isNull() | (F.col(date) > wm))          # empty store: all is new
     return union_distinct(old, new)

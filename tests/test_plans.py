@@ -159,3 +159,10 @@ def test_reports(spark):
     assert b.popup == "<p>State Not Given, B</p></p>Confirmed: 0</p></p>Deaths: 0 (0.0%)</p>"
     ov = RP.overview_buckets(latest.select("country", "confirmed"), ["confirmed"]).collect()
     assert {r.confirmed_bucket for r in ov} == {0, 20}
+
+
+def test_refresh_into_empty_store_takes_everything(spark):
+    empty = spark.createDataFrame([], "state string, date date, positive int")
+    src = spark.createDataFrame([("IL", D[0], 1), ("IL", D[0], 1)], "state string, date date, positive int")
+    assert RF.append_new_days(empty, src).count() == 1
+    assert RF.replace_trailing_dates(empty, src, ["state"], "date").count() == 2
