@@ -132,22 +132,8 @@ nm AS (
          o.o_orderstatus
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN geo g ON c.c_nationkey = g.n_nationkey)"""
 
-PROBS = "[" + ", ".join(f"{0.05 * i:.2f}" for i in range(20)) + "]"
-
-
-def oracle_sql() -> dict[str, str]:
-    stop = _stop_list()
-    q: dict[str, str] = {}
-
-    q["country_panel"] = f"WITH {PANEL} SELECT * FROM panel"
-
-    q["latest_by_entity"] = """
-WITH e AS (SELECT user_id, event_id, CAST(ts AS DATE) AS date, event_type, value FROM events)
-SELECT e.* FROM e JOIN (SELECT user_id, max(date) AS date FROM e GROUP BY user_id) m
-  ON e.user_id = m.user_id AND e.date = m.date"""
-
-    q["state_panel"] = f"""
-WITH m AS (
+STATE = f"""
+m AS (
   SELECT o_orderpriority AS state, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
          CAST(count(*) AS BIGINT) AS pos_n,
          CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS neg_n,
@@ -183,6 +169,7 @@ s2 AS (
          coalesce(recovered - lag(recovered) OVER w, 0) AS new_recovered,
          CAST(sum(CASE WHEN positive >= 100 THEN 1 ELSE 0 END) OVER (PARTITION BY state ORDER BY date {RUN}) AS BIGINT) AS base_day
   FROM s1 WINDOW w AS (PARTITION BY state ORDER BY date))
+, state_panel AS (
 SELECT *,
        new_positive / NULLIF(population, 0) AS new_positive_per_mil,
        coalesce(new_positive - lag(new_positive) OVER w, 0) AS new_positive_change,
@@ -190,7 +177,23 @@ SELECT *,
        coalesce(new_deaths - lag(new_deaths) OVER w, 0) AS new_deaths_change,
        coalesce(new_total - lag(new_total) OVER w, 0) AS new_total_change,
        new_recovered / NULLIF(population, 0) AS new_recovered_per_mil
-FROM s2 WINDOW w AS (PARTITION BY state ORDER BY date)"""
+FROM s2 WINDOW w AS (PARTITION BY state ORDER BY date))"""
+
+PROBS = "[" + ", ".join(f"{0.05 * i:.2f}" for i in range(20)) + "]"
+
+
+def oracle_sql() -> dict[str, str]:
+    stop = _stop_list()
+    q: dict[str, str] = {}
+
+    q["country_panel"] = f"WITH {PANEL} SELECT * FROM panel"
+
+    q["latest_by_entity"] = """
+WITH e AS (SELECT user_id, event_id, CAST(ts AS DATE) AS date, event_type, value FROM events)
+SELECT e.* FROM e JOIN (SELECT user_id, max(date) AS date FROM e GROUP BY user_id) m
+  ON e.user_id = m.user_id AND e.date = m.date"""
+
+    q["state_panel"] = f"WITH {STATE} SELECT * FROM state_panel"
 
     q["locf_fill"] = f"""
 WITH {GRID},
@@ -452,4 +455,42 @@ FROM customer"""
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
        json_extract_string(props, '$.m') AS m
 FROM events"""
+    q["state_latest"] = f"""
+WITH {STATE}
+SELECT state, date, positive, death, recovered, new_positive, new_deaths, new_recovered, death_rate
+FROM state_panel WHERE most_recent = 1"""
+
+    q["state_daily_curve"] = f"""
+WITH {STATE},
+t AS (SELECT date,
+             CAST(coalesce(sum(new_positive), 0) AS BIGINT) / {den} AS CONFIRMED,
+             CAST(coalesce(sum(new_deaths), 0) AS BIGINT) / {den} AS DEATHS,
+             CAST(coalesce(sum(new_recovered), 0) AS BIGINT) / {den} AS RECOVERED
+      FROM state_panel GROUP BY date) {long_t}"""
+
+    q["adaptive_curve_per_capita"] = f"""
+WITH nm AS (
+  SELECT trim(n.n_name, {WS}) AS entity, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+daily AS (SELECT entity, date, count(*) AS c FROM nm GROUP BY 1, 2),
+lv AS (SELECT entity, date, CAST(sum(c) OVER (PARTITION BY entity ORDER BY date {RUN}) AS BIGINT) AS confirmed
+       FROM daily),
+pop AS (SELECT n.n_name AS entity, count(*) AS population
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1),
+j AS (SELECT lv.*, CAST(p.population AS DOUBLE) * CAST(0.000001 AS DOUBLE) AS population
+      FROM lv LEFT JOIN pop p ON lv.entity = p.entity)
+SELECT date, CAST(coalesce(sum(confirmed), 0) AS BIGINT) / {den} AS confirmed_per_mil
+FROM j GROUP BY date"""
+
+    q["base_name_totals"] = f"""
+SELECT trim(regexp_replace(p_name, ' .*$', ''), {WS}) AS base_name,
+       CAST(coalesce(sum(CAST(p_retailprice * 100 AS DECIMAL(18,0))), 0) AS BIGINT) AS price_cents,
+       max(p_size) AS max_size
+FROM part GROUP BY 1"""
+
+    q["html_node_text"] = """
+SELECT page_id, CAST(0 AS INTEGER) AS node_no,
+       replace(replace(replace(replace(regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1),
+               '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS text
+FROM pages WHERE html LIKE '%<footer>%'"""
     return q

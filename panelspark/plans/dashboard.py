@@ -75,13 +75,13 @@ def country_view(tables: dict[str, DataFrame], selected: Sequence[str] | None =
     sel_latest = RP.select_history(latest, keys, "country")
     history = RP.select_history(panel, keys, "country")
     measures = {"CONFIRMED": "new_confirmed", "DEATHS": "new_deaths", "RECOVERED": "new_recovered"}
-    cum_measure = "confirmed_per_mil" if per_capita else "confirmed"
     locations = RP.select_history(tables["locations"], keys, "country")
     return {
         "latest": sel_latest,
         "kpis": RP.kpi_boxes(sel_latest, P.COUNTRY_MEASURES, ["new_" + m for m in P.COUNTRY_MEASURES]),
         "daily_curve": RP.daily_curve(history, "date", measures, per_capita=per_capita),
-        "cumulative_curve": RP.cumulative_curve(history, "country", "date", cum_measure),
+        "cumulative_curve": RP.cumulative_curve(history, "country", "date", "confirmed",
+                                                per_capita=per_capita),
         "map_points": RP.latest_points(locations, ["Lat", "Lng"], "date", "state", "country",
                                        "confirmed", "deaths"),
         "table": RP.overview_buckets(
@@ -107,8 +107,9 @@ def state_view(tables: dict[str, DataFrame], selected: Sequence[str] | None = No
         "kpis": RP.kpi_boxes(sel_latest, ["positive", "death", "recovered"],
                              ["new_positive", "new_deaths", "new_recovered"]),
         "daily_curve": RP.daily_curve(history, "date", measures, per_capita=per_capita),
-        "cumulative_curve": RP.cumulative_curve(history, "state", "date",
-                                                "pos_per_mil" if per_capita else "positive"),
+        "cumulative_curve": RP.cumulative_curve(
+            history.withColumn("positive_per_mil", F.col("pos_per_mil")), "state", "date",
+            "positive", per_capita=per_capita),
         "table": RP.overview_buckets(
             latest.select("state", "date", "positive", "death", "recovered", "new_positive",
                           "new_deaths", "new_recovered", "death_rate"),

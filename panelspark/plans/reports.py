@@ -77,13 +77,21 @@ def entity_count(panel: DataFrame, entity: str) -> int:
 
 
 def cumulative_curve(panel: DataFrame, entity: str, date: str, measure: str,
-                     max_lines: int = MAX_LINES, n_entities: int | None = None) -> DataFrame:
+                     max_lines: int = MAX_LINES, n_entities: int | None = None,
+                     per_capita: bool = False, population: str = "population") -> DataFrame:
     """More than ``max_lines`` entities -> one total line by date;
-    otherwise one line per entity from its base day (base_day > 0)."""
+    otherwise one line per entity from its base day (base_day > 0).
+
+    Per capita, the total line is sum(measure) / sum(population) per date
+    (``<measure>_per_mil``) and the entity lines show ``<measure>_per_mil``."""
     n = entity_count(panel, entity) if n_entities is None else n_entities
+    per_mil = f"{measure}_per_mil"
     if n > max_lines:
+        if per_capita:
+            return ratio_of_sums(panel, [date], {per_mil: measure}, population)
         return totals_by(panel, [date], {measure: measure})
-    return panel.filter(F.col("base_day") > 0).select(entity, "base_day", date, measure)
+    shown = per_mil if per_capita else measure
+    return panel.filter(F.col("base_day") > 0).select(entity, "base_day", date, shown)
 
 
 def latest_points(df: DataFrame, location: Sequence[str], date: str, state: str, country: str,

@@ -479,6 +479,64 @@ def q_report_rows_latest(spark, sf):
         "entity", "date", "confirmed", "new_confirmed", "death_rate")
 
 
+def _state_panel(spark, sf) -> DataFrame:
+    return q_state_panel(spark, sf)
+
+
+def q_state_latest(spark, sf):
+    """mostRecentState: latest row per state, death rate descending."""
+    latest = P.most_recent(_state_panel(spark, sf), "death_rate", ["state"])
+    return latest.select("state", "date", "positive", "death", "recovered", "new_positive",
+                         "new_deaths", "new_recovered", "death_rate")
+
+
+def q_state_daily_curve(spark, sf):
+    return RP.daily_curve(_state_panel(spark, sf), "date",
+                          {"CONFIRMED": "new_positive", "DEATHS": "new_deaths",
+                           "RECOVERED": "new_recovered"}, per_capita=True)
+
+
+def nation_panel(spark, sf) -> DataFrame:
+    """Entity = nation (25), date = order month, levels = running order
+    counts; population = customers per nation from the customer table."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderstatus")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    flows = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+              .select(F.col("n_name").alias("entity"),
+                      F.trunc(F.to_date("o_orderdate"), "month").alias("date"),
+                      F.lit(1).alias("confirmed"),
+                      flag(F.col("o_orderstatus") == "F").alias("deaths"),
+                      flag(F.col("o_orderstatus") == "P").alias("recovered")))
+    pop = (c.join(n, c.c_nationkey == n.n_nationkey)
+            .groupBy(F.col("n_name").alias("entity")).agg(F.count(F.lit(1)).alias("population")))
+    return P.country_panel(flows, "entity", "date", MEASURES, population=pop, flows=True)
+
+
+def q_adaptive_curve_per_capita(spark, sf):
+    """K16 per capita with more than 10 entities: total per-million line."""
+    return RP.cumulative_curve(nation_panel(spark, sf), "entity", "date", "confirmed",
+                               per_capita=True)
+
+
+def q_base_name_totals(spark, sf):
+    """A13 + X24: suffix stripped to a base name, then sum and max per base."""
+    from panelspark.operators.aggregate import sum_max_by
+    p = table(spark, sf, "part").select("p_name", "p_retailprice", "p_size")
+    base = trim_ws(F.regexp_replace("p_name", " .*$", ""))
+    out = sum_max_by(p.withColumn("price_cents", (F.col("p_retailprice") * 100).cast("decimal(18,0)")),
+                     base, {"price_cents": "price_cents"}, {"max_size": "p_size"}, "base_name")
+    return out.withColumn("price_cents", F.col("price_cents").cast("long"))
+
+
+def q_html_node_text(spark, sf):
+    """Text of each page's <footer> element (HTML parser on the
+    executors, entities decoded)."""
+    from panelspark.sources.html import node_text
+    pages = table(spark, sf, "pages", cpu_heavy=True).select("page_id", "html")
+    return node_text(pages, "footer")
+
+
 QUERIES = {
     "country_panel": q_country_panel,
     "latest_by_entity": q_latest_by_entity,
@@ -518,4 +576,9 @@ QUERIES = {
     "text_clean": q_text_clean,
     "round_half_even": q_round_half_even,
     "json_fields": q_json_fields,
+    "state_latest": q_state_latest,
+    "state_daily_curve": q_state_daily_curve,
+    "adaptive_curve_per_capita": q_adaptive_curve_per_capita,
+    "base_name_totals": q_base_name_totals,
+    "html_node_text": q_html_node_text,
 }
