@@ -49,9 +49,19 @@ def split_items(c, delimiter: str, literal: bool = True) -> Column:
 
 
 def strip_spans(c, open_: str = "<", close: str = ">") -> Column:
-    """Greedy removal from the first ``open_`` to the last ``close``
-    (across lines)."""
-    return F.regexp_replace(col_(c), "(?s)(" + re.escape(open_) + ".*" + re.escape(close) + ")", "")
+    """Greedy removal from the first ``open_`` to the last ``close`` after
+    it, across lines -- the match of ``(?s)<.*>``.
+
+    Computed with two linear scans (instr, and instr on the reversed text)
+    instead of a backtracking regex, so text with many unmatched ``open_``
+    characters stays O(n)."""
+    c = col_(c)
+    first = F.instr(c, open_)
+    last = F.length(c) - F.instr(F.reverse(c), close[::-1]) - F.lit(len(close)) + F.lit(2)
+    has = (first > 0) & (F.instr(F.reverse(c), close[::-1]) > 0) & (last >= first + F.lit(len(open_)))
+    cut = F.concat(F.substring(c, F.lit(1), first - F.lit(1)),
+                   F.substring(c, last + F.lit(len(close)), F.length(c)))
+    return F.when(has, cut).otherwise(c)
 
 
 def strip_fragments(c, fragments: list[str]) -> Column:

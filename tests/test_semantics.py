@@ -100,3 +100,14 @@ def test_strip_spans_greedy_over_lines(spark):
 def test_words_lower_unicode_apostrophes(spark):
     df = spark.createDataFrame([("Don't STOP: Élan 42x, l'été!",)], "s string")
     assert df.select(words(F.col("s")).alias("v")).first().v == ["don't", "stop", "élan", "42x", "l'été"]
+
+
+def test_strip_spans_equals_greedy_regex(spark):
+    import random
+    import re
+    random.seed(7)
+    cases = ["".join(random.choice("ab<>\n ") for _ in range(random.randint(0, 12))) for _ in range(1500)]
+    cases += ["", "<", ">", "<>", "><", "a<b>c<d>e", "x>y<z", "<<>>"]
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = [r.v for r in df.select(strip_spans(F.col("t")).alias("v")).collect()]
+    assert got == [re.sub(r"(?s)(<.*>)", "", t) for t in cases]
