@@ -82,12 +82,14 @@ def between_dates(df: DataFrame, c: str, lo: _dt.date | None, hi: _dt.date | Non
     dtype = df.schema[c].dataType
     col = F.col(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        # bounds built from text: wall-clock midnight, independent of the
+        # Python process's time zone (session time zone for TIMESTAMP)
         cast = "timestamp_ntz" if isinstance(dtype, T.TimestampNTZType) else "timestamp"
         if lo is not None:
-            df = df.filter(col >= F.lit(_dt.datetime.combine(lo, _dt.time())).cast(cast))
+            df = df.filter(col >= F.lit(f"{lo.isoformat()} 00:00:00").cast(cast))
         if hi is not None:
-            nxt = _dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time())
-            df = df.filter(col < F.lit(nxt).cast(cast))
+            nxt = hi + _dt.timedelta(days=1)
+            df = df.filter(col < F.lit(f"{nxt.isoformat()} 00:00:00").cast(cast))
         return df
     if lo is not None:
         df = df.filter(col >= F.lit(lo))
