@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.functions.semantics import col_
 from panelspark.operators.joins import keep_keys
 
 # An anchored header-date pattern ('1/22/20', 'X1.22.20', '1/22/2020').

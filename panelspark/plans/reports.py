@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.semantics import flag, na_text, rround, safe_div, sum0
+from panelspark.functions.semantics import na_text, rround, safe_div, sum0
 from panelspark.operators.aggregate import distinct_count, exact_sum, ratio_of_sums, totals_by
 from panelspark.operators.joins import keep_keys
 from panelspark.operators.reshape import wide_to_long
-from panelspark.operators.select import rows_at_max, sort_desc_last, top_n
+from panelspark.operators.select import rows_at_max, top_n
 from panelspark.operators.stats import quantile_breaks, with_buckets
 from panelspark.operators.window import latest_flag
 
@@ -22,10 +22,19 @@ MISSING_STATE_LABEL = "State Not Given"
 MAX_LINES = 10
 
 
-def selected_keys(latest: DataFrame, entity: str, order: Sequence[Column], ranks: int) -> DataFrame:
-    """the entities at ranks 1..``ranks`` of the sorted latest table,
-    as a key frame of bounded size (top-k, no global sort)."""
-    return top_n(latest, order, ranks).select(entity)
+def selected_keys(latest: DataFrame, entity: str, order: Sequence[Column],
+                  ranks: int | Sequence[int]) -> DataFrame:
+    """the entities at the given 1-based ranks of the sorted latest
+    table (an int k means ranks 1..k), as a key frame of bounded size.
+
+    Only the first max(rank) rows are kept (distributed top-k: no global
+    sort); positions are numbered inside that bounded set."""
+    if isinstance(ranks, int):
+        return top_n(latest, order, ranks).select(entity)
+    wanted = sorted({int(r) for r in ranks})
+    top = top_n(latest, order, wanted[-1])
+    numbered = top.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
+    return numbered.filter(F.col("_rank").isin(wanted)).select(entity)
 
 
 def select_history(panel: DataFrame, keys: DataFrame | None, entity: str) -> DataFrame:
@@ -135,11 +144,3 @@ def latest_line(curve_long: DataFrame, date: str = "date", type_col: str = "type
     return piv.withColumn("subtitle", F.concat(F.lit("Yesterday: "), *parts))
 
 
-def latest_by(panel: DataFrame, order_by: str, tiebreak: Sequence[str]) -> list[Column]:
-    return sort_desc_last(order_by, tiebreak=tiebreak)
-
-
-__all__ = [
-    "selected_keys", "select_history", "kpi_boxes", "daily_curve", "cumulative_curve",
-    "latest_points", "overview_buckets", "latest_line", "entity_count", "flag",
-]

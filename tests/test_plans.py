@@ -166,3 +166,12 @@ def test_refresh_into_empty_store_takes_everything(spark):
     src = spark.createDataFrame([("IL", D[0], 1), ("IL", D[0], 1)], "state string, date date, positive int")
     assert RF.append_new_days(empty, src).count() == 1
     assert RF.replace_trailing_dates(empty, src, ["state"], "date").count() == 2
+
+
+def test_selected_keys_by_arbitrary_ranks(spark):
+    latest = spark.createDataFrame([(c, float(v)) for c, v in zip("abcdef", [5, 9, 1, 7, 3, 8])],
+                                   "country string, new_confirmed double")
+    order = [F.desc("new_confirmed"), F.asc("country")]
+    assert [r.country for r in RP.selected_keys(latest, "country", order, 2).collect()] == ["b", "f"]
+    got = {r.country for r in RP.selected_keys(latest, "country", order, [2, 5]).collect()}
+    assert got == {"f", "e"}
