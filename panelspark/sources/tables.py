@@ -156,3 +156,20 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     if not structs:
         return spark.createDataFrame([], fields)
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str],
+                         staging_root: str) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition
+    overwrite); other partitions of the dataset are untouched.
+
+    ``df`` may be derived from the dataset itself, which Spark refuses to
+    overwrite while reading, so the new partitions are first written to a
+    staging folder under the shared root and the overwrite reads from
+    there."""
+    stage = f"{staging_root.rstrip('/')}/stage-{time.time_ns()}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
+    staged = spark.read.parquet(stage)
+    (staged.select(*df.columns).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_by).parquet(path))

@@ -43,10 +43,16 @@ def start_refresh(spark: SparkSession, landing: str, schema: T.StructType, table
                   table_root: str, mode: str, keys: Sequence[str] = (), order: Sequence[str] = (),
                   date: str = "date", value: str | None = None, overlap_days: int = 1,
                   fmt: str = "json", checkpoint: str | None = None, options: dict | None = None,
-                  table_schema: T.StructType | None = None, text_keys: Sequence[str] = ()):
+                  table_schema: T.StructType | None = None, text_keys: Sequence[str] = (),
+                  partitioned: bool = False):
     """Start (and return) a streaming query that refreshes ``table`` from
     files landing in ``landing``; ``query.awaitTermination()`` waits for
-    the available files to be processed."""
+    the available files to be processed.
+
+    ``partitioned=True`` keeps the table as a month-partitioned dataset at
+    ``<table_root>/<table>`` and rewrites only the months a batch touches
+    (the form to use for large tables); otherwise each batch writes a new
+    full version of a catalog table (the source's drop-and-recreate)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{table}"
@@ -59,6 +65,11 @@ def start_refresh(spark: SparkSession, landing: str, schema: T.StructType, table
     def refresh(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        if partitioned:
+            RF.refresh_partitioned(spark, f"{table_root.rstrip('/')}/{table}", batch, mode, keys, order,
+                                   date, value, overlap_days,
+                                   staging_root=f"{table_root.rstrip('/')}/_staging")
+            return
         if spark.catalog.tableExists(table):
             old = spark.table(table)
         else:

@@ -175,3 +175,38 @@ def test_selected_keys_by_arbitrary_ranks(spark):
     assert [r.country for r in RP.selected_keys(latest, "country", order, 2).collect()] == ["b", "f"]
     got = {r.country for r in RP.selected_keys(latest, "country", order, [2, 5]).collect()}
     assert got == {"f", "e"}
+
+
+def test_partitioned_refresh_rewrites_only_touched_months(spark, scratch):
+    import os
+    path = f"{scratch}/store"
+    jan = [("IL", dt.date(2020, 1, d), d) for d in (1, 2)]
+    mar = [("IL", dt.date(2020, 3, d), 10 + d) for d in (1, 2)]
+    first = spark.createDataFrame(jan + mar, "state string, date date, positive int")
+    RF.refresh_partitioned(spark, path, first, "replace_dates", keys=["state"], staging_root=scratch)
+    jan_files = sorted(os.listdir(f"{path}/month=2020-01-01"))
+    batch = spark.createDataFrame([("IL", dt.date(2020, 3, 2), 99), ("IL", dt.date(2020, 3, 3), 100),
+                                   ("IL", dt.date(2020, 1, 1), -1)], "state string, date date, positive int")
+    RF.refresh_partitioned(spark, path, batch, "replace_dates", keys=["state"], staging_root=scratch)
+    got = rows(spark.read.parquet(path).select("state", "date", "positive"))
+    # watermark 3/2, re-read from 3/1: Jan (incl. the stale 1/1 row in the batch) untouched
+    assert got == [("IL", dt.date(2020, 1, 1), 1), ("IL", dt.date(2020, 1, 2), 2),
+                   ("IL", dt.date(2020, 3, 1), 11), ("IL", dt.date(2020, 3, 2), 99),
+                   ("IL", dt.date(2020, 3, 3), 100)]
+    assert sorted(os.listdir(f"{path}/month=2020-01-01")) == jan_files   # January not rewritten
+    up = spark.createDataFrame([("IL", dt.date(2020, 1, 2), 7, 1)], "state string, date date, positive int, src int")
+    RF.refresh_partitioned(spark, path, up, "upsert", keys=["state", "date"], order=["src"], staging_root=scratch)
+    assert spark.read.parquet(path).filter("date = '2020-01-02'").first().positive == 7
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_partitioned_replace_across_month_boundary(spark, scratch):
+    path = f"{scratch}/store2"
+    first = spark.createDataFrame([("IL", dt.date(2020, 2, 29), 1), ("IL", dt.date(2020, 3, 1), 2)],
+                                  "state string, date date, positive int")
+    RF.refresh_partitioned(spark, path, first, "replace_dates", keys=["state"], staging_root=scratch)
+    batch = spark.createDataFrame([("IL", dt.date(2020, 2, 29), 10), ("IL", dt.date(2020, 3, 1), 20)],
+                                  "state string, date date, positive int")
+    RF.refresh_partitioned(spark, path, batch, "replace_dates", keys=["state"], staging_root=scratch)
+    assert rows(spark.read.parquet(path).select("date", "positive")) == [
+        (dt.date(2020, 2, 29), 10), (dt.date(2020, 3, 1), 20)]

@@ -54,3 +54,16 @@ def test_stream_append_distinct(spark, scratch):
     run_refresh(spark, landing, schema, "headline_stream", f"{scratch}/tables", mode="append_distinct",
                 checkpoint=f"{scratch}/ck2")
     assert rows(spark.table("headline_stream").select("headlines")) == [("a",), ("b",)]
+
+
+def test_stream_into_partitioned_store(spark, scratch):
+    landing, root = f"{scratch}/land3", f"{scratch}/tables3"
+    kw = dict(mode="upsert", keys=["symbol", "date"], order=["src"], value="adjusted",
+              checkpoint=f"{scratch}/ck3", partitioned=True)
+    land(landing, "b1.json", [{"symbol": "zm", "date": "2020-02-28", "adjusted": 1.0, "src": 1},
+                              {"symbol": "zm", "date": "2020-03-02", "adjusted": 2.0, "src": 1}])
+    run_refresh(spark, landing, SCHEMA, "px", root, **kw)
+    land(landing, "b2.json", [{"symbol": "zm", "date": "2020-03-02", "adjusted": 5.0, "src": 1}])
+    run_refresh(spark, landing, SCHEMA, "px", root, **kw)
+    got = sorted((str(r.date), r.adjusted) for r in spark.read.parquet(f"{root}/px").collect())
+    assert got == [("2020-02-28", 1.0), ("2020-03-02", 5.0)]
