@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.dates import (
     compact_text, date_spine, day_number_to_date, long_label, month_name, parse_mdy, parse_ymd,
 )
+from panelspark.functions.names import map_names
 from panelspark.functions.semantics import flag, money_sum, rround, to_number, trim_ws
 from panelspark.functions.text import strip_tags
 from panelspark.functions.stopwords import stop_words_frame
@@ -41,6 +42,9 @@ from panelspark.plans import prices as PR
 from panelspark.plans import refresh as RF
 from panelspark.plans import reports as RP
 from panelspark.plans import text as TX
+from panelspark.operators.aggregate import sum_max_by
+from panelspark.sources.html import node_text
+from panelspark.sources.json import json_fields
 from panelspark.sources.tables import duplicate_keys
 
 # Fixed values used by the query keys (parameters of the reports).
@@ -409,15 +413,10 @@ def q_name_map(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_name", "c_mktsegment")
-    mapped = j.withColumn("n_name", name_mapping(F.col("n_name"), NAME_MAP))
+    mapped = j.withColumn("n_name", map_names(F.col("n_name"), NAME_MAP))
     return mapped.withColumnsRenamed({"n_name": "country", "c_mktsegment": "segment"})
 
 
-def name_mapping(c, mapping: dict):
-    from panelspark.functions.names import map_names
-    return map_names(c, mapping)
-
-
 def q_clean_numbers(spark, sf):
     c = table(spark, sf, "customer")
     txt = c.select("c_custkey",
@@ -468,7 +467,6 @@ def q_round_half_even(spark, sf):
 
 
 def q_json_fields(spark, sf):
-    from panelspark.sources.json import json_fields
     ev = table(spark, sf, "events").select("event_id", "props")
     return json_fields(ev, "props", "k INT, m STRING").select("event_id", "k", "m")
 
@@ -479,19 +477,15 @@ def q_report_rows_latest(spark, sf):
         "entity", "date", "confirmed", "new_confirmed", "death_rate")
 
 
-def _state_panel(spark, sf) -> DataFrame:
-    return q_state_panel(spark, sf)
-
-
 def q_state_latest(spark, sf):
     """mostRecentState: latest row per state, death rate descending."""
-    latest = P.most_recent(_state_panel(spark, sf), "death_rate", ["state"])
+    latest = P.most_recent(q_state_panel(spark, sf), "death_rate", ["state"])
     return latest.select("state", "date", "positive", "death", "recovered", "new_positive",
                          "new_deaths", "new_recovered", "death_rate")
 
 
 def q_state_daily_curve(spark, sf):
-    return RP.daily_curve(_state_panel(spark, sf), "date",
+    return RP.daily_curve(q_state_panel(spark, sf), "date",
                           {"CONFIRMED": "new_positive", "DEATHS": "new_deaths",
                            "RECOVERED": "new_recovered"}, per_capita=True)
 
@@ -521,7 +515,6 @@ def q_adaptive_curve_per_capita(spark, sf):
 
 def q_base_name_totals(spark, sf):
     """A13 + X24: suffix stripped to a base name, then sum and max per base."""
-    from panelspark.operators.aggregate import sum_max_by
     p = table(spark, sf, "part").select("p_name", "p_retailprice", "p_size")
     base = trim_ws(F.regexp_replace("p_name", " .*$", ""))
     out = sum_max_by(p.withColumn("price_cents", (F.col("p_retailprice") * 100).cast("decimal(18,0)")),
@@ -532,7 +525,6 @@ def q_base_name_totals(spark, sf):
 def q_html_node_text(spark, sf):
     """Text of each page's <footer> element (HTML parser on the
     executors, entities decoded)."""
-    from panelspark.sources.html import node_text
     pages = table(spark, sf, "pages", cpu_heavy=True).select("page_id", "html")
     return node_text(pages, "footer")
 
