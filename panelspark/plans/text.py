@@ -9,10 +9,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.dates import long_label
 from panelspark.functions.text import cut_between, drop_control, split_items, strip_fragments, strip_spans
 from panelspark.operators.joins import drop_keys
 from panelspark.operators.reshape import tokenize
 from panelspark.operators.select import between_dates
+from panelspark.operators.setops import union_by_name
 
 # Fragments deleted from headline text before tokenizing.
 NOISE_FRAGMENTS = ("t.co", "trump", "https")
@@ -58,3 +60,40 @@ def marked_items(df: DataFrame, text: str, start: str | None, end: str | None,
     body = cut_between(F.col(text), start, end)
     body = drop_control(body, delimiter if crlf_as_delimiter else None)
     return df.select(*keep, F.explode(split_items(body, delimiter)).alias(out))
+
+
+# The three headline lists of a day page -- (type, start
+# marker, end marker).
+HEADLINE_SECTIONS = (
+    ("topTweets", "Most liked, retweeted and popular Tweets", "What happened on"),
+    ("topNewsHeadlines", "Top news stories on this day", "Trended on Twitter"),
+    ("topTrendingOnSm", "Trended on Twitter, the Internet and Social Media on", "Major Sports events"),
+)
+
+
+def headline_lists(pages: DataFrame, text: str = "text", date: str = "date",
+                   sections=HEADLINE_SECTIONS) -> DataFrame:
+    """K6: (headlines, date, type) rows from the text of day pages.
+
+    * tweets: tabs/newlines dropped, split wherever the page's own date
+      ('January 5, 2020') occurs;
+    * news: CRLF becomes the '|' delimiter, then split on '|';
+    * trending: as news, after cutting through the last ' <year>|'.
+    Empty items are dropped.  All patterns are built per row from the date
+    column, so every page is handled in one pass."""
+    (t_type, t_start, t_end), (n_type, n_start, n_end), (s_type, s_start, s_end) = sections
+    t, d = F.col(text), F.col(date)
+    quoted_day = F.concat(F.lit("\\Q"), long_label(d), F.lit("\\E"))
+    tweets = drop_control(cut_between(t, t_start, t_end))
+    news = drop_control(cut_between(t, n_start, n_end), "|")
+    trend = drop_control(cut_between(t, s_start, s_end), "|")
+    trend = F.regexp_replace(trend, F.concat(F.lit("^.* "), F.year(d).cast("string"), F.lit("\\|")),
+                             F.lit(""))
+
+    def rows(body, kind):
+        items = F.filter(F.split(body, quoted_day) if kind == t_type else F.split(body, "\\|"),
+                         lambda s: s != F.lit(""))
+        return pages.select(F.explode(items).alias("headlines"), d.alias("date"),
+                            F.lit(kind).alias("type"))
+
+    return union_by_name(rows(tweets, t_type), rows(news, n_type), rows(trend, s_type))

@@ -93,6 +93,31 @@ def read_table(spark: SparkSession, path_or_name: str, date_col: str = "date") -
     return df
 
 
+def read_tables(spark: SparkSession, sources: dict[str, str], date_col: str = "date") -> dict[str, DataFrame]:
+    """S3: a {name: path or table} list read in one go (dates parsed)."""
+    return {name: read_table(spark, src, date_col) for name, src in sources.items()}
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
+              partition_column: str | None = None, lower=None, upper=None,
+              num_partitions: int | None = None, date_col: str = "date") -> DataFrame:
+    """S5 against a database: a full table read over JDBC (the driver jar
+    must be on the classpath).  With ``partition_column`` and bounds the
+    read is split into ``num_partitions`` parallel range queries instead of
+    one connection reading everything."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in properties.items():
+        reader = reader.option(k, v)
+    if partition_column is not None:
+        reader = (reader.option("partitionColumn", partition_column)
+                        .option("lowerBound", str(lower)).option("upperBound", str(upper))
+                        .option("numPartitions", str(num_partitions or 8)))
+    df = reader.load()
+    if date_col in df.columns and not isinstance(df.schema[date_col].dataType, T.DateType):
+        df = df.withColumn(date_col, F.to_date(date_col))
+    return df
+
+
 def write_compressed(df: DataFrame, path: str, codec: str = "gzip") -> None:
     """Compressed serialized write."""
     df.write.mode("overwrite").option("compression", codec).parquet(path)

@@ -210,3 +210,17 @@ def test_partitioned_replace_across_month_boundary(spark, scratch):
     RF.refresh_partitioned(spark, path, batch, "replace_dates", keys=["state"], staging_root=scratch)
     assert rows(spark.read.parquet(path).select("date", "positive")) == [
         (dt.date(2020, 2, 29), 10), (dt.date(2020, 3, 1), 20)]
+
+
+def test_headline_lists_three_sections(spark):
+    page = ("menu Most liked, retweeted and popular Tweets\tMarch 5, 2020 tweet one\n"
+            "March 5, 2020 tweet two What happened on March 5 ... Top news stories on this day\r\n"
+            "Story A\r\n\r\nStory B\r\nTrended on Twitter, the Internet and Social Media on March 5, 2020\r\n"
+            "Tag1\r\nTag2\r\nMajor Sports events tail")
+    pages = spark.createDataFrame([(D[4], page), (D[5], "nothing here")], "date date, text string")
+    got = rows(TX.headline_lists(pages).select("type", "headlines"))
+    assert ("topTweets", " tweet one") in got and ("topTweets", " tweet two ") in got
+    assert ("topNewsHeadlines", "Story A") in got and ("topNewsHeadlines", "Story B") in got
+    assert ("topTrendingOnSm", "Tag1") in got and ("topTrendingOnSm", "Tag2") in got
+    # a page without markers keeps its whole text in each list (markers absent = uncut)
+    assert sum(1 for r in got if r[1] == "nothing here") == 3

@@ -114,3 +114,10 @@ def test_compressed_roundtrip(spark, scratch):
     TB.write_compressed(df, f"{scratch}/rds")
     back = TB.read_table(spark, f"{scratch}/rds")
     assert back.first().date == dt.date(2020, 3, 1)
+
+
+def test_read_tables_list(spark, scratch):
+    spark.createDataFrame([("2020-03-01", 1)], "date string, x int").write.parquet(f"{scratch}/a")
+    spark.createDataFrame([(5,)], "y int").write.parquet(f"{scratch}/b")
+    got = TB.read_tables(spark, {"a": f"{scratch}/a", "b": f"{scratch}/b"})
+    assert got["a"].first().date == dt.date(2020, 3, 1) and got["b"].first().y == 5
