@@ -26,6 +26,9 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches to Python (HTML parsing) bounded by bytes, not only by
+    # row count: a batch of 10,000 multi-MB pages would not fit a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
