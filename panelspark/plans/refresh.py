@@ -112,5 +112,7 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     else:
         raise ValueError(mode)
     out = with_month(out.select(*cols), date)
-    overwrite_partitions(spark, out, path, [MONTH], staging_root or f"{checkpoint_dir(spark)}/staging")
+    pk = [] if mode == "append_distinct" else (list(keys) if date in keys else list(keys) + [date])
+    overwrite_partitions(spark, out, path, [MONTH], staging_root or f"{checkpoint_dir(spark)}/staging",
+                         keys=pk)
     return out

@@ -184,17 +184,23 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str],
-                         staging_root: str) -> None:
+                         staging_root: str, keys: Sequence[str] = ()) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition
     overwrite); other partitions of the dataset are untouched.
 
     ``df`` may be derived from the dataset itself, which Spark refuses to
     overwrite while reading, so the new partitions are first written to a
     staging folder under the shared root and the overwrite reads from
-    there."""
+    there.  With ``keys`` (which must determine the partition) the staged
+    partitions are checked for duplicate or missing keys first; a violation
+    raises before anything is replaced."""
     stage = f"{staging_root.rstrip('/')}/stage-{time.time_ns()}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
     staged = spark.read.parquet(stage)
+    if keys:
+        bad = duplicate_keys(staged, keys).limit(1).count() + null_keys(staged, keys).limit(1).count()
+        if bad:
+            raise ValueError(f"key {tuple(keys)} violated in the partitions to write")
     (staged.select(*df.columns).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_by).parquet(path))

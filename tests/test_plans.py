@@ -224,3 +224,15 @@ def test_headline_lists_three_sections(spark):
     assert ("topTrendingOnSm", "Tag1") in got and ("topTrendingOnSm", "Tag2") in got
     # a page without markers keeps its whole text in each list (markers absent = uncut)
     assert sum(1 for r in got if r[1] == "nothing here") == 3
+
+
+def test_partitioned_refresh_rejects_duplicate_keys(spark, scratch):
+    import pytest
+    path = f"{scratch}/store3"
+    first = spark.createDataFrame([("IL", dt.date(2020, 3, 1), 1)], "state string, date date, positive int")
+    RF.refresh_partitioned(spark, path, first, "replace_dates", keys=["state"], staging_root=scratch)
+    dup = spark.createDataFrame([("IL", dt.date(2020, 3, 2), 1), ("IL", dt.date(2020, 3, 2), 2)],
+                                "state string, date date, positive int")
+    with pytest.raises(ValueError):
+        RF.refresh_partitioned(spark, path, dup, "replace_dates", keys=["state"], staging_root=scratch)
+    assert rows(spark.read.parquet(path).select("state", "positive")) == [("IL", 1)]
