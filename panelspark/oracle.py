@@ -9,6 +9,9 @@ use NULLIF(den, 0), rounding is half-even (round_even).
 
 from __future__ import annotations
 
+import math
+import time
+
 from panelspark.functions.stopwords import ENGLISH_STOP_WORDS
 from panelspark.queries import EVENT_TYPES
 
@@ -494,3 +497,87 @@ SELECT page_id, CAST(0 AS INTEGER) AS node_no,
                '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS text
 FROM pages WHERE html LIKE '%<footer>%'"""
     return q
+
+
+# ---- side-by-side check ------------------------------------------------------
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(repr(v)) if v == v else v
+    if hasattr(v, "isoformat"):
+        return v.isoformat() if not hasattr(v, "hour") else v.isoformat(sep=" ")
+    if isinstance(v, (list, tuple)):
+        return tuple(norm(x) for x in v)
+    return v
+
+
+def key(row):
+    return tuple((0, "") if x is None else (1, str(x)) for x in row)
+
+
+def compare(spark, sf: str, only=(), verbose: bool = True) -> list[str]:
+    """Run the keys on Spark and DuckDB; return the names that differ."""
+    import duckdb
+
+    from panelspark.queries import QUERIES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    qs, sql = QUERIES, oracle_sql()
+    bad = []
+    say = print if verbose else (lambda *a, **k: None)
+    for name, fn in qs.items():
+        if only and name not in only:
+            continue
+        t0 = time.time()
+        try:
+            df = fn(spark, sf)
+            cols = df.columns
+            rows = [tuple(norm(x) for x in r) for r in df.collect()]
+        except Exception as e:  # noqa: BLE001
+            say(f"{name:24s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
+            bad.append(name)
+            continue
+        dt = time.time() - t0
+        if name not in sql:
+            say(f"{name:24s} rows={len(rows)} (no oracle) {dt:.1f}s")
+            continue
+        try:
+            cur = con.execute(sql[name])
+            ocols = [d[0] for d in cur.description]
+            orows = [tuple(norm(x) for x in r) for r in cur.fetchall()]
+        except Exception as e:  # noqa: BLE001
+            say(f"{name:24s} ORACLE ERROR {type(e).__name__}: {str(e)[:300]}")
+            bad.append(name)
+            continue
+        ok_cols = sorted(cols) == sorted(ocols)
+        msg = ""
+        ok_vals = False
+        if ok_cols:
+            order = sorted(range(len(cols)), key=lambda i: cols[i])
+            oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
+            a = sorted((tuple(r[i] for i in order) for r in rows), key=key)
+            b = sorted((tuple(r[i] for i in oorder) for r in orows), key=key)
+            ok_vals = a == b
+            if not ok_vals and len(a) == len(b):
+                for ra, rb in zip(a, b):
+                    if ra != rb:
+                        names = [cols[i] for i in order]
+                        diff = [(n, x, y) for n, x, y in zip(names, ra, rb) if x != y]
+                        msg = f" first diff: {diff[:4]}"
+                        break
+        else:
+            msg = f" cols spark-only={sorted(set(cols)-set(ocols))} oracle-only={sorted(set(ocols)-set(cols))}"
+        status = "OK " if (ok_cols and ok_vals and len(rows) == len(orows)) else "BAD"
+        if status == "BAD":
+            bad.append(name)
+        say(f"{name:24s} {status} rows={len(rows)}/{len(orows)} {dt:.1f}s{msg}")
+    return bad
