@@ -78,6 +78,32 @@ def na_text(c) -> Column:
     return F.coalesce(col_(c).cast("string"), F.lit("NA"))
 
 
+def _strip_zeros(c: Column) -> Column:
+    """'7.00000000000000' -> '7', '1.50000000000000e+05' -> '1.5e+05'."""
+    c = F.regexp_replace(c, r"(\.\d*?)0+(e.*)?$", "$1$2")
+    return F.regexp_replace(c, r"\.(e|$)", "$1")
+
+
+def num_text(c, digits: int = 15) -> Column:
+    """A number as the source prints it inside text: ``digits`` significant
+    digits, no trailing zeros, scientific notation only when it is shorter
+    than the fixed form (7.000000000000001 -> '7', 50.0 -> '50',
+    100000 -> '1e+05', 0.0001 -> '1e-04'); NULL -> 'NA'.  Integers print
+    as they are."""
+    c = col_(c)
+    d = c.cast("double")
+    sci = _strip_zeros(F.format_string(f"%.{digits - 1}e", d))
+    gen = _strip_zeros(F.format_string(f"%.{digits}g", d))
+    fixed = F.when(F.instr(gen, "e") > 0, F.lit(None)).otherwise(gen)
+    as_double = F.when(fixed.isNotNull() & (F.length(fixed) <= F.length(sci)), fixed).otherwise(sci)
+    integral = F.when(d == F.floor(d), F.abs(d) < F.lit(1e15)).otherwise(F.lit(False))
+    whole = F.format_string("%.0f", d)
+    txt = F.when(integral & (F.length(whole) <= F.length(sci)), whole).otherwise(as_double)
+    return (F.when(d.isNull(), F.lit("NA"))
+             .when(d == F.lit(0.0), F.lit("0"))
+             .otherwise(txt))
+
+
 def flag(cond: Column) -> Column:
     """Boolean condition as an integer 0/1 flag."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -288,8 +288,8 @@ SELECT date, type, value, round(ln(1 + value), 6) AS lvalue FROM l"""
 WITH {PANEL},
 k AS (SELECT {", ".join(kpi_cols)} FROM panel WHERE most_recent = 1)
 SELECT *,
-       format('{{:,}}', total_deaths) || ' (' || coalesce(CAST(pct_deaths AS VARCHAR), 'NA') || '%)' AS text_deaths,
-       format('{{:,}}', total_recovered) || ' (' || coalesce(CAST(pct_recovered AS VARCHAR), 'NA') || '%)' AS text_recovered
+       format('{{:,}}', total_deaths) || ' (' || coalesce(format('{{:.15g}}', pct_deaths), 'NA') || '%)' AS text_deaths,
+       format('{{:,}}', total_recovered) || ' (' || coalesce(format('{{:.15g}}', pct_recovered), 'NA') || '%)' AS text_recovered
 FROM k"""
 
     q["quantile_buckets"] = f"""
@@ -326,7 +326,7 @@ x AS (
   FROM lt)
 SELECT *, '<p>' || state || ', ' || country || '</p></p>Confirmed: ' || CAST(confirmed AS VARCHAR)
           || '</p></p>Deaths: ' || CAST(deaths AS VARCHAR) || ' ('
-          || coalesce(CAST(pct_died * 100 AS VARCHAR), 'NA') || '%)</p>' AS popup
+          || coalesce(format('{{:.15g}}', pct_died * 100), 'NA') || '%)</p>' AS popup
 FROM x"""
 
     q["word_counts"] = f"""

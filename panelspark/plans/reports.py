@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.semantics import na_text, rround, safe_div, sum0
+from panelspark.functions.semantics import na_text, num_text, rround, safe_div, sum0
 from panelspark.operators.aggregate import distinct_count, exact_sum, ratio_of_sums, totals_by
 from panelspark.operators.joins import keep_keys
 from panelspark.operators.reshape import wide_to_long
@@ -63,7 +63,7 @@ def kpi_boxes(latest: DataFrame, levels: Sequence[str], news: Sequence[str],
         if m != pct_of:
             texts[f"text_{m}"] = F.concat(
                 F.format_number(F.col(f"total_{m}").cast("double"), 0), F.lit(" ("),
-                na_text(F.col(f"pct_{m}")), F.lit("%)"))
+                num_text(F.col(f"pct_{m}")), F.lit("%)"))
     return row.withColumns(texts)
 
 
@@ -118,9 +118,9 @@ def latest_points(df: DataFrame, location: Sequence[str], date: str, state: str,
     })
     return out.withColumn("popup", F.concat(
         F.lit("<p>"), na_text(F.col(state)), F.lit(", "), na_text(F.col(country)),
-        F.lit("</p></p>Confirmed: "), na_text(F.col(confirmed)),
-        F.lit("</p></p>Deaths: "), na_text(F.col(deaths)),
-        F.lit(" ("), na_text(F.col("pct_died") * F.lit(100)), F.lit("%)</p>")))
+        F.lit("</p></p>Confirmed: "), num_text(F.col(confirmed)),
+        F.lit("</p></p>Deaths: "), num_text(F.col(deaths)),
+        F.lit(" ("), num_text(F.col("pct_died") * F.lit(100)), F.lit("%)</p>")))
 
 
 def overview_buckets(table: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

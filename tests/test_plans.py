@@ -156,7 +156,7 @@ def test_reports(spark):
                            "date", "state", "country", "confirmed", "deaths")
     b = pts.filter("country = 'B'").first()
     assert b.state == "State Not Given" and b.pct_died == 0.0
-    assert b.popup == "<p>State Not Given, B</p></p>Confirmed: 0</p></p>Deaths: 0 (0.0%)</p>"
+    assert b.popup == "<p>State Not Given, B</p></p>Confirmed: 0</p></p>Deaths: 0 (0%)</p>"
     ov = RP.overview_buckets(latest.select("country", "confirmed"), ["confirmed"]).collect()
     assert {r.confirmed_bucket for r in ov} == {0, 20}
 

@@ -111,3 +111,14 @@ def test_strip_spans_equals_greedy_regex(spark):
     df = spark.createDataFrame([(t,) for t in cases], "t string")
     got = [r.v for r in df.select(strip_spans(F.col("t")).alias("v")).collect()]
     assert got == [re.sub(r"(?s)(<.*>)", "", t) for t in cases]
+
+
+def test_num_text_prints_like_the_source(spark):
+    from panelspark.functions import num_text
+    vals = [0.07 * 100, 0.0, -0.0, 12.5, 100.0, 1e-05, 100 / 3, 100000.0, 123456.0, 0.0001, 0.00012, 1e15, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.t for r in df.select(num_text("x").alias("t")).collect()]
+    assert got == ["7", "0", "0", "12.5", "100", "1e-05", "33.3333333333333", "1e+05", "123456",
+                   "1e-04", "0.00012", "1e+15", "NA"]
+    ints = spark.createDataFrame([(123456,), (None,)], "n long")
+    assert [r.t for r in ints.select(num_text("n").alias("t")).collect()] == ["123456", "NA"]
