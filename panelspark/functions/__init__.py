@@ -1,5 +1,5 @@
 from panelspark.functions.semantics import (  # noqa: F401
-    WHITESPACE, col_, empty_if_null, flag, money_sum, na_text, num_text, rround, safe_corr,
+    WHITESPACE, col_, empty_if_null, flag, money_sum, na_text, num_text, pretty_num, rround, safe_corr,
     safe_div, sum0, to_number, trim_ws,
 )
 from panelspark.functions.dates import (  # noqa: F401

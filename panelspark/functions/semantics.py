@@ -88,20 +88,28 @@ def num_text(c, digits: int = 15) -> Column:
     """A number as the source prints it inside text: ``digits`` significant
     digits, no trailing zeros, scientific notation only when it is shorter
     than the fixed form (7.000000000000001 -> '7', 50.0 -> '50',
-    100000 -> '1e+05', 0.0001 -> '1e-04'); NULL -> 'NA'.  Integers print
-    as they are."""
-    c = col_(c)
-    d = c.cast("double")
+    100000 -> '1e+05', 0.0001 -> '1e-04'); NULL -> 'NA'.  Integral values
+    keep all their digits in fixed form."""
+    d = col_(c).cast("double")
     sci = _strip_zeros(F.format_string(f"%.{digits - 1}e", d))
     gen = _strip_zeros(F.format_string(f"%.{digits}g", d))
-    fixed = F.when(F.instr(gen, "e") > 0, F.lit(None)).otherwise(gen)
-    as_double = F.when(fixed.isNotNull() & (F.length(fixed) <= F.length(sci)), fixed).otherwise(sci)
-    integral = F.when(d == F.floor(d), F.abs(d) < F.lit(1e15)).otherwise(F.lit(False))
-    whole = F.format_string("%.0f", d)
-    txt = F.when(integral & (F.length(whole) <= F.length(sci)), whole).otherwise(as_double)
-    return (F.when(d.isNull(), F.lit("NA"))
-             .when(d == F.lit(0.0), F.lit("0"))
-             .otherwise(txt))
+    integral = F.coalesce((d == F.floor(d)) & (F.abs(d) < F.lit(1e15)), F.lit(False))
+    fixed = F.when(integral, F.format_string("%.0f", d)).when(~gen.contains("e"), gen)
+    txt = F.when(F.length(fixed) <= F.length(sci), fixed).otherwise(sci)
+    return F.when(d.isNull(), F.lit("NA")).when(d == F.lit(0.0), F.lit("0")).otherwise(txt)
+
+
+# thousands separators: a digit followed by whole groups of three digits up
+# to the decimal point or the end, not inside the fraction
+_GROUPS = r"(?<!\.\d{0,30})(\d)(?=(\d{3})+(\.|$))"
+
+
+def pretty_num(c, digits: int = 7) -> Column:
+    """A number for display with thousands separators, as the source's
+    ``prettyNum(x, big.mark=',')``: ``digits`` significant digits (integer
+    digits are never dropped), separators on the integer part only,
+    scientific form left as is; NULL -> 'NA'."""
+    return F.regexp_replace(num_text(c, digits), _GROUPS, "$1,")
 
 
 def flag(cond: Column) -> Column:

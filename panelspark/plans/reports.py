@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.semantics import na_text, num_text, rround, safe_div, sum0
+from panelspark.functions.semantics import na_text, num_text, pretty_num, rround, safe_div, sum0
 from panelspark.operators.aggregate import distinct_count, exact_sum, ratio_of_sums, totals_by
 from panelspark.operators.joins import keep_keys
 from panelspark.operators.reshape import wide_to_long
@@ -140,7 +140,7 @@ def latest_line(curve_long: DataFrame, date: str = "date", type_col: str = "type
     names = list(labels) if labels else [c for c in piv.columns if c != date]
     for i, t in enumerate(names):
         parts += [F.lit(("" if i == 0 else ", ") + labels.get(t, t) + " = "),
-                  F.coalesce(F.format_number(F.col(t), 0), F.lit("NA"))]
+                  pretty_num(F.col(t))]
     return piv.withColumn("subtitle", F.concat(F.lit("Yesterday: "), *parts))
 
 

@@ -122,3 +122,11 @@ def test_num_text_prints_like_the_source(spark):
                    "1e-04", "0.00012", "1e+15", "NA"]
     ints = spark.createDataFrame([(123456,), (None,)], "n long")
     assert [r.t for r in ints.select(num_text("n").alias("t")).collect()] == ["123456", "NA"]
+
+
+def test_pretty_num(spark):
+    from panelspark.functions import pretty_num
+    vals = [12345.0, 1234567.891, 123.456789, 123456789.0, -9876.5, 0.5, None, 1e-9]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.t for r in df.select(pretty_num("x").alias("t")).collect()]
+    assert got == ["12,345", "1,234,568", "123.4568", "123,456,789", "-9,876.5", "0.5", "NA", "1e-09"]
