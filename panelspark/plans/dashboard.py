@@ -143,3 +143,20 @@ def market_view(tables: dict[str, DataFrame], lo: _dt.date | None = None, hi: _d
         "correlation": correlation_long(cdata, ["positive", *symbols]),
         "log_series": log_long.withColumn("lvalue", F.log1p("value")),
     }
+
+
+def summary_report(tables: dict[str, DataFrame], selected: Sequence[str] | None = None,
+                   per_capita: bool = False) -> dict[str, DataFrame]:
+    """The printable summary -- latest rows of the selected countries,
+    their daily curve with the 'Yesterday: ...' line at its latest date, and
+    the cumulative curve."""
+    view = country_view(tables, selected, per_capita)
+    labels = {"CONFIRMED": "Confirmed", "DEATHS": "Deaths", "RECOVERED": "Recovered"}
+    return {
+        "table": view["latest"].select("country", "date", "confirmed", "deaths", "recovered",
+                                       "new_confirmed", "new_deaths", "new_recovered",
+                                       "death_rate"),
+        "daily_curve": view["daily_curve"],
+        "yesterday": RP.latest_line(view["daily_curve"], labels=labels),
+        "cumulative_curve": view["cumulative_curve"],
+    }

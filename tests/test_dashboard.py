@@ -47,6 +47,15 @@ def test_build_and_views(spark, scratch):
     assert mv["correlation"].count() == 3   # positive, djia, zm -> 3 pairs
 
 
+def test_summary_report(spark, scratch):
+    tables = DB.build_tables(spark, *fixtures(spark), root=scratch)
+    rep = DB.summary_report(tables, selected=["US"])
+    assert rep["table"].count() == 1
+    line = rep["yesterday"].first().subtitle
+    assert line.startswith("Yesterday: Confirmed = 60, Deaths = 1, Recovered = ")
+    assert {r.country for r in rep["cumulative_curve"].collect()} == {"US"}
+
+
 def test_country_population_from_html(spark):
     html = ("<table><tr><th>#</th><th>Country</th><th>Population</th><th>Yearly</th><th>Net</th><th>Density</th>"
             "<th>Land</th><th>Migrants</th><th>Fert</th><th>Age</th><th>Urban</th><th>Share</th></tr>"
