@@ -37,20 +37,26 @@ def build_session(master: str | None = None, app_name: str = "panelspark",
                   extra: dict | None = None) -> SparkSession:
     """Get or create a session.  ``master``/``shuffle_partitions`` are for
     local runs and tests; leave them ``None`` under spark-submit."""
+    from pyspark import SparkConf
+
+    submitted = SparkConf()            # spark-submit / spark-defaults values
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(LOCAL_DEFAULTS)
+    # defaults only where the cluster left a setting unset; explicit
+    # arguments (master, shuffle_partitions, extra) always apply
+    conf = {k: v for k, v in LOCAL_DEFAULTS.items() if not submitted.contains(k)}
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(explicit)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    # getOrCreate() may return an existing session: apply SQL confs that
-    # are runtime-settable, but never override ones the cluster set.
+    # getOrCreate() may return an existing session: apply runtime SQL
+    # settings that were asked for explicitly, and defaults where unset.
     for k, v in conf.items():
-        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
+        if k.startswith("spark.sql.") and (k in explicit or spark.conf.get(k, None) is None):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
