@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +89,9 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
 
     try:
         old = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- first load: empty store
+    except AnalysisException as e:           # first load: the store does not exist yet
+        if "PATH_NOT_FOUND" not in str(e.getCondition() or e):
+            raise
         old = None
     cols = [c for c in batch.columns if c not in order]
     if old is None:
