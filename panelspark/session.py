@@ -56,7 +56,8 @@ def build_session(master: str | None = None, app_name: str = "panelspark",
     # getOrCreate() may return an existing session: apply runtime SQL
     # settings that were asked for explicitly, and defaults where unset.
     for k, v in conf.items():
-        if k.startswith("spark.sql.") and (k in explicit or spark.conf.get(k, None) is None):
+        if (k.startswith("spark.sql.") and spark.conf.isModifiable(k)
+                and (k in explicit or spark.conf.get(k, None) is None)):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark

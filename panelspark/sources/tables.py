@@ -130,8 +130,9 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str,
     """S6 (+S7): typed full replace.
 
     Casts to ``schema``, checks the key (no NULL key, no duplicate key),
-    writes a new version directory and re-points the catalog table to it.
-    Returns the new version's path."""
+    writes a new version directory and re-points the catalog table to it
+    (``ALTER TABLE ... SET LOCATION`` when the schema is unchanged, so there
+    is no moment without a table).  Returns the new version's path."""
     if schema is not None:
         df = conform(df, schema, text_keys)
     version = f"{root.rstrip('/')}/{name}/v={time.time_ns()}"
@@ -144,8 +145,14 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str,
         bad = duplicate_keys(written, keys).limit(1).count() + null_keys(written, keys).limit(1).count()
         if bad:
             raise ValueError(f"key {tuple(keys)} violated in new version of {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version}'")
+    new_schema = spark.read.parquet(version).schema
+    if spark.catalog.tableExists(name) and spark.table(name).schema == new_schema:
+        # one metadata change: readers see the old or the new version
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version}'")
     return version
 
 
