@@ -68,8 +68,11 @@ def safe_corr(a, b) -> Column:
     """Pearson correlation; NULL for a constant or too-short series.
 
     ``corr`` raises DIVIDE_BY_ZERO under ANSI on a constant column, so the
-    ratio is written out with try_divide."""
+    ratio is written out with try_divide; like ``corr`` it uses the rows
+    where both values are present."""
     a, b = col_(a), col_(b)
+    both = a.isNotNull() & b.isNotNull()          # pairwise-complete rows only
+    a, b = F.when(both, a), F.when(both, b)
     return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
 
 

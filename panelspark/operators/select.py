@@ -118,9 +118,12 @@ def best_and_worst(df: DataFrame, label: str, value: str, prefix=("best", "worst
                    extra: dict | None = None) -> DataFrame:
     """O3: first and last row of ``df`` sorted by ``value`` descending
     (stable: ties go to the smaller label for 'best', the larger for
-    'worst').  One global aggregate (partial per partition) instead of a
-    global sort; ``extra`` adds more aggregates to the same pass."""
-    packed = F.struct((-F.col(value)).alias("k"), F.col(label).alias("l"), F.col(value).alias("v"))
+    'worst'; rows without a value are ignored).  One global aggregate
+    (partial per partition) instead of a global sort; ``extra`` adds more
+    aggregates to the same pass."""
+    present = F.col(value).isNotNull()
+    packed = F.when(present, F.struct((-F.col(value)).alias("k"), F.col(label).alias("l"),
+                                      F.col(value).alias("v")))     # rows without a value: ignored
     b, w = prefix
     extra = extra or {}
     return df.agg(F.min(packed).alias("_b"), F.max(packed).alias("_w"),

@@ -64,7 +64,7 @@ def with_buckets(df: DataFrame, cols: Sequence[str], breaks: DataFrame,
         br = breaks.select(c).scalar()
         out[c + "_bucket"] = bucket_of(c, br, n_breaks)
     df = df.withColumns(out)
-    return df.withColumns({c + "_level": ramp_level(c + "_bucket") for c in cols})
+    return df.withColumns({c + "_level": ramp_level(c + "_bucket", n_breaks) for c in cols})
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:

@@ -127,8 +127,12 @@ def latest_rows(df: DataFrame, keys, date: str) -> DataFrame:
     (keys, date) instead of a window, so a hot entity is never gathered
     into one task; AQE broadcasts the per-key maxima when they are small."""
     keys = _keys(keys)
-    latest = df.groupBy(*keys).agg(F.max(date).alias(date))
-    return df.join(latest, keys + [date], "left_semi")
+    latest = df.groupBy(*keys).agg(F.max(date).alias("_latest")).alias("_m")
+    d = df.alias("_d")
+    cond = F.col("_d." + date) == F.col("_m._latest")
+    for k in keys:                       # a missing key is an entity too
+        cond = cond & F.col("_d." + k).eqNullSafe(F.col("_m." + k))
+    return d.join(latest, cond, "left_semi").select(*[F.col("_d." + c) for c in df.columns])
 
 
 def first_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:

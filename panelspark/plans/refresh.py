@@ -82,20 +82,25 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     The months a refresh can change are computed from the batch (and, for
     trailing-date replacement, from the watermark); only those partitions
     of the store are read (a semi join on the partition column, so the
-    scan is pruned) and only they are rewritten.  Returns the rows written.
+    scan is pruned) and only they are rewritten.  An upsert key must
+    contain the date (it decides the partition).  Returns a fresh read of
+    the refreshed store.
     """
     from panelspark.session import checkpoint_dir
     from panelspark.sources.tables import overwrite_partitions
 
+    if mode == "upsert" and date not in keys:
+        raise ValueError("a month-partitioned upsert needs the date in the key")
     try:
         old = spark.read.parquet(path)
     except AnalysisException as e:           # first load: the store does not exist yet
         if "PATH_NOT_FOUND" not in str(e.getCondition() or e):
             raise
         old = None
-    cols = [c for c in batch.columns if c not in order]
+    stored = set(old.columns) if old is not None else set(keys) | {date}
+    cols = [c for c in batch.columns if c not in order or c in stored]
     if old is None:
-        old = spark.createDataFrame([], batch.select(*cols).schema).transform(with_month)
+        old = with_month(spark.createDataFrame([], batch.select(*cols).schema), date)
     new = batch
     if mode == "append_distinct":
         wm = watermark(old, date)
@@ -118,4 +123,4 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     pk = [] if mode == "append_distinct" else (list(keys) if date in keys else list(keys) + [date])
     overwrite_partitions(spark, out, path, [MONTH], staging_root or f"{checkpoint_dir(spark)}/staging",
                          keys=pk)
-    return out
+    return spark.read.parquet(path)

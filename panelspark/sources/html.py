@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 TABLE_SCHEMA = "page_id long, table_no int, row_no int, cells array<string>"
 NODE_SCHEMA = "page_id long, node_no int, text string"
@@ -106,10 +107,10 @@ def first_table(tables: DataFrame, columns: list[str], drop_first_col: bool = Tr
                 header_rows: int = 1) -> DataFrame:
     """The first table of each page as typed-later text columns; the
     first column (a rank) dropped, header row skipped."""
-    from pyspark.sql import functions as F
     t = tables.filter((F.col("table_no") == 0) & (F.col("row_no") >= header_rows))
     start = 1 if drop_first_col else 0
-    return t.select("page_id", *[F.col("cells")[start + i].alias(c) for i, c in enumerate(columns)])
+    # F.get: NULL (not an error under ANSI) for a short row, e.g. a footer
+    return t.select("page_id", *[F.get(F.col("cells"), start + i).alias(c) for i, c in enumerate(columns)])
 
 
 def node_text(pages: DataFrame, tag: str, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

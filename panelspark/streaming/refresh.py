@@ -77,8 +77,9 @@ def start_refresh(spark: SparkSession, landing: str, schema: T.StructType, table
         new_state = _apply(mode, old, batch, keys, order, date, value, overlap_days)
         # the new version is written before the catalog is re-pointed, so
         # the version being read is never overwritten
-        replace_table(spark, new_state, table, table_root, store_schema,
-                      keys=list(keys) if mode != "append_distinct" else (),
+        pk = () if mode == "append_distinct" else (
+            list(keys) if date in keys else list(keys) + [date])
+        replace_table(spark, new_state, table, table_root, store_schema, keys=pk,
                       text_keys=text_keys)
 
     return (stream.writeStream.foreachBatch(refresh)

@@ -161,3 +161,37 @@ def test_sum_max_by_base_name(spark):
     key = F.btrim(F.regexp_replace("country", " – .*$", ""))
     got = rows(sum_max_by(df, key, {"tests": "tests"}, {"date": "date"}, "country"))
     assert got == [("Chad", 1.0, D[0]), ("France", 5.0, D[1])]
+
+
+def test_review_fixes_null_handling(spark):
+    from panelspark.functions import safe_corr
+    from panelspark.operators.window import latest_rows
+    # latest rows keep an entity whose key is missing
+    df = spark.createDataFrame([(None, 1), (None, 2), ("x", 1)], "k string, d int")
+    assert rows(latest_rows(df, ["k"], "d")) == [("x", 1), (None, 2)]
+    # best/worst ignore rows without a value
+    bw = best_and_worst(spark.createDataFrame([("a", 1.0), ("b", None), ("c", 3.0)], "k string, v double"),
+                        "k", "v").first()
+    assert (bw.best_k, bw.best_v, bw.worst_k, bw.worst_v) == ("c", 3.0, "a", 1.0)
+    # correlation over pairwise-complete rows, like corr
+    data = [(1.0, 2.0), (2.0, 4.1), (3.0, 5.9), (4.0, None), (None, 100.0), (5.0, 10.2)]
+    d2 = spark.createDataFrame(data, "a double, b double")
+    ours = d2.agg(safe_corr("a", "b")).first()[0]
+    spark_corr = d2.agg(F.corr("a", "b")).first()[0]
+    assert abs(ours - spark_corr) < 1e-12
+
+
+def test_buckets_with_other_break_counts(spark):
+    from panelspark.operators.stats import with_buckets
+    df = spark.createDataFrame([(float(i),) for i in range(10)], "x double")
+    br = quantile_breaks(df, ["x"], probs=(0.0, 0.25, 0.5, 0.75))
+    out = with_buckets(df, ["x"], br, n_breaks=4).collect()
+    levels = {r.x_bucket: r.x_level for r in out}
+    assert min(levels.values()) == 40 and max(levels.values()) == 255 and len(levels) == 5
+
+
+def test_no_nested_loop_join_for_null_safe_semi(spark):
+    from panelspark.operators.window import latest_rows
+    df = spark.createDataFrame([(None, 1), ("x", 2)], "k string, d int")
+    p = latest_rows(df, ["k"], "d")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "Cartesian" not in p

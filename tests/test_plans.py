@@ -236,3 +236,15 @@ def test_partitioned_refresh_rejects_duplicate_keys(spark, scratch):
     with pytest.raises(ValueError):
         RF.refresh_partitioned(spark, path, dup, "replace_dates", keys=["state"], staging_root=scratch)
     assert rows(spark.read.parquet(path).select("state", "positive")) == [("IL", 1)]
+
+
+def test_partitioned_upsert_needs_date_key_and_keeps_stored_order_columns(spark, scratch):
+    import pytest
+    path = f"{scratch}/store4"
+    b = spark.createDataFrame([("s", dt.date(2020, 3, 1), 1.0)], "symbol string, date date, adjusted double")
+    with pytest.raises(ValueError):
+        RF.refresh_partitioned(spark, path, b, "upsert", keys=["symbol"], order=["adjusted"],
+                               staging_root=scratch)
+    # ordering by the date column (also stored) keeps it in the store
+    RF.refresh_partitioned(spark, path, b, "append_distinct", order=["date"], staging_root=scratch)
+    assert "date" in spark.read.parquet(path).columns

@@ -121,3 +121,11 @@ def test_read_tables_list(spark, scratch):
     spark.createDataFrame([(5,)], "y int").write.parquet(f"{scratch}/b")
     got = TB.read_tables(spark, {"a": f"{scratch}/a", "b": f"{scratch}/b"})
     assert got["a"].first().date == dt.date(2020, 3, 1) and got["b"].first().y == 5
+
+
+def test_first_table_short_rows_are_null(spark):
+    page = ("<table><tr><th>#</th><th>Country</th><th>Population</th></tr>"
+            "<tr><td>1</td><td>Chad</td><td>16,425,864</td></tr><tr><td>Total</td></tr></table>")
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    got = rows(H.first_table(H.html_tables(pages), ["country", "population"]).select("country", "population"))
+    assert got == [("Chad", "16,425,864"), (None, None)]

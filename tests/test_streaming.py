@@ -67,3 +67,19 @@ def test_stream_into_partitioned_store(spark, scratch):
     run_refresh(spark, landing, SCHEMA, "px", root, **kw)
     got = sorted((str(r.date), r.adjusted) for r in spark.read.parquet(f"{root}/px").collect())
     assert got == [("2020-02-28", 1.0), ("2020-03-02", 5.0)]
+
+
+def test_stream_replace_dates_catalog_table(spark, scratch):
+    schema = T.StructType([T.StructField("state", T.StringType()), T.StructField("date", T.DateType()),
+                           T.StructField("positive", T.IntegerType())])
+    landing = f"{scratch}/sd"
+    spark.sql("DROP TABLE IF EXISTS state_stream")
+    kw = dict(mode="replace_dates", keys=["state"], checkpoint=f"{scratch}/ck4")
+    land(landing, "d1.json", [{"state": "IL", "date": "2020-03-01", "positive": 1},
+                              {"state": "IL", "date": "2020-03-02", "positive": 2}])
+    run_refresh(spark, landing, schema, "state_stream", f"{scratch}/t4", **kw)
+    land(landing, "d2.json", [{"state": "IL", "date": "2020-03-02", "positive": 20},
+                              {"state": "IL", "date": "2020-03-03", "positive": 30}])
+    run_refresh(spark, landing, schema, "state_stream", f"{scratch}/t4", **kw)
+    got = sorted((str(r.date), r.positive) for r in spark.table("state_stream").collect())
+    assert got == [("2020-03-01", 1), ("2020-03-02", 20), ("2020-03-03", 30)]
