@@ -13,8 +13,11 @@ from panelspark.functions.text import split_items, words
 def wide_to_long(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str],
                  name_col: str, value_col: str) -> DataFrame:
     """One row per (ids, column name) with the cell value.  Missing
-    cells are kept as NULL rows (the panel needs them for gap filling)."""
-    return df.unpivot(list(ids), list(value_cols), name_col, value_col)
+    cells are kept as NULL rows (the panel needs them for gap filling).
+    Names are quoted, so headers such as 'X1.22.20' stay single columns."""
+    q = [F.col(f"`{c}`") for c in ids]
+    v = [F.col(f"`{c}`") for c in value_cols]
+    return df.unpivot(q, v, name_col, value_col)
 
 
 def long_to_wide(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str,

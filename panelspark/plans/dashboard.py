@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.stopwords import stop_words_frame
 from panelspark.operators.joins import join_dim
 from panelspark.operators.reshape import columns_to_long, long_to_wide
-from panelspark.operators.select import between_dates, complete_rows
+from panelspark.operators.select import between_dates, complete_rows, sort_desc_last
 from panelspark.operators.stats import correlation_long
 from panelspark.plans import panel as P
 from panelspark.plans import prices as PR
@@ -51,17 +51,18 @@ def build_tables(spark: SparkSession, ccdr: DataFrame, state_data: DataFrame, st
     state panel (K8), price series and returns (K10), headline tokens (K11)."""
     cpop = country_pop.select("country", "population")
     spop = state_pop.select("state", F.col("Pop").alias("population"))
-    series = PR.index_series(stocks)
     out = {
         "country_summary": P.country_panel(ccdr, "country", "date", population=cpop),
         "locations": P.fill_locations(ccdr, ["state", "country", "Lat", "Lng"], "date",
                                       P.COUNTRY_MEASURES, trim=["country"]),
         "state_summary": P.state_panel(state_data, "state", "date", population=spop),
-        "prices": series,
-        "returns": PR.returns_panel(series),
+        "prices": PR.index_series(stocks),
         "headline_tokens": TX.token_table(headlines, "headlines"),
     }
-    return {k: materialize(spark, v, k, root) for k, v in out.items()}
+    tables = {k: materialize(spark, v, k, root) for k, v in out.items()}
+    # returns read the written price table instead of recomputing it
+    tables["returns"] = materialize(spark, PR.returns_panel(tables["prices"]), "returns", root)
+    return tables
 
 
 def country_view(tables: dict[str, DataFrame], selected: Sequence[str] | None = None,
@@ -155,7 +156,8 @@ def summary_report(tables: dict[str, DataFrame], selected: Sequence[str] | None
     return {
         "table": view["latest"].select("country", "date", "confirmed", "deaths", "recovered",
                                        "new_confirmed", "new_deaths", "new_recovered",
-                                       "death_rate"),
+                                       "death_rate")
+                               .orderBy(*sort_desc_last("new_confirmed", tiebreak=["country"])),
         "daily_curve": view["daily_curve"],
         "yesterday": RP.latest_line(view["daily_curve"], labels=labels),
         "cumulative_curve": view["cumulative_curve"],

@@ -46,22 +46,26 @@ def upsert(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
 
     1. first row per key inside the batch (W11, deterministic by ``order``);
     2. guard (A12): the batch has rows and fewer missing cells than rows --
-       otherwise the stored table is returned unchanged;
+       otherwise the stored table is returned unchanged (step 4 included);
     3. old rows with a key in the batch are dropped (F5), the batch is
        appended (U1);
     4. rows without a positive ``value`` are dropped (F2)."""
     fresh = first_per_key(batch, keys, order).drop(*[o for o in order if o not in old.columns])
-    fresh = fresh.filter(refresh_guard(fresh))
+    ok = refresh_guard(fresh)
+    fresh = fresh.filter(ok)
     out = union_by_name(drop_keys(old, fresh, keys, null_safe=True), fresh)
-    return positive(out, value) if value else out
+    # F2 is part of the refresh: a rejected batch leaves the table as it was
+    return out.filter(~ok | (F.col(value) > 0)) if value else out
 
 
 def append_new_days(old: DataFrame, source: DataFrame, date: str = "date") -> DataFrame:
     """K5: rows of the source after the stored watermark, appended, then
-    distinct over all columns (U2) so a re-run adds nothing."""
+    distinct over all columns (U2) so a re-run adds nothing.  When no row
+    is new the stored table is returned as it is."""
     wm = watermark(old, date)
     new = source.filter(wm.isNull() | (F.col(date) > wm))          # empty store: all is new
-    return union_distinct(old, new)
+    # nothing new: the stored table stays exactly as it is (one-row check)
+    return old if new.isEmpty() else union_distinct(old, new)
 
 
 # ---- partitioned store: only touched months are read and rewritten --------
@@ -122,5 +126,5 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     out = with_month(out.select(*cols), date)
     pk = [] if mode == "append_distinct" else (list(keys) if date in keys else list(keys) + [date])
     overwrite_partitions(spark, out, path, [MONTH], staging_root or f"{checkpoint_dir(spark)}/staging",
-                         keys=pk)
+                         keys=pk, touched=touched)
     return spark.read.parquet(path)

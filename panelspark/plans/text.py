@@ -14,7 +14,6 @@ from panelspark.functions.text import cut_between, drop_control, split_items, st
 from panelspark.operators.joins import drop_keys
 from panelspark.operators.reshape import tokenize
 from panelspark.operators.select import between_dates
-from panelspark.operators.setops import union_by_name
 
 # Fragments deleted from headline text before tokenizing.
 NOISE_FRAGMENTS = ("t.co", "trump", "https")
@@ -36,7 +35,8 @@ def word_counts(tokens: DataFrame, stop_words: DataFrame, word: str = "word",
                 date: str | None = None, lo: _dt.date | None = None, hi: _dt.date | None = None,
                 exclude: Sequence[str] = ("trump",), stop_words_bounded: bool = True) -> DataFrame:
     """K11 second half: optional date range (F3), stop-word anti join (J4),
-    an excluded-word filter (F10), count per word (A6).
+    an excluded-word filter (F10), count per word (A6), most frequent first
+    (ties by word).
 
     The stop-word list has a fixed size, so it is broadcast; the counts are
     a hash aggregate with partial aggregation (a word holding a third of
@@ -48,7 +48,8 @@ def word_counts(tokens: DataFrame, stop_words: DataFrame, word: str = "word",
                   bounded=stop_words_bounded)
     if exclude:
         t = t.filter(~F.col(word).isin(list(exclude)))
-    return t.groupBy(word).agg(F.count(F.lit(1)).alias("n"))
+    return (t.groupBy(word).agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), F.asc(word)))
 
 
 def marked_items(df: DataFrame, text: str, start: str | None, end: str | None,
@@ -90,10 +91,12 @@ def headline_lists(pages: DataFrame, text: str = "text", date: str = "date",
     trend = F.regexp_replace(trend, F.concat(F.lit("^.* "), F.year(d).cast("string"), F.lit("\\|")),
                              F.lit(""))
 
-    def rows(body, kind):
-        items = F.filter(F.split(body, quoted_day) if kind == t_type else F.split(body, "\\|"),
-                         lambda s: s != F.lit(""))
-        return pages.select(F.explode(items).alias("headlines"), d.alias("date"),
-                            F.lit(kind).alias("type"))
+    def items(body, kind):
+        parts = F.split(body, quoted_day) if kind == t_type else F.split(body, "\\|")
+        return F.struct(F.lit(kind).alias("type"),
+                        F.filter(parts, lambda x: x != F.lit("")).alias("items"))
 
-    return union_by_name(rows(tweets, t_type), rows(news, n_type), rows(trend, s_type))
+    # one pass over the pages: three typed lists per page, exploded once
+    lists = F.array(items(tweets, t_type), items(news, n_type), items(trend, s_type))
+    per_type = pages.select(d.alias("date"), F.inline(lists))
+    return per_type.select(F.explode("items").alias("headlines"), "date", "type")

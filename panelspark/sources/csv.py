@@ -47,7 +47,7 @@ def wide_file_to_long(wide: DataFrame, value_name: str,
     return renamed.select(
         trim_ws(empty_if_null(s)).alias(s), trim_ws(empty_if_null(c)).alias(c),
         F.col(lat).try_cast("double").alias(lat), F.col(lng).try_cast("double").alias(lng),
-        parse_mdy(F.regexp_replace("date", "^X", "")).alias("date"),
+        parse_mdy(F.regexp_replace(F.regexp_replace("date", "^X", ""), r"\.", "/")).alias("date"),
         trim_ws(value_name).try_cast("int").alias(value_name))
 
 

@@ -190,8 +190,20 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def delete_dirs(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove directories through the cluster's Hadoop file system (how a
+    Spark job drops a partition directory of a path-based table)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            fs.delete(hp, True)
+
+
 def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str],
-                         staging_root: str, keys: Sequence[str] = ()) -> None:
+                         staging_root: str, keys: Sequence[str] = (),
+                         touched: DataFrame | None = None) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition
     overwrite); other partitions of the dataset are untouched.
 
@@ -200,7 +212,9 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     staging folder under the shared root and the overwrite reads from
     there.  With ``keys`` (which must determine the partition) the staged
     partitions are checked for duplicate or missing keys first; a violation
-    raises before anything is replaced."""
+    raises before anything is replaced.  ``touched`` (partition values the
+    refresh was allowed to change) lets partitions that ended up with no
+    rows be removed -- dynamic overwrite cannot write an empty partition."""
     stage = f"{staging_root.rstrip('/')}/stage-{time.time_ns()}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
     staged = spark.read.parquet(stage)
@@ -208,6 +222,13 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
         bad = duplicate_keys(staged, keys).limit(1).count() + null_keys(staged, keys).limit(1).count()
         if bad:
             raise ValueError(f"key {tuple(keys)} violated in the partitions to write")
+    emptied = []
+    if touched is not None:
+        # bounded: one row per touched partition value
+        gone = touched.select(*partition_by).distinct().join(
+            staged.select(*partition_by).distinct(), list(partition_by), "left_anti").collect()
+        emptied = ["/".join(f"{c}={r[c]}" for c in partition_by) for r in gone]
     (staged.select(*df.columns).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_by).parquet(path))
+    delete_dirs(spark, [f"{path.rstrip('/')}/{e}" for e in emptied])

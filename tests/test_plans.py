@@ -248,3 +248,42 @@ def test_partitioned_upsert_needs_date_key_and_keeps_stored_order_columns(spark,
     # ordering by the date column (also stored) keeps it in the store
     RF.refresh_partitioned(spark, path, b, "append_distinct", order=["date"], staging_root=scratch)
     assert "date" in spark.read.parquet(path).columns
+
+
+def test_partitioned_upsert_can_empty_a_month(spark, scratch):
+    import os
+    path = f"{scratch}/store5"
+    first = spark.createDataFrame([("s", dt.date(2020, 2, 3), 1.0, 1), ("s", dt.date(2020, 3, 3), 2.0, 1)],
+                                  "symbol string, date date, adjusted double, src int")
+    RF.refresh_partitioned(spark, path, first, "upsert", keys=["symbol", "date"], order=["src"],
+                           value="adjusted", staging_root=scratch)
+    kill = spark.createDataFrame([("s", dt.date(2020, 2, 3), -1.0, 1), ("s", dt.date(2020, 3, 4), 5.0, 1)],
+                                 "symbol string, date date, adjusted double, src int")
+    RF.refresh_partitioned(spark, path, kill, "upsert", keys=["symbol", "date"], order=["src"],
+                           value="adjusted", staging_root=scratch)
+    got = rows(spark.read.parquet(path).select("date", "adjusted"))
+    assert got == [(dt.date(2020, 3, 3), 2.0), (dt.date(2020, 3, 4), 5.0)]
+    assert not os.path.exists(f"{path}/month=2020-02-01")
+
+
+def test_upsert_rejected_batch_keeps_nonpositive_rows(spark):
+    old = spark.createDataFrame([("s", D[0], 0.0, 1)], "symbol string, date date, adjusted double, volume long")
+    bad = spark.createDataFrame([(None, None, None, None, None)],
+                                "symbol string, date date, adjusted double, volume long, src int")
+    assert rows(RF.upsert(old, bad, ["symbol", "date"], ["src"], value="adjusted")) == rows(old)
+
+
+def test_append_without_new_rows_keeps_duplicates(spark):
+    old = spark.createDataFrame([("h", D[0], "t"), ("h", D[0], "t")], "headlines string, date date, type string")
+    src = spark.createDataFrame([("h", D[0], "t")], "headlines string, date date, type string")
+    assert RF.append_new_days(old, src).count() == 2
+
+
+def test_dotted_header_dates(spark, scratch):
+    import os
+    from panelspark.sources.csv import country_series
+    os.makedirs(scratch, exist_ok=True)
+    with open(f"{scratch}/x.csv", "w") as f:
+        f.write("Province/State,Country/Region,Lat,Long,X1.22.20,X1.23.20\n,US,1,2,3,4\n")
+    got = rows(country_series(spark, {"confirmed": f"{scratch}/x.csv"}).select("date", "confirmed"))
+    assert got == [(dt.date(2020, 1, 22), 3), (dt.date(2020, 1, 23), 4)]
