@@ -29,7 +29,7 @@ from panelspark.functions.text import strip_tags
 from panelspark.functions.stopwords import stop_words_frame
 from panelspark.operators.aggregate import rollup_sum0
 from panelspark.operators.joins import missing_pairs, null_safe_join
-from panelspark.operators.reshape import columns_to_long, wide_to_long
+from panelspark.operators.reshape import columns_to_long, long_to_wide, wide_to_long
 from panelspark.operators.select import (
     DATE_HEADER, between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
     sort_desc_last, top_n, with_stages,
@@ -123,9 +123,8 @@ def order_prices(spark, sf) -> DataFrame:
 
 def daily_value_pivot(spark, sf) -> DataFrame:
     """Day x event_type value sums, one column per type (explicit list)."""
-    ev = event_days(spark, sf)
-    wide = (ev.groupBy("date").pivot("event_type", list(EVENT_TYPES))
-              .agg(F.sum(F.col("value").cast("decimal(18,2)"))))
+    ev = event_days(spark, sf).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    wide = long_to_wide(ev, ["date"], "event_type", "value", EVENT_TYPES, agg="sum")
     return wide.select("date", *[F.col(t).cast("double").alias(t) for t in EVENT_TYPES])
 
 

@@ -195,3 +195,12 @@ def test_no_nested_loop_join_for_null_safe_semi(spark):
     df = spark.createDataFrame([(None, 1), ("x", 2)], "k string, d int")
     p = latest_rows(df, ["k"], "d")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_projection_helpers(spark):
+    from panelspark.operators.select import columns_present, drop_positions, rename_all
+    df = spark.createDataFrame([(1, "a", 2.0)], "rank int, Country string, Population double")
+    assert drop_positions(df, [0]).columns == ["Country", "Population"]
+    assert rename_all(drop_positions(df, [0]), ["country", "population"]).columns == ["country", "population"]
+    assert rename_all(df, ["r"]).columns == ["r", "Country", "Population"]
+    assert columns_present(df, ["date", "Country", "positive", "rank"]) == ["Country", "rank"]
