@@ -67,13 +67,27 @@ def with_buckets(df: DataFrame, cols: Sequence[str], breaks: DataFrame,
     return df.withColumns({c + "_level": ramp_level(c + "_bucket", n_breaks) for c in cols})
 
 
-def correlation_long(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """A10: Pearson correlation of every pair of columns (a < b in column
-    order), as long rows (a, b, r).  One aggregate pass computes all pairs;
-    a constant column gives NULL.  r is rounded to ``digits`` places."""
+def correlation_long(df: DataFrame, cols: Sequence[str], digits: int = 6,
+                     full: bool = False) -> DataFrame:
+    """A10: Pearson correlation of every pair of columns as long rows
+    (a, b, r), rounded to ``digits`` places; a constant column gives NULL.
+
+    One aggregate pass computes all pairs.  ``full=False`` returns each pair
+    once (a before b in column order); ``full=True`` returns the whole
+    matrix: both orders and the diagonal (1, or NULL for a constant or
+    too-short column), which is symmetric by construction."""
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[safe_corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    stack = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                               F.round(F.col(f"_{i}"), digits).alias("r"))
-                      for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(stack))
+    aggs = [safe_corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]
+    if full:
+        aggs += [F.when(F.stddev_samp(c) > 0, F.lit(1.0)).alias(f"_d{j}") for j, c in enumerate(cols)]
+    row = df.agg(*aggs)
+    cells = []
+    for i, (a, b) in enumerate(pairs):
+        r = F.round(F.col(f"_{i}"), digits)
+        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
+        if full:
+            cells.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
+    if full:
+        cells += [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"_d{j}").alias("r"))
+                  for j, c in enumerate(cols)]
+    return row.select(F.inline(F.array(*cells)))

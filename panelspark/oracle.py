@@ -263,9 +263,11 @@ t AS (SELECT date,
     cols = ["positive", *EVENT_TYPES]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     corr_rows = "\nUNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, round(covar_samp({a}, {b}) / "
-        f"NULLIF(stddev_samp({a}) * stddev_samp({b}), 0), 6) AS r FROM cdata"
-        for a, b in pairs)
+        [f"SELECT '{x}' AS a, '{y}' AS b, round(covar_samp({a}, {b}) / "
+         f"NULLIF(stddev_samp({a}) * stddev_samp({b}), 0), 6) AS r FROM cdata"
+         for a, b in pairs for x, y in ((a, b), (b, a))]
+        + [f"SELECT '{c}' AS a, '{c}' AS b, CASE WHEN stddev_samp({c}) > 0 THEN CAST(1 AS DOUBLE) END AS r "
+           f"FROM cdata" for c in cols])
     q["corr_long"] = f"WITH {CDATA} {corr_rows}"
 
     q["log_series"] = f"""

@@ -230,7 +230,7 @@ def q_series_join_complete(spark, sf):
 
 
 def q_corr_long(spark, sf):
-    return correlation_long(cases_and_prices(spark, sf), ["positive", *EVENT_TYPES])
+    return correlation_long(cases_and_prices(spark, sf), ["positive", *EVENT_TYPES], full=True)
 
 
 def q_log_series(spark, sf):

@@ -204,3 +204,14 @@ def test_projection_helpers(spark):
     assert rename_all(drop_positions(df, [0]), ["country", "population"]).columns == ["country", "population"]
     assert rename_all(df, ["r"]).columns == ["r", "Country", "Population"]
     assert columns_present(df, ["date", "Country", "positive", "rank"]) == ["Country", "rank"]
+
+
+def test_correlation_full_matrix_symmetric_unit_diagonal(spark):
+    data = [(float(i), float((i * 7) % 5), float(i * i), 2.0) for i in range(12)]
+    df = spark.createDataFrame(data, "a double, b double, c double, k double")
+    m = {(r.a, r.b): r.r for r in correlation_long(df, ["a", "b", "c", "k"], full=True).collect()}
+    assert len(m) == 16
+    for x in "abck":
+        for y in "abck":
+            assert m[(x, y)] == m[(y, x)]
+    assert m[("a", "a")] == 1.0 and m[("k", "k")] is None and m[("a", "k")] is None
