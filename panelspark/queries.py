@@ -60,11 +60,27 @@ LOG_SERIES = ("purchase", "signup")
 MEASURES = P.COUNTRY_MEASURES
 
 
+_RESOLVED: dict = {}
+
+
 def table(spark: SparkSession, sf: str, name: str, cpu_heavy: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    """An input table, resolved once per session and reused by every query
+    (the source loads its tables once at start-up).  What is kept is the
+    DataFrame -- a plan with its file listing -- not data; call
+    ``forget_tables()`` after the files change."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RESOLVED.get(key)
+    if df is None:
+        df = _RESOLVED[key] = spark.read.parquet(path)
     return spread(df) if cpu_heavy else df
 
 
+def forget_tables() -> None:
+    """Drop the resolved input tables (re-list files on next use)."""
+    _RESOLVED.clear()
+
+
 # ---- derived inputs ---------------------------------------------------------
 
 def event_days(spark, sf) -> DataFrame:
