@@ -7,6 +7,10 @@ yet processed (tracked in the checkpoint), and ``foreachBatch`` applies the
 batch refresh -- upsert by key, replace trailing dates, or append distinct
 -- against the stored table and writes a new table version.
 
+Exactly-once effect: ``foreachBatch`` may deliver a micro-batch again after
+a failure; every batch function here is idempotent (upsert by key, replace
+by key, union distinct), so a replay leaves the same table.
+
 Fault tolerance: the stream's checkpoint and every table version live
 under the shared folder named by ``spark.checkpoint.dir`` (or an explicit
 shared root), never on a machine-local disk; a lost executor re-runs its

@@ -83,3 +83,18 @@ def test_stream_replace_dates_catalog_table(spark, scratch):
     run_refresh(spark, landing, schema, "state_stream", f"{scratch}/t4", **kw)
     got = sorted((str(r.date), r.positive) for r in spark.table("state_stream").collect())
     assert got == [("2020-03-01", 1), ("2020-03-02", 20), ("2020-03-03", 30)]
+
+
+def test_replayed_batch_leaves_the_same_table(spark, scratch):
+    from panelspark.streaming.refresh import _apply
+    old = spark.createDataFrame([("zm", "2020-03-01", 1.0)], "symbol string, date string, adjusted double") \
+        .selectExpr("symbol", "to_date(date) as date", "adjusted")
+    batch = spark.createDataFrame([("zm", "2020-03-01", 2.0, 1), ("f", "2020-03-02", 3.0, 1)],
+                                  "symbol string, date string, adjusted double, src int") \
+        .selectExpr("symbol", "to_date(date) as date", "adjusted", "src")
+    for mode in ("upsert", "replace_dates", "append_distinct"):
+        b = batch if mode == "upsert" else batch.drop("src")
+        keys = ["symbol", "date"] if mode == "upsert" else ["symbol"]
+        once = _apply(mode, old, b, keys, ["src"], "date", "adjusted", 1)
+        twice = _apply(mode, once, b, keys, ["src"], "date", "adjusted", 1)
+        assert rows(once) == rows(twice), mode
