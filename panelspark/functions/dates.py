@@ -17,17 +17,23 @@ EPOCH = _dt.date(1970, 1, 1)
 TWO_DIGIT_PIVOT = 69
 
 
+_MDY = r"^(\d{1,2})/(\d{1,2})/(\d{2}|\d{4})$"
+
+
 def parse_mdy(c) -> Column:
-    """Header dates such as '1/22/20' or '1/22/2020' (either year width).
-
-    Each pattern rejects the other width, so the coalesce picks the right
-    one; this replaces the source's fix-up that rewrote '2020' as '20'.
-    Two-digit years follow the %y rule (69-99 -> 19xx, 00-68 -> 20xx)."""
-    c = col_(c).cast("string")
-    short = F.try_to_date(c, "M/d/yy")
-    short = F.when(F.year(short) >= 2000 + TWO_DIGIT_PIVOT,
-                   F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(short, F.try_to_date(c, "M/d/yyyy"))
+    """Header dates such as '1/22/20', '1/22/2020' or 'X1.22.20' (either
+    year width; a leading X and dots, as left by some CSV writers, are
+    accepted); anything else, or an impossible date, is NULL.
+
+    Replaces the source's fix-up that rewrote '2020' as '20': every year is
+    read, and two-digit years follow the %y rule (69-99 -> 19xx,
+    00-68 -> 20xx).  One regex extraction and integer arithmetic, so the
+    expression stays small inside wide projections."""
+    s = F.regexp_replace(F.regexp_replace(col_(c).cast("string"), "^X", ""), r"\.", "/")
+    month, day, yy = (F.regexp_extract(s, _MDY, i) for i in (1, 2, 3))
+    y = yy.try_cast("int")
+    century = F.when(F.length(yy) == 2, F.when(y >= TWO_DIGIT_PIVOT, 1900).otherwise(2000)).otherwise(0)
+    return F.try_to_date(F.concat_ws("-", (y + century).cast("string"), month, day), "yyyy-M-d")
 
 
 def parse_ymd(c) -> Column:

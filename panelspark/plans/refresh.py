@@ -1,8 +1,10 @@
 """Deterministic incremental refreshes of stored panel tables (K3-K5).
 
-Every refresh is one lazy plan: the watermark (max date of the stored
-table) and the batch guard are scalar subqueries evaluated on the
-executors, never values pulled into driver-side control flow.
+Each refresh is a lazy plan: the watermark (max date of the stored table)
+and the batch guard are scalar subqueries evaluated on the cluster, not
+values pulled into driver-side control flow.  The one exception is the
+append refresh's "anything new?" probe (a one-row read), which decides
+whether the stored table changes at all.
 """
 
 from __future__ import annotations
@@ -97,8 +99,8 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
         raise ValueError("a month-partitioned upsert needs the date in the key")
     try:
         old = spark.read.parquet(path)
-    except AnalysisException as e:           # first load: the store does not exist yet
-        if "PATH_NOT_FOUND" not in str(e.getCondition() or e):
+    except AnalysisException as e:           # first load, or every month emptied
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         old = None
     stored = set(old.columns) if old is not None else set(keys) | {date}
@@ -127,4 +129,4 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     pk = [] if mode == "append_distinct" else (list(keys) if date in keys else list(keys) + [date])
     overwrite_partitions(spark, out, path, [MONTH], staging_root or f"{checkpoint_dir(spark)}/staging",
                          keys=pk, touched=touched)
-    return spark.read.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions.dates import (
-    compact_text, date_spine, day_number_to_date, long_label, month_name, parse_mdy, parse_ymd,
+    compact_text, date_spine, day_number_to_date, long_label, month_name, parse_ymd,
 )
 from panelspark.functions.names import map_names
 from panelspark.functions.semantics import flag, money_sum, rround, to_number, trim_ws
@@ -45,6 +45,7 @@ from panelspark.plans import text as TX
 from panelspark.operators.aggregate import sum_max_by
 from panelspark.sources.html import node_text
 from panelspark.sources.json import json_fields
+from panelspark.sources.csv import header_dates
 from panelspark.sources.tables import duplicate_keys
 
 # Fixed values used by the query keys (parameters of the reports).
@@ -393,8 +394,8 @@ def country_long(wide: DataFrame, value_name: str) -> DataFrame:
     ids = ["state", "country", "Lat", "Long"]
     dates = columns_matching(wide, DATE_HEADER)
     long = wide_to_long(wide, ids, dates, "date", value_name)
-    return long.withColumns({"state": trim_ws("state"), "country": trim_ws("country"),
-                             "date": parse_mdy("date")})
+    trimmed = long.withColumns({"state": trim_ws("state"), "country": trim_ws("country")})
+    return header_dates(trimmed, dates, "date")
 
 
 def q_wide_to_long(spark, sf):

@@ -35,6 +35,20 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
+def header_dates(long: DataFrame, headers: Sequence[str], name_col: str = "date") -> DataFrame:
+    """Replace the header text in ``name_col`` by its date.  Each header is
+    parsed once, in a table with one row per date column (bounded by the
+    file's width, so it is broadcast), and joined onto the long rows --
+    a hash lookup per row instead of a regex parse per row."""
+    from panelspark.sources.tables import literal_table
+    spark = long.sparkSession
+    lookup = (literal_table(spark, [(h,) for h in headers], "_header string")
+              .select("_header", parse_mdy("_header").alias("_date")))
+    joined = long.join(F.broadcast(lookup), long[name_col] == F.col("_header"), "left")
+    cols = [F.col("_date").alias(name_col) if c == name_col else F.col(c) for c in long.columns]
+    return joined.select(*cols)
+
+
 def wide_file_to_long(wide: DataFrame, value_name: str,
                       ids: Sequence[str] = WIDE_IDS, id_names: Sequence[str] = WIDE_ID_NAMES) -> DataFrame:
     """K1 for one file: date columns found by an anchored pattern, wide ->
@@ -44,11 +58,11 @@ def wide_file_to_long(wide: DataFrame, value_name: str,
     long = wide_to_long(wide, list(ids), dates, "date", value_name)
     renamed = long.toDF(*id_names, "date", value_name)
     s, c, lat, lng = id_names
-    return renamed.select(
+    typed = renamed.select(
         trim_ws(empty_if_null(s)).alias(s), trim_ws(empty_if_null(c)).alias(c),
         F.col(lat).try_cast("double").alias(lat), F.col(lng).try_cast("double").alias(lng),
-        parse_mdy(F.regexp_replace(F.regexp_replace("date", "^X", ""), r"\.", "/")).alias("date"),
-        trim_ws(value_name).try_cast("int").alias(value_name))
+        "date", trim_ws(value_name).try_cast("int").alias(value_name))
+    return header_dates(typed, dates, "date")
 
 
 def country_series(spark: SparkSession, files: dict[str, str]) -> DataFrame:

@@ -217,7 +217,8 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     rows be removed -- dynamic overwrite cannot write an empty partition."""
     stage = f"{staging_root.rstrip('/')}/stage-{time.time_ns()}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
-    staged = spark.read.parquet(stage)
+    # explicit schema: a refresh that leaves nothing to write stages no file
+    staged = spark.read.schema(df.schema).parquet(stage)
     if keys:
         bad = duplicate_keys(staged, keys).limit(1).count() + null_keys(staged, keys).limit(1).count()
         if bad:

@@ -287,3 +287,15 @@ def test_dotted_header_dates(spark, scratch):
         f.write("Province/State,Country/Region,Lat,Long,X1.22.20,X1.23.20\n,US,1,2,3,4\n")
     got = rows(country_series(spark, {"confirmed": f"{scratch}/x.csv"}).select("date", "confirmed"))
     assert got == [(dt.date(2020, 1, 22), 3), (dt.date(2020, 1, 23), 4)]
+
+
+def test_partitioned_upsert_emptying_the_only_touched_month(spark, scratch):
+    import os
+    path = f"{scratch}/store6"
+    first = spark.createDataFrame([("s", dt.date(2020, 2, 3), 1.0, 1)], "symbol string, date date, adjusted double, src int")
+    RF.refresh_partitioned(spark, path, first, "upsert", keys=["symbol", "date"], order=["src"],
+                           value="adjusted", staging_root=scratch)
+    RF.refresh_partitioned(spark, path, spark.createDataFrame([("s", dt.date(2020, 2, 3), -5.0, 1)],
+                                                              "symbol string, date date, adjusted double, src int"),
+                           "upsert", keys=["symbol", "date"], order=["src"], value="adjusted", staging_root=scratch)
+    assert not os.path.exists(f"{path}/month=2020-02-01")
