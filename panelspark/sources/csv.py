@@ -36,17 +36,31 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
 
 
 def header_dates(long: DataFrame, headers: Sequence[str], name_col: str = "date") -> DataFrame:
-    """Replace the header text in ``name_col`` by its date.  Each header is
-    parsed once, in a table with one row per date column (bounded by the
-    file's width, so it is broadcast), and joined onto the long rows --
-    a hash lookup per row instead of a regex parse per row."""
-    from panelspark.sources.tables import literal_table
-    spark = long.sparkSession
-    lookup = (literal_table(spark, [(h,) for h in headers], "_header string")
-              .select("_header", parse_mdy("_header").alias("_date")))
-    joined = long.join(F.broadcast(lookup), long[name_col] == F.col("_header"), "left")
-    cols = [F.col("_date").alias(name_col) if c == name_col else F.col(c) for c in long.columns]
-    return joined.select(*cols)
+    """Replace the header text in ``name_col`` by its date.
+
+    Headers are schema metadata (one per date column), so each is parsed
+    once -- by ``parse_mdy`` over a constant table the optimizer folds on
+    the driver -- and rows get their date by a lookup in a map literal: no
+    regex per row, no join."""
+    parsed = _parsed_headers(long.sparkSession, tuple(headers))
+    if not parsed:
+        return long.withColumn(name_col, F.lit(None).cast("date"))
+    lookup = F.create_map(*[x for h, d in parsed.items() for x in (F.lit(h), F.lit(d).cast("date"))])
+    return long.withColumn(name_col, F.try_element_at(lookup, F.col(name_col)))
+
+
+_HEADER_CACHE: dict = {}
+
+
+def _parsed_headers(spark: SparkSession, headers: tuple) -> dict:
+    """header text -> date (or None), parsed by ``parse_mdy``; a pure
+    function of the header strings, so it is remembered."""
+    if headers not in _HEADER_CACHE:
+        from panelspark.sources.tables import literal_table
+        rows = (literal_table(spark, [(h,) for h in headers], "_header string")
+                .select("_header", parse_mdy("_header").alias("_date")).collect()) if headers else []
+        _HEADER_CACHE[headers] = {r["_header"]: r["_date"] for r in rows}
+    return _HEADER_CACHE[headers]
 
 
 def wide_file_to_long(wide: DataFrame, value_name: str,
