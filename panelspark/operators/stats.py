@@ -18,19 +18,29 @@ RAMP_TOP, RAMP_BOTTOM = 255, 40
 
 def quantile_breaks(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DEFAULT_PROBS,
                     approx: bool = False, accuracy: int = 100000) -> DataFrame:
-    """One row, one array<double> of breakpoints per column, computed in
-    a single aggregate.
-
-    Exact (linear interpolation, NULLs skipped) by default: its buffer is a
-    map of distinct values, fine for per-entity tables and fixed-scale
-    money columns.  ``approx=True`` uses percentile_approx, whose buffer is
-    bounded whatever the domain."""
+    """One row, one array<double> of breakpoints per column.
+
+    Exact (linear interpolation, NULLs skipped) by default, computed
+    without gathering the data in one task: a distributed count per
+    distinct value first (each value ends up in one partition), then the
+    frequency-weighted ``percentile`` over that (value, count) table, whose
+    size is the number of distinct values.  ``approx=True`` uses one
+    ``percentile_approx`` pass with bounded memory instead."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c) for c in cols]
-    else:
-        aggs = [F.percentile(F.col(c).cast("double"), arr).alias(c) for c in cols]
-    return df.agg(*aggs)
+        return df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c)
+                        for c in cols])
+    parts = []
+    for c in cols:
+        counts = (df.select(F.col(c).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+                    .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
+        parts.append(counts.agg(F.percentile("_v", arr, F.col("_n")).alias("_b"))
+                           .select(F.lit(c).alias("_c"), "_b"))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    # one row, one column per input column (a pivot of the tiny long table)
+    return long.groupBy().pivot("_c", list(cols)).agg(F.first("_b"))
 
 
 def bucket_of(x, breaks: Column, n_breaks: int | None = None) -> Column:
