@@ -17,7 +17,7 @@ RAMP_TOP, RAMP_BOTTOM = 255, 40
 
 
 def quantile_breaks(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DEFAULT_PROBS,
-                    approx: bool = False, accuracy: int = 100000) -> DataFrame:
+                    approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """One row, one array<double> of breakpoints per column.
 
     Exact (linear interpolation, NULLs skipped) by default, computed
