@@ -9,8 +9,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition a CPU-heavy input (long texts, HTML) only when
     its scan yields fewer splits than the cluster can run at once (e.g. one
     large row group).  On a cluster reading many files this is a no-op, so
-    no data is shuffled there."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    no data is shuffled there.  Where partition counts cannot be read (a
+    Spark Connect session) the input is returned unchanged."""
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD/SparkContext API (Spark Connect)
+        return df
+    return df.repartition(target) if n < target else df
