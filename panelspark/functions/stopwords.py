@@ -31,8 +31,15 @@ ENGLISH_STOP_WORDS = (
 
 
 def spark_default_stop_words(language: str = "english") -> list[str]:
-    from pyspark.ml.feature import StopWordsRemover
-    return list(StopWordsRemover.loadDefaultStopWords(language))
+    """Spark's list; the fixed copy above where the JVM gateway is not
+    reachable from Python (Spark Connect) and the language is English."""
+    try:
+        from pyspark.ml.feature import StopWordsRemover
+        return list(StopWordsRemover.loadDefaultStopWords(language))
+    except Exception:  # noqa: BLE001
+        if language == "english":
+            return list(ENGLISH_STOP_WORDS)
+        raise
 
 
 def stop_words_frame(spark, words=None, col: str = "word"):
