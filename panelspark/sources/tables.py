@@ -190,15 +190,13 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def delete_dirs(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Remove directories through the cluster's Hadoop file system (how a
-    Spark job drops a partition directory of a path-based table)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        if fs.exists(hp):
-            fs.delete(hp, True)
+def empty_partitions(spark: SparkSession, schema: T.StructType, path: str, dirs: Sequence[str]) -> None:
+    """Make partitions read as empty: each partition directory is
+    overwritten with a zero-row dataset (Spark writes a schema-only file).
+    Dynamic partition overwrite cannot do this, since it only replaces
+    partitions that receive rows."""
+    for d in dirs:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{d}")
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str],
@@ -214,7 +212,7 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     partitions are checked for duplicate or missing keys first; a violation
     raises before anything is replaced.  ``touched`` (partition values the
     refresh was allowed to change) lets partitions that ended up with no
-    rows be removed -- dynamic overwrite cannot write an empty partition."""
+    rows be emptied -- dynamic overwrite cannot write an empty partition."""
     stage = f"{staging_root.rstrip('/')}/stage-{time.time_ns()}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(stage)
     # explicit schema: a refresh that leaves nothing to write stages no file
@@ -232,4 +230,6 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     (staged.select(*df.columns).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_by).parquet(path))
-    delete_dirs(spark, [f"{path.rstrip('/')}/{e}" for e in emptied])
+    if emptied:
+        data_schema = T.StructType([f for f in df.schema.fields if f.name not in partition_by])
+        empty_partitions(spark, data_schema, path, emptied)
