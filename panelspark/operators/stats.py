@@ -20,25 +20,22 @@ def quantile_breaks(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """One row, one array<double> of breakpoints per column.
 
-    Exact (linear interpolation, NULLs skipped) by default, computed
-    without gathering the data in one task: a distributed count per
-    distinct value first (each value ends up in one partition), then the
-    frequency-weighted ``percentile`` over that (value, count) table, whose
+    Exact (linear interpolation, NULLs skipped) by default, computed in
+    one pass over the input and without gathering the data in one task:
+    a distributed count per (column, distinct value) first, then the
+    frequency-weighted ``percentile`` per column over that table, whose
     size is the number of distinct values.  ``approx=True`` uses one
     ``percentile_approx`` pass with bounded memory instead."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
         return df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c)
                         for c in cols])
-    parts = []
-    for c in cols:
-        counts = (df.select(F.col(c).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-                    .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-        parts.append(counts.agg(F.percentile("_v", arr, F.col("_n")).alias("_b"))
-                           .select(F.lit(c).alias("_c"), "_b"))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    # one pass over the input: (column, value) pairs, counted per pair
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols])))
+    counts = (pairs.filter(F.col("_v").isNotNull())
+                   .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    long = counts.groupBy("_c").agg(F.percentile("_v", arr, F.col("_n")).alias("_b"))
     # one row, one column per input column (a pivot of the tiny long table)
     return long.groupBy().pivot("_c", list(cols)).agg(F.first("_b"))
 
