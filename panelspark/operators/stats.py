@@ -66,12 +66,12 @@ def with_buckets(df: DataFrame, cols: Sequence[str], breaks: DataFrame,
                  n_breaks: int = len(DEFAULT_PROBS)) -> DataFrame:
     """Add ``<col>_bucket`` and ``<col>_level`` for every column.  The
     breaks row is read as scalar subqueries (one small job, no join)."""
-    out = {}
-    for c in cols:
-        br = breaks.select(c).scalar()
-        out[c + "_bucket"] = bucket_of(c, br, n_breaks)
-    df = df.withColumns(out)
-    return df.withColumns({c + "_level": ramp_level(c + "_bucket", n_breaks) for c in cols})
+    # each column's breaks: one scalar subquery, projected once
+    with_br = df.withColumns({f"_br_{i}": breaks.select(c).scalar() for i, c in enumerate(cols)})
+    out = with_br.withColumns({c + "_bucket": bucket_of(c, F.col(f"_br_{i}"), n_breaks)
+                               for i, c in enumerate(cols)})
+    out = out.drop(*[f"_br_{i}" for i in range(len(cols))])
+    return out.withColumns({c + "_level": ramp_level(c + "_bucket", n_breaks) for c in cols})
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], digits: int = 6,
