@@ -473,6 +473,21 @@ t AS (SELECT date,
              CAST(coalesce(sum(new_recovered), 0) AS BIGINT) / {den} AS RECOVERED
       FROM state_panel GROUP BY date) {long_t}"""
 
+    skpi = []
+    for m in ["new_positive", "new_deaths", "new_recovered", "positive", "death", "recovered"]:
+        skpi.append(f"CAST(coalesce(sum({m}), 0) AS BIGINT) AS total_{m}")
+        skpi.append(f"round_even(coalesce(sum({m}), 0) / NULLIF({popsum}, 0), 1) AS per_mil_{m}")
+    for m in ["death", "recovered"]:
+        skpi.append(f"round_even(coalesce(sum({m}), 0) / NULLIF(coalesce(sum(positive), 0), 0)"
+                    f" * CAST(100 AS DOUBLE), 1) AS pct_{m}")
+    q["state_kpi_boxes"] = f"""
+WITH {STATE},
+k AS (SELECT {", ".join(skpi)} FROM state_panel WHERE most_recent = 1)
+SELECT *,
+       format('{{:,}}', total_death) || ' (' || coalesce(format('{{:.15g}}', pct_death), 'NA') || '%)' AS text_death,
+       format('{{:,}}', total_recovered) || ' (' || coalesce(format('{{:.15g}}', pct_recovered), 'NA') || '%)' AS text_recovered
+FROM k"""
+
     q["adaptive_curve_per_capita"] = f"""
 WITH nm AS (
   SELECT trim(n.n_name, {WS}) AS entity, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date

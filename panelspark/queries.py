@@ -490,6 +490,14 @@ def q_state_daily_curve(spark, sf):
                            "RECOVERED": "new_recovered"}, per_capita=True)
 
 
+def q_state_kpi_boxes(spark, sf):
+    """K14 on the state page: totals, per-capita values and percentages of
+    positives over the latest row of every state."""
+    latest = P.most_recent(q_state_panel(spark, sf), "death_rate", ["state"], sort=False)
+    return RP.kpi_boxes(latest, ["positive", "death", "recovered"],
+                        ["new_positive", "new_deaths", "new_recovered"])
+
+
 def nation_panel(spark, sf) -> DataFrame:
     """Entity = nation (25), date = order month, levels = running order
     counts; population = customers per nation from the customer table."""
@@ -570,6 +578,7 @@ QUERIES = {
     "json_fields": q_json_fields,
     "state_latest": q_state_latest,
     "state_daily_curve": q_state_daily_curve,
+    "state_kpi_boxes": q_state_kpi_boxes,
     "adaptive_curve_per_capita": q_adaptive_curve_per_capita,
     "base_name_totals": q_base_name_totals,
     "html_node_text": q_html_node_text,
