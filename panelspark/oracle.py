@@ -315,6 +315,9 @@ SELECT date, CAST(coalesce(sum(confirmed), 0) AS BIGINT) AS confirmed FROM ul GR
     q["adaptive_curve_lines"] = f"""
 WITH {PANEL} SELECT entity, base_day, date, confirmed FROM panel WHERE base_day > 0"""
 
+    q["adaptive_curve_lines_per_capita"] = f"""
+WITH {PANEL} SELECT entity, base_day, date, confirmed_per_mil FROM panel WHERE base_day > 0"""
+
     q["latest_points"] = f"""
 WITH {USER_LEVELS},
 lt AS (SELECT * FROM ul WHERE date = (SELECT max(date) FROM ul u2 WHERE u2.user_id = ul.user_id)),

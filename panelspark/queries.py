@@ -273,6 +273,12 @@ def q_adaptive_curve_lines(spark, sf):
     return RP.cumulative_curve(event_type_panel(spark, sf), "entity", "date", "confirmed")
 
 
+def q_adaptive_curve_lines_per_capita(spark, sf):
+    """K16 per capita with at most 10 entities: per-million lines by base day."""
+    return RP.cumulative_curve(event_type_panel(spark, sf), "entity", "date", "confirmed",
+                               per_capita=True)
+
+
 def q_latest_points(spark, sf):
     lv = user_levels(spark, sf).withColumns({
         "state": F.when(F.col("purchases") > 0, F.lit("buyer")).otherwise(F.lit("")),
@@ -558,6 +564,7 @@ QUERIES = {
     "select_by_rank": q_select_by_rank,
     "adaptive_curve": q_adaptive_curve,
     "adaptive_curve_lines": q_adaptive_curve_lines,
+    "adaptive_curve_lines_per_capita": q_adaptive_curve_lines_per_capita,
     "latest_points": q_latest_points,
     "word_counts": q_word_counts,
     "date_range": q_date_range,
