@@ -302,6 +302,20 @@ k AS (SELECT c_custkey, c_acctbal,
 SELECT *, CAST(round_even(CAST(255 AS DOUBLE) - CAST(10.75 AS DOUBLE) * c_acctbal_bucket, 0) AS INTEGER) AS c_acctbal_level
 FROM k"""
 
+    ocols = ["confirmed", "deaths", "recovered", "new_confirmed", "new_deaths", "new_recovered",
+             "death_rate"]
+    q["overview_table"] = f"""
+WITH {PANEL},
+latest AS (SELECT entity, date, {", ".join(ocols)} FROM panel WHERE most_recent = 1),
+br AS (SELECT {", ".join(f"quantile_cont({c}, {PROBS}) AS q_{c}" for c in ocols)} FROM latest),
+b AS (SELECT latest.*, {", ".join(
+        f"CAST(len(list_filter(br.q_{c}, lambda x: {c} > x)) AS INTEGER) AS {c}_bucket" for c in ocols)}
+      FROM latest, br)
+SELECT *, {", ".join(
+        f"CAST(round_even(CAST(255 AS DOUBLE) - CAST(10.75 AS DOUBLE) * {c}_bucket, 0) AS INTEGER) AS {c}_level"
+        for c in ocols)}
+FROM b"""
+
     q["select_by_rank"] = f"""
 WITH {PANEL},
 top AS (SELECT entity FROM panel WHERE most_recent = 1

@@ -251,6 +251,17 @@ def q_quantile_buckets(spark, sf):
     return RP.overview_buckets(c, ["c_acctbal"])
 
 
+OVERVIEW_COLS = ("confirmed", "deaths", "recovered", "new_confirmed", "new_deaths",
+                 "new_recovered", "death_rate")
+
+
+def q_overview_table(spark, sf):
+    """The latest row of every entity with 20-break quantile buckets
+    and colour levels for seven columns (one quantile pass for all)."""
+    latest = P.most_recent(event_type_panel(spark, sf), "new_confirmed", sort=False)
+    return RP.overview_buckets(latest.select("entity", "date", *OVERVIEW_COLS), list(OVERVIEW_COLS))
+
+
 def _ranked_order():
     return sort_desc_last("new_confirmed", tiebreak=["entity"])
 
@@ -561,6 +572,7 @@ QUERIES = {
     "log_series": q_log_series,
     "kpi_boxes": q_kpi_boxes,
     "quantile_buckets": q_quantile_buckets,
+    "overview_table": q_overview_table,
     "select_by_rank": q_select_by_rank,
     "adaptive_curve": q_adaptive_curve,
     "adaptive_curve_lines": q_adaptive_curve_lines,
