@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import simhash
+from panelspark.llm import bpe, simhash
 from panelspark.llm.common import table
 
 
@@ -17,8 +17,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
