@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, simhash
+from panelspark.llm import bpe, line_dedup, quality_rules, simhash, warc
 from panelspark.llm.common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(archive).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest",
+                                     "record_type", "refers_to")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"),
@@ -21,9 +27,100 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_lines(table(spark, sf_dir, "documents"), counts=True)
+    return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op6_simhash": op6_simhash,
     "op8_bpe": op8_bpe,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP1_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS winner FROM p GROUP BY html),
+s AS (
+  SELECT p.page_id, octet_length(encode(p.html)) AS payload_bytes, sha1(p.html) AS h, winner,
+         p.page_id IS NOT DISTINCT FROM winner AS first
+  FROM p JOIN g USING (html))
+SELECT page_id, payload_bytes,
+       list_reduce(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)),
+         lambda a, b: a || b) AS payload_digest,
+       CASE WHEN first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first THEN NULL ELSE winner END AS refers_to
+FROM s"""
+
+_BLANK = r"chr(32) || chr(9) || chr(13) || chr(11) || chr(12)"
+
+_OP9_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text,
+                  coalesce(string_split(text, chr(10)), []) AS lines FROM documents),
+l AS (SELECT r, source, unnest(list_distinct(list_filter(list_transform(lines, lambda x: trim(x, {_BLANK})), lambda x: x <> ''))) AS line
+      FROM d),
+n AS (SELECT source, line, count(*) AS n FROM l GROUP BY ALL HAVING count(*) >= {line_dedup.MIN_PAGES}),
+t AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+b AS (SELECT n.source, list(line) AS bad
+      FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source
+      WHERE n.n > {line_dedup.MAX_RATIO} * t.pages GROUP BY n.source),
+c AS (SELECT d.*, list_filter(lines, lambda x: trim(x, {_BLANK}) = '' OR NOT list_contains(coalesce(bad, []), trim(x, {_BLANK}))) AS kept
+      FROM d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+k AS (SELECT *, length(replace(array_to_string(kept, chr(10)), chr(10), ''))
+             >= {1 - line_dedup.MAX_LOSS} * length(replace(text, chr(10), '')) AS ok FROM c)
+SELECT doc_id, source, CASE WHEN ok THEN array_to_string(kept, chr(10)) ELSE text END AS text,
+       CAST(len(lines) AS BIGINT) AS n_lines,
+       CAST(CASE WHEN ok THEN len(lines) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped
+FROM k"""
+
+
+def _op10_sql() -> str:
+    q = quality_rules
+    word = r"'[^\x20\x09-\x0D]+'"
+    n_of = lambda x, chars: f"(length({x}) - length(translate({x}, '{chars}', '')))"
+    n = f"len(regexp_extract_all(x, {word}))"
+    notice = " OR ".join(f"contains(lower(x), '{p}')" for p in q.NOTICES)
+    end = r"""'[.!?:;,"''…”»)]$'"""
+    fails = (f"{n_of('x', q.SYMBOLS)} > {q.SYMBOL_RATIO} * {n} OR {n_of('x', '!?')} > {q.SHOUT_RATIO} * {n} "
+             f"OR {n_of('x', q.SEPARATORS)} > {q.SEPARATOR_RATIO} * {n} "
+             f"OR ({n} <= {q.MENU_WORDS} AND NOT regexp_matches(rtrim(x), {end})) OR {notice}")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, {word}) AS ws,
+             list_filter(string_split(text, chr(10)), lambda x: {n} > 0) AS ls,
+             list_filter(string_split(text, chr(10)), lambda x: {n} = 0 OR NOT ({fails})) AS good FROM d),
+g AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
+h AS (SELECT r, i, [ws[i], ws[i + 1], ws[i + 2]] AS g FROM g),
+f AS (SELECT r, i FROM h QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+p AS (SELECT r, i, i - coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -9) AS gap FROM f),
+c AS (SELECT r, sum(least(3, gap)) AS n FROM p GROUP BY r),
+o AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+             CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+             CAST({n_of('text', q.SYMBOLS)} AS BIGINT) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+             CAST(length(array_to_string(list_transform(good, lambda x: array_to_string(regexp_extract_all(x, {word}), '')), '')) AS BIGINT) AS left_chars
+      FROM w LEFT JOIN c USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PCT} * n_words AS base_failed,
+       NOT (n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PCT} * n_words)
+         AND left_chars >= {1 - q.MAX_LOSS} * word_chars AS kept
+FROM o"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": _OP1_SQL,
+    "op9_line_dedup": _OP9_SQL,
+    "op10_quality_rules": _op10_sql(),
+}
