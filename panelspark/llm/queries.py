@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, line_dedup, quality_rules, simhash, warc
-from panelspark.llm.common import table
+from panelspark.llm import bpe, line_dedup, quality_nbsvm, quality_rules, simhash, toxicity, warc
+from panelspark.llm.common import crc_mod, table
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,23 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      "record_type", "refers_to")
 
 
+def _scored(scores: DataFrame, mod: int, held: int) -> DataFrame:
+    return scores.select("doc_id", (crc_mod(F.col("doc_id"), mod) == held).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", 5, 0)
+    return _scored(toxicity.score(docs, model), 5, 0)
+
+
+def op4_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_nbsvm.train(docs, table(spark, sf_dir, "labels"), "quality", 3, 1)
+    return _scored(quality_nbsvm.score(docs, model), 3, 1)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"),
@@ -40,6 +57,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_toxicity": op2_toxicity,
+    "op4_quality_nbsvm": op4_quality_nbsvm,
     "op6_simhash": op6_simhash,
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
