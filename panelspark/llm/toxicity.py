@@ -41,8 +41,8 @@ from panelspark.llm.common import crc_mod, type_of
 from panelspark.llm.linear_svm import dual_coordinate_descent, labelled_sample
 
 PER_CLASS = 2500
-DECAY, MAX_SKIP, LANDMARKS, C = 0.6, 2, 96, 4.0
-NEGATIVES, ROUNDS, ODDS = 12_000, 3, 25
+DECAY, MAX_SKIP, LANDMARKS, C = 0.6, 2, 144, 2.0
+NEGATIVES, ROUNDS, ODDS = 6_000, 3, 25
 LONGEST = 40           # longer words are cut into overlapping spans of this length
 CACHE_ENTRIES = 250_000
 BATCH = 512
@@ -196,7 +196,9 @@ def fit(bags: list[list[str]], label: np.ndarray) -> Model:
         ranked = [w for w, _ in sorted(witness.items(), key=lambda x: (-x[1], x[0])) if len(w) > 2]
         if not ranked or not hard:
             break
-        marks = _spread_out(ranked[:600], LANDMARKS * 3 // 4) + hard[:LANDMARKS // 4]
+        # the best supported witnesses, then those least like one another, then negatives
+        top = LANDMARKS // 3
+        marks = ranked[:top] + _spread_out(ranked[top:600], top) + hard[:LANDMARKS - 2 * top]
         model = _svm(ranked, witness, hard, marks, rng)
         values = model.worst(clean) if clean else np.zeros(0)
         order = np.argsort(-values, kind="stable")[:NEGATIVES // 2]
@@ -214,14 +216,14 @@ def fit(bags: list[list[str]], label: np.ndarray) -> Model:
         model.middle, model.slope = float(cuts[int(np.argmin(errors))]), 4.0
     else:
         # nearer to the clean texts, so that gapped insults stay above it
-        model.middle, model.slope = float(low + 0.4 * (high - low)), float(8.0 / max(high - low, 0.1))
+        model.middle, model.slope = float(low + 0.25 * (high - low)), float(8.0 / max(high - low, 0.1))
     return model
 
 
 def _witnesses(pos: list[list[str]], neg: list[list[str]]) -> tuple[Counter, list[str]]:
     """Spans of toxic rows that, as a whole or by their opening, are ``ODDS``
     times as frequent in toxic rows as in clean ones and in more toxic rows
-    than chance allows, with their support; and all spans of clean rows.
+    than chance allows, with their own row counts; and all spans of clean rows.
     Copies of a row count once."""
     def spread(bags):
         rows: dict[str, set[int]] = {}
@@ -241,7 +243,7 @@ def _witnesses(pos: list[list[str]], neg: list[list[str]]) -> tuple[Counter, lis
         if plain.get(w + "$", 0) * ODDS * n1 <= toxic[w + "$"] * n0:
             k = max((good.get(o, 0) for o in [w + "$", *(w[:n] for n in range(4, min(len(w), 12) + 1))]), default=0)
             if k:
-                out[w] = k
+                out[w] = toxic[w + "$"]
     return out, sorted({w for b in neg for w in b}.difference(out))
 
 
@@ -275,7 +277,7 @@ def _svm(ranked: list[str], witness: Counter, hard: list[str], marks: list[str],
     y = np.r_[np.ones(len(ranked) + len(gaps)), -np.ones(len(hard))]
     many = np.r_[[min(witness[w], 20) for w in ranked], np.full(len(gaps), 0.5), np.ones(len(hard))]
     idx = np.arange(x.shape[1])
-    w = dual_coordinate_descent([(idx, r) for r in x], y, x.shape[1], C * many)
+    w = dual_coordinate_descent([(idx, r) for r in x], y, x.shape[1], C * many, epochs=40)
     folded = base.weight @ (whiten @ w[:-1]).astype(np.float32)
     return Model(Spans(base.alphabet, base.letters, folded[:, None].copy()), float(w[-1]), 1.0, 0.0)
 
