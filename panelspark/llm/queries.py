@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, line_dedup, quality_nbsvm, quality_rules, simhash, toxicity, warc
+from panelspark.llm import bpe, decontaminate, line_dedup, quality_nbsvm, quality_rules, simhash, toxicity, warc
 from panelspark.llm.common import crc_mod, table
 
 
@@ -40,6 +40,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_quality_nbsvm": op4_quality_nbsvm,
     "op6_simhash": op6_simhash,
+    "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
