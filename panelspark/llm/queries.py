@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontaminate, line_dedup, quality_nbsvm, quality_rules, simhash, toxicity, warc
+from panelspark.llm import bpe, decontaminate, line_dedup, packing, quality_nbsvm, quality_rules, simhash, toxicity, warc
 from panelspark.llm.common import crc_mod, table
 
 
@@ -34,6 +34,10 @@ def op4_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality_nbsvm.score(docs, model), 3, 1)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"),
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
     "op4_quality_nbsvm": op4_quality_nbsvm,
+    "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
