@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontaminate, line_dedup, packing, quality_nbsvm, quality_rules, simhash, toxicity, warc
+from panelspark.llm import bpe, decontaminate, line_dedup, packing, pii, quality_nbsvm, quality_rules, simhash, toxicity, warc
 from panelspark.llm.common import crc_mod, table
 
 
@@ -28,6 +28,17 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, model), 5, 0)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def number(i):
+        return F.size(F.filter("base", lambda x: x["k"] == i)).cast("bigint")
+
+    counts = [number(i).alias(f"n_{k}") for i, k in enumerate(pii.BASE)]
+    return rows.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+                       pii.joined("spans").alias("spans"))
+
+
 def op4_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_nbsvm.train(docs, table(spark, sf_dir, "labels"), "quality", 3, 1)
@@ -66,6 +77,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
+    "op3_pii": op3_pii,
     "op4_quality_nbsvm": op4_quality_nbsvm,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
