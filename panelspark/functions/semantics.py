@@ -36,12 +36,13 @@ def sum0(c) -> Column:
     return F.coalesce(F.sum(col_(c)), F.lit(0))
 
 
-def money_sum(c, scale: int = 2) -> Column:
-    """Exact, order-independent sum of fixed-scale money values, as double.
+def money_sum(c, scale: int = 6) -> Column:
+    """Exact, order-independent sum of values with at most ``scale``
+    decimals, as double.
 
     Doubles summed in different orders differ in the last bits; summing the
     decimal form is exact, so every partitioning gives the same answer."""
-    return F.sum(col_(c).cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(col_(c).cast(f"decimal(28,{scale})")).cast("double")
 
 
 def rround(c, scale: int = 0) -> Column:
@@ -64,6 +65,24 @@ def to_number(c, strip_pattern: str = ",|%| ") -> Column:
     return F.regexp_replace(col_(c).cast("string"), strip_pattern, "").try_cast("double")
 
 
+INTEGRAL_BITS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+
+
+def to_type(c, data_type) -> Column:
+    """A cell as ``data_type``.  For integral types the number is parsed
+    first ('12.0' is 12); text that is no number is missing, but a number
+    that does not fit the type (a fraction, or too large) is an error: it
+    must not turn into a missing value unnoticed."""
+    name = data_type if isinstance(data_type, str) else data_type.simpleString()
+    c = col_(c)
+    if name not in INTEGRAL_BITS:
+        return c.try_cast(name)
+    number = c.try_cast("decimal(38,6)")
+    fits = (number == F.floor(number)) & (F.abs(number) <= F.lit(2 ** INTEGRAL_BITS[name] - 1))
+    return F.when(number.isNull() | fits, number.try_cast(name)).otherwise(
+        F.raise_error(F.concat(F.lit(f"does not fit {name}: "), c.cast("string"))).cast(name))
+
+
 def safe_corr(a, b) -> Column:
     """Pearson correlation; NULL for a constant or too-short series.
 

@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.semantics import col_
 
-# Word pattern: letters/digits, with inner apostrophes kept ("don't").
-WORD_PATTERN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"
+# Word breaks of the Unicode rules (UAX 29): letters, digits and connectors
+# stay together; between two letters one mark such as . : ' or ’ does not
+# break, between two digits one mark such as . , ; or ' does not.
+_LETTER, _DIGIT, _JOIN = r"[\p{L}\p{M}]", r"\p{Nd}", r"[_‿⁀]"
+_MID_LETTER, _MID_NUMBER = "[.:'’·․‘﹒＇．]", "[.,;'’․‘﹒＇．，；]"
+_UNIT = rf"(?:{_LETTER}|{_DIGIT}|{_JOIN})"
+WORD_PATTERN = (rf"{_UNIT}(?:{_UNIT}|(?<={_LETTER}){_MID_LETTER}(?={_LETTER})"
+                rf"|(?<={_DIGIT}){_MID_NUMBER}(?={_DIGIT}))*+")
 
 
 def cut_between(c, start: str | None, end: str | None) -> Column:

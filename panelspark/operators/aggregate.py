@@ -26,7 +26,7 @@ def totals_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -
 def exact_sum(c, scale: int = 6) -> Column:
     """Order-independent sum of a double column known to carry at most
     ``scale`` decimals (e.g. a population in millions), as double."""
-    return F.sum(col_(c).cast(f"decimal(30,{scale})")).cast("double")
+    return F.sum(col_(c).cast(f"decimal(28,{scale})")).cast("double")
 
 
 def ratio_of_sums(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str],

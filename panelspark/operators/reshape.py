@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.semantics import na_text
 from panelspark.functions.text import split_items, words
 
 
@@ -24,7 +25,11 @@ def long_to_wide(df: DataFrame, ids: Sequence[str], names_from: str, values_from
                  values: Sequence[str] | None = None, agg: str = "first") -> DataFrame:
     """One column per distinct ``names_from`` value.  Passing the value
     list fixes the output schema and saves Spark the job that would look the
-    values up."""
+    values up; a name outside that list is an error, never dropped."""
+    if values is not None:
+        name = F.col(names_from)
+        df = df.withColumn(names_from, F.when(name.isin(list(values)), name).otherwise(
+            F.raise_error(F.concat(F.lit(f"{names_from} outside the given list: "), na_text(name))).cast("string")))
     g = df.groupBy(*ids).pivot(names_from, list(values) if values is not None else None)
     fn = {"first": lambda c: F.first(c, ignorenulls=True), "sum": F.sum,
           "max": F.max, "min": F.min}[agg]

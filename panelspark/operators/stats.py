@@ -3,28 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.semantics import col_, rround, safe_corr
+from panelspark.functions.semantics import col_, rround
 
 # The 20 breakpoint probabilities 0, 0.05, ..., 0.95 and the
 # colour ramp that runs from 255 down to 40 over the 21 buckets.
 DEFAULT_PROBS = tuple(round(0.05 * i, 2) for i in range(20))
 RAMP_TOP, RAMP_BOTTOM = 255, 40
+BUCKETS = 64  # parts of a column's distinct values in the exact quantiles
 
 
 def quantile_breaks(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DEFAULT_PROBS,
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """One row, one array<double> of breakpoints per column.
 
-    Exact (linear interpolation, NULLs skipped) by default, computed in
-    one pass over the input and without gathering the data in one task:
-    a distributed count per (column, distinct value) first, then the
-    frequency-weighted ``percentile`` per column over that table, whose
-    size is the number of distinct values.  ``approx=True`` uses one
+    Exact (linear interpolation, NULLs skipped) by default, without all
+    values of a column in one task: rows are counted per distinct value, a
+    bounded sketch of the values gives ``BUCKETS`` cuts, and the positions
+    are found from the buckets' totals first and then inside the few buckets
+    that hold one, each a small part of the column.  ``approx=True`` uses one
     ``percentile_approx`` pass with bounded memory instead."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
@@ -35,9 +37,33 @@ def quantile_breaks(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
         F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols])))
     counts = (pairs.filter(F.col("_v").isNotNull())
                    .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    long = counts.groupBy("_c").agg(F.percentile("_v", arr, F.col("_n")).alias("_b"))
+    cuts = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    bounds = counts.groupBy("_c").agg(F.percentile_approx("_v", cuts, 10 * BUCKETS).alias("_cuts"))
+    placed = counts.join(bounds, "_c").select(
+        "_c", "_v", "_n", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_b"))
+    # at most BUCKETS rows per column from here on
+    totals = placed.groupBy("_c", "_b").agg(F.sum("_n").alias("_m")).groupBy("_c").agg(
+        F.sort_array(F.collect_list(F.struct("_b", "_m"))).alias("_all"))
+    upto = lambda b: F.aggregate(F.filter("_all", lambda x: x["_b"] < b), F.lit(0).cast("long"),
+                                 lambda k, x: k + x["_m"])
+    ranks = totals.select("_c", F.transform("_all", lambda x: F.struct(
+        x["_b"].alias("_b"), upto(x["_b"]).alias("_start"), x["_m"].alias("_m"))).alias("_all")).withColumn(
+        "_at", F.transform(arr, lambda p: p * (F.aggregate("_all", F.lit(0).cast("long"), lambda k, x: k + x["_m"]) - 1)))
+    ranks = ranks.withColumn("_ranks", F.array_distinct(F.flatten(F.transform(
+        "_at", lambda x: F.array(F.floor(x), F.ceil(x))))))
+    held = ranks.select("_c", "_ranks", F.inline("_all")).where(F.exists(
+        "_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_m")))).drop("_m")
+    w = Window.partitionBy("_c", "_b").orderBy("_v")
+    walked = placed.join(held, ["_c", "_b"]).withColumn("_end", F.col("_start") + F.sum("_n").over(w))
+    found = walked.select("_c", "_v", F.explode(F.filter(
+        "_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))).alias("_r"))
+    values = found.groupBy("_c").agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_value"))
+    value = lambda r: F.try_element_at("_value", r)
+    broken = values.join(ranks.select("_c", "_at"), "_c").select("_c", F.transform("_at", lambda x: F.when(
+        F.floor(x) == F.ceil(x), value(F.floor(x))).otherwise(
+        (F.ceil(x) - x) * value(F.floor(x)) + (x - F.floor(x)) * value(F.ceil(x)))).alias("_b"))
     # one row, one column per input column (a pivot of the tiny long table)
-    return long.groupBy().pivot("_c", list(cols)).agg(F.first("_b"))
+    return broken.groupBy().pivot("_c", list(cols)).agg(F.first("_b"))
 
 
 def bucket_of(x, breaks: Column, n_breaks: int | None = None) -> Column:
@@ -66,11 +92,10 @@ def with_buckets(df: DataFrame, cols: Sequence[str], breaks: DataFrame,
                  n_breaks: int = len(DEFAULT_PROBS)) -> DataFrame:
     """Add ``<col>_bucket`` and ``<col>_level`` for every column.  The
     breaks row is read as scalar subqueries (one small job, no join)."""
-    # each column's breaks: one scalar subquery, projected once
-    with_br = df.withColumns({f"_br_{i}": breaks.select(c).scalar() for i, c in enumerate(cols)})
-    out = with_br.withColumns({c + "_bucket": bucket_of(c, F.col(f"_br_{i}"), n_breaks)
-                               for i, c in enumerate(cols)})
-    out = out.drop(*[f"_br_{i}" for i in range(len(cols))])
+    # all breaks: one scalar subquery that holds a struct of arrays
+    with_br = df.withColumn("_br", breaks.select(F.struct(*cols)).scalar())
+    out = with_br.withColumns({c + "_bucket": bucket_of(c, F.col("_br").getField(c), n_breaks) for c in cols})
+    out = out.drop("_br")
     return out.withColumns({c + "_level": ramp_level(c + "_bucket", n_breaks) for c in cols})
 
 
@@ -79,22 +104,48 @@ def correlation_long(df: DataFrame, cols: Sequence[str], digits: int = 6,
     """A10: Pearson correlation of every pair of columns as long rows
     (a, b, r), rounded to ``digits`` places; a constant column gives NULL.
 
-    One aggregate pass computes all pairs.  ``full=False`` returns each pair
-    once (a before b in column order); ``full=True`` returns the whole
-    matrix: both orders and the diagonal (1, or NULL for a constant or
-    too-short column), which is symmetric by construction."""
-    pairs = list(combinations(cols, 2))
-    aggs = [safe_corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]
-    if full:
-        aggs += [F.when(F.stddev_samp(c) > 0, F.lit(1.0)).alias(f"_d{j}") for j, c in enumerate(cols)]
-    row = df.agg(*aggs)
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.round(F.col(f"_{i}"), digits)
-        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-        if full:
-            cells.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
-    if full:
-        cells += [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"_d{j}").alias("r"))
-                  for j, c in enumerate(cols)]
-    return row.select(F.inline(F.array(*cells)))
+    The column means come first, as one row; then each partition sums the
+    cross products of its centred rows as matrices (pairwise-complete rows
+    only) and the partial sums are added per pair, so the plan has the same
+    size for any number of columns.  ``full=False`` returns each pair once
+    (a before b in column order); ``full=True`` returns the whole matrix:
+    both orders and the diagonal (1, or NULL for a constant or too-short
+    column), which is symmetric by construction."""
+    k = len(cols)
+    values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+    means = df.select(F.array(*[F.avg(F.col(c).cast("double")) for c in cols]).alias("m")).select("m").scalar()
+
+    def run(batches):
+        total, mean = np.zeros((6, k, k)), None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.array(b.column(0).flatten().to_numpy(zero_copy_only=False), dtype=float).reshape(-1, k)
+            if mean is None:
+                mean = np.array(b.column(1)[0].as_py(), dtype=float)
+            there = ~np.isnan(x)
+            x = np.where(there, x - mean, 0.0)
+            m = there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        i, j = np.triu_indices(k)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i, j, *total[:, i, j])],
+                                         ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    parts = values.withColumn("m", means).mapInArrow(
+        run, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    spread = lambda s, ss: F.col(ss) - F.try_divide(F.col(s) * F.col(s), F.col("n"))
+    # what is left of a constant column after rounding is no spread
+    vx, vy = spread("sx", "sxx"), spread("sy", "syy")
+    mean = lambda i: F.coalesce(F.get(F.col("mean"), F.col(i).cast("int")), F.lit(0.0))
+    real = ((F.col("n") > 1) & (vx > F.lit(1e-24) * F.col("n") * mean("i") * mean("i"))
+            & (vy > F.lit(1e-24) * F.col("n") * mean("j") * mean("j")) & (vx > 0) & (vy > 0))
+    r = F.when(real, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(
+        F.round((F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(vx * vy), digits)))
+    name = lambda i: F.get(F.array(*[F.lit(c) for c in cols]), F.col(i).cast("int"))
+    cells = sums.withColumn("mean", means).select("i", "j", name("i").alias("a"), name("j").alias("b"), r.alias("r"))
+    once = cells.where("i < j").select("a", "b", "r")
+    if not full:
+        return once
+    return cells.where("i <= j").select(F.inline(F.when(F.col("i") == F.col("j"), F.array(F.struct("a", "b", "r")))
+        .otherwise(F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")))))

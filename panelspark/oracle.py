@@ -3,7 +3,7 @@
 the Spark plans; shared pieces are CTE fragments.
 
 Conventions: sums of integer flags are cast to BIGINT (DuckDB widens them),
-two-decimal money is summed as DECIMAL(18,2) then cast to DOUBLE, divisions
+money is summed as DECIMAL(28,6) then cast to DOUBLE, divisions
 use NULLIF(den, 0), rounding is half-even (round_even).
 """
 
@@ -13,14 +13,22 @@ import math
 import time
 
 from panelspark.functions.stopwords import ENGLISH_STOP_WORDS
-from panelspark.queries import EVENT_TYPES
+
+# the event types of the driver's table, stated here on their own
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 WS = "' ' || chr(9) || chr(13) || chr(10)"
 RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
 def _money(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE)"
+
+
+# a word in RE2: letters, digits and underscores; between letters one of
+# . : ' and their relatives, between digits one of . , ; ' and theirs
+_L, _D = r"[\p{L}\p{M}]", r"\p{Nd}"
+SQL_WORD = rf"(?:{_L}(?:[.:''’·․‘﹒＇．]{_L})*|{_D}(?:[.,;''’․‘﹒＇．，；]{_D})*|[_‿⁀])+"
 
 
 def _stop_list() -> str:
@@ -69,7 +77,7 @@ panel AS (
 PIVOT = """
 pv AS (
   SELECT CAST(ts AS DATE) AS date, """ + ",\n         ".join(
-    f"CAST(sum(CASE WHEN event_type = '{t}' THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS {t}"
+    f"CAST(sum(CASE WHEN event_type = '{t}' THEN CAST(value AS DECIMAL(28,6)) END) AS DOUBLE) AS {t}"
     for t in EVENT_TYPES) + """
   FROM events GROUP BY 1)"""
 
@@ -278,7 +286,7 @@ l AS (
   UNION ALL SELECT date, 'signup', signup FROM cdata)
 SELECT date, type, value, round(ln(1 + value), 6) AS lvalue FROM l"""
 
-    popsum = "CAST(sum(CAST(population AS DECIMAL(30,6))) AS DOUBLE)"
+    popsum = "CAST(sum(CAST(population AS DECIMAL(28,6))) AS DOUBLE)"
     kpi_cols = []
     for m in ["new_confirmed", "new_deaths", "new_recovered", "confirmed", "deaths", "recovered"]:
         kpi_cols.append(f"CAST(coalesce(sum({m}), 0) AS BIGINT) AS total_{m}")
@@ -352,7 +360,7 @@ FROM x"""
 WITH t AS (
   SELECT regexp_replace(regexp_replace(text, '(?s)(<.*>)', ''), 't\\.co|trump|https', '', 'g') AS text
   FROM documents),
-w AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+(?:''[\\p{{L}}\\p{{N}}]+)*', 0)) AS word FROM t)
+w AS (SELECT unnest(regexp_extract_all(lower(text), '{SQL_WORD}', 0)) AS word FROM t)
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM w
 WHERE NOT list_contains({stop}, word) AND word <> 'trump'
 GROUP BY word"""
@@ -391,7 +399,7 @@ SELECT * FROM u WHERE adjusted > 0"""
     q["replace_dates"] = f"""
 WITH ev AS (SELECT *, CAST(ts AS DATE) AS date FROM events),
 old AS (SELECT user_id, date, {EV_DAILY} FROM ev
-        WHERE date <= DATE '2024-01-25' AND value < 400 GROUP BY 1, 2),
+        WHERE date <= DATE '2024-01-25' GROUP BY 1, 2),
 src AS (SELECT user_id, date, {EV_DAILY} FROM ev GROUP BY 1, 2),
 new AS (SELECT * FROM src WHERE date >= (SELECT max(date) FROM old) - 1)
 SELECT * FROM old o WHERE NOT EXISTS (
@@ -448,8 +456,13 @@ WHERE date = (SELECT max(date) FROM panel)"""
 
     q["projections"] = """
 SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment,
-       round_even(c_acctbal / CAST(1000 AS DOUBLE), 1) AS bal_k
-FROM customer ORDER BY c_acctbal DESC, c_custkey ASC LIMIT 50"""
+       round_even(c_acctbal / CAST(1000 AS DOUBLE), 1) + CAST(0 AS DOUBLE) AS bal_k
+FROM customer ORDER BY c_acctbal DESC, c_custkey ASC"""
+
+    q["first_n"] = """
+SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey ASC LIMIT 50"""
+
+    q["entity_count"] = "SELECT count(DISTINCT user_id) AS n_entities FROM events"
 
     q["date_functions"] = """
 WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders),

@@ -65,8 +65,13 @@ def build_tables(spark: SparkSession, ccdr: DataFrame, state_data: DataFrame, st
     return tables
 
 
+def _curve_mode(curve: str | None, selected: Sequence[str] | None) -> str:
+    """Lines for chosen entities, one total otherwise, unless stated."""
+    return curve or ("lines" if selected else "total")
+
+
 def country_view(tables: dict[str, DataFrame], selected: Sequence[str] | None = None,
-                 per_capita: bool = False) -> dict[str, DataFrame]:
+                 per_capita: bool = False, curve: str | None = None) -> dict[str, DataFrame]:
     """World page: selected countries (None = all) -> KPI boxes, daily
     curve, cumulative curve, map points, overview table with buckets."""
     panel = tables["country_summary"]
@@ -82,7 +87,7 @@ def country_view(tables: dict[str, DataFrame], selected: Sequence[str] | None =
         "kpis": RP.kpi_boxes(sel_latest, P.COUNTRY_MEASURES, ["new_" + m for m in P.COUNTRY_MEASURES]),
         "daily_curve": RP.daily_curve(history, "date", measures, per_capita=per_capita),
         "cumulative_curve": RP.cumulative_curve(history, "country", "date", "confirmed",
-                                                per_capita=per_capita),
+                                                _curve_mode(curve, selected), per_capita=per_capita),
         "map_points": RP.latest_points(locations, ["Lat", "Lng"], "date", "state", "country",
                                        "confirmed", "deaths"),
         "table": RP.overview_buckets(
@@ -94,7 +99,7 @@ def country_view(tables: dict[str, DataFrame], selected: Sequence[str] | None =
 
 
 def state_view(tables: dict[str, DataFrame], selected: Sequence[str] | None = None,
-               per_capita: bool = False) -> dict[str, DataFrame]:
+               per_capita: bool = False, curve: str | None = None) -> dict[str, DataFrame]:
     """US page: the same reports over the state panel."""
     panel = tables["state_summary"]
     latest = P.most_recent(panel, "death_rate", ["state"], sort=False)
@@ -110,7 +115,7 @@ def state_view(tables: dict[str, DataFrame], selected: Sequence[str] | None = No
         "daily_curve": RP.daily_curve(history, "date", measures, per_capita=per_capita),
         "cumulative_curve": RP.cumulative_curve(
             history.withColumn("positive_per_mil", F.col("pos_per_mil")), "state", "date",
-            "positive", per_capita=per_capita),
+            "positive", _curve_mode(curve, selected), per_capita=per_capita),
         "table": RP.overview_buckets(
             latest.select("state", "date", "positive", "death", "recovered", "new_positive",
                           "new_deaths", "new_recovered", "death_rate"),
@@ -119,17 +124,15 @@ def state_view(tables: dict[str, DataFrame], selected: Sequence[str] | None = No
     }
 
 
-def market_view(tables: dict[str, DataFrame], lo: _dt.date | None = None, hi: _dt.date | None = None,
-                symbols: Sequence[str] | None = None, log_symbols: Sequence[str] = LOG_CHART_SYMBOLS,
+def market_view(tables: dict[str, DataFrame], symbols: Sequence[str], lo: _dt.date | None = None,
+                hi: _dt.date | None = None, log_symbols: Sequence[str] = LOG_CHART_SYMBOLS,
                 exclude_words: Sequence[str] = ("trump",)) -> dict[str, DataFrame]:
-    """Stocks page for an optional date range: best/worst and index change,
+    """Stocks page of the given symbols for an optional date range: best/worst and index change,
     word counts, cases x prices table, correlation matrix, log series."""
     spark = tables["returns"].sparkSession
     cases = tables["country_summary"].groupBy("date").agg(F.sum("confirmed").alias("positive"))
     prices = tables["prices"]
-    if symbols is None:
-        symbols = sorted(r[0] for r in prices.select("symbol").distinct().collect())
-    wide = long_to_wide(prices.select("date", "symbol", "adjusted"), ["date"], "symbol", "adjusted",
+    wide = long_to_wide(prices.filter(F.col("symbol").isin(list(symbols))).select("date", "symbol", "adjusted"), ["date"], "symbol", "adjusted",
                         list(symbols))
     cdata = complete_rows(join_dim(between_dates(cases, "date", lo, hi),
                                    between_dates(wide, "date", lo, hi), "date", "left"))

@@ -16,10 +16,8 @@ from panelspark.operators.select import rows_at_max, top_n
 from panelspark.operators.stats import quantile_breaks, with_buckets
 from panelspark.operators.window import latest_flag
 
-# The label for a missing sub-entity name and the entity
-# count above which curves switch from one line per entity to one total.
+# Fixed value: the label for a missing sub-entity name.
 MISSING_STATE_LABEL = "State Not Given"
-MAX_LINES = 10
 
 
 def selected_keys(latest: DataFrame, entity: str, order: Sequence[Column],
@@ -32,16 +30,18 @@ def selected_keys(latest: DataFrame, entity: str, order: Sequence[Column],
     if isinstance(ranks, int):
         return top_n(latest, order, ranks).select(entity)
     wanted = sorted({int(r) for r in ranks})
-    top = top_n(latest, order, wanted[-1])
-    numbered = top.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
-    return numbered.filter(F.col("_rank").isin(wanted)).select(entity)
+    # at most max(rank) rows, as one array in their order
+    top = top_n(latest, order, wanted[-1]).select(entity)
+    listed = top.agg(F.collect_list(entity).alias("_top"))
+    picked = F.filter(F.array(*[F.get("_top", r - 1) for r in wanted]), lambda x: x.isNotNull())
+    return listed.select(F.explode(picked).alias(entity))
 
 
 def select_history(panel: DataFrame, keys: DataFrame | None, entity: str) -> DataFrame:
     """The panel rows of the selected entities; None = all."""
     if keys is None:
         return panel
-    return keep_keys(panel, keys, entity, bounded=True)
+    return keep_keys(panel, keys, entity)
 
 
 def kpi_boxes(latest: DataFrame, levels: Sequence[str], news: Sequence[str],
@@ -79,23 +79,24 @@ def daily_curve(panel: DataFrame, date: str, measures: Mapping[str, str],
                         [date], list(measures), "type", "value")
 
 
-def entity_count(panel: DataFrame, entity: str) -> int:
-    """Exact distinct entities -- a scalar read at the edge because it
-    decides which curve (and output schema) is produced."""
-    return panel.agg(distinct_count(entity).alias("n")).first()["n"]
+def entity_count(df: DataFrame, entity: str) -> DataFrame:
+    """Exact distinct entities as a one-row result; give it the narrow
+    key column or the dimension, not a panel."""
+    return df.agg(distinct_count(entity).alias("n_entities"))
 
 
-def cumulative_curve(panel: DataFrame, entity: str, date: str, measure: str,
-                     max_lines: int = MAX_LINES, n_entities: int | None = None,
+def cumulative_curve(panel: DataFrame, entity: str, date: str, measure: str, mode: str,
                      per_capita: bool = False, population: str = "population") -> DataFrame:
-    """More than ``max_lines`` entities -> one total line by date;
-    otherwise one line per entity from its base day (base_day > 0).
+    """``mode='total'`` gives one line by date, ``mode='lines'`` one
+    line per entity from its base day (base_day > 0).  The caller chooses:
+    the result's form never depends on the data.
 
     Per capita, the total line is sum(measure) / sum(population) per date
     (``<measure>_per_mil``) and the entity lines show ``<measure>_per_mil``."""
-    n = entity_count(panel, entity) if n_entities is None else n_entities
+    if mode not in ("total", "lines"):
+        raise ValueError(mode)
     per_mil = f"{measure}_per_mil"
-    if n > max_lines:
+    if mode == "total":
         if per_capita:
             return ratio_of_sums(panel, [date], {per_mil: measure}, population)
         return totals_by(panel, [date], {measure: measure})

@@ -33,19 +33,18 @@ def token_table(df: DataFrame, text: str, out: str = "word",
 
 def word_counts(tokens: DataFrame, stop_words: DataFrame, word: str = "word",
                 date: str | None = None, lo: _dt.date | None = None, hi: _dt.date | None = None,
-                exclude: Sequence[str] = ("trump",), stop_words_bounded: bool = True) -> DataFrame:
+                exclude: Sequence[str] = ("trump",)) -> DataFrame:
     """K11 second half: optional date range (F3), stop-word anti join (J4),
     an excluded-word filter (F10), count per word (A6), most frequent first
     (ties by word).
 
-    The stop-word list has a fixed size, so it is broadcast; the counts are
-    a hash aggregate with partial aggregation (a word holding a third of
-    all tokens is summed map-side)."""
+    The planner broadcasts the stop-word list where its size allows; the
+    counts are a hash aggregate with partial aggregation (a word holding a
+    third of all tokens is summed map-side)."""
     t = tokens
     if date is not None and (lo is not None or hi is not None):
         t = between_dates(t, date, lo, hi)
-    t = drop_keys(t.select(word), stop_words.select(word), [word], null_safe=False,
-                  bounded=stop_words_bounded)
+    t = drop_keys(t.select(word), stop_words.select(word), [word], null_safe=False)
     if exclude:
         t = t.filter(~F.col(word).isin(list(exclude)))
     return (t.groupBy(word).agg(F.count(F.lit(1)).alias("n"))

@@ -34,7 +34,6 @@ from panelspark.operators.select import (
     DATE_HEADER, between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
     sort_desc_last, top_n, with_stages,
 )
-from panelspark.operators.partitioning import spread
 from panelspark.operators.stats import correlation_long
 from panelspark.operators.window import gap_fill, latest_rows
 from panelspark.plans import panel as P
@@ -61,9 +60,8 @@ LOG_SERIES = ("purchase", "signup")
 MEASURES = P.COUNTRY_MEASURES
 
 
-def table(spark: SparkSession, sf: str, name: str, cpu_heavy: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
-    return spread(df) if cpu_heavy else df
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
 # ---- derived inputs ---------------------------------------------------------
@@ -124,7 +122,7 @@ def order_prices(spark, sf) -> DataFrame:
 
 def daily_value_pivot(spark, sf) -> DataFrame:
     """Day x event_type value sums, one column per type (explicit list)."""
-    ev = event_days(spark, sf).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    ev = event_days(spark, sf).withColumn("value", F.col("value").cast("decimal(28,6)"))
     wide = long_to_wide(ev, ["date"], "event_type", "value", EVENT_TYPES, agg="sum")
     return wide.select("date", *[F.col(t).cast("double").alias(t) for t in EVENT_TYPES])
 
@@ -277,17 +275,22 @@ def q_select_by_rank(spark, sf):
 def q_adaptive_curve(spark, sf):
     fl = user_flows(spark, sf).withColumn("user_id", F.col("user_id").cast("string"))
     panel = P.country_panel(fl, "user_id", "date", USER_MEASURES, flows=True)
-    return RP.cumulative_curve(panel, "user_id", "date", "confirmed")
+    return RP.cumulative_curve(panel, "user_id", "date", "confirmed", mode="total")
+
+
+def q_entity_count(spark, sf):
+    """Exact distinct entities, as a one-row result."""
+    return RP.entity_count(table(spark, sf, "events"), "user_id")
 
 
 def q_adaptive_curve_lines(spark, sf):
-    return RP.cumulative_curve(event_type_panel(spark, sf), "entity", "date", "confirmed")
+    return RP.cumulative_curve(event_type_panel(spark, sf), "entity", "date", "confirmed", mode="lines")
 
 
 def q_adaptive_curve_lines_per_capita(spark, sf):
     """K16 per capita with at most 10 entities: per-million lines by base day."""
     return RP.cumulative_curve(event_type_panel(spark, sf), "entity", "date", "confirmed",
-                               per_capita=True)
+                               mode="lines", per_capita=True)
 
 
 def q_latest_points(spark, sf):
@@ -301,7 +304,7 @@ def q_latest_points(spark, sf):
 
 
 def q_word_counts(spark, sf):
-    docs = table(spark, sf, "documents", cpu_heavy=True).select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     tokens = TX.token_table(docs, "text")
     return TX.word_counts(tokens, stop_words_frame(spark))
 
@@ -320,7 +323,7 @@ def day_number_to_date_py(n: int) -> _dt.date:
 
 
 def q_marker_extract(spark, sf):
-    pages = table(spark, sf, "pages", cpu_heavy=True).select("page_id", "html")
+    pages = table(spark, sf, "pages").select("page_id", "html")
     items = TX.marked_items(pages, "html", "<ul>", "</ul>", "</li>", keep=["page_id"], out="raw")
     return items.withColumn("item", trim_ws(strip_tags("raw")))
 
@@ -342,8 +345,11 @@ def q_upsert_by_key(spark, sf):
 
 def q_replace_dates(spark, sf):
     ev = event_days(spark, sf)
-    old = _event_daily(between_dates(ev, "ts", None, REPLACE_OLD_UNTIL).filter(F.col("value") < 400))
     source = _event_daily(ev)
+    # the stored table: its two last days were read too early and are stale
+    stale = F.col("date") >= F.date_sub(F.lit(REPLACE_OLD_UNTIL), 1)
+    old = source.filter(F.col("date") <= F.lit(REPLACE_OLD_UNTIL)).withColumn(
+        "value", F.when(stale, F.lit(0.0)).otherwise(F.col("value")))
     return RF.replace_trailing_dates(old, source, ["user_id"], "date", overlap_days=1)
 
 
@@ -456,7 +462,13 @@ def q_projections(spark, sf):
     picked = c.select(*columns_matching(c, r"^c_")).drop("c_name")
     staged = with_stages(picked, {"bal_k": F.col("c_acctbal") / F.lit(1000.0)},
                          {"bal_k": rround("bal_k", 1)})
-    return top_n(staged, [F.desc("c_acctbal"), F.asc("c_custkey")], 50)
+    return staged.orderBy(F.desc("c_acctbal"), F.asc("c_custkey"))
+
+
+def q_first_n(spark, sf):
+    """The 50 highest balances, a top-k report."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return top_n(c, [F.desc("c_acctbal"), F.asc("c_custkey")], 50)
 
 
 def q_date_functions(spark, sf):
@@ -535,7 +547,7 @@ def nation_panel(spark, sf) -> DataFrame:
 def q_adaptive_curve_per_capita(spark, sf):
     """K16 per capita with more than 10 entities: total per-million line."""
     return RP.cumulative_curve(nation_panel(spark, sf), "entity", "date", "confirmed",
-                               per_capita=True)
+                               mode="total", per_capita=True)
 
 
 def q_base_name_totals(spark, sf):
@@ -550,7 +562,7 @@ def q_base_name_totals(spark, sf):
 def q_html_node_text(spark, sf):
     """Text of each page's <footer> element (HTML parser on the
     executors, entities decoded)."""
-    pages = table(spark, sf, "pages", cpu_heavy=True).select("page_id", "html")
+    pages = table(spark, sf, "pages").select("page_id", "html")
     return node_text(pages, "footer")
 
 
@@ -591,6 +603,8 @@ QUERIES = {
     "report_latest_line": q_report_latest_line,
     "report_rows_latest": q_report_rows_latest,
     "projections": q_projections,
+    "first_n": q_first_n,
+    "entity_count": q_entity_count,
     "date_functions": q_date_functions,
     "text_clean": q_text_clean,
     "round_half_even": q_round_half_even,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.dates import parse_mdy
-from panelspark.functions.semantics import empty_if_null, trim_ws
+from panelspark.functions.semantics import empty_if_null, to_type, trim_ws
 from panelspark.operators.joins import null_safe_join
 from panelspark.operators.reshape import wide_to_long
 from panelspark.operators.select import DATE_HEADER, columns_matching
@@ -29,6 +29,11 @@ STATE_POPULATION_SCHEMA = T.StructType([
 ])
 
 
+PRICE_SCHEMA = ("symbol string, date date, open double, high double, low double, close double, "
+                "volume bigint, adjusted double")
+PRICES_FROM = "2020-01-01"  # fixed value: the first day of the price history
+
+
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
     """A wide time-series CSV with a header.  Date columns stay text
     (header names are data); values are parsed later by name."""
@@ -75,7 +80,7 @@ def wide_file_to_long(wide: DataFrame, value_name: str,
     typed = renamed.select(
         trim_ws(empty_if_null(s)).alias(s), trim_ws(empty_if_null(c)).alias(c),
         F.col(lat).try_cast("double").alias(lat), F.col(lng).try_cast("double").alias(lng),
-        "date", trim_ws(value_name).try_cast("int").alias(value_name))
+        "date", to_type(trim_ws(value_name), "int").alias(value_name))
     return header_dates(typed, dates, "date")
 
 
@@ -99,13 +104,12 @@ def read_state_population(spark: SparkSession, path: str) -> DataFrame:
 def read_prices(spark: SparkSession, path: str, members: DataFrame, start=None, end=None) -> DataFrame:
     """Landed daily price files (symbol, date, open, high, low, close,
     volume, adjusted) -> tagged with ``ticker`` and the 0/1 index-member
-    flag (left join to the member list), within an optional date range."""
-    p = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    p = p.withColumn("date", F.to_date("date")).withColumn("ticker", F.col("symbol"))
-    if start is not None:
-        p = p.filter(F.col("date") >= F.lit(start))
-    if end is not None:
-        p = p.filter(F.col("date") <= F.lit(end))
+    flag (left join to the member list), within a date range: from ``start``
+    (default PRICES_FROM) to ``end`` (default: the day before today).  The
+    files are read once, with declared types."""
+    p = spark.read.option("header", True).schema(PRICE_SCHEMA).csv(path).withColumn("ticker", F.col("symbol"))
+    last = F.date_sub(F.current_date(), 1) if end is None else F.lit(end)
+    p = p.filter(F.col("date").between(F.lit(PRICES_FROM if start is None else start).cast("date"), last))
     m = members.select(F.col("symbol"), F.lit(1).alias("djia")).distinct()
     return p.join(m, "symbol", "left").withColumn("djia", F.coalesce("djia", F.lit(0)))
 

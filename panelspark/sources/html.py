@@ -14,12 +14,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_SCHEMA = "page_id long, table_no int, row_no int, cells array<string>"
-NODE_SCHEMA = "page_id long, node_no int, text string"
-
 
 class _Tables(HTMLParser):
-    """Collect <table> rows as lists of cell texts."""
+    """Collect <table> rows as lists of cell texts.  End tags of cells and
+    rows may be omitted: the next cell, row, section or the end of the table
+    (or page) closes what is open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -33,21 +32,39 @@ class _Tables(HTMLParser):
             self._depth += 1
             if self._depth == 1:
                 self.tables.append([])
-        elif self._depth == 1 and tag == "tr":
-            self._row = []
-        elif self._depth == 1 and tag in ("td", "th") and self._row is not None:
+        elif self._depth == 1 and tag in ("tr", "thead", "tbody", "tfoot"):
+            self._end_row()
+            self._row = [] if tag == "tr" else None
+        elif self._depth == 1 and tag in ("td", "th"):
+            self._end_cell()
+            self._row = [] if self._row is None else self._row
             self._cell = []
 
     def handle_endtag(self, tag):
         if tag == "table":
+            if self._depth == 1:
+                self._end_row()
             self._depth = max(0, self._depth - 1)
-        elif self._depth == 1 and tag in ("td", "th") and self._cell is not None:
+        elif self._depth == 1 and tag in ("td", "th"):
+            self._end_cell()
+        elif self._depth == 1 and tag in ("tr", "thead", "tbody", "tfoot"):
+            self._end_row()
+
+    def _end_cell(self):
+        if self._cell is not None:
             self._row.append(" ".join("".join(self._cell).split()))
             self._cell = None
-        elif self._depth == 1 and tag == "tr" and self._row is not None:
-            if self._row:
-                self.tables[-1].append(self._row)
-            self._row = None
+
+    def _end_row(self):
+        self._end_cell()
+        if self._row:
+            self.tables[-1].append(self._row)
+        self._row = None
+
+    def close(self):
+        super().close()
+        if self._depth:
+            self._end_row()
 
     def handle_data(self, data):
         if self._cell is not None:
@@ -55,7 +72,8 @@ class _Tables(HTMLParser):
 
 
 class _NodeText(HTMLParser):
-    """Text content of every element with a given tag."""
+    """Text content of every element with a given tag; an element that is
+    never closed ends with the page."""
 
     def __init__(self, tag: str):
         super().__init__(convert_charrefs=True)
@@ -80,6 +98,12 @@ class _NodeText(HTMLParser):
         if self._open:
             self._buf.append(data)
 
+    def close(self):
+        super().close()
+        if self._open:
+            self.texts.append("".join(self._buf))
+            self._open = 0
+
 
 def _parse_tables(html: str) -> list[list[list[str]]]:
     p = _Tables()
@@ -100,7 +124,9 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                         rows.append((pid, t, r, cells))
             yield pd.DataFrame(rows, columns=["page_id", "table_no", "row_no", "cells"])
 
-    return pages.select(id_col, html_col).mapInPandas(fn, TABLE_SCHEMA)
+    id_type = pages.schema[id_col].dataType.simpleString()
+    return pages.select(id_col, html_col).mapInPandas(
+        fn, f"page_id {id_type}, table_no int, row_no int, cells array<string>")
 
 
 def first_table(tables: DataFrame, columns: list[str], drop_first_col: bool = True,
@@ -126,4 +152,5 @@ def node_text(pages: DataFrame, tag: str, id_col: str = "page_id", html_col: str
                 rows.extend((pid, i, t) for i, t in enumerate(p.texts))
             yield pd.DataFrame(rows, columns=["page_id", "node_no", "text"])
 
-    return pages.select(id_col, html_col).mapInPandas(fn, NODE_SCHEMA)
+    id_type = pages.schema[id_col].dataType.simpleString()
+    return pages.select(id_col, html_col).mapInPandas(fn, f"page_id {id_type}, node_no int, text string")

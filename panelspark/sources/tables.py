@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.functions.semantics import empty_if_null
+from panelspark.functions.semantics import empty_if_null, to_type
 
 # The four stored tables, their columns/types and keys.
 CCDR_SCHEMA = T.StructType([
@@ -50,13 +50,14 @@ HEADLINE_SCHEMA = T.StructType([
 
 def conform(df: DataFrame, schema: T.StructType, text_keys: Sequence[str] = ()) -> DataFrame:
     """Cast to the declared schema by name (extra columns dropped, missing
-    ones NULL); text keys keep '' instead of NULL."""
+    ones NULL); text keys keep '' instead of NULL.  A number that does not
+    fit its integral type fails the write (``to_type``)."""
     cols = []
     for f in schema.fields:
         c = F.col(f.name) if f.name in df.columns else F.lit(None)
         if f.name in text_keys:
             c = empty_if_null(c)
-        cols.append(c.try_cast(f.dataType).alias(f.name) if f.name in df.columns
+        cols.append(to_type(c, f.dataType).alias(f.name) if f.name in df.columns
                     else c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
 

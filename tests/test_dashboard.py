@@ -39,7 +39,7 @@ def test_build_and_views(spark, scratch):
     assert cv["table"].count() == 3
     sv = DB.state_view(tables, per_capita=True)
     assert sv["kpis"].first().total_positive == 1000
-    mv = DB.market_view(tables, lo=D[1], hi=D[4])
+    mv = DB.market_view(tables, ["djia", "zm"], lo=D[1], hi=D[4])
     bw = mv["best_worst"].first()
     assert bw.best_symbol is not None and bw.index_change is not None
     assert {r.word for r in mv["word_counts"].collect()} == {"virus", "spreads", "fast", "markets", "fall"}

@@ -215,3 +215,38 @@ def test_correlation_full_matrix_symmetric_unit_diagonal(spark):
         for y in "abck":
             assert m[(x, y)] == m[(y, x)]
     assert m[("a", "a")] == 1.0 and m[("k", "k")] is None and m[("a", "k")] is None
+
+
+def test_pivot_fails_outside_its_list(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "a", 2.0), (1, "other", 3.0)], "k int, t string, v double")
+    with pytest.raises(Exception, match="outside the given list: other"):
+        long_to_wide(df, ["k"], "t", "v", ["a"], agg="sum").collect()
+
+
+def test_words_follow_the_unicode_breaks(spark):
+    text = "Don’t pay 1,000.50 or 3.14 for snake_case in the U.S. a.b.c x.1 1.x 'quoted' e-mail naïve 12:30"
+    df = spark.createDataFrame([(text,)], "t string")
+    assert [r.word for r in tokenize(df, "t").collect()] == [
+        "don’t", "pay", "1,000.50", "or", "3.14", "for", "snake_case", "in", "the", "u.s", "a.b.c", "x", "1", "1", "x",
+        "quoted", "e", "mail", "naïve", "12", "30"]
+
+
+def test_correlation_of_many_columns(spark):
+    rng = np.random.default_rng(5)
+    data = rng.standard_normal((60, 200)) + 1000.0
+    data[:, 7] = 0.1
+    names = [f"c{i}" for i in range(200)]
+    df = spark.createDataFrame([[float(x) for x in r] for r in data], names)
+    got = {(r.a, r.b): r.r for r in correlation_long(df, names).collect()}
+    want = np.corrcoef(data[:, 3], data[:, 150])[0, 1]
+    assert len(got) == 200 * 199 // 2 and abs(got["c3", "c150"] - want) < 1e-6 and got["c0", "c7"] is None
+
+
+def test_quantiles_of_skewed_values_in_small_parts(spark):
+    rng = np.random.default_rng(6)
+    vals = np.concatenate([np.full(3000, 5.0), rng.exponential(10, 4000).round(1), [-1e9, 1e9]])
+    df = spark.createDataFrame([(float(v), None if i % 2 else float(-v)) for i, v in enumerate(vals)], "x double, y double")
+    br = quantile_breaks(df, ["x", "y"]).first()
+    q = [5 * i for i in range(20)]
+    assert np.allclose(br.x, np.percentile(vals, q), atol=1e-9) and np.allclose(br.y, np.percentile(-vals[::2], q), atol=1e-9)

@@ -145,8 +145,8 @@ def test_reports(spark):
     assert k.text_deaths == "6 (6.7%)" and k.per_mil_confirmed == 30.0
     curve = RP.daily_curve(panel, "date", {"CONFIRMED": "new_confirmed"}, per_capita=True)
     assert {r.date: r.value for r in curve.collect()}[D[0]] == 30.0
-    assert RP.cumulative_curve(panel, "country", "date", "confirmed").columns == ["country", "base_day", "date", "confirmed"]
-    assert RP.cumulative_curve(panel, "country", "date", "confirmed", max_lines=1).columns == ["date", "confirmed"]
+    assert RP.cumulative_curve(panel, "country", "date", "confirmed", "lines").columns == ["country", "base_day", "date", "confirmed"]
+    assert RP.cumulative_curve(panel, "country", "date", "confirmed", "total").columns == ["date", "confirmed"]
     keys = RP.selected_keys(latest, "country", [F.desc("new_confirmed"), F.asc("country")], 1)
     assert {r.country for r in RP.select_history(panel, keys, "country").collect()} == {"A"}
     line = RP.latest_line(RP.daily_curve(panel, "date", {"CONFIRMED": "new_confirmed", "DEATHS": "new_deaths"}),

@@ -129,3 +129,33 @@ def test_first_table_short_rows_are_null(spark):
     pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
     got = rows(H.first_table(H.html_tables(pages), ["country", "population"]).select("country", "population"))
     assert got == [("Chad", "16,425,864"), (None, None)]
+
+
+def test_html_tables_with_omitted_end_tags(spark):
+    from panelspark.sources.html import html_tables, node_text
+    html = "<table><thead><tr><th>#<th>Name<tbody><tr><td>1<td>A <b>x</b><tr><td>2<td>B</table><p>t<footer>open text"
+    pages = spark.createDataFrame([("k1", html)], "page_id string, html string")
+    got = sorted((r.page_id, r.row_no, r.cells) for r in html_tables(pages).collect())
+    assert got == [("k1", 0, ["#", "Name"]), ("k1", 1, ["1", "A x"]), ("k1", 2, ["2", "B"])]
+    assert [tuple(r) for r in node_text(pages, "footer").collect()] == [("k1", 0, "open text")]
+    nested = "<table><tr><td>a<table><tr><td>in</table><td>b"
+    assert [r.cells for r in html_tables(pages.selectExpr("page_id", f"'{nested}' html")).collect()][0][-1] == "b"
+
+
+def test_typed_cells_fit_or_fail(spark):
+    import pytest
+    from panelspark.functions.semantics import money_sum
+    from panelspark.sources.csv import wide_file_to_long
+    from panelspark.sources.tables import conform
+    from pyspark.sql import types as T
+    wide = spark.createDataFrame([("", "A", "1", "2", "12.0", "N.A.")],
+                                 ["Province/State", "Country/Region", "Lat", "Long", "1/22/20", "1/23/20"])
+    assert sorted((str(r.date), r.n) for r in wide_file_to_long(wide, "n").collect()) == [
+        ("2020-01-22", 12), ("2020-01-23", None)]
+    schema = T.StructType([T.StructField("n", T.IntegerType())])
+    assert conform(spark.createDataFrame([("7",), ("x",), (None,)], "n string"), schema).where("n is null").count() == 2
+    for cell in ("3000000000", "12.5"):
+        with pytest.raises(Exception, match="does not fit int"):
+            conform(spark.createDataFrame([(cell,)], "n string"), schema).collect()
+    small = spark.createDataFrame([(0.004,)] * 3, "x double")
+    assert small.agg(money_sum("x").alias("s")).first().s == 0.012
