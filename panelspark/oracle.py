@@ -31,6 +31,10 @@ _L, _D = r"[\p{L}\p{M}]", r"\p{Nd}"
 SQL_WORD = rf"(?:{_L}(?:[.:''’·․‘﹒＇．]{_L})*|{_D}(?:[.,;''’․‘﹒＇．，；]{_D})*|[_‿⁀])+"
 
 
+def _totals(names: list[str]) -> str:
+    return ", ".join(f"format('{{:,}}', CAST(total_{m} AS BIGINT)) AS text_total_{m}" for m in names)
+
+
 def _stop_list() -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
 
@@ -232,7 +236,9 @@ b AS (SELECT symbol, adjusted_change FROM latest ORDER BY adjusted_change DESC,
 w AS (SELECT symbol, adjusted_change FROM latest ORDER BY adjusted_change ASC, symbol DESC LIMIT 1)
 SELECT b.symbol AS best_symbol, b.adjusted_change AS best_adjusted_change,
        w.symbol AS worst_symbol, w.adjusted_change AS worst_adjusted_change,
-       (SELECT max(adjusted_change) - CAST(1 AS DOUBLE) FROM latest WHERE symbol = 'djia') AS index_change
+       (SELECT max(adjusted_change) - CAST(1 AS DOUBLE) FROM latest WHERE symbol = 'djia') AS index_change,
+       round_even((b.adjusted_change - 1) * 100, 2) AS best_pct, round_even((w.adjusted_change - 1) * 100, 2) AS worst_pct,
+       round_even((SELECT max(adjusted_change) - CAST(1 AS DOUBLE) FROM latest WHERE symbol = 'djia') * 100, 2) AS index_pct
 FROM b, w"""
 
     q["unpivot_measures"] = f"""
@@ -297,7 +303,7 @@ SELECT date, type, value, round(ln(1 + value), 6) AS lvalue FROM l"""
     q["kpi_boxes"] = f"""
 WITH {PANEL},
 k AS (SELECT {", ".join(kpi_cols)} FROM panel WHERE most_recent = 1)
-SELECT *,
+SELECT *, {_totals(["new_confirmed", "new_deaths", "new_recovered", "confirmed", "deaths", "recovered"])},
        format('{{:,}}', total_deaths) || ' (' || coalesce(format('{{:.15g}}', pct_deaths), 'NA') || '%)' AS text_deaths,
        format('{{:,}}', total_recovered) || ' (' || coalesce(format('{{:.15g}}', pct_recovered), 'NA') || '%)' AS text_recovered
 FROM k"""
@@ -396,6 +402,28 @@ u AS (
   UNION ALL SELECT * FROM f)
 SELECT * FROM u WHERE adjusted > 0"""
 
+    q["upsert_rejected"] = f"""
+SELECT user_id, CAST(ts AS DATE) AS date, {_money('value')} AS adjusted, CAST(count(*) AS BIGINT) AS volume
+FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' GROUP BY 1, 2"""
+
+    q["json_arrays"] = """
+SELECT user_id, event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events"""
+
+    q["word_counts_range"] = f"""
+WITH w AS (SELECT unnest(regexp_extract_all(lower(props), '{SQL_WORD}', 0)) AS word FROM events
+           WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12')
+SELECT word, CAST(count(*) AS BIGINT) AS n FROM w
+WHERE NOT list_contains({stop}, word) AND word <> '7' GROUP BY word"""
+
+    q["headline_lists"] = """
+WITH p AS (SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS date FROM pages),
+t AS (SELECT date, url, page_id % 7 = 0 AS twice, page_id % 5 = 0 AS no_tweets, page_id % 3 = 0 AS no_end,
+             chr(13) || chr(10) AS nl, strftime(date, '%B %-d, %Y') AS day FROM p),
+tw AS (SELECT date, unnest(CASE WHEN no_tweets THEN [] ELSE [url, 'second ' || url] END) AS headlines FROM t),
+ne AS (SELECT date, unnest(CASE WHEN no_end THEN ['a ' || url, 'b', 'Trend'] ELSE ['a ' || url, 'b'] END) AS headlines FROM t)
+SELECT headlines, date, 'tweets' AS type FROM tw
+UNION ALL SELECT headlines, date, 'news' FROM ne"""
+
     q["replace_dates"] = f"""
 WITH ev AS (SELECT *, CAST(ts AS DATE) AS date FROM events),
 old AS (SELECT user_id, date, {EV_DAILY} FROM ev
@@ -513,7 +541,7 @@ t AS (SELECT date,
     q["state_kpi_boxes"] = f"""
 WITH {STATE},
 k AS (SELECT {", ".join(skpi)} FROM state_panel WHERE most_recent = 1)
-SELECT *,
+SELECT *, {_totals(["new_positive", "new_deaths", "new_recovered", "positive", "death", "recovered"])},
        format('{{:,}}', total_death) || ' (' || coalesce(format('{{:.15g}}', pct_death), 'NA') || '%)' AS text_death,
        format('{{:,}}', total_recovered) || ' (' || coalesce(format('{{:.15g}}', pct_recovered), 'NA') || '%)' AS text_recovered
 FROM k"""

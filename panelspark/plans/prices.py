@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.functions.semantics import safe_div, sum0
+from panelspark.functions.semantics import rround, safe_div, sum0
 from panelspark.operators.select import best_and_worst, positive
 from panelspark.operators.setops import union_by_name
 from panelspark.operators.window import cumulative_return, latest_flag, return_factor, row_index
@@ -58,9 +58,14 @@ def index_change(panel: DataFrame, symbol: str = "symbol",
 def best_worst(panel: DataFrame, symbol: str = "symbol",
                index_symbol: str | None = INDEX_SYMBOL) -> DataFrame:
     """O3 (+P7): best and worst latest change and the index's latest change
-    (factor - 1), all in one global aggregate."""
+    (factor - 1), all in one global aggregate; each also as a percentage
+    rounded to two places."""
     extra = {}
     if index_symbol is not None:
         extra["index_change"] = F.max(F.when(F.col(symbol) == index_symbol,
                                              F.col("adjusted_change") - F.lit(1.0)))
-    return best_and_worst(latest_changes(panel), symbol, "adjusted_change", extra=extra)
+    out = best_and_worst(latest_changes(panel), symbol, "adjusted_change", extra=extra)
+    pct = {f"{w}_pct": rround((F.col(f"{w}_adjusted_change") - F.lit(1.0)) * F.lit(100.0), 2) for w in ("best", "worst")}
+    if index_symbol is not None:
+        pct["index_pct"] = rround(F.col("index_change") * F.lit(100.0), 2)
+    return out.withColumns(pct)

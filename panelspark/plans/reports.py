@@ -48,7 +48,8 @@ def kpi_boxes(latest: DataFrame, levels: Sequence[str], news: Sequence[str],
               population: str = "population", pct_of: str | None = None) -> DataFrame:
     """Every box in one aggregate -- totals of the new and level
     measures, per-capita versions (1 place), each level's percentage of
-    ``pct_of`` (1 place) and display text ('12,345 (1.2%)')."""
+    ``pct_of`` (1 place) and display text: every total with separators
+    ('12,345'), and each level with its percentage ('12,345 (1.2%)')."""
     pct_of = pct_of or levels[0]
     aggs = []
     for m in list(news) + list(levels):
@@ -58,7 +59,8 @@ def kpi_boxes(latest: DataFrame, levels: Sequence[str], news: Sequence[str],
         if m != pct_of:
             aggs.append(rround(safe_div(sum0(m), sum0(pct_of)) * F.lit(100.0), 1).alias(f"pct_{m}"))
     row = latest.agg(*aggs)
-    texts = {}
+    texts = {f"text_total_{m}": F.coalesce(F.format_number(F.col(f"total_{m}").cast("double"), 0), F.lit("NA"))
+             for m in list(news) + list(levels)}
     for m in levels:
         if m != pct_of:
             texts[f"text_{m}"] = F.concat(

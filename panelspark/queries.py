@@ -43,7 +43,7 @@ from panelspark.plans import reports as RP
 from panelspark.plans import text as TX
 from panelspark.operators.aggregate import sum_max_by
 from panelspark.sources.html import node_text
-from panelspark.sources.json import json_fields
+from panelspark.sources.json import json_array_rows, json_fields
 from panelspark.sources.csv import header_dates
 from panelspark.sources.tables import duplicate_keys
 
@@ -343,6 +343,56 @@ def q_upsert_by_key(spark, sf):
     return RF.upsert(old, batch, ["user_id", "date"], ["ts"], value="adjusted")
 
 
+def q_upsert_rejected(spark, sf):
+    """A batch with as many missing cells as rows leaves the store as
+    it was (the positive-price filter included)."""
+    ev = event_days(spark, sf)
+    old = (between_dates(ev, "ts", None, OLD_UNTIL)
+           .groupBy("user_id", "date").agg(money_sum("value").alias("adjusted"),
+                                           F.count(F.lit(1)).alias("volume")))
+    batch = between_dates(ev, "ts", BATCH_FROM, None).select(
+        "user_id", "date", F.lit(None).cast("double").alias("adjusted"), F.lit(1).cast("long").alias("volume"), "ts")
+    return RF.upsert(old, batch, ["user_id", "date"], ["ts"], value="adjusted")
+
+
+def q_json_arrays(spark, sf):
+    """The props of each user's events packed into one JSON array, read
+    back as one row per element."""
+    ev = table(spark, sf, "events")
+    element = F.struct("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    # packed per user and day, so that no user's events meet in one row
+    packed = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(
+        F.to_json(F.collect_list(element)).alias("doc"))
+    return json_array_rows(packed, "doc", "event_id BIGINT, k INT", keep=["user_id"], columns=["event_id", "k"])
+
+
+def q_word_counts_range(spark, sf):
+    """K11 with its date range (F3) and an excluded word that occurs."""
+    lo, hi = (day_number_to_date_py(n) for n in DATE_RANGE_DAYS)
+    tokens = TX.token_table(event_days(spark, sf).select("date", "props"), "props")
+    return TX.word_counts(tokens, stop_words_frame(spark), date="date", lo=lo, hi=hi, exclude=("7",))
+
+
+# the day pages built below: (type, start marker, end marker)
+DAY_PAGE = (("tweets", "Tweets of", "What happened"), ("news", "News of", "Trend"), ("social", "Social media on", "Sports"))
+
+
+def q_headline_lists(spark, sf):
+    """K6: day pages made of the urls of ``pages``, some with a repeated
+    start marker, without tweets or without the end of the news."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    day = F.date_add(F.lit(_dt.date(2024, 1, 1)), (F.col("page_id") % 28).cast("int"))
+    day_text = long_label("date")
+    text = F.concat_ws(
+        "", F.when(F.col("page_id") % 7 == 0, "Tweets of early"), F.lit("Tweets of"),
+        F.when(F.col("page_id") % 5 != 0, F.concat(F.col("url"), day_text, F.lit("\tsecond "), F.col("url"))),
+        F.lit("What happened \r\n News of\r\na "), F.col("url"), F.lit("\r\n\r\nb"),
+        F.when(F.col("page_id") % 3 == 0, F.lit("\r\nTr\nend")).otherwise(F.lit("Trend")))
+    pages = p.withColumn("date", day).withColumn("text", text)
+    lists = TX.headline_lists(pages, sections=DAY_PAGE)
+    return lists.filter(F.col("type") != "social")
+
+
 def q_replace_dates(spark, sf):
     ev = event_days(spark, sf)
     source = _event_daily(ev)
@@ -594,6 +644,10 @@ QUERIES = {
     "date_range": q_date_range,
     "marker_extract": q_marker_extract,
     "upsert_by_key": q_upsert_by_key,
+    "upsert_rejected": q_upsert_rejected,
+    "json_arrays": q_json_arrays,
+    "word_counts_range": q_word_counts_range,
+    "headline_lists": q_headline_lists,
     "replace_dates": q_replace_dates,
     "append_distinct": q_append_distinct,
     "dup_keys": q_dup_keys,
