@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.dates import date_spine
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "left") -> DataFrame:
@@ -55,6 +57,15 @@ def drop_keys(df: DataFrame, keys_df: DataFrame, keys, null_safe: bool = True,
     return df.join(k, keys, "left_anti")
 
 
+def missing_days(landed: DataFrame, key: str, date: str) -> DataFrame:
+    """J6 without a grid: per entity the days of the table's range (S16) less
+    the days that landed; only the difference becomes rows."""
+    span = landed.select(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
+    days = landed.groupBy(key).agg(F.collect_set(date).alias("_days")).withColumn("_span", span)
+    spine = date_spine(F.col("_span.lo"), F.col("_span.hi"))
+    return days.select(key, F.explode(F.array_except(spine, F.col("_days"))).alias(date))
+
+
 def missing_pairs(expected: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(entity, date) pairs of the expected grid that did not arrive."""
     return expected.select(*keys).join(landed.select(*keys).distinct(), list(keys), "left_anti")

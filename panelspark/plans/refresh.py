@@ -27,13 +27,31 @@ def watermark(old: DataFrame, date: str = "date") -> "F.Column":
     return scalar_max(old, date)
 
 
-def replace_trailing_dates(old: DataFrame, source: DataFrame, keys: Sequence[str],
-                           date: str = "date", overlap_days: int = 1) -> DataFrame:
+def _window(old: DataFrame, source: DataFrame, date: str, overlap_days: int, late: str) -> DataFrame:
+    """The rows of the source that a trailing refresh takes: all of them
+    (``late='keep'``, for landed files) or those from the watermark minus
+    the overlap on (``late='window'``, for a source that is re-fetched)."""
+    if late not in ("keep", "window"):
+        raise ValueError(late)
+    if late == "keep":
+        return source
+    start = F.date_sub(watermark(old, date), overlap_days)
+    return source.filter(start.isNull() | (F.col(date) >= start))   # empty store: all is new
+
+
+def late_rows(old: DataFrame, source: DataFrame, date: str = "date", overlap_days: int = 1) -> DataFrame:
+    """Rows of the source before the trailing window: what a refresh with
+    ``late='window'`` leaves out."""
+    return source.filter(F.col(date) < F.date_sub(watermark(old, date), overlap_days))
+
+
+def replace_trailing_dates(old: DataFrame, source: DataFrame, keys: Sequence[str], date: str = "date",
+                           overlap_days: int = 1, late: str = "window") -> DataFrame:
     """K3: re-read the source from (watermark - overlap_days) and replace the
     (entity, date) pairs that arrived.  Unlike a whole-date replace, a pair
-    that failed to arrive keeps its old row."""
-    start = F.date_sub(watermark(old, date), overlap_days)
-    new = source.filter(start.isNull() | (F.col(date) >= start))   # empty store: all is new
+    that failed to arrive keeps its old row.  ``late='keep'`` also takes
+    corrections of earlier days."""
+    new = _window(old, source, date, overlap_days, late)
     return union_by_name(drop_keys(old, new, list(keys) + [date], null_safe=True), new)
 
 
@@ -60,10 +78,13 @@ def upsert(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
     return out.filter(~ok | (F.col(value) > 0)) if value else out
 
 
-def append_new_days(old: DataFrame, source: DataFrame, date: str = "date") -> DataFrame:
+def append_new_days(old: DataFrame, source: DataFrame, date: str = "date", late: str = "window") -> DataFrame:
     """K5: rows of the source after the stored watermark, appended, then
     distinct over all columns (U2) so a re-run adds nothing.  When no row
-    is new the stored table is returned as it is."""
+    is new the stored table is returned as it is.  ``late='keep'`` takes
+    the rows of stored days too."""
+    if late == "keep":
+        return union_distinct(old, source)
     wm = watermark(old, date)
     new = source.filter(wm.isNull() | (F.col(date) > wm))          # empty store: all is new
     # nothing new: the stored table stays exactly as it is (one-row check)
@@ -82,7 +103,8 @@ def with_month(df: DataFrame, date: str = "date", col: str = MONTH) -> DataFrame
 
 def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Sequence[str] = (),
                         order: Sequence[str] = (), date: str = "date", value: str | None = None,
-                        overlap_days: int = 1, staging_root: str | None = None) -> DataFrame:
+                        overlap_days: int = 1, staging_root: str | None = None,
+                        late: str = "window") -> DataFrame:
     """K3/K4/K5 against a month-partitioned Parquet store.
 
     The months a refresh can change are computed from the batch (and, for
@@ -108,12 +130,11 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     if old is None:
         old = with_month(spark.createDataFrame([], batch.select(*cols).schema), date)
     new = batch
-    if mode == "append_distinct":
+    if mode == "append_distinct" and late == "window":
         wm = watermark(old, date)
         new = batch.filter(wm.isNull() | (F.col(date) > wm))
     elif mode == "replace_dates":
-        start = F.date_sub(watermark(old, date), overlap_days)
-        new = batch.filter(start.isNull() | (F.col(date) >= start))
+        new = _window(old, batch, date, overlap_days, late)
     touched = with_month(new.select(date)).select(MONTH).distinct()
     old_part = old.join(touched, MONTH, "left_semi").drop(MONTH)
     if mode == "upsert":

@@ -28,10 +28,10 @@ from panelspark.functions.semantics import flag, money_sum, rround, to_number, t
 from panelspark.functions.text import strip_tags
 from panelspark.functions.stopwords import stop_words_frame
 from panelspark.operators.aggregate import rollup_sum0
-from panelspark.operators.joins import missing_pairs, null_safe_join
+from panelspark.operators.joins import missing_days, null_safe_join
 from panelspark.operators.reshape import columns_to_long, long_to_wide, wide_to_long
 from panelspark.operators.select import (
-    DATE_HEADER, between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
+    between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
     sort_desc_last, top_n, with_stages,
 )
 from panelspark.operators.stats import correlation_long
@@ -44,7 +44,7 @@ from panelspark.plans import text as TX
 from panelspark.operators.aggregate import sum_max_by
 from panelspark.sources.html import node_text
 from panelspark.sources.json import json_array_rows, json_fields
-from panelspark.sources.csv import header_dates
+from panelspark.sources.csv import wide_file_to_long
 from panelspark.sources.tables import duplicate_keys
 
 # Fixed values used by the query keys (parameters of the reports).
@@ -182,7 +182,7 @@ def q_locf_fill(spark, sf):
 
 
 def q_missing_grid(spark, sf):
-    return missing_pairs(user_day_grid(spark, sf), event_days(spark, sf), ["user_id", "date"])
+    return missing_days(event_days(spark, sf), "user_id", "date")
 
 
 def q_price_index(spark, sf):
@@ -465,10 +465,7 @@ def country_long(wide: DataFrame, value_name: str) -> DataFrame:
     """K1 for one wide file: date columns found by name, wide -> long, keys
     trimmed, header text parsed to dates."""
     ids = ["state", "country", "Lat", "Long"]
-    dates = columns_matching(wide, DATE_HEADER)
-    long = wide_to_long(wide, ids, dates, "date", value_name)
-    trimmed = long.withColumns({"state": trim_ws("state"), "country": trim_ws("country")})
-    return header_dates(trimmed, dates, "date")
+    return wide_file_to_long(wide, value_name, ids, ids)
 
 
 def q_wide_to_long(spark, sf):

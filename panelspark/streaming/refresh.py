@@ -37,9 +37,9 @@ def _apply(mode: str, old: DataFrame, batch: DataFrame, keys: Sequence[str], ord
     if mode == "upsert":
         return RF.upsert(old, batch, keys, order, value=value)
     if mode == "replace_dates":
-        return RF.replace_trailing_dates(old, batch, keys, date, overlap_days)
+        return RF.replace_trailing_dates(old, batch, keys, date, overlap_days, late="keep")
     if mode == "append_distinct":
-        return RF.append_new_days(old, batch, date)
+        return RF.append_new_days(old, batch, date, late="keep")
     raise ValueError(f"mode must be one of {MODES}")
 
 
@@ -51,7 +51,8 @@ def start_refresh(spark: SparkSession, landing: str, schema: T.StructType, table
                   partitioned: bool = False):
     """Start (and return) a streaming query that refreshes ``table`` from
     files landing in ``landing``; ``query.awaitTermination()`` waits for
-    the available files to be processed.
+    the available files to be processed.  Rows that land late (older than
+    the stored watermark) are taken like any other.
 
     ``partitioned=True`` keeps the table as a month-partitioned dataset at
     ``<table_root>/<table>`` and rewrites only the months a batch touches
@@ -72,7 +73,7 @@ def start_refresh(spark: SparkSession, landing: str, schema: T.StructType, table
         if partitioned:
             RF.refresh_partitioned(spark, f"{table_root.rstrip('/')}/{table}", batch, mode, keys, order,
                                    date, value, overlap_days,
-                                   staging_root=f"{table_root.rstrip('/')}/_staging")
+                                   staging_root=f"{table_root.rstrip('/')}/_staging", late="keep")
             return
         if spark.catalog.tableExists(table):
             old = spark.table(table)

@@ -297,3 +297,51 @@ def test_partitioned_upsert_emptying_the_only_touched_month(spark, scratch):
                                                               "symbol string, date date, adjusted double, src int"),
                            "upsert", keys=["symbol", "date"], order=["src"], value="adjusted", staging_root=scratch)
     assert spark.read.parquet(path).count() == 0
+
+
+def test_refresh_jobs_from_landed_inputs(spark, scratch):
+    """K3-K6 from files to the stored table, late rows included."""
+    import json
+    import os
+
+    from panelspark.plans import ingest
+    st = lambda name: f"{scratch}/{name}"
+
+    def land(name, text):
+        os.makedirs(os.path.dirname(st(name)), exist_ok=True)
+        with open(st(name), "w", encoding="utf-8") as f:
+            f.write(text)
+        return st(name)
+
+    row = lambda d, s, p: {"date": d, "state": s, "positive": p}
+    a = land("js/a.json", json.dumps([row(20200110, "NY", 5), row(20200115, "NY", "7.0")]))
+    b = land("js/b.json", json.dumps([row(20200110, "NY", 6), row(20200116, "NY", 9)]))
+    ingest.refresh_states(spark, a, st("states"), st("stage"))
+    got = ingest.refresh_states(spark, b, st("states"), st("stage"))
+    assert sorted((r.date.day, r.positive) for r in got.collect()) == [(10, 6), (15, 7), (16, 9)]
+
+    members = spark.createDataFrame([("AA",)], "symbol string")
+    head = "symbol,date,open,high,low,close,volume,adjusted\n"
+    p1 = land("px/1.csv", head + "AA,2020-03-02,1,1,1,1,10,5\nZM,2020-03-02,1,1,1,1,10,8\n")
+    p2 = land("px/2.csv", head + "AA,2020-03-02,1,1,1,1,10,6\nAA,2020-03-02,1,1,1,2,10,7\nAA,2020-03-03,1,1,1,1,1,0\n")
+    empty = land("px/3.csv", head)
+    ingest.refresh_prices(spark, p1, members, st("prices"), st("stage"))
+    ingest.refresh_prices(spark, p2, members, st("prices"), st("stage"))
+    got = ingest.refresh_prices(spark, empty, members, st("prices"), st("stage"))
+    assert sorted((r.symbol, r.date.day, r.adjusted, r.djia) for r in got.collect()) == [("AA", 2, 6.0, 1), ("ZM", 2, 8.0, 0)]
+
+    from panelspark.plans.text import HEADLINE_SECTIONS
+    (_, n_start, n_end) = HEADLINE_SECTIONS[1]
+    page = lambda d, t: (dt.date(2020, 4, d), f"{n_start}\r\n{t}\r\n{n_end}")
+    pages = lambda *p: spark.createDataFrame(list(p), "date date, text string")
+    news = lambda df: sorted((r.date.day, r.headlines) for r in df.where("type = 'topNewsHeadlines'").collect())
+    ingest.refresh_headlines(spark, pages(page(5, "one")), st("heads"), st("stage"))
+    got = ingest.refresh_headlines(spark, pages(page(5, "one"), page(5, "two"), page(3, "late")), st("heads"), st("stage"))
+    assert news(got) == [(3, "late"), (5, "one"), (5, "two")]
+
+
+def test_late_rows_are_listed(spark):
+    old = spark.createDataFrame([(dt.date(2020, 1, 9), 1)], "date date, n int")
+    src = spark.createDataFrame([(dt.date(2020, 1, d), d) for d in (5, 8, 9)], "date date, n int")
+    assert [r.n for r in RF.late_rows(old, src).collect()] == [5]
+    assert RF.append_new_days(old, src, late="keep").count() == 4
