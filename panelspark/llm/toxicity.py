@@ -55,10 +55,10 @@ SKIPS = [(a, b) for a in range(1, MAX_SKIP + 2) for b in range(1, MAX_SKIP + 3 -
 
 
 def span(token: str) -> str:
-    """A word without marks, stand-ins replaced if it has a letter."""
+    """A word without marks, stand-ins replaced if it is mostly letters."""
     token = token.strip(".,;:!?\"'()[]«»…")
     if not token.isalpha():
-        if regex.search(r"\p{L}", token):
+        if 3 * sum(map(str.isalpha, token)) >= 2 * len(token):
             token = token.translate(STAND_INS)
         token = _MARKS.sub("", token)
     return token
@@ -212,8 +212,9 @@ def fit(bags: list[list[str]], label: np.ndarray) -> Model:
     low, high = np.quantile(top[0], 0.998), np.quantile(top[1], 0.02)
     if high <= low:  # the classes overlap: the least balanced error
         cuts = np.unique(np.concatenate([top[0], top[1]]))
-        errors = [(top[0] >= t).mean() + (top[1] < t).mean() for t in cuts]
-        model.middle, model.slope = float(cuts[int(np.argmin(errors))]), 4.0
+        errors = [2 * (top[0] >= t).mean() + (top[1] < t).mean() for t in cuts]  # clean texts weigh more
+        best = int(np.argmin(errors))
+        model.middle, model.slope = float(cuts[max(best - 1, 0):best + 1].mean()), 4.0
     else:
         # nearer to the clean texts, so that gapped insults stay above it
         model.middle, model.slope = float(low + 0.25 * (high - low)), float(8.0 / max(high - low, 0.1))
@@ -228,10 +229,10 @@ def _witnesses(pos: list[list[str]], neg: list[list[str]]) -> tuple[Counter, lis
     def spread(bags):
         rows: dict[str, set[int]] = {}
         for b in bags:
-            copy = min(map(_stable, b))
+            copy = _copy_of(b)
             for o in {w[:n] for w in b for n in range(4, min(len(w), 12) + 1)} | {w + "$" for w in b}:
                 rows.setdefault(o, set()).add(copy)
-        return {o: len(own) for o, own in rows.items()}, max(1, len({min(map(_stable, b)) for b in bags}))
+        return {o: len(own) for o, own in rows.items()}, max(1, len(set(map(_copy_of, bags))))
 
     (toxic, n1), (plain, n0) = spread(pos), spread(neg)
     # per opening: at least this many toxic rows, or chance finds some among so many
@@ -247,8 +248,9 @@ def _witnesses(pos: list[list[str]], neg: list[list[str]]) -> tuple[Counter, lis
     return out, sorted({w for b in neg for w in b}.difference(out))
 
 
-def _stable(word: str) -> int:
-    return xxhash.xxh64_intdigest(word)
+def _copy_of(bag: list[str]) -> tuple[int, ...]:
+    """The three least word hashes of a row: alike for copies of it."""
+    return tuple(sorted(map(xxhash.xxh64_intdigest, bag))[:3])
 
 
 def _spread_out(words: list[str], k: int) -> list[str]:

@@ -302,9 +302,11 @@ def test_quality_model_learns_and_handles_edges(spark):
 
 
 def test_toxicity_finds_gapped_insults(spark):
-    filler = "the quick brown fox number {} jumps over lazy dogs and runs"
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("aeghlmnorw"), 6))
+    filler = [" ".join(word() for _ in range(12)) for _ in range(240)]
     _, lab, _ = labelled(spark, 240, "", "", "toxic")
-    d = docs(spark, [filler.format(i) + (" you " + ["stupid", "idiot"][i % 2] if i % 3 == 0 else " with study and ideas")
+    d = docs(spark, [filler[i] + (" you " + ["stupid", "idiot"][i % 2] if i % 3 == 0 else " with study and ideas")
                      for i in range(240)])
     model = toxicity.train(d, lab)
     texts = ["a stupid thing", "a s t u p i d thing", "a st-upid thing", "a s.t.u.p.i.d thing", "a study of ideas", None, "", LONG,
