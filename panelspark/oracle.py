@@ -409,6 +409,10 @@ FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' GROUP BY 1, 2"""
     q["json_arrays"] = """
 SELECT user_id, event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events"""
 
+    q["clean_spans"] = """
+SELECT page_id, CASE WHEN page_id % 4 = 0 THEN replace(replace(' lead ' || url, 't.co', ''), 'https', '')
+                     ELSE 'lead  end' END AS text FROM pages"""
+
     q["word_counts_range"] = f"""
 WITH w AS (SELECT unnest(regexp_extract_all(lower(props), '{SQL_WORD}', 0)) AS word FROM events
            WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12')

@@ -366,6 +366,14 @@ def q_json_arrays(spark, sf):
     return json_array_rows(packed, "doc", "event_id BIGINT, k INT", keep=["user_id"], columns=["event_id", "k"])
 
 
+def q_clean_spans(spark, sf):
+    """X12 where it fires: spans across lines, fragments and nothing to cut."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    text = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("t.co lead "), F.col("url"))).otherwise(
+        F.concat(F.lit("lead <b>"), F.col("url"), F.lit("\n</b> https tail > end")))
+    return TX.clean_text(p.select("page_id", text.alias("text")), "text")
+
+
 def q_word_counts_range(spark, sf):
     """K11 with its date range (F3) and an excluded word that occurs."""
     lo, hi = (day_number_to_date_py(n) for n in DATE_RANGE_DAYS)
@@ -644,6 +652,7 @@ QUERIES = {
     "upsert_rejected": q_upsert_rejected,
     "json_arrays": q_json_arrays,
     "word_counts_range": q_word_counts_range,
+    "clean_spans": q_clean_spans,
     "headline_lists": q_headline_lists,
     "replace_dates": q_replace_dates,
     "append_distinct": q_append_distinct,
