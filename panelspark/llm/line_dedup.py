@@ -64,7 +64,8 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
                max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, max_loss: float = MAX_LOSS,
                counts: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines cut from ``text_col``; with
-    ``counts`` also ``n_lines`` and ``n_dropped``."""
+    ``counts`` also ``n_lines`` and ``n_dropped`` (columns of ``docs`` with
+    these names are then replaced)."""
     lists = stored(boilerplate(docs, host_col, text_col, max_ratio, min_pages).select(
         F.col("host").alias("__host"), F.col("keys").alias("__keys")), "boilerplate")
     names = docs.columns
@@ -77,7 +78,8 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     size = lambda t: F.char_length(F.translate(t, "\n", ""))
     keep = F.col("__kept").isNotNull() & (size(new) >= (1 - max_loss) * size(text))
     out = cut.withColumn("__new", F.when(keep, new).otherwise(text))
-    cols = [F.col("__new").alias(c) if c == text_col else F.col(c) for c in names]
+    cols = [F.col("__new").alias(c) if c == text_col else F.col(c) for c in names
+            if not counts or c not in ("n_lines", "n_dropped")]
     if counts:
         n = F.when(text.isNull(), F.lit(0)).otherwise(F.size(_lines(text)))
         cols += [n.cast("bigint").alias("n_lines"),

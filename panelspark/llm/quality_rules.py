@@ -59,7 +59,7 @@ def clean_text(text: Column) -> Column:
 
 def quality_rules(docs: DataFrame, text_col: str = "text", max_loss: float = MAX_LOSS) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``kept`` and
-    ``clean_text``."""
+    ``clean_text``; columns of ``docs`` with these names are replaced."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split("__t", "\n", -1), lambda x: _n_words(x) > 0)
     counted = (docs.withColumn("__t", text).withColumns({"__w": words(F.col("__t")), "__l": lines})

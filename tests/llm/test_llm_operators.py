@@ -403,3 +403,15 @@ def test_boosting_adds_spans_and_keeps_base_ones(spark):
     assert len(out[241].spans) == 1 and not out[241].base and len(out[242].spans) == 0
     red = {r.doc_id: r.text for r in pii.redact(docs(spark, texts)).collect()}
     assert red[3] == "call me by phone [REDACTED] soon, item 3" and red[242] == texts[242]
+
+
+def test_clashing_column_names(spark):
+    """Tables whose other columns are named like the results."""
+    d = docs(spark, ["x@y.zz " * 30, "line\nline"]).selectExpr(
+        "*", "1 email", "2 base", "3 spans", "4 n_lines", "5 n_words", "6 kept", "7 n", "8 ids", "9 block", "10 host", "11 keys")
+    got = pii.personal_data(d)
+    assert got.columns.count("spans") == 1 and len(got.where("doc_id = 0").first().spans) == 30
+    assert line_dedup.drop_lines(d, counts=True).where("doc_id = 1").first().n_lines == 2
+    assert quality_rules.quality_rules(d).where("doc_id = 0").first().n_words == 30
+    assert bpe.token_digests(d).count() == simhash.simhash_components(d).count() == 2
+    assert packing.pack(d).first().n_tokens > 30 and simhash.drop_near_duplicates(d).columns == d.columns
