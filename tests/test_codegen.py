@@ -10,13 +10,13 @@ SMOKE = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
 def test_all_keys_compile_without_fallback(spark):
-    import __spark_entry__ as E
+    from panelspark.queries import QUERIES
     key = "spark.sql.codegen.fallback"
     before = spark.conf.get(key, "true")
     spark.conf.set(key, "false")
     try:
         failed = []
-        for name, fn in E.queries().items():
+        for name, fn in QUERIES.items():
             try:
                 fn(spark, SMOKE).write.format("noop").mode("overwrite").save()
             except Exception as e:  # noqa: BLE001

@@ -14,8 +14,8 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    import __spark_entry__ as E
-    return {k: plan(fn(spark, SF)) for k, fn in E.queries().items()}
+    from panelspark.queries import QUERIES
+    return {k: plan(fn(spark, SF)) for k, fn in QUERIES.items()}
 
 
 HTML_KEYS = {"html_node_text"}   # HTML parsing is the one Python (Arrow-batched) path
