@@ -23,6 +23,7 @@ no rows.
 from __future__ import annotations
 
 import base64
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from panelspark.llm.common import stored, type_of
 
 LENGTH, PAD_ID = 2048, 50_256
 BLOCK_TOKENS = 1 << 20
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 400_000
 BATCH = 256
 
 
@@ -103,33 +104,48 @@ def best_fit_decreasing(lengths: list[int], length: int) -> list[list[int]]:
 
 
 class Tokens:
-    """Pieces of the split pattern, each encoded once and kept up to a bound."""
+    """Words encoded by the ranks, each once and kept up to a bound (ids in
+    the little-endian order of the machines that Spark runs on)."""
 
     def __init__(self, ranks: str, pattern: str):
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in (x.split() for x in ranks.splitlines() if x)}
         self.encoding = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.kind = "<u2" if max(table.values(), default=0) < 1 << 16 else "<u4"
+        self.kind = "H" if max(table.values(), default=0) < 1 << 16 else "I"
         self.split = regex.compile(pattern)
         self.cache: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
+        """Ids of a whole text.  Where single spaces part its words, the split
+        pattern breaks before each of them, so a word with the space before it
+        is encoded on its own (and once); other texts go through the pattern."""
         if not text:
             return b""
         text = text.encode("utf-8", "replace").decode("utf-8")
-        get, out = self.cache.get, []
-        for p in self.split.findall(text):
-            x = get(p)
+        first, *rest = text.split(" ")
+        get, out = self.cache.get, [self._pieces(first)]
+        if rest and (not first or first[-1].isspace()):
+            return self._pieces(text)
+        for word in rest:
+            x = get(word)
             if x is None:
-                x = np.array(self.encoding.encode_ordinary(p), dtype=self.kind).tobytes()
+                if not word or word[0].isspace() or word[-1].isspace():
+                    return self._pieces(text)
+                x = self._ids(" " + word)
                 if len(self.cache) >= CACHE_ENTRIES:
                     self.cache.clear()
-                if len(p) <= 48:
-                    self.cache[p] = x
+                if len(word) <= 48:
+                    self.cache[word] = x
             out.append(x)
         return b"".join(out)
 
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self._ids, self.split.findall(text)))
+
+    def _ids(self, text: str) -> bytes:
+        return array(self.kind, self.encoding.encode_ordinary(text)).tobytes()
+
 
 _LOADED: dict[tuple, Tokens] = {}
 
@@ -141,7 +157,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     with open(path or default_path(), encoding="ascii") as f:
         ranks = f.read()
     pattern = pattern or default_pattern()
-    kind = Tokens(ranks, pattern).kind
+    kind = {"H": "<u2", "I": "<u4"}[Tokens(ranks, pattern).kind]
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
 
     def run(batches):
@@ -153,7 +169,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
             for i in range(0, whole.num_rows, BATCH):
                 b = whole.slice(i, BATCH)
                 ids = [tok.encode(t) for t in b.column(2).to_pylist()]
-                width = 2 if tok.kind == "<u2" else 4
+                width = 2 if tok.kind == "H" else 4
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array([len(x) // width for x in ids], pa.int64()),
                      pa.array(ids, pa.binary())], ["id", "key", "n", "ids"])

@@ -415,3 +415,13 @@ def test_clashing_column_names(spark):
     assert quality_rules.quality_rules(d).where("doc_id = 0").first().n_words == 30
     assert bpe.token_digests(d).count() == simhash.simhash_components(d).count() == 2
     assert packing.pack(d).first().n_tokens > 30 and simhash.drop_near_duplicates(d).columns == d.columns
+
+
+def test_packing_tokens_equal_the_public_library():
+    with open(packing.default_path(), encoding="ascii") as f:
+        tok = packing.Tokens(f.read(), packing.default_pattern())
+    rng = np.random.default_rng(12)
+    parts = ["a", "The", "don't", " ", "  ", "\n", "\n\n", "\t", ",", "é", "\xa0", "12", "!!", "\x1c", "😀", "word's"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(3000)]
+    for t in [*texts, " lead", "trail ", "one two, three.\nfour five", LONG]:
+        assert np.frombuffer(tok.encode(t), "<u2").tolist() == tok.encoding.encode_ordinary(t), repr(t)
