@@ -8,8 +8,8 @@ passages that returns sums of fixed size) gives ``RANK`` latent directions;
 corpus words outside the benchmark have no coordinate in that space.  One pass
 over the corpus projects overlapping windows of two passages, and a window is
 a candidate for a passage where both the latent cosine and the share of the
-passage's energy that lies in the window are high enough.  A candidate is
-verified on the words: the longest common subsequence of the item and the text
+passage's energy that lies in the window are high enough.  Every candidate
+window of a text and item is verified on the words until one holds: the longest common subsequence of the item and the text
 around the window must cover ``SURE`` of the item, or ``LIKELY`` of it while
 the answer (the ``answer`` column, else the item's last sentence) is there too:
 paraphrases keep both, a shared phrase does not.
@@ -129,7 +129,7 @@ class Index:
         # windows of two passages: a passage with weight, and the one before or after
         window = np.unique(np.concatenate([own, own - 1]))
         window = window[window >= 0]
-        best: dict[int, tuple[float, int]] = {}
+        found: dict[int, dict[int, float]] = {}   # item -> window -> cosine
         floor = SHARE * float(self.norm.min())
         for i in range(0, window.size, 4096):
             w = window[i:i + 4096]
@@ -144,23 +144,29 @@ class Index:
                     & (self.norm > 0))
             for r, c in zip(*np.nonzero(good)):
                 cos = float(dot[r, c] / (self.norm[c] * size[some[r]]))
-                key = int(self.item[c])
-                if cos > best.get(key, (0.0, 0))[0]:
-                    best[key] = (cos, int(w[some[r]]))
+                at_window = found.setdefault(int(self.item[c]), {})
+                at_window[int(w[some[r]])] = max(cos, at_window.get(int(w[some[r]]), 0.0))
         out = []
-        for n, (cos, w) in sorted(best.items()):
-            pattern = self.items.words[n]
-            m = len(pattern)
-            around = words[max(0, w * PASSAGE - m):(w + 2) * PASSAGE + m]
-            share = lcs(pattern, around) / m
-            if share < LIKELY:
-                continue
-            answer = self.items.answers[n]
-            told = lcs(answer, around) / len(answer)
-            if share >= SURE or told >= ANSWER:
-                out.append((n, cos, share, told))
+        for n, windows in sorted(found.items()):
+            # every candidate window, the nearest first, until one is verified
+            for w, cos in sorted(windows.items(), key=lambda x: (-x[1], x[0])):
+                told = self._verified(n, words, w)
+                if told:
+                    out.append((n, cos, *told))
+                    break
         return out
 
+    def _verified(self, n: int, words: list[bytes], w: int) -> tuple[float, float] | None:
+        """Shares of item ``n`` and of its answer around window ``w``."""
+        pattern, answer = self.items.words[n], self.items.answers[n]
+        m = len(pattern)
+        around = words[max(0, w * PASSAGE - m):(w + 2) * PASSAGE + m]
+        share = lcs(pattern, around) / m
+        if share < LIKELY:
+            return None
+        told = lcs(answer, around) / len(answer)
+        return (share, told) if share >= SURE or told >= ANSWER else None
+
     def _sums(self, ids, at, own, starts, low, high) -> np.ndarray:
         """Latent sums of the passages low..high."""
         sums = np.zeros((high - low + 1, self.vectors.shape[1]), dtype=np.float32)

@@ -355,6 +355,20 @@ def test_leaks_exact_and_paraphrased(spark):
     assert decontaminate.leaks(d, b.limit(0)).count() == 0 and decontaminate.leaks(d.limit(0), b).count() == 0
 
 
+def test_leaks_behind_a_decoy(spark):
+    """A quoted passage nearer than the copy does not hide the copy."""
+    rng = np.random.default_rng(16)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    items = [[word() for _ in range(40)] for _ in range(12)]
+    noise = lambda n: [word() for _ in range(n)]
+    texts = [" ".join([*noise(32), *items[k][:16], *noise(139), *items[k], *noise(60)]) for k in range(3)]
+    texts += [" ".join([*noise(32), *items[3][:16], *noise(139)])]
+    b = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(spark, texts), b).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2)}
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs(spark, texts), b).collect()] == [3]
+
+
 def test_randomised_svd_finds_the_leading_directions(spark):
     rng = np.random.default_rng(8)
     a = rng.standard_normal((30, 4)) @ rng.standard_normal((4, 25))
