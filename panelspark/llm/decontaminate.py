@@ -5,18 +5,21 @@ TF-IDF, the document frequencies counted over all passages of the corpus.  A
 randomised SVD of the benchmark's TF-IDF passages (range finder with power
 iterations; every product with the matrix is a distributed pass over the
 passages that returns sums of fixed size) gives ``RANK`` latent directions;
-corpus words outside the benchmark have no coordinate in that space.  One pass
-over the corpus projects overlapping windows of two passages, and a window is
-a candidate for a passage where both the latent cosine and the share of the
-passage's energy that lies in the window are high enough.  Every candidate
-window of a text and item is verified on the words until one holds: the longest common subsequence of the item and the text
+corpus words outside the benchmark have no coordinate in that space.  How much
+of a passage these directions hold falls with the size of the benchmark, so
+they rank candidates and choose none: one pass over the corpus looks up each
+text's words in lists of the items' rarer words, and every window of two
+passages around which ``LIKELY`` of an item's words stand is a candidate.  No
+item that can be verified is lost by that, at any size.  The candidate windows
+of a text and item are verified on the words, the highest latent cosine first,
+until one holds: the longest common subsequence of the item and the text
 around the window must cover ``SURE`` of the item, or ``LIKELY`` of it while
 the answer (the ``answer`` column, else the item's last sentence) is there too:
 paraphrases keep both, a shared phrase does not.
 
 The benchmark is taken in blocks of ``BLOCK`` items, each against all texts;
-what is broadcast for a block (its words, at most ``TERMS`` term vectors and
-its passage vectors) is bounded by that.  The corpus is never shuffled.
+what is broadcast for a block (its words and their lists, at most ``TERMS`` term
+vectors and its passage vectors) is bounded by that.  The corpus is never shuffled.
 
 Edge cases: null and empty texts and items match nothing; items without words
 are left out; repeated items are reported by their own ids, repeated rows as
@@ -38,13 +41,13 @@ from panelspark.llm.common import type_of
 
 PASSAGE = 16
 RANK, EXTRA, POWER = 192, 16, 2
-COSINE, SHARE = 0.4, 0.4
 SURE, LIKELY, ANSWER = 0.75, 0.6, 0.6
 MAX_DF = 0.1        # terms in a greater share of the corpus passages have no weight
 BLOCK = 20_000      # benchmark items per pass over the corpus
 TERMS = 1 << 16     # beyond so many terms in a block, terms share a vector by hash
 _BLANKED = bytes(32 if b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128 else b for b in range(256))
-BATCH = 256
+SIGNATURE = 0.3     # share of an item's words that must be met among its rarer ones
+SPAN = 768          # least number of words of a text that are counted together
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -81,25 +84,26 @@ class Items:
     words: list[list[bytes]]
     answers: list[list[bytes]]
     term: dict[bytes, int]        # word -> term number
+    place: np.ndarray             # term number -> number of its vector
     size: int                     # number of term vectors
-    passages: list[tuple[int, np.ndarray]]  # item, term numbers
+    passages: list[tuple[int, np.ndarray]]  # item, vector numbers
 
     @staticmethod
     def of(rows: list[tuple]) -> Items:
         kept = [(i, t, a) for i, t, a in rows if tokens(t)]
         words = [tokens(t) for _, t, _ in kept]
         seen = sorted({w for ws in words for w in ws})
+        term = {w: n for n, w in enumerate(seen)}
+        place = np.arange(len(seen))
         if len(seen) > TERMS:
-            term = {w: xxhash.xxh64_intdigest(w) % TERMS for w in seen}
-        else:
-            term = {w: n for n, w in enumerate(seen)}
+            place = np.array([xxhash.xxh64_intdigest(w) % TERMS for w in seen])
         passages = []
         for n, ws in enumerate(words):
             cuts = list(range(0, max(1, len(ws) - PASSAGE // 2), PASSAGE))
             for a, b in zip(cuts, [*cuts[1:], len(ws)]):
-                passages.append((n, np.array([term[w] for w in ws[a:b]], dtype=np.int32)))
+                passages.append((n, place[[term[w] for w in ws[a:b]]].astype(np.int32)))
         answers = [tokens(a) or _last_sentence(t) for _, t, a in kept]
-        return Items([i for i, _, _ in kept], words, answers, term, min(len(seen), TERMS), passages)
+        return Items([i for i, _, _ in kept], words, answers, term, place, min(len(seen), TERMS), passages)
 
 
 @dataclass
@@ -108,54 +112,122 @@ class Index:
     vectors: np.ndarray   # term -> weight times latent directions
     queries: np.ndarray   # latent passage vectors
     item: np.ndarray      # passage -> item
-    weighted: np.ndarray  # whether a term has a weight
 
     def __post_init__(self):
         self.norm = np.sqrt((self.queries ** 2).sum(axis=1))
+        self.first = np.searchsorted(self.item, np.arange(len(self.items.words) + 1))
+        self._signatures()
+
+    def _signatures(self) -> None:
+        """Postings term -> (item, times) of each item's rarer words.
+
+        A verified item has at least ``LIKELY`` of its words around a window.
+        So at most ``miss`` of them are absent, and of any ``miss + least`` of
+        its words at least ``least`` are there: no item is lost, whichever
+        words are taken.  The words that the fewest items have make the
+        shortest lists."""
+        own = [np.array([self.items.term[w] for w in ws], dtype=np.int64) for ws in self.items.words]
+        sets = [np.unique(t, return_counts=True) for t in own]
+        shared = np.bincount(np.concatenate([t for t, _ in sets]) if sets else np.zeros(0, dtype=np.int64),
+                             minlength=len(self.items.term))
+        self.need = np.array([np.ceil(LIKELY * t.size - 1e-6) for t in own], dtype=np.int64)
+        self.least = np.array([min(n, max(1, int(SIGNATURE * t.size))) for t, n in zip(own, self.need)],
+                              dtype=np.int64)
+        self.sets = sets
+        terms, items, times = [], [], []
+        for n, t in enumerate(own):
+            rare = t[np.lexsort((t, shared[t]))][:t.size - self.need[n] + self.least[n]]
+            u, c = np.unique(rare, return_counts=True)
+            terms.append(u)
+            items.append(np.full(u.size, n))
+            times.append(c)
+        terms = np.concatenate(terms) if terms else np.zeros(0, dtype=np.int64)
+        order = np.argsort(terms, kind="stable")
+        self.start = np.searchsorted(terms[order], np.arange(len(self.items.term) + 1))
+        self.post_item = np.concatenate(items)[order] if items else np.zeros(0, dtype=np.int64)
+        self.post_times = np.concatenate(times)[order] if times else np.zeros(0, dtype=np.int64)
+        self.reach = 2 * PASSAGE + 2 * max((t.size for t in own), default=0)
 
     def hits(self, text: str | None) -> list[tuple[int, float, float, float]]:
         """(item, cosine, share of the item's words, share of its answer)."""
         words = tokens(text)
-        if not words or not self.item.size:
+        if not words or not self.items.words:
             return []
-        ids = np.fromiter(map(self.items.term.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+        ids = np.fromiter(map(self.items.term.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         at = np.flatnonzero(ids >= 0)
-        at = at[self.weighted[ids[at]]]
         if not at.size:
             return []
-        block = at // PASSAGE
-        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        own = block[starts]
-        # windows of two passages: a passage with weight, and the one before or after
-        window = np.unique(np.concatenate([own, own - 1]))
-        window = window[window >= 0]
-        found: dict[int, dict[int, float]] = {}   # item -> window -> cosine
-        floor = SHARE * float(self.norm.min())
-        for i in range(0, window.size, 4096):
-            w = window[i:i + 4096]
-            sums = self._sums(ids, at, own, starts, int(w[0]), int(w[-1]) + 1)
-            x = sums[w - w[0]] + sums[w - w[0] + 1]
-            size = np.sqrt((x ** 2).sum(axis=1))
-            some = np.flatnonzero(size >= floor)
-            if not some.size:
-                continue
-            dot = x[some] @ self.queries.T
-            good = ((dot >= SHARE * self.norm ** 2) & (dot >= COSINE * self.norm * size[some][:, None])
-                    & (self.norm > 0))
-            for r, c in zip(*np.nonzero(good)):
-                cos = float(dot[r, c] / (self.norm[c] * size[some[r]]))
-                at_window = found.setdefault(int(self.item[c]), {})
-                at_window[int(w[some[r]])] = max(cos, at_window.get(int(w[some[r]]), 0.0))
         out = []
-        for n, windows in sorted(found.items()):
-            # every candidate window, the nearest first, until one is verified
-            for w, cos in sorted(windows.items(), key=lambda x: (-x[1], x[0])):
+        for n in self._likely(ids, at):
+            # every window with enough of the item's words around it, the nearest first
+            windows = self._windows(n, ids, at, len(words))
+            for w, cos in self._ranked(n, ids, windows):
                 told = self._verified(n, words, w)
                 if told:
                     out.append((n, cos, *told))
                     break
         return out
 
+    def _likely(self, ids: np.ndarray, at: np.ndarray) -> list[int]:
+        """Items that have enough words of their signature in one stretch of
+        the text; stretches overlap by what is compared around a window."""
+        span = max(SPAN, 2 * self.reach)
+        found: set[int] = set()
+        for a in range(0, ids.size, span - self.reach):
+            low, high = np.searchsorted(at, (a, a + span))
+            if low < high:
+                u = np.unique(ids[at[low:high]])
+                sizes = self.start[u + 1] - self.start[u]
+                ends = np.cumsum(sizes)
+                if ends[-1]:
+                    post = np.arange(ends[-1]) + np.repeat(self.start[u] - ends + sizes, sizes)
+                    met = np.bincount(self.post_item[post], self.post_times[post], self.least.size)
+                    found.update(np.flatnonzero(met >= self.least).tolist())
+            if a + span >= ids.size:
+                break
+        return sorted(found)
+
+    def _windows(self, n: int, ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """Windows around which enough words of item ``n`` stand, each counted
+        at most as often as the item has it."""
+        terms, times = self.sets[n]
+        where = np.minimum(np.searchsorted(terms, ids[at]), terms.size - 1)
+        mine = terms[where] == ids[at]
+        position, where = at[mine], where[mine]
+        if position.size < self.need[n]:
+            return np.zeros(0, dtype=np.int64)
+        m = len(self.items.words[n])
+        w = np.arange(-(-size // PASSAGE))
+        low = np.searchsorted(position, w * PASSAGE - m)
+        high = np.searchsorted(position, (w + 2) * PASSAGE + m)
+        w = np.flatnonzero(high - low >= self.need[n])
+        enough = []
+        for i in range(0, w.size, 4096):
+            lo, hi = low[w[i:i + 4096]], high[w[i:i + 4096]]
+            first, last = lo[0], hi[-1]
+            met = np.zeros((last - first + 1, terms.size), dtype=np.int32)
+            met[np.arange(1, last - first + 1), where[first:last]] = 1
+            np.cumsum(met, axis=0, out=met)
+            count = np.minimum(met[hi - first] - met[lo - first], times).sum(axis=1)
+            enough.append(w[i:i + 4096][count >= self.need[n]])
+        return np.concatenate(enough) if enough else np.zeros(0, dtype=np.int64)
+
+    def _ranked(self, n: int, ids: np.ndarray, windows: np.ndarray) -> list[tuple[int, float]]:
+        """Windows with their best latent cosine to a passage of item ``n``."""
+        if not windows.size:
+            return []
+        queries = self.queries[self.first[n]:self.first[n + 1]]
+        norm = self.norm[self.first[n]:self.first[n + 1]]
+        cosine = np.zeros(windows.size)
+        for k, w in enumerate(windows):
+            own = ids[w * PASSAGE:(w + 2) * PASSAGE]
+            x = self.vectors[self.items.place[own[own >= 0]]].sum(axis=0)
+            size = float(np.sqrt((x ** 2).sum()))
+            if size > 0 and norm.size and norm.max() > 0:
+                cosine[k] = max(0.0, float((queries @ x / np.maximum(norm, 1e-12)).max()) / size)
+        order = np.lexsort((windows, -cosine))
+        return [(int(windows[k]), float(cosine[k])) for k in order]
+
     def _verified(self, n: int, words: list[bytes], w: int) -> tuple[float, float] | None:
         """Shares of item ``n`` and of its answer around window ``w``."""
         pattern, answer = self.items.words[n], self.items.answers[n]
@@ -167,20 +239,11 @@ class Index:
         told = lcs(answer, around) / len(answer)
         return (share, told) if share >= SURE or told >= ANSWER else None
 
-    def _sums(self, ids, at, own, starts, low, high) -> np.ndarray:
-        """Latent sums of the passages low..high."""
-        sums = np.zeros((high - low + 1, self.vectors.shape[1]), dtype=np.float32)
-        a, b = np.searchsorted(own, low), np.searchsorted(own, high, side="right")
-        if a < b:
-            first, last = starts[a], starts[b] if b < starts.size else at.size
-            rows = self.vectors[ids[at[first:last]]]
-            sums[own[a:b] - low] = np.add.reduceat(rows, starts[a:b] - first, axis=0)
-        return sums
-
 
 def _frequencies(docs: DataFrame, items: Items, text_col: str) -> tuple[np.ndarray, int]:
     """Corpus passages with each term, and all corpus passages."""
-    term, size = docs.sparkSession.sparkContext.broadcast(items.term), items.size
+    places = dict(zip(items.term, items.place.tolist()))
+    term, size = docs.sparkSession.sparkContext.broadcast(places), items.size
 
     def run(batches):
         count, total = np.zeros(size, dtype=np.int64), 0
@@ -257,14 +320,14 @@ def build(docs: DataFrame, items: Items, text_col: str = "text", rank: int = RAN
             owner.append(n)
     if not sparse:
         return Index(items, np.zeros((items.size, 1), np.float32), np.zeros((0, 1), np.float32),
-                     np.zeros(0, int), weighted)
+                     np.zeros(0, int))
     parts = -(-len(sparse) // 5000)
     rows = spark.createDataFrame([(t.tolist(), [float(x) for x in v]) for t, v in sparse],
                                  "terms array<int>, weights array<float>").repartition(parts)
     directions = randomised_svd(rows, items.size, rank)
     vectors = directions * idf[:, None]
     queries = np.stack([(v[:, None] * directions[t]).sum(axis=0) for t, v in sparse])
-    return Index(items, np.ascontiguousarray(vectors), queries.astype(np.float32), np.array(owner), weighted)
+    return Index(items, np.ascontiguousarray(vectors), queries.astype(np.float32), np.array(owner))
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str):

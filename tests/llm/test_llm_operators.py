@@ -369,6 +369,38 @@ def test_leaks_behind_a_decoy(spark):
     assert [r.doc_id for r in decontaminate.drop_leaks(docs(spark, texts), b).collect()] == [3]
 
 
+def test_leaks_with_fewer_directions_than_passages(spark):
+    """Copies are found however little of a passage the latent space holds."""
+    rng = np.random.default_rng(17)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(3000)]
+    word = lambda: vocabulary[rng.integers(3000)]
+    items = [" ".join(word() for _ in range(20)) for _ in range(60)]
+    texts = [" ".join([*(word() for _ in range(100)), t, *(word() for _ in range(100))]) for t in items]
+    b = spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(spark, texts), b, rank=2).collect()}
+    assert got == {(i, i) for i in range(60)}
+
+
+def test_candidates_equal_brute_force():
+    """All windows of all texts verified, against the listed ones."""
+    rng = np.random.default_rng(18)
+    draw = lambda n: [f"w{int(x)}" for x in rng.zipf(1.3, n) % 400]
+    items = [draw(n) for n in [1, 2, 5, 16, 30, 45, 200, 30, 8]]
+    its = decontaminate.Items.of([(i, " ".join(t), None) for i, t in enumerate(items)])
+    index = decontaminate.Index(its, np.zeros((its.size, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, int))
+    total = 0
+    for n in (5, 100, 900, 3000):
+        for t in items:
+            a = int(rng.integers(n))
+            text = [*draw(a), *(x if rng.random() < 0.8 else "other" for x in t), *draw(n - a)]
+            words = decontaminate.tokens(" ".join(text))
+            want = {k for k in range(len(items)) for w in range(-(-len(words) // decontaminate.PASSAGE))
+                    if index._verified(k, words, w)}
+            assert {h[0] for h in index.hits(" ".join(text))} == want
+            total += len(want)
+    assert total > 36
+
+
 def test_randomised_svd_finds_the_leading_directions(spark):
     rng = np.random.default_rng(8)
     a = rng.standard_normal((30, 4)) @ rng.standard_normal((4, 25))
