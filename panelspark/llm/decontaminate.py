@@ -42,7 +42,6 @@ from panelspark.llm.common import type_of
 PASSAGE = 16
 RANK, EXTRA, POWER = 192, 16, 2
 SURE, LIKELY, ANSWER = 0.75, 0.6, 0.6
-MAX_DF = 0.1        # terms in a greater share of the corpus passages have no weight
 BLOCK = 20_000      # benchmark items per pass over the corpus
 TERMS = 1 << 16     # beyond so many terms in a block, terms share a vector by hash
 _BLANKED = bytes(32 if b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128 else b for b in range(256))
@@ -308,16 +307,12 @@ def randomised_svd(rows: DataFrame, size: int, rank: int = RANK) -> np.ndarray:
 def build(docs: DataFrame, items: Items, text_col: str = "text", rank: int = RANK) -> Index:
     spark = docs.sparkSession
     count, total = _frequencies(docs, items, text_col)
-    idf = np.log((1 + total) / (1 + count)).astype(np.float32)
-    weighted = count <= MAX_DF * total
-    idf[~weighted] = 0.0
+    idf = np.log1p(total / (1 + count)).astype(np.float32)   # frequent terms weigh little, none nothing
     sparse, owner = [], []
     for n, ids in items.passages:
         terms, tf = np.unique(ids, return_counts=True)
-        keep = weighted[terms]
-        if keep.any():
-            sparse.append((terms[keep], (tf[keep] * idf[terms[keep]]).astype(np.float32)))
-            owner.append(n)
+        sparse.append((terms, (tf * idf[terms]).astype(np.float32)))
+        owner.append(n)
     if not sparse:
         return Index(items, np.zeros((items.size, 1), np.float32), np.zeros((0, 1), np.float32),
                      np.zeros(0, int))

@@ -381,6 +381,20 @@ def test_leaks_with_fewer_directions_than_passages(spark):
     assert got == {(i, i) for i in range(60)}
 
 
+def test_leaks_of_the_most_copied_item(spark):
+    """An item whose copies make all its words frequent is found in each, and
+    so is an item of frequent words alone."""
+    rng = np.random.default_rng(19)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    hot, plain = [[word() for _ in range(16)] for _ in range(2)]
+    texts = [" ".join(hot)] * 20 + [" ".join(word() for _ in range(30)) for _ in range(40)]
+    texts += [" ".join([*(word() for _ in range(20)), *plain])]
+    b = spark.createDataFrame([(0, " ".join(hot)), (1, " ".join(plain)), (2, " ".join(hot[:15]))], "item_id bigint, text string")
+    out = decontaminate.leaks(docs(spark, texts), b).collect()
+    assert {(r.doc_id, r.item_id) for r in out} == {(i, k) for i in range(20) for k in (0, 2)} | {(60, 1)}
+    assert all(r.similarity > 0.5 for r in out)
+
+
 def test_candidates_equal_brute_force():
     """All windows of all texts verified, against the listed ones."""
     rng = np.random.default_rng(18)
