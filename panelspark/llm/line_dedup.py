@@ -5,8 +5,9 @@ repeats there) are divided by all pages of the host; lines above ``max_ratio``
 on at least ``min_pages`` pages are boilerplate and are dropped.  Lines are
 compared without surrounding blanks; blank lines are neither counted nor
 dropped.  A page that would lose more than ``max_loss`` of its characters in
-this way is a copy of other pages rather than a page with boilerplate, so it
-stays as it is for the near-duplicate stages.
+this way stays as it is; without ``max_loss`` (the pipeline) the lines go
+whatever share that is, and only a page of which no line would be left, a copy
+of other pages, stays as it is for the near-duplicate stages.
 
 The counts are one pre-aggregated shuffle of 16-byte line keys.  A host has at
 most (lines per page / max_ratio) boilerplate lines, so each host's list is
@@ -61,7 +62,7 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-               max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, max_loss: float = MAX_LOSS,
+               max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, max_loss: float | None = MAX_LOSS,
                counts: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines cut from ``text_col``; with
     ``counts`` also ``n_lines`` and ``n_dropped`` (columns of ``docs`` with
@@ -76,7 +77,11 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     new = F.array_join("__kept", "\n")
     # line breaks do not count, so that a page is measured by its lines alone
     size = lambda t: F.char_length(F.translate(t, "\n", ""))
-    keep = F.col("__kept").isNotNull() & (size(new) >= (1 - max_loss) * size(text))
+    if max_loss is None:
+        enough = F.exists("__kept", lambda x: _trim(x) != "")
+    else:
+        enough = size(new) >= (1 - max_loss) * size(text)
+    keep = F.col("__kept").isNotNull() & enough
     out = cut.withColumn("__new", F.when(keep, new).otherwise(text))
     cols = [F.col("__new").alias(c) if c == text_col else F.col(c) for c in names
             if not counts or c not in ("n_lines", "n_dropped")]

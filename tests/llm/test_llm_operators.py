@@ -196,6 +196,17 @@ def test_line_dedup_by_host(spark):
     assert line_dedup.drop_lines(d.limit(0)).count() == 0
 
 
+def test_pipeline_cuts_boilerplate_from_short_pages(spark):
+    import corpus_pipeline as P
+    passage = " ".join(["passage"] * 55)
+    rows = [(i, f"few own words {i}\n{passage}" if i < 10 else f"own page {i}", "h") for i in range(40)]
+    rows += [(90, passage + "\n ", "h")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.text for r in P.line_filter(spark, d, "").collect()}
+    assert all(got[i] == f"few own words {i}" for i in range(10))
+    assert got[90] == rows[-1][1] and got[20] == "own page 20" and len(got) == 41
+
+
 def test_host_of_url(spark):
     from pyspark.sql import functions as F
     rows = [("https://User@Www.A.org:80/x?y#z",), ("http://b.example/",), ("no url",), (None,)]
