@@ -192,7 +192,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Keep one row of each component: the one with the least id.  Of repeated
-    rows with that id one stays; a component without ids keeps one row."""
+    rows with that id one stays in each component that it leads; a component
+    without ids keeps one row."""
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     labels = stored(label_fingerprints(fps, max_bits), "simhash-labels")
     member = fps.join(labels, "fp")
@@ -208,7 +209,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     repeated = (docs.join(odd.where("keep").select(F.col("id").alias(id_col)), id_col, "left_semi")
                 .select(docs.columns))
     if odd.limit(1).count():
-        plain = plain.unionByName(repeated.dropDuplicates([id_col]))
+        lead = labels.select(F.col("fp").alias("__fp"), F.col("component_id").alias("__component"),
+                             F.col("label").alias("__label"))
+        led = (_with_fp(repeated, text_col, shingle).join(lead, "__fp")
+               .where(F.col(id_col) == F.col("__component")))
+        plain = plain.unionByName(led.dropDuplicates([id_col, "__label"]).select(docs.columns))
     if ids.where("id is null").limit(1).count():
         bare = docs.where(F.col(id_col).isNull())
         keys = stored(fingerprints(bare.select(F.lit(0).alias("z"), text_col).dropDuplicates([text_col]),

@@ -113,6 +113,14 @@ def test_near_dedup_keeps_one_row_per_component(spark):
     assert simhash.drop_near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_dedup_keeps_each_component_of_a_repeated_id(spark):
+    texts = ["a b c d e f", "other words in this one here", "a b c d e f", "other words in this one here"]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (7, texts[0]), (8, texts[1]), (9, "third text of its own here"),
+            (4, "a text with a lower id than the rest"), (5, "a text with a lower id than the rest")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, simhash.drop_near_duplicates(d).collect())) == sorted([rows[0], rows[1], rows[5], rows[6]])
+
+
 # ---- WARC ----
 
 def pages(spark, rows):
