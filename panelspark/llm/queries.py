@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontaminate, line_dedup, packing, pii, quality_nbsvm, quality_rules, simhash, toxicity, warc
+from panelspark.llm import bpe, decontaminate, line_dedup, packing, pii, quality_nbsvm, quality_rules, simhash, substring_dedup, toxicity, warc
 from panelspark.llm.common import crc_mod, table
 
 
@@ -74,6 +74,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 _OP1_SQL = """
@@ -160,8 +166,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM o"""
 
 
+_OP13_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT r, ws, unnest(range(1, len(ws) - {substring_dedup.WINDOW} + 2)) AS i FROM d
+      WHERE len(ws) >= {substring_dedup.WINDOW}),
+h AS (SELECT r, i, array_to_string(ws[i:i + {substring_dedup.WINDOW} - 1], ' ') AS w FROM g),
+f AS (SELECT r, i FROM h QUALIFY count(*) OVER (PARTITION BY w) > 1),
+p AS (SELECT DISTINCT r, unnest(range(i, i + {substring_dedup.WINDOW})) AS k FROM f),
+c AS (SELECT r, list(k) AS ks FROM p GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(ws, lambda w, i: NOT list_contains(coalesce(ks, []), i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN c USING (r)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": _OP1_SQL,
     "op9_line_dedup": _OP9_SQL,
     "op10_quality_rules": _op10_sql(),
+    "op13_substring_dedup": _OP13_SQL,
 }
