@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontaminate, line_dedup, packing, pii, quality_nbsvm, quality_rules, simhash, substring_dedup, toxicity, warc
+from panelspark.llm import bpe, collocations, decontaminate, lexical_search, line_dedup, packing, pii, quality_nbsvm, quality_rules, simhash, substring_dedup, toxicity, warc
 from panelspark.llm.common import crc_mod, table
 
 
@@ -74,6 +74,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
@@ -90,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_collocations": op12_collocations,
     "op13_substring_dedup": op13_substring_dedup,
 }
 
@@ -166,6 +176,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM o"""
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT count(*) AS nd, CAST(sum(len(ts)) AS BIGINT) AS total FROM d WHERE len(ts) > 0),
+q AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS ts FROM benchmark),
+qt AS (SELECT i, item_id, unnest(ts) AS t FROM q),
+o AS (SELECT r, unnest(ts) AS t FROM d),
+dt AS (SELECT r, t, count(*) AS tf FROM o GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM dt, s GROUP BY t),
+m AS (SELECT r, doc_id, 100 - 50 + (50 * len(ts) * nd) // total AS m FROM d, s WHERE len(ts) > 0),
+sc AS (SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+       FROM qt JOIN w USING (t) JOIN dt USING (t) JOIN m USING (r) GROUP BY ALL HAVING score > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM sc QUALIFY rank <= {lexical_search.TOP}"""
+
+_OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, r, unnest(regexp_extract_all(t, '[^.,;:!?\\x0A-\\x0D]+')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, 1 AS k, unnest(ws) AS g FROM w
+      UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+      UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1),
+                                                      lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+f AS (SELECT lang, k, g, count(*) AS c FROM g GROUP BY ALL HAVING c >= {collocations.MIN_COUNT}),
+c AS (SELECT *, string_split(g, ' ') AS ws, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.k, c.g, c.ws, c.c AS a, cut, x.c AS l, y.c AS r,
+             CAST((1000000 * CAST(c.c AS HUGEINT) * c.c) // (CAST(x.c AS HUGEINT) * y.c) AS BIGINT) AS score
+      FROM c JOIN f AS x ON x.lang = c.lang AND x.g = array_to_string(ws[1:cut], ' ')
+             JOIN f AS y ON y.lang = c.lang AND y.g = array_to_string(ws[cut + 1:], ' ')
+      QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, cut) = 1),
+longer AS (SELECT lang, h, max(a) AS most FROM (
+      SELECT lang, a, ws[1] || ' ' || ws[2] AS h FROM s WHERE k = 3
+      UNION ALL SELECT lang, a, ws[2] || ' ' || ws[3] FROM s WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT s.* FROM s LEFT JOIN longer ON k = 2 AND longer.lang = s.lang AND h = g
+         WHERE most IS NULL OR 100 * most < {collocations.SHARE} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= {collocations.TOP}"""
+
 _OP13_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -184,5 +236,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_warc": _OP1_SQL,
     "op9_line_dedup": _OP9_SQL,
     "op10_quality_rules": _op10_sql(),
+    "op11_lexical_search": _OP11_SQL,
+    "op12_collocations": _OP12_SQL,
     "op13_substring_dedup": _OP13_SQL,
 }
