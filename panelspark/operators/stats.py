@@ -6,64 +6,43 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelspark.functions.semantics import col_, rround
+from panelspark.operators.selection import BOUND, interpolated, values_at, wanted_ranks
+from panelspark.sources.tables import literal_table, stored
 
 # The 20 breakpoint probabilities 0, 0.05, ..., 0.95 and the
 # colour ramp that runs from 255 down to 40 over the 21 buckets.
 DEFAULT_PROBS = tuple(round(0.05 * i, 2) for i in range(20))
 RAMP_TOP, RAMP_BOTTOM = 255, 40
-BUCKETS = 64  # parts of a column's distinct values in the exact quantiles
 
 
 def quantile_breaks(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = DEFAULT_PROBS,
-                    approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                    approx: bool = False, accuracy: int = 10000, bound: int = BOUND) -> DataFrame:
     """One row, one array<double> of breakpoints per column.
 
-    Exact (linear interpolation, NULLs skipped) by default, without all
-    values of a column in one task: rows are counted per distinct value, a
-    bounded sketch of the values gives ``BUCKETS`` cuts, and the positions
-    are found from the buckets' totals first and then inside the few buckets
-    that hold one, each a small part of the column.  ``approx=True`` uses one
+    Exact (linear interpolation, NULLs skipped) by default and of any size:
+    the columns are written once and counted on the way, then the wanted ranks
+    are found by distributed selection (``operators/selection.py``); no task
+    reads more than ``bound`` values at once.  ``approx=True`` uses one
     ``percentile_approx`` pass with bounded memory instead."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
         return df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c)
                         for c in cols])
-    # one pass over the input: (column, value) pairs, counted per pair
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in cols])))
-    counts = (pairs.filter(F.col("_v").isNotNull())
-                   .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    cuts = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    bounds = counts.groupBy("_c").agg(F.percentile_approx("_v", cuts, 10 * BUCKETS).alias("_cuts"))
-    placed = counts.join(bounds, "_c").select(
-        "_c", "_v", "_n", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_b"))
-    # at most BUCKETS rows per column from here on
-    totals = placed.groupBy("_c", "_b").agg(F.sum("_n").alias("_m")).groupBy("_c").agg(
-        F.sort_array(F.collect_list(F.struct("_b", "_m"))).alias("_all"))
-    upto = lambda b: F.aggregate(F.filter("_all", lambda x: x["_b"] < b), F.lit(0).cast("long"),
-                                 lambda k, x: k + x["_m"])
-    ranks = totals.select("_c", F.transform("_all", lambda x: F.struct(
-        x["_b"].alias("_b"), upto(x["_b"]).alias("_start"), x["_m"].alias("_m"))).alias("_all")).withColumn(
-        "_at", F.transform(arr, lambda p: p * (F.aggregate("_all", F.lit(0).cast("long"), lambda k, x: k + x["_m"]) - 1)))
-    ranks = ranks.withColumn("_ranks", F.array_distinct(F.flatten(F.transform(
-        "_at", lambda x: F.array(F.floor(x), F.ceil(x))))))
-    held = ranks.select("_c", "_ranks", F.inline("_all")).where(F.exists(
-        "_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_m")))).drop("_m")
-    w = Window.partitionBy("_c", "_b").orderBy("_v")
-    walked = placed.join(held, ["_c", "_b"]).withColumn("_end", F.col("_start") + F.sum("_n").over(w))
-    found = walked.select("_c", "_v", F.explode(F.filter(
-        "_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))).alias("_r"))
-    values = found.groupBy("_c").agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_value"))
-    value = lambda r: F.try_element_at("_value", r)
-    broken = values.join(ranks.select("_c", "_at"), "_c").select("_c", F.transform("_at", lambda x: F.when(
-        F.floor(x) == F.ceil(x), value(F.floor(x))).otherwise(
-        (F.ceil(x) - x) * value(F.floor(x)) + (x - F.floor(x)) * value(F.ceil(x)))).alias("_b"))
-    # one row, one column per input column (a pivot of the tiny long table)
-    return broken.groupBy().pivot("_c", list(cols)).agg(F.first("_b"))
+    cols = list(cols)
+    seen = Observation()
+    kept = stored(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).observe(
+        seen, *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]), "quantile-input")
+    figures = seen.get  # counted while writing
+    rows = {c: figures[f"n{i}"] for i, c in enumerate(cols)}
+    pairs = kept.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").alias("v")) for c in cols]))).where("v is not null")
+    found = values_at(pairs, {c: wanted_ranks(rows[c], probs) for c in cols}, rows, probs, bound)
+    breaks = [[interpolated(found, c, rows[c], p) for p in probs] if rows[c] else None for c in cols]
+    return literal_table(df.sparkSession, [tuple(breaks)], ", ".join(f"`{c}` array<double>" for c in cols))
 
 
 def bucket_of(x, breaks: Column, n_breaks: int | None = None) -> Column:

@@ -15,6 +15,7 @@ from panelspark.operators.reshape import wide_to_long
 from panelspark.operators.select import rows_at_max, top_n
 from panelspark.operators.stats import quantile_breaks, with_buckets
 from panelspark.operators.window import latest_flag
+from panelspark.sources.tables import stored
 
 # Fixed value: the label for a missing sub-entity name.
 MISSING_STATE_LABEL = "State Not Given"
@@ -128,7 +129,8 @@ def latest_points(df: DataFrame, location: Sequence[str], date: str, state: str,
 
 def overview_buckets(table: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Per-column 20 quantile breaks and each cell's bucket / colour
-    level.  Breaks come from one aggregate."""
+    level.  The table is written once: the breaks and the result read it."""
+    table = stored(table, "overview")
     return with_buckets(table, cols, quantile_breaks(table, cols, approx=approx))
 
 

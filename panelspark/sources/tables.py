@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.semantics import empty_if_null, to_type
+from panelspark.session import checkpoint_dir
 
 # The four stored tables, their columns/types and keys.
 CCDR_SCHEMA = T.StructType([
@@ -119,6 +121,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
     return df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """An intermediate table in the shared folder (``spark.checkpoint.dir``),
+    written once and read back: cuts the lineage, survives a lost executor.
+    The folder's retention policy removes it."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/work/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_compressed(df: DataFrame, path: str, codec: str = "gzip") -> None:
     """Compressed serialized write."""
     df.write.mode("overwrite").option("compression", codec).parquet(path)
