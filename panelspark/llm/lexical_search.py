@@ -62,7 +62,7 @@ class Block:
     """The items of one block: numbered terms, and each bundle's item terms."""
 
     def __init__(self, items: list[tuple[object, list[bytes]]]):
-        self.ids = [i for i, _ in items]
+        self.ids, self.bundle = [i for i, _ in items], BUNDLE
         self.number = _Known()
         for _, ts in items:
             for t in ts:
@@ -220,7 +220,7 @@ class _Stage:
                 least = np.partition(acc, n.size - self.k, axis=1)[:, n.size - self.k]
                 acc[acc < least[:, None]] = 0
         else:
-            floor = self.floor[bundle * BUNDLE:bundle * BUNDLE + size]
+            floor = self.floor[bundle * b.bundle:bundle * b.bundle + size]
             closed = self.ahead(bundle, info, self.stage) < floor  # nothing new can reach the floor
             acc[closed[:, None] & ~alive] = 0
             rest = 0 if self.last else self.ahead(bundle, info, self.stage + 1)[:, None]
@@ -249,7 +249,7 @@ class _Stage:
                             names=["bundle", "shard", "items", "at", "scores"])
         if self.floor is None:
             item, at = np.nonzero(acc)
-            pair, n = np.unique(np.stack([item + bundle * BUNDLE, bucket(acc[item, at])]), axis=1, return_counts=True)
+            pair, n = np.unique(np.stack([item + bundle * self.block.bundle, bucket(acc[item, at])]), axis=1, return_counts=True)
             return pa.table([pa.array(pair[0].astype(np.int32)), pa.array(pair[1].astype(np.int32)),
                              pa.array(n.astype(np.int64))], names=["item", "bucket", "n"])
         out: list[list] = [[], [], []]
@@ -260,7 +260,7 @@ class _Stage:
                 at = at[scores[at] >= least]
             best = sorted(((-int(scores[j]), info["ids"][j] is None, info["ids"][j]) for j in at),
                           key=lambda x: x[:2] + ((0,) if x[1] else (x[2],)))[:self.k]
-            out[0] += [i + bundle * BUNDLE] * len(best)
+            out[0] += [i + bundle * self.block.bundle] * len(best)
             out[1] += [x[2] for x in best]
             out[2] += [-x[0] for x in best]
         kind = right.schema.field("ids").type.value_type
