@@ -47,22 +47,37 @@ from panelspark.llm.bitfilter import mix
 from panelspark.llm.common import stored, type_of
 
 WINDOW, ROUNDS = 35, 3
-CHUNK_WORDS = 1 << 20   # words parsed together
-CACHE_WORDS = 1 << 19   # word names a worker keeps
+CHUNK_BYTES = 1 << 23   # text parsed together
 _EDGE = np.uint64(0)    # the symbol between two texts
 _SALTS = mix(np.arange(1, 65, dtype=np.uint64))  # one for each round's classes
-
-
-class _Names(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        name = xxhash.xxh64_intdigest(word) or 1
-        self[word] = name
-        return name
-
-
-_NAMES = _Names()
+_BYTE_HASH = mix(np.arange(1, 32 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[32, *range(9, 14)]] = True  # fixed values: the blanks of the contracts
+
+
+def _taken_apart(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts: ``(bytes, start, end, text, name)``.  ``bytes``
+    has one space behind each word, the others per word: its place there, the
+    number of its text, and its name, a sum of hashes of its bytes by place."""
+    raw = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    blank = _BLANK[raw]
+    begin = np.flatnonzero(~blank & np.append(True, blank[:-1]))
+    ends = np.flatnonzero(blank & np.append(False, ~blank[:-1]))
+    size = ends - begin
+    start = np.cumsum(size + 1) - size - 1
+    keep = ~blank
+    keep[ends] = True
+    joined = raw[keep]
+    joined[start + size] = 32
+    first = np.cumsum(np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts)))
+    text = np.searchsorted(first, begin, "right")
+    inner = raw[~blank]
+    at = np.cumsum(size) - size
+    place = np.arange(inner.size, dtype=np.int32) - np.repeat(at.astype(np.int32), size)
+    value = _BYTE_HASH[((place & 31) << 8) | inner]
+    name = mix(np.add.reduceat(value, at)) if at.size else np.zeros(0, dtype=np.uint64)
+    name[name == _EDGE] = 1
+    return joined, start, start + size, text, name
 
 
 def _name(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -103,12 +118,12 @@ def _round(sym: np.ndarray, lo: np.ndarray, hi: np.ndarray, number: int):
 def _least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Index of the least value in each range ``[lo, hi)``, the first of equal ones."""
     size = hi - lo
-    tables = [np.arange(values.size)]
+    tables = [np.arange(values.size, dtype=np.int32)]
     while 2 << (len(tables) - 1) <= size.max(initial=1):
         t, step = tables[-1], 1 << (len(tables) - 1)
         a, b = t[:-step], t[step:]
         tables.append(np.where(values[b] < values[a], b, a))
-    out = np.empty(size.size, dtype=np.int64)
+    out = np.empty(size.size, dtype=np.int32)
     power = np.frexp(size.astype(np.float64))[1] - 1
     for k, t in enumerate(tables):
         own = np.flatnonzero(power == k)
@@ -123,9 +138,9 @@ def anchors(sym: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.n
     words with ``0`` before, between and behind texts."""
     n = sym.size
     edges = np.cumsum(sym == _EDGE)
-    todo = np.arange(max(0, n - window + 1))
+    todo = np.arange(max(0, n - window + 1), dtype=np.int32)
     todo = todo[(edges[todo + window - 1] == edges[todo]) & (sym[todo] != _EDGE)]
-    level = (sym, np.arange(n), np.arange(1, n + 1))
+    level = (sym, np.arange(n, dtype=np.int32), np.arange(1, n + 1, dtype=np.int32))
     levels = [level]
     for r in range(rounds):
         level = _round(*level, r)
@@ -144,25 +159,23 @@ def anchors(sym: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.n
         todo = todo[~has]
     if not found:
         return np.zeros((0, 4), dtype=np.int64)
-    at, lo, hi = np.concatenate(found, axis=1)[:, np.argsort(np.concatenate([f[0] for f in found]), kind="stable")]
+    at, lo, hi = np.concatenate(found, axis=1).astype(np.int64)
+    if len(found) > 1:
+        order = np.argsort(at, kind="stable")
+        at, lo, hi = at[order], lo[order], hi[order]
     new = np.ones(at.size, dtype=bool)
     new[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)
     return np.stack([at[first], np.diff(np.append(first, at.size)), lo[first], hi[first]], axis=1)
 
 
-def _split(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").split()  # the blanks of the contracts
-
-
 def _chunks(texts):
-    """Lists of split texts of about ``CHUNK_WORDS`` words together."""
+    """Lists of encoded texts of about ``CHUNK_BYTES`` together."""
     part, size = [], 0
     for text in texts:
-        words = _split(text)
-        part.append(words)
-        size += len(words) + 1
-        if size >= CHUNK_WORDS:
+        part.append((text or "").encode("utf-8", "surrogatepass"))
+        size += len(part[-1]) + 1
+        if size >= CHUNK_BYTES:
             yield part
             part, size = [], 0
     if part:
@@ -170,28 +183,33 @@ def _chunks(texts):
 
 
 class _Parsed:
-    """The anchors of a chunk of texts and the bytes of their words."""
-
-    def __init__(self, chunk: list[list[bytes]], window: int, rounds: int):
-        flat = [b""]
-        for words in chunk:
-            flat += words
-            flat.append(b"")
-        self.first = np.cumsum([1] + [len(w) + 1 for w in chunk])  # first word of each text
-        sym = np.fromiter(map(_NAMES.__getitem__, flat), dtype=np.uint64, count=len(flat))
-        sym[0] = sym[self.first - 1] = _EDGE
-        self.text = b" ".join(flat)
-        self.off = np.append(0, np.cumsum(np.fromiter(map(len, flat), dtype=np.int64, count=len(flat)) + 1))
+    """The anchors of a chunk of texts and the bytes of their words.  Words and
+    edges share one numbering: an edge before each text and behind the last."""
+
+    def __init__(self, chunk: list[bytes], window: int, rounds: int):
+        joined, start, end, text, name = _taken_apart(chunk)
+        self.sizes = np.bincount(text, minlength=len(chunk))
+        self.first = np.cumsum(self.sizes + 1) - self.sizes  # number of each text's first word
+        at = np.arange(text.size) + text + 1
+        sym = np.zeros(text.size + len(chunk) + 1, dtype=np.uint64)
+        self.start, self.end = np.zeros(sym.size, dtype=np.int64), np.zeros(sym.size, dtype=np.int64)
+        sym[at], self.start[at], self.end[at] = name, start, end
+        self.text = joined.tobytes()
         self.rows = anchors(sym, window, rounds)
-        text, h = self.text, xxhash.xxh64_intdigest
-        a, b = self.off[self.rows[:, 2]].tolist(), (self.off[self.rows[:, 3]] - 1).tolist()
-        self.keys = np.fromiter((h(text[i:j]) for i, j in zip(a, b)), dtype=np.uint64, count=len(a)).view(np.int64)
+        body, h = self.text, xxhash.xxh64_intdigest
+        a, b = self.start[self.rows[:, 2]].tolist(), self.end[self.rows[:, 3] - 1].tolist()
+        self.keys = np.fromiter((h(body[i:j]) for i, j in zip(a, b)), dtype=np.uint64, count=len(a)).view(np.int64)
+
+    def words(self, t: int) -> bytes:
+        """The words of text ``t``, joined by one space."""
+        a, n = int(self.first[t]), int(self.sizes[t])
+        return self.text[self.start[a]:self.end[a + n - 1]] if n else b""
 
 
 def _shared_keys(rows: DataFrame, window: int, rounds: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for chunk in _chunks(x for x in batch.column(0).to_pylist()):
+            for chunk in _chunks(batch.column(0).to_pylist()):
                 keys, n = np.unique(_Parsed(chunk, window, rounds).keys, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
 
@@ -218,20 +236,20 @@ def _hits(rows: DataFrame, id_type: str, filt, window: int, rounds: int) -> Data
                 hit, keys = p.rows[found], p.keys[found]
                 owner = np.searchsorted(p.first, hit[:, 0], "right") - 1
                 cut = np.searchsorted(owner, np.arange(len(chunk) + 1)).tolist()
-                a = p.off[hit[:, 0]].tolist()
-                b = (p.off[hit[:, 0] + hit[:, 1] - 1 + window] - 1).tolist()
+                a = p.start[hit[:, 0]].tolist()
+                b = p.end[hit[:, 0] + hit[:, 1] + window - 2].tolist()
+                span = [xxhash.xxh3_128_digest(p.text[i:j]) for i, j in zip(a, b)]
                 start, size, key = (hit[:, 0] - p.first[owner]).tolist(), hit[:, 1].tolist(), keys.tolist()
                 out = {k: [] for k in ("digest", "n_words", "kept_sha256", "words", "recs")}
-                for t, words in enumerate(chunk):
-                    text = p.text[p.off[p.first[t]]:p.off[p.first[t] + len(words)] - 1] if words else b""
+                for t in range(len(chunk)):
+                    text = p.words(t)
                     own = range(cut[t], cut[t + 1])
                     out["digest"].append(xxhash.xxh3_128_digest(text))
-                    out["n_words"].append(len(words))
+                    out["n_words"].append(int(p.sizes[t]))
                     out["kept_sha256"].append(sha256(text).hexdigest())
                     out["words"].append(text if own else None)
-                    out["recs"].append([{"start": start[i], "n": size[i], "key": key[i],
-                                         "span": xxhash.xxh3_128_digest(p.text[a[i]:b[i]])} for i in own]
-                                       if own else None)
+                    out["recs"].append([{"start": start[i], "n": size[i], "key": key[i], "span": span[i]}
+                                        for i in own] if own else None)
                 ids = batch.column(0).slice(done, len(chunk))
                 done += len(chunk)
                 yield pa.RecordBatch.from_arrays(
@@ -254,16 +272,15 @@ def _window_digests(rows: DataFrame, window: int) -> DataFrame:
             row, words, spans = (batch.column(i).to_pylist() for i in range(3))
             for r, text, own in zip(row, words, spans):
                 ends = np.flatnonzero(np.frombuffer(text + b" ", dtype=np.uint8) == 32)
-                first = np.append(0, ends + 1)
-                out = {"digest": [], "at": [], "sure": []}
-                for s in own:
-                    for i in range(s["start"], s["start"] + s["n"]):
-                        out["digest"].append(xxhash.xxh3_128_digest(text[first[i]:ends[i + window - 1]]))
-                        out["at"].append(i)
-                        out["sure"].append(s["sure"])
+                size = np.array([s["n"] for s in own])
+                at = np.repeat(np.array([s["start"] for s in own]) - np.cumsum(size) + size, size) + np.arange(size.sum())
+                first = np.append(0, ends + 1)[at].tolist()
+                last = ends[at + window - 1].tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r] * len(out["at"]), pa.int64()), pa.array(out["digest"], pa.binary()),
-                     pa.array(out["at"], pa.int32()), pa.array(out["sure"], pa.bool_())],
+                    [pa.array(np.full(at.size, r, dtype=np.int64)),
+                     pa.array([xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(first, last)], pa.binary()),
+                     pa.array(at.astype(np.int32)),
+                     pa.array(np.repeat(np.array([s["sure"] for s in own]), size))],
                     ["row", "digest", "at", "sure"])
 
     return rows.select("row", "words", "spans").mapInArrow(run, "row bigint, digest binary, at int, sure boolean")
