@@ -77,9 +77,11 @@ def to_type(c, data_type) -> Column:
     c = col_(c)
     if name not in INTEGRAL_BITS:
         return c.try_cast(name)
-    number = c.try_cast("decimal(38,6)")
-    fits = (number == F.floor(number)) & (F.abs(number) <= F.lit(2 ** INTEGRAL_BITS[name] - 1))
-    return F.when(number.isNull() | fits, number.try_cast(name)).otherwise(
+    number, wide = c.try_cast("decimal(38,6)"), c.try_cast("double")
+    # the double tells digits that the decimal would round off, or cannot hold
+    whole = (number == F.floor(number)) & (wide == F.floor(wide))
+    fits = number.isNotNull() & whole & (F.abs(number) <= F.lit(2 ** INTEGRAL_BITS[name] - 1))
+    return F.when(wide.isNull() | F.isnan(wide) | fits, number.try_cast(name)).otherwise(
         F.raise_error(F.concat(F.lit(f"does not fit {name}: "), c.cast("string"))).cast(name))
 
 
@@ -117,6 +119,8 @@ def num_text(c, digits: int = 15) -> Column:
     gen = _strip_zeros(F.format_string(f"%.{digits}g", d))
     integral = F.coalesce((d == F.floor(d)) & (F.abs(d) < F.lit(1e15)), F.lit(False))
     fixed = F.when(integral, F.format_string("%.0f", d)).when(~gen.contains("e"), gen)
+    if digits < 15:  # integer digits are never dropped
+        fixed = fixed.when((F.abs(d) >= F.lit(10.0 ** digits)) & (F.abs(d) < F.lit(1e15)), F.format_string("%.0f", d))
     txt = F.when(F.length(fixed) <= F.length(sci), fixed).otherwise(sci)
     return F.when(d.isNull(), F.lit("NA")).when(d == F.lit(0.0), F.lit("0")).otherwise(txt)
 

@@ -19,6 +19,9 @@ from panelspark.functions.semantics import col_
 _LETTER, _DIGIT, _JOIN = r"[\p{L}\p{M}]", r"\p{Nd}", r"[_‿⁀]"
 _MID_LETTER, _MID_NUMBER = "[.:'’·․‘﹒＇．]", "[.,;'’․‘﹒＇．，；]"
 _UNIT = rf"(?:{_LETTER}|{_DIGIT}|{_JOIN})"
+# characters that break a word wherever they stand, and all inner marks
+ALWAYS_BREAK = r"[^\p{L}\p{M}\p{Nd}_‿⁀.:'’·․‘﹒＇．,;，；]+"
+INNER_MARKS = ".:'’·․‘﹒＇．,;，；"
 WORD_PATTERN = (rf"{_UNIT}(?:{_UNIT}|(?<={_LETTER}){_MID_LETTER}(?={_LETTER})"
                 rf"|(?<={_DIGIT}){_MID_NUMBER}(?={_DIGIT}))*+")
 

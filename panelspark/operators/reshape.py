@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.semantics import na_text
-from panelspark.functions.text import split_items, words
+from panelspark.functions.text import ALWAYS_BREAK, INNER_MARKS, WORD_PATTERN, split_items
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str],
@@ -57,6 +57,13 @@ def split_to_rows(df: DataFrame, text_col: str, delimiter: str, out: str = "item
 
 
 def tokenize(df: DataFrame, text_col: str, out: str = "word") -> DataFrame:
-    """One lower-case word per row; other columns are kept."""
+    """One lower-case word per row; other columns are kept.  Texts are cut
+    at the characters that always break; a mark at an end never belongs to a
+    word, so only pieces with an inner mark need the full rule."""
     rest = [c for c in df.columns if c != text_col]
-    return df.select(*rest, F.explode(words(F.col(text_col))).alias(out))
+    pieces = df.select(*rest, F.explode(F.split(F.lower(F.col(text_col)), ALWAYS_BREAK)).alias("_piece"))
+    pieces = pieces.withColumn("_piece", F.btrim("_piece", F.lit(INNER_MARKS))).where("_piece <> ''")
+    piece = F.col("_piece")
+    marked = F.translate(piece, INNER_MARKS, "") != piece
+    found = F.when(marked, F.regexp_extract_all(piece, F.lit(WORD_PATTERN), 0)).otherwise(F.array(piece))
+    return pieces.select(*rest, F.explode(found).alias(out))

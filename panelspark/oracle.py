@@ -35,6 +35,16 @@ def _totals(names: list[str]) -> str:
     return ", ".join(f"format('{{:,}}', CAST(total_{m} AS BIGINT)) AS text_total_{m}" for m in names)
 
 
+def _per_mil(names: list[str]) -> str:
+    """Per-capita box texts: one decimal, seven digits, separators."""
+    x = "per_mil_{m}"
+    return ", ".join((
+        f"CASE WHEN {x} IS NULL THEN 'NA' WHEN {x} >= 1000000 THEN format('{{{{:,}}}}', CAST(round_even({x}, 0) AS BIGINT)) "
+        f"ELSE format('{{{{:,}}}}', CAST(floor({x}) AS BIGINT)) || CASE WHEN {x} = floor({x}) THEN '' "
+        f"ELSE '.' || CAST(CAST(round(({x} - floor({x})) * 10) AS INTEGER) AS VARCHAR) END END AS text_{x}"
+    ).format(m=m) for m in names)
+
+
 def _stop_list() -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
 
@@ -211,17 +221,47 @@ SELECT e.* FROM e JOIN (SELECT user_id, max(date) AS date FROM e GROUP BY user_i
     q["state_panel"] = f"WITH {STATE} SELECT * FROM state_panel"
 
     q["locf_fill"] = f"""
-WITH {GRID},
-d AS (SELECT user_id, date, {_money('value')} AS value FROM ev GROUP BY 1, 2),
-g AS (SELECT grid.user_id, grid.date, d.value FROM grid LEFT JOIN d
-        ON grid.user_id = d.user_id AND grid.date = d.date),
-z AS (SELECT user_id, date,
+WITH e AS (SELECT user_id, CAST(ts AS DATE) AS date, event_id,
+                  CASE WHEN event_type <> 'error' THEN value END AS value FROM events),
+z AS (SELECT user_id, date, event_id,
              CASE WHEN value IS NULL AND date = min(date) OVER (PARTITION BY user_id)
-                  THEN CAST(0 AS DOUBLE) ELSE value END AS value FROM g)
-SELECT user_id, date,
-       last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date {RUN}) AS value
+                  THEN CAST(0 AS DOUBLE) ELSE value END AS value FROM e)
+SELECT user_id, date, event_id,
+       last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date, event_id {RUN}) AS value
 FROM z"""
 
+    q["event_running_state"] = f"""
+WITH e AS (SELECT event_type, ts, event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events)
+SELECT event_type, event_id, user_id, value,
+       CAST(sum(CASE WHEN value >= 100 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS base_events,
+       last_value(value IGNORE NULLS) OVER w AS last_value,
+       lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before,
+       count(*) OVER w AS n_so_far
+FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id {RUN})"""
+
+    q["ranked_rows"] = """
+SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS row_no
+FROM customer"""
+
+    q["rows_at_ranks"] = """
+SELECT c_custkey, c_acctbal, c_mktsegment,
+       row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS row_no
+FROM customer QUALIFY row_no IN (1, 2, 17, 99, 100, 149)"""
+
+    q["customers_in_order"] = """
+SELECT c_custkey, c_mktsegment, c_nationkey,
+       row_number() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) AS row_no
+FROM customer"""
+
+    spans = "\nUNION ALL ".join(
+        f"SELECT DATE '{lo}' AS lo, DATE '{hi}' AS hi, word, CAST(count(*) AS BIGINT) AS n FROM w "
+        f"WHERE date BETWEEN DATE '{lo}' AND DATE '{hi}' AND NOT list_contains({stop}, word) AND word <> 'view' GROUP BY word"
+        for lo, hi in (("2024-01-05", "2024-01-12"), ("2024-01-07", "2024-01-07"), ("2023-12-01", "2024-03-01")))
+    q["word_counts_rollup"] = f"""
+WITH w AS (SELECT CAST(ts AS DATE) AS date,
+                  unnest(regexp_extract_all(lower(event_type || ' ' || props), '{SQL_WORD}', 0)) AS word FROM events)
+{spans}"""
+
     q["missing_grid"] = f"""
 WITH {GRID}
 SELECT g.user_id, g.date FROM grid g
@@ -284,6 +324,13 @@ t AS (SELECT date,
            f"FROM cdata" for c in cols])
     q["corr_long"] = f"WITH {CDATA} {corr_rows}"
 
+    weeks = "(SELECT * FROM cdata WHERE date BETWEEN DATE '1970-01-01' + 2818 * 7 AND DATE '1970-01-01' + 2820 * 7 - 1)"
+    q["corr_rollup"] = f"""
+WITH {CDATA},
+a AS ({corr_rows}),
+w AS ({corr_rows.replace("FROM cdata", "FROM " + weeks)})
+SELECT a, b, r, 'all' AS span FROM a UNION ALL SELECT a, b, r, 'weeks' FROM w"""
+
     q["log_series"] = f"""
 WITH {CDATA},
 l AS (
@@ -304,6 +351,7 @@ SELECT date, type, value, round(ln(1 + value), 6) AS lvalue FROM l"""
 WITH {PANEL},
 k AS (SELECT {", ".join(kpi_cols)} FROM panel WHERE most_recent = 1)
 SELECT *, {_totals(["new_confirmed", "new_deaths", "new_recovered", "confirmed", "deaths", "recovered"])},
+       {_per_mil(["new_confirmed", "new_deaths", "new_recovered", "confirmed", "deaths", "recovered"])},
        format('{{:,}}', total_deaths) || ' (' || coalesce(format('{{:.15g}}', pct_deaths), 'NA') || '%)' AS text_deaths,
        format('{{:,}}', total_recovered) || ' (' || coalesce(format('{{:.15g}}', pct_recovered), 'NA') || '%)' AS text_recovered
 FROM k"""
@@ -402,6 +450,8 @@ u AS (
   UNION ALL SELECT * FROM f)
 SELECT * FROM u WHERE adjusted > 0"""
 
+    q["manifest_upsert"] = q["upsert_by_key"]
+
     q["upsert_rejected"] = f"""
 SELECT user_id, CAST(ts AS DATE) AS date, {_money('value')} AS adjusted, CAST(count(*) AS BIGINT) AS volume
 FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' GROUP BY 1, 2"""
@@ -421,12 +471,16 @@ WHERE NOT list_contains({stop}, word) AND word <> '7' GROUP BY word"""
 
     q["headline_lists"] = """
 WITH p AS (SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS date FROM pages),
-t AS (SELECT date, url, page_id % 7 = 0 AS twice, page_id % 5 = 0 AS no_tweets, page_id % 3 = 0 AS no_end,
+t AS (SELECT date, url, page_id % 7 = 0 AS twice, page_id % 5 = 0 AS no_tweets, page_id % 3 = 0 AS no_end, page_id % 2 = 0 AS even, page_id % 11 = 0 AS no_stop,
              chr(13) || chr(10) AS nl, strftime(date, '%B %-d, %Y') AS day FROM p),
 tw AS (SELECT date, unnest(CASE WHEN no_tweets THEN [] ELSE [url, 'second ' || url] END) AS headlines FROM t),
-ne AS (SELECT date, unnest(CASE WHEN no_end THEN ['a ' || url, 'b', 'Trend'] ELSE ['a ' || url, 'b'] END) AS headlines FROM t)
+ne AS (SELECT date, unnest(list_concat(['a ' || url, 'b'], CASE WHEN no_end THEN list_concat(
+         ['TrendSocial media on' || day, 'noise of 2024'], CASE WHEN even THEN ['so far 2024'] ELSE [] END,
+         ['tag ' || url, 'lastone' || CASE WHEN no_stop THEN '' ELSE 'Sports of the day' END]) ELSE [] END)) AS headlines FROM t),
+so AS (SELECT date, unnest(['tag ' || url, 'lastone']) AS headlines FROM t)
 SELECT headlines, date, 'tweets' AS type FROM tw
-UNION ALL SELECT headlines, date, 'news' FROM ne"""
+UNION ALL SELECT headlines, date, 'news' FROM ne
+UNION ALL SELECT headlines, date, 'social' FROM so"""
 
     q["replace_dates"] = f"""
 WITH ev AS (SELECT *, CAST(ts AS DATE) AS date FROM events),
@@ -461,6 +515,22 @@ FROM ids i CROSS JOIN months m
 LEFT JOIN agg a ON a.state IS NOT DISTINCT FROM i.state AND a.country IS NOT DISTINCT FROM i.country
   AND a.Lat IS NOT DISTINCT FROM i.Lat AND a.Long IS NOT DISTINCT FROM i.Long AND a.month = m.month"""
 
+    q["wide_generations"] = f"""
+WITH {NATION_MONTHLY},
+months AS (SELECT month, row_number() OVER (ORDER BY month) AS i, count(*) OVER () AS last FROM (SELECT DISTINCT month FROM nm)),
+ids AS (SELECT DISTINCT state, country FROM nm),
+agg AS (SELECT state, country, month, count(*) AS n FROM nm GROUP BY ALL),
+g AS (SELECT * FROM (VALUES ('g0', 12), ('g1', 40), ('g2', 10000)) AS v(file, upto))
+SELECT g.file, i.state, i.country, m.month AS date,
+       CAST(CASE WHEN g.file = 'g2' AND i.state = 'ASIA' AND m.i > m.last - 2 THEN NULL ELSE a.n END AS INTEGER) AS confirmed
+FROM g JOIN months m ON m.i <= g.upto CROSS JOIN ids i
+LEFT JOIN agg a ON a.state = i.state AND a.country = i.country AND a.month = m.month"""
+
+    q["wide_line_report"] = f"""
+WITH {NATION_MONTHLY}
+SELECT 'g2' AS file, CASE WHEN state = 'ASIA' THEN 'short' ELSE 'long' END AS kind, count(DISTINCT country) AS n
+FROM nm WHERE state IN ('ASIA', 'EUROPE') GROUP BY state"""
+
     q["name_map"] = """
 SELECT c.c_custkey,
        CASE n.n_name WHEN 'NATION_1' THEN 'US' WHEN 'NATION_2' THEN 'Korea, South'
@@ -522,6 +592,18 @@ FROM customer"""
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
        json_extract_string(props, '$.m') AS m
 FROM events"""
+    gaps = (STATE.replace("FROM lv LEFT JOIN", "FROM lvn AS lv LEFT JOIN")
+            .replace("pop AS (SELECT o_orderpriority AS state, CAST(count(DISTINCT o_custkey) AS BIGINT) AS population",
+                     "lvn AS (SELECT state, date, positive, death, CASE WHEN month(date) % 5 <> 0 THEN negative END AS negative, "
+                     "CASE WHEN month(date) <> 3 THEN recovered END AS recovered FROM lv),\n"
+                     "pop AS (SELECT o_orderpriority AS state, CASE WHEN o_orderpriority <> '5-LOW' "
+                     "THEN CAST(count(DISTINCT o_custkey) AS BIGINT) END AS population"))
+    q["state_panel_gaps"] = f"""
+WITH {gaps}
+SELECT state, date, positive, negative, recovered, death, population, total_test_results, pos_per_mil, new_total,
+       new_recovered, recovered_per_mil
+FROM state_panel"""
+
     q["state_latest"] = f"""
 WITH {STATE}
 SELECT state, date, positive, death, recovered, new_positive, new_deaths, new_recovered, death_rate
@@ -546,6 +628,7 @@ t AS (SELECT date,
 WITH {STATE},
 k AS (SELECT {", ".join(skpi)} FROM state_panel WHERE most_recent = 1)
 SELECT *, {_totals(["new_positive", "new_deaths", "new_recovered", "positive", "death", "recovered"])},
+       {_per_mil(["new_positive", "new_deaths", "new_recovered", "positive", "death", "recovered"])},
        format('{{:,}}', total_death) || ' (' || coalesce(format('{{:.15g}}', pct_death), 'NA') || '%)' AS text_death,
        format('{{:,}}', total_recovered) || ' (' || coalesce(format('{{:.15g}}', pct_recovered), 'NA') || '%)' AS text_recovered
 FROM k"""

@@ -2,13 +2,12 @@
 
 Each refresh is a lazy plan: the watermark (max date of the stored table)
 and the batch guard are scalar subqueries evaluated on the cluster, not
-values pulled into driver-side control flow.  The one exception is the
-append refresh's "anything new?" probe (a one-row read), which decides
-whether the stored table changes at all.
+values pulled into driver-side control flow.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -46,11 +45,10 @@ def late_rows(old: DataFrame, source: DataFrame, date: str = "date", overlap_day
 
 
 def replace_trailing_dates(old: DataFrame, source: DataFrame, keys: Sequence[str], date: str = "date",
-                           overlap_days: int = 1, late: str = "window") -> DataFrame:
-    """K3: re-read the source from (watermark - overlap_days) and replace the
-    (entity, date) pairs that arrived.  Unlike a whole-date replace, a pair
-    that failed to arrive keeps its old row.  ``late='keep'`` also takes
-    corrections of earlier days."""
+                           overlap_days: int = 1, late: str = "keep") -> DataFrame:
+    """K3: replace the (entity, date) pairs that arrived; a pair that failed
+    to arrive keeps its old row.  ``late='window'`` re-reads the source from
+    (watermark - overlap_days) on only, for a source that is fetched again."""
     new = _window(old, source, date, overlap_days, late)
     return union_by_name(drop_keys(old, new, list(keys) + [date], null_safe=True), new)
 
@@ -78,17 +76,17 @@ def upsert(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
     return out.filter(~ok | (F.col(value) > 0)) if value else out
 
 
-def append_new_days(old: DataFrame, source: DataFrame, date: str = "date", late: str = "window") -> DataFrame:
-    """K5: rows of the source after the stored watermark, appended, then
-    distinct over all columns (U2) so a re-run adds nothing.  When no row
-    is new the stored table is returned as it is.  ``late='keep'`` takes
-    the rows of stored days too."""
+def append_new_days(old: DataFrame, source: DataFrame, date: str = "date", late: str = "keep") -> DataFrame:
+    """K5: the rows of the source appended, then distinct over all columns
+    (U2) so a re-run adds nothing.  ``late='window'`` takes only rows after
+    the stored watermark; when none is new the stored table stays as it is."""
     if late == "keep":
         return union_distinct(old, source)
     wm = watermark(old, date)
     new = source.filter(wm.isNull() | (F.col(date) > wm))          # empty store: all is new
-    # nothing new: the stored table stays exactly as it is (one-row check)
-    return old if new.isEmpty() else union_distinct(old, new)
+    # nothing new: the stored table stays exactly as it is, decided in the plan
+    some = new.select((F.count(F.lit(1)) > 0).alias("some")).scalar()
+    return union_by_name(union_distinct(old, new).filter(some), old.filter(~some))
 
 
 # ---- partitioned store: only touched months are read and rewritten --------
@@ -104,7 +102,7 @@ def with_month(df: DataFrame, date: str = "date", col: str = MONTH) -> DataFrame
 def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Sequence[str] = (),
                         order: Sequence[str] = (), date: str = "date", value: str | None = None,
                         overlap_days: int = 1, staging_root: str | None = None,
-                        late: str = "window") -> DataFrame:
+                        late: str = "keep") -> DataFrame:
     """K3/K4/K5 against a month-partitioned Parquet store.
 
     The months a refresh can change are computed from the batch (and, for
@@ -115,7 +113,7 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     the refreshed store.
     """
     from panelspark.session import checkpoint_dir
-    from panelspark.sources.tables import overwrite_partitions
+    from panelspark.sources.tables import guard_passes, overwrite_partitions, write_observed
 
     if mode == "upsert" and date not in keys:
         raise ValueError("a month-partitioned upsert needs the date in the key")
@@ -138,7 +136,15 @@ def refresh_partitioned(spark, path: str, batch: DataFrame, mode: str, keys: Seq
     touched = with_month(new.select(date)).select(MONTH).distinct()
     old_part = old.join(touched, MONTH, "left_semi").drop(MONTH)
     if mode == "upsert":
-        out = upsert(old_part, batch, keys, order, value=value)
+        # the batch is written once; the guard reads what the write counted
+        stage = f"{(staging_root or checkpoint_dir(spark) + '/staging').rstrip('/')}/batch-{uuid.uuid4().hex}"
+        fresh = first_per_key(batch, keys, order).select(*cols)
+        figures = write_observed(fresh, stage, date)
+        if not guard_passes(figures):        # rejected: the store stays as it was
+            return old
+        fresh = spark.read.schema(fresh.schema).parquet(stage)
+        out = union_by_name(drop_keys(old_part, fresh, keys, null_safe=True), fresh)
+        out = out.filter(F.col(value) > 0) if value else out
     elif mode == "replace_dates":
         # ``new`` is already cut at the store-wide watermark: replace pairs
         out = replace_keys(old_part, new, list(keys) + [date])

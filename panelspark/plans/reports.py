@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from panelspark.functions.semantics import na_text, num_text, pretty_num, rround, safe_div, sum0
 from panelspark.operators.aggregate import distinct_count, exact_sum, ratio_of_sums, totals_by
 from panelspark.operators.joins import keep_keys
+from panelspark.operators.ranking import rows_at_ranks
 from panelspark.operators.reshape import wide_to_long
 from panelspark.operators.select import rows_at_max, top_n
 from panelspark.operators.stats import quantile_breaks, with_buckets
 from panelspark.operators.window import latest_flag
 from panelspark.sources.tables import stored
 
+TOP_RANKS = 1000  # ranks up to which a top-k is read
 # Fixed value: the label for a missing sub-entity name.
 MISSING_STATE_LABEL = "State Not Given"
 
@@ -26,11 +28,13 @@ def selected_keys(latest: DataFrame, entity: str, order: Sequence[Column],
     """the entities at the given 1-based ranks of the sorted latest
     table (an int k means ranks 1..k), as a key frame of bounded size.
 
-    Only the first max(rank) rows are kept (distributed top-k: no global
-    sort); positions are numbered inside that bounded set."""
+    For small ranks only the first max(rank) rows are kept (distributed top-k:
+    no global sort); larger ones are found by global row numbers."""
     if isinstance(ranks, int):
         return top_n(latest, order, ranks).select(entity)
     wanted = sorted({int(r) for r in ranks})
+    if wanted[-1] > TOP_RANKS:
+        return rows_at_ranks(latest, order, wanted).select(entity)
     # at most max(rank) rows, as one array in their order
     top = top_n(latest, order, wanted[-1]).select(entity)
     listed = top.agg(F.collect_list(entity).alias("_top"))
@@ -49,8 +53,9 @@ def kpi_boxes(latest: DataFrame, levels: Sequence[str], news: Sequence[str],
               population: str = "population", pct_of: str | None = None) -> DataFrame:
     """Every box in one aggregate -- totals of the new and level
     measures, per-capita versions (1 place), each level's percentage of
-    ``pct_of`` (1 place) and display text: every total with separators
-    ('12,345'), and each level with its percentage ('12,345 (1.2%)')."""
+    ``pct_of`` (1 place) and display text: every total and per-capita value
+    with separators ('12,345', '1,234.5'), and each level with its percentage
+    ('12,345 (1.2%)')."""
     pct_of = pct_of or levels[0]
     aggs = []
     for m in list(news) + list(levels):
@@ -62,6 +67,7 @@ def kpi_boxes(latest: DataFrame, levels: Sequence[str], news: Sequence[str],
     row = latest.agg(*aggs)
     texts = {f"text_total_{m}": F.coalesce(F.format_number(F.col(f"total_{m}").cast("double"), 0), F.lit("NA"))
              for m in list(news) + list(levels)}
+    texts |= {f"text_per_mil_{m}": pretty_num(F.col(f"per_mil_{m}")) for m in list(news) + list(levels)}
     for m in levels:
         if m != pct_of:
             texts[f"text_{m}"] = F.concat(

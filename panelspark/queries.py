@@ -16,12 +16,13 @@ whole tables.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions.dates import (
-    compact_text, date_spine, day_number_to_date, long_label, month_name, parse_ymd,
+    compact_text, day_number_to_date, long_label, month_name, parse_ymd,
 )
 from panelspark.functions.names import map_names
 from panelspark.functions.semantics import flag, money_sum, rround, to_number, trim_ws
@@ -34,18 +35,24 @@ from panelspark.operators.select import (
     between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
     sort_desc_last, top_n, with_stages,
 )
+from panelspark.operators.ranking import row_numbers, rows_at_ranks
+from panelspark.operators.scan import gap_fill_rows, last_value, previous_value, running_count, running_state
+from panelspark.operators.setops import union_by_name
 from panelspark.operators.stats import correlation_long
-from panelspark.operators.window import gap_fill, latest_rows
+from panelspark.operators.window import latest_rows
 from panelspark.plans import panel as P
 from panelspark.plans import prices as PR
 from panelspark.plans import refresh as RF
 from panelspark.plans import reports as RP
 from panelspark.plans import text as TX
+from panelspark.plans.rollups import add_counts, add_moments, stored_correlation, word_counts_between
 from panelspark.operators.aggregate import sum_max_by
 from panelspark.sources.html import node_text
 from panelspark.sources.json import json_array_rows, json_fields
-from panelspark.sources.csv import wide_file_to_long
-from panelspark.sources.tables import duplicate_keys
+from panelspark.session import checkpoint_dir
+from panelspark.sources import manifest as MF
+from panelspark.sources.csv import line_report, read_wide_lines, wide_cells, wide_lines
+from panelspark.sources.tables import duplicate_keys, stored
 
 # Fixed values used by the query keys (parameters of the reports).
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -66,6 +73,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # ---- derived inputs ---------------------------------------------------------
 
+def shared_path(spark, name: str) -> str:
+    """A new folder in the shared root, for a store that a key builds."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/stores/{name}-{uuid.uuid4().hex}"
+
+
 def event_days(spark, sf) -> DataFrame:
     ev = table(spark, sf, "events")
     return ev.withColumn("date", F.to_date("ts"))
@@ -135,16 +147,6 @@ def cases_and_prices(spark, sf) -> DataFrame:
     return complete_rows(sdt.join(daily_value_pivot(spark, sf), "date", "left"))
 
 
-def user_day_grid(spark, sf) -> DataFrame:
-    """Every user x every day of the table's range (S16 spine per user;
-    range bounds are scalar subqueries)."""
-    ev = event_days(spark, sf)
-    lo = ev.select(F.min("date")).scalar()
-    hi = ev.select(F.max("date")).scalar()
-    users = ev.select("user_id").distinct()
-    return users.select("user_id", F.explode(date_spine(lo, hi)).alias("date"))
-
-
 # ---- query keys -------------------------------------------------------------
 
 def q_country_panel(spark, sf):
@@ -172,13 +174,104 @@ def q_state_panel(spark, sf):
     return P.state_panel(levels, "state", "date", P.STATE_MEASURES, population=pop)
 
 
+def _event_measures(spark, sf) -> DataFrame:
+    """Event rows whose value is missing on errors."""
+    ev = event_days(spark, sf).select("user_id", "event_type", "event_id", "ts", "date", "value")
+    return ev.withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
+
+
 def q_locf_fill(spark, sf):
+    """K9 on the rows there are: missing values of a user's first date are 0,
+    then the last value is carried forward."""
+    rows = _event_measures(spark, sf).select("user_id", "date", "event_id", "value")
+    return gap_fill_rows(rows, "user_id", "date", ["value"], order=["event_id"])
+
+
+def q_event_running_state(spark, sf):
+    """W4, W9 on raw rows of five hot entities: threshold counter, last value,
+    the value before, and the events so far."""
+    rows = _event_measures(spark, sf).select("event_type", "ts", "event_id", "user_id", "value")
+    return running_state(rows, "event_type", ["ts", "event_id"], {
+        "base_events": running_count(F.col("value") >= HIGH_VALUE),
+        "last_value": last_value("value"), "before": previous_value("value"),
+        "n_so_far": running_count(F.lit(True))}).drop("ts")
+
+
+def _by_balance() -> list:
+    return [F.desc_nulls_last("c_acctbal"), F.asc("c_custkey")]
+
+
+def q_ranked_rows(spark, sf):
+    """The position of every customer by balance."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return row_numbers(c, _by_balance())
+
+
+RANKS = (1, 2, 17, 99, 100, 149)
+
+
+def q_rows_at_ranks(spark, sf):
+    """F7 with a list of ranks."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    return rows_at_ranks(c, _by_balance(), RANKS)
+
+
+def q_customers_in_order(spark, sf):
+    """O1: an ascending order on several keys, checked by the positions."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    return row_numbers(c, ["c_mktsegment", "c_nationkey", "c_custkey"])
+
+
+# brushed ranges of the roll-up key: within the data, one day, all of it and beyond
+BRUSHED = ((_dt.date(2024, 1, 5), _dt.date(2024, 1, 12)), (_dt.date(2024, 1, 7), _dt.date(2024, 1, 7)),
+           (_dt.date(2023, 12, 1), _dt.date(2024, 3, 1)))
+
+
+def q_word_counts_rollup(spark, sf):
+    """K11 for brushed ranges, answered from stored roll-ups (A6, F3); the
+    last days of the table are appended to the store later."""
+    text = F.concat_ws(" ", "event_type", "props")
+    tokens = TX.token_table(event_days(spark, sf).select("date", text.alias("text")), "text")
+    store = shared_path(spark, "word-rollup")
+    late = F.col("date") > OLD_UNTIL
+    add_counts(tokens.where(~late), store, "date", "word")
+    add_counts(tokens.where(late), store, "date", "word")
+    spans = [word_counts_between(spark, store, stop_words_frame(spark), lo, hi, exclude=("view",)).select(
+        F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), "word", "n") for lo, hi in BRUSHED]
+    return union_by_name(*spans)
+
+
+MOMENT_DAYS = 7  # days of a period of stored moments
+
+
+def q_corr_rollup(spark, sf):
+    """A10 from stored moments: whole table and a range of weeks, the last
+    days appended later."""
+    cols = ["positive", *EVENT_TYPES]
+    series = stored(cases_and_prices(spark, sf), "series")
+    store = shared_path(spark, "moments")
+    late = F.col("date") > OLD_UNTIL
+    add_moments(series.where(~late), store, "date", cols, MOMENT_DAYS)
+    add_moments(series.where(late), store, "date", cols, MOMENT_DAYS)
+    first = DATE_RANGE_DAYS[0] // MOMENT_DAYS
+    whole = stored_correlation(spark, store, cols).withColumn("span", F.lit("all"))
+    some = stored_correlation(spark, store, cols, first, first + 1).withColumn("span", F.lit("weeks"))
+    return whole.unionByName(some)
+
+
+def q_manifest_upsert(spark, sf):
+    """The stored prices as a table of manifests; the batch rewrites
+    only the files that can hold one of its keys."""
     ev = event_days(spark, sf)
-    grid = user_day_grid(spark, sf).withColumn("value", F.lit(None).cast("double"))
-    # Union with the spine then aggregate: one shuffle instead of a join.
-    filled = (grid.unionByName(ev.select("user_id", "date", "value"))
-                  .groupBy("user_id", "date").agg(money_sum("value").alias("value")))
-    return gap_fill(filled, ["user_id"], "date", ["value"])
+    old = (between_dates(ev, "ts", None, OLD_UNTIL)
+           .groupBy("user_id", "date").agg(money_sum("value").alias("adjusted"),
+                                           F.count(F.lit(1)).alias("volume")))
+    batch = between_dates(ev, "ts", BATCH_FROM, None).select(
+        "user_id", "date", F.col("value").alias("adjusted"), F.lit(1).cast("long").alias("volume"), "ts")
+    root = shared_path(spark, "price-store")
+    MF.replace(spark, old.filter(F.col("adjusted") > 0), root, ["date", "user_id"])
+    MF.upsert(spark, root, batch, ["ts"], value="adjusted")
+    return MF.read(spark, root)
 
 
 def q_missing_grid(spark, sf):
@@ -387,7 +480,8 @@ DAY_PAGE = (("tweets", "Tweets of", "What happened"), ("news", "News of", "Trend
 
 def q_headline_lists(spark, sf):
     """K6: day pages made of the urls of ``pages``, some with a repeated
-    start marker, without tweets or without the end of the news."""
+    start marker, without tweets, without the end of the news or of the social
+    list, some with an inner year mark."""
     p = table(spark, sf, "pages").select("page_id", "url")
     day = F.date_add(F.lit(_dt.date(2024, 1, 1)), (F.col("page_id") % 28).cast("int"))
     day_text = long_label("date")
@@ -395,10 +489,14 @@ def q_headline_lists(spark, sf):
         "", F.when(F.col("page_id") % 7 == 0, "Tweets of early"), F.lit("Tweets of"),
         F.when(F.col("page_id") % 5 != 0, F.concat(F.col("url"), day_text, F.lit("\tsecond "), F.col("url"))),
         F.lit("What happened \r\n News of\r\na "), F.col("url"), F.lit("\r\n\r\nb"),
-        F.when(F.col("page_id") % 3 == 0, F.lit("\r\nTr\nend")).otherwise(F.lit("Trend")))
+        F.when(F.col("page_id") % 3 == 0, F.lit("\r\nTr\nend")).otherwise(F.lit("Trend")),
+        # the social list: cut through the last '<year>|', its end marker absent at times
+        F.lit("Social media on"), long_label("date"), F.lit("\r\nnoise of 2024\r\n"),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("so far 2024\r\n"))),
+        F.lit("tag "), F.col("url"), F.lit("\r\n\r\nlast\tone"),
+        F.when(F.col("page_id") % 11 != 0, F.lit("Sports of the day")))
     pages = p.withColumn("date", day).withColumn("text", text)
-    lists = TX.headline_lists(pages, sections=DAY_PAGE)
-    return lists.filter(F.col("type") != "social")
+    return TX.headline_lists(pages, sections=DAY_PAGE)
 
 
 def q_replace_dates(spark, sf):
@@ -408,14 +506,14 @@ def q_replace_dates(spark, sf):
     stale = F.col("date") >= F.date_sub(F.lit(REPLACE_OLD_UNTIL), 1)
     old = source.filter(F.col("date") <= F.lit(REPLACE_OLD_UNTIL)).withColumn(
         "value", F.when(stale, F.lit(0.0)).otherwise(F.col("value")))
-    return RF.replace_trailing_dates(old, source, ["user_id"], "date", overlap_days=1)
+    return RF.replace_trailing_dates(old, source, ["user_id"], "date", overlap_days=1, late="window")
 
 
 def q_append_distinct(spark, sf):
     ev = event_days(spark, sf).select(F.col("props").alias("headlines"), "date",
                                       F.col("event_type").alias("type"))
     old = between_dates(ev, "date", None, OLD_UNTIL)
-    return RF.append_new_days(old, ev, "date")
+    return RF.append_new_days(old, ev, "date", late="window")
 
 
 def q_dup_keys(spark, sf):
@@ -449,42 +547,70 @@ def _nation_month_counts(spark, sf) -> DataFrame:
         F.sum(flag(F.col("o_orderstatus") == "P")).alias("recovered"))
 
 
-def month_list(counts: DataFrame) -> list:
-    """Months present: the header set of the landed files (bounded by the
-    date span, not by the data volume)."""
-    return sorted(r[0] for r in counts.select("month").distinct().collect())
-
+WIDE_HEADER = ("state", "country", "Lat", "Long")
 
-def month_labels(months: list, year_digits: int) -> list[str]:
-    return [f"{m.month}/{m.day}/{m.year % 100:02d}" if year_digits == 2
-            else f"{m.month}/{m.day}/{m.year}" for m in months]
 
+def _csv_cell(c) -> Column:
+    """A cell as a CSV writer leaves it: quoted where it has a comma."""
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    return F.when(text.contains(","), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text)
 
-def landed_wide(counts: DataFrame, measure: str, year_digits: int,
-                labels: list[str]) -> DataFrame:
-    """A wide file as landed: ids + one column per date label."""
-    fmt = "M/d/yy" if year_digits == 2 else "M/d/yyyy"
-    return (counts.withColumn("label", F.date_format("month", fmt))
-                  .groupBy("state", "country", "Lat", "Long").pivot("label", labels)
-                  .agg(F.first(measure)))
 
-
-def country_long(wide: DataFrame, value_name: str) -> DataFrame:
-    """K1 for one wide file: date columns found by name, wide -> long, keys
-    trimmed, header text parsed to dates."""
-    ids = ["state", "country", "Lat", "Long"]
-    return wide_file_to_long(wide, value_name, ids, ids)
+def landed_lines(counts: DataFrame, measure: str, file: str, fmt: str, upto: int | None = None) -> DataFrame:
+    """(file, line) of a wide file: a header with one column per month and one
+    line per location, without a pivot and without reading the months on the
+    driver."""
+    span = counts.agg(F.sort_array(F.collect_set("month"))).scalar()
+    months = F.col("months") if upto is None else F.slice("months", 1, upto)
+    cells = F.map_from_entries(F.collect_list(F.struct("month", measure)))
+    places = counts.groupBy("state", "country", "Lat", "Long").agg(cells.alias("cells")).withColumn("months", span)
+    ids = [_csv_cell(F.col(c)) for c in WIDE_HEADER]
+    values = F.transform(months, lambda m: F.coalesce(F.try_element_at("cells", m).cast("string"), F.lit("")))
+    lines = places.select(F.concat_ws(",", *ids, F.array_join(values, ",")).alias("line"))
+    labels = F.transform(months, lambda m: F.date_format(m, fmt))
+    header = counts.sparkSession.range(1).select(span.alias("months")).select(
+        F.concat_ws(",", F.lit(",".join(WIDE_HEADER)), F.array_join(labels, ",")).alias("line"))
+    return header.unionByName(lines).select(F.lit(file).alias("file"), "line")
 
 
 def q_wide_to_long(spark, sf):
+    """K1: three landed files, the third with four-digit years, as lines
+    through the reader's own parser."""
     keys = ["state", "country", "Lat", "Long", "date"]
     counts = _nation_month_counts(spark, sf)
-    months = month_list(counts)
-    short, long4 = month_labels(months, 2), month_labels(months, 4)
-    cc = country_long(landed_wide(counts, "confirmed", 2, short), "confirmed")
-    cd = country_long(landed_wide(counts, "deaths", 2, short), "deaths")
-    cr = country_long(landed_wide(counts, "recovered", 4, long4), "recovered")
-    return null_safe_join(null_safe_join(cc, cd, keys, "left"), cr, keys, "left")
+    long = [wide_cells(wide_lines(landed_lines(counts, m, m, fmt), WIDE_HEADER), m, WIDE_HEADER, WIDE_HEADER)
+            for m, fmt in (("confirmed", "M/d/yy"), ("deaths", "M/d/yy"), ("recovered", "M/d/yyyy"))]
+    return null_safe_join(null_safe_join(long[0], long[1], keys, "left"), long[2], keys, "left")
+
+
+def _generations(spark, sf) -> DataFrame:
+    """Three generations of one landed file, written and read in one scan: few
+    months, more months, and all with short and long lines."""
+    counts = _nation_month_counts(spark, sf)
+    root = shared_path(spark, "wide-files")
+    for i, upto in enumerate((12, 40, None)):
+        lines = landed_lines(counts, "confirmed", "", "M/d/yy", upto)
+        if i == 2:  # the last generation is damaged: cells cut off, cells too many
+            here = F.col("line")
+            lines = lines.withColumn("line", F.when(
+                here.startswith("ASIA,"), F.regexp_replace(here, ",[^,]*,[^,]*$", "")).when(
+                here.startswith("EUROPE,"), F.concat(here, F.lit(",7"))).otherwise(here))
+        lines.select("line").coalesce(1).write.text(f"{root}/g{i}")
+    lines = read_wide_lines(spark, [f"{root}/g{i}" for i in range(3)])
+    return wide_lines(lines.withColumn("file", F.regexp_extract("file", "/(g[0-9]+)/", 1)), WIDE_HEADER)
+
+
+def q_wide_generations(spark, sf):
+    """Files whose headers differ, as (file, location, date, value)."""
+    parsed = _generations(spark, sf)
+    per_file = [wide_cells(parsed.where(F.col("file") == f"g{i}"), "confirmed", WIDE_HEADER, WIDE_HEADER).select(
+        F.lit(f"g{i}").alias("file"), "state", "country", "date", "confirmed") for i in range(3)]
+    return union_by_name(*per_file)
+
+
+def q_wide_line_report(spark, sf):
+    """The lines whose cells do not fit the header of their file."""
+    return line_report(_generations(spark, sf))
 
 
 def q_name_map(spark, sf):
@@ -614,6 +740,21 @@ def q_base_name_totals(spark, sf):
     return out.withColumn("price_cents", F.col("price_cents").cast("long"))
 
 
+def q_state_panel_gaps(spark, sf):
+    """F11, X23 where they fire: states without a population, measures that are
+    missing (0 in the panel, in measure columns only)."""
+    o = table(spark, sf, "orders")
+    levels = q_state_panel(spark, sf).select("state", "date", *P.STATE_MEASURES)
+    odd = F.month("date") % 5 == 0
+    holes = levels.withColumns({"negative": F.when(~odd, F.col("negative")),
+                                "recovered": F.when(F.month("date") != 3, F.col("recovered"))})
+    pop = o.groupBy(F.col("o_orderpriority").alias("state")).agg(F.count_distinct("o_custkey").alias("population"))
+    pop = pop.withColumn("population", F.when(F.col("state") != "5-LOW", F.col("population")))
+    return P.state_panel(holes, "state", "date", P.STATE_MEASURES, population=pop).select(
+        "state", "date", *P.STATE_MEASURES, "population", "total_test_results", "pos_per_mil", "new_total",
+        "new_recovered", "recovered_per_mil")
+
+
 def q_html_node_text(spark, sf):
     """Text of each page's <footer> element (HTML parser on the
     executors, entities decoded)."""
@@ -674,5 +815,15 @@ QUERIES = {
     "state_kpi_boxes": q_state_kpi_boxes,
     "adaptive_curve_per_capita": q_adaptive_curve_per_capita,
     "base_name_totals": q_base_name_totals,
+    "event_running_state": q_event_running_state,
+    "ranked_rows": q_ranked_rows,
+    "rows_at_ranks": q_rows_at_ranks,
+    "customers_in_order": q_customers_in_order,
+    "word_counts_rollup": q_word_counts_rollup,
+    "corr_rollup": q_corr_rollup,
+    "manifest_upsert": q_manifest_upsert,
+    "wide_generations": q_wide_generations,
+    "wide_line_report": q_wide_line_report,
+    "state_panel_gaps": q_state_panel_gaps,
     "html_node_text": q_html_node_text,
 }

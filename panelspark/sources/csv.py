@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +56,8 @@ def header_dates(long: DataFrame, headers: Sequence[str], name_col: str = "date"
     return long.withColumn(name_col, F.try_element_at(lookup, F.col(name_col)))
 
 
-_HEADER_CACHE: dict = {}
+_HEADER_CACHE: OrderedDict = OrderedDict()  # of the last HEADERS_KEPT header rows
+HEADERS_KEPT = 64
 
 
 def _parsed_headers(spark: SparkSession, headers: tuple) -> dict:
@@ -65,6 +68,8 @@ def _parsed_headers(spark: SparkSession, headers: tuple) -> dict:
         rows = (literal_table(spark, [(h,) for h in headers], "_header string")
                 .select("_header", parse_mdy("_header").alias("_date")).collect()) if headers else []
         _HEADER_CACHE[headers] = {r["_header"]: r["_date"] for r in rows}
+        if len(_HEADER_CACHE) > HEADERS_KEPT:
+            _HEADER_CACHE.popitem(last=False)
     return _HEADER_CACHE[headers]
 
 
@@ -96,6 +101,61 @@ def country_series(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     return out
 
 
+# ---- files whose headers differ ---------------------------------------------
+
+# one cell behind its comma: quoted (doubled quotes inside) or plain
+_CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
+
+
+def _cells(line) -> Column:
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), 1)
+    plain = lambda c: F.when(c.startswith('"'), F.regexp_replace(
+        F.substring(c, F.lit(2), F.length(c) - 2), '""', '"')).otherwise(c)
+    return F.transform(cells, plain)
+
+
+def wide_lines(lines: DataFrame, ids: Sequence[str] = WIDE_IDS) -> DataFrame:
+    """``lines(file, line)`` of wide files -> ``file, cells, names, dates, kind``:
+    the cells of each data line beside its own file's header and the dates in it
+    (parsed once per header; null for the ids).  Kind is
+    ``ok``, ``short`` or ``long`` (fewer or more cells than the header), or
+    ``no header``.  One small row per different header is joined to the lines;
+    files may have more or fewer date columns, and no schema passes the driver."""
+    first = [F.get(F.col("cells"), F.lit(i)) == c for i, c in enumerate(ids)]
+    split = lines.where(F.col("line") != "").select("file", _cells(F.regexp_replace("line", "\r$", "")).alias("cells"))
+    is_header = F.coalesce(reduce(lambda a, b: a & b, first), F.lit(False))
+    headers = (split.where(is_header).groupBy("file").agg(F.min("cells").alias("names"))
+               .select(F.col("file").alias("_file"), "names", F.transform("names", parse_mdy).alias("dates")))
+    data = split.where(~is_header).join(headers, F.col("file") == F.col("_file"), "left").drop("_file")
+    n, m = F.size("cells"), F.size("names")
+    kind = (F.when(F.col("names").isNull(), "no header").when(n < m, "short").when(n > m, "long").otherwise("ok"))
+    return data.withColumn("kind", kind)
+
+
+def wide_cells(parsed: DataFrame, value_name: str, ids: Sequence[str] = WIDE_IDS,
+               id_names: Sequence[str] = WIDE_ID_NAMES) -> DataFrame:
+    """K1 for lines of any header: one typed row per location and date column,
+    cells placed by their position.  Cells a short line lacks are missing,
+    cells beyond the header have no date and are left to ``line_report``."""
+    placed = F.transform("dates", lambda d, i: F.struct(d.alias("date"), F.get(F.col("cells"), i).alias("_cell")))
+    s, c, lat, lng = id_names
+    key = {n: F.get(F.col("cells"), F.lit(i)) for i, n in enumerate(id_names)}
+    rows = parsed.where("names is not null").select(
+        trim_ws(key[s]).alias(s), trim_ws(key[c]).alias(c), key[lat].try_cast("double").alias(lat),
+        key[lng].try_cast("double").alias(lng), F.inline(F.filter(placed, lambda x: x["date"].isNotNull())))
+    return rows.select(s, c, lat, lng, "date", to_type(trim_ws("_cell"), "int").alias(value_name))
+
+
+def line_report(parsed: DataFrame) -> DataFrame:
+    """Lines whose cells do not fit their header, counted per file and kind."""
+    return parsed.where("kind <> 'ok'").groupBy("file", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def read_wide_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of landed files with the file they stand in (one scan, splittable)."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+
+
 def read_state_population(spark: SparkSession, path: str) -> DataFrame:
     """Small delimited dimension with declared types."""
     return spark.read.option("header", True).schema(STATE_POPULATION_SCHEMA).csv(path)

@@ -15,7 +15,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,20 +169,54 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str,
 
 
 def read_back_check(spark: SparkSession, name: str, expected: DataFrame) -> dict:
-    """Re-read a stored table and compare its schema and row count with
-    what was written."""
+    """Re-read a stored table and compare its columns, their types and
+    the row count with what was written."""
     got = spark.table(name)
-    return {"schema_ok": [f.name for f in got.schema] == expected.columns,
+    kinds = lambda df: [(f.name, f.dataType) for f in df.schema]
+    return {"schema_ok": kinds(got) == kinds(expected),
             "rows": got.count(), "expected_rows": expected.count()}
 
 
+def observed(df: DataFrame, date_col: str = "date") -> tuple[DataFrame, Observation]:
+    """``df`` that counts itself while it is written or read once:
+    rows, latest date and missing cells.  ``load_figures`` reads them after."""
+    seen = Observation()
+    latest = F.max(date_col) if date_col in df.columns else F.lit(None).cast("date")
+    missing = sum((F.sum(F.col(f"`{c}`").isNull().cast("long")) for c in df.columns), F.lit(0))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), latest.alias("max_date"), F.coalesce(missing, F.lit(0)).alias("missing_cells")), seen
+
+
+def load_figures(seen: Observation) -> dict:
+    """``{rows, max_date, missing_cells}`` of an observed write."""
+    return dict(seen.get)
+
+
+def write_observed(df: DataFrame, path: str, date_col: str = "date", mode: str = "errorifexists",
+                   partition_by: Sequence[str] = ()) -> dict:
+    """Write ``df`` and return its load figures from that one pass."""
+    counted, seen = observed(df, date_col)
+    writer = counted.write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return load_figures(seen)
+
+
+def guard_passes(figures: dict) -> bool:
+    """A12 on load figures: rows, and fewer missing cells than rows."""
+    return figures["rows"] > 0 and figures["missing_cells"] < figures["rows"]
+
+
 LOAD_LOG_SCHEMA = "table string, rows long, max_date date, loaded_at timestamp"
 
 
-def log_load(spark: SparkSession, log_path: str, table_name: str, df: DataFrame,
+def log_load(spark: SparkSession, log_path: str, table_name: str, df: DataFrame | dict,
              date_col: str = "date", now: _dt.datetime | None = None) -> DataFrame:
-    """Append (table, rows, max_date, loaded_at) to a load-log table."""
+    """Append (table, rows, max_date, loaded_at) to a load-log table.
+    Given the figures of an observed write, the data is not read again."""
     now = now or _dt.datetime.now()
+    if isinstance(df, dict):
+        row = literal_table(spark, [(table_name, df["rows"], df["max_date"], now)], LOAD_LOG_SCHEMA)
+        row.write.mode("append").parquet(log_path)
+        return spark.read.parquet(log_path)
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.max(date_col).alias("max_date")).select(
         F.lit(table_name).alias("table"), "rows", "max_date", F.lit(now).alias("loaded_at"))
     row.write.mode("append").parquet(log_path)

@@ -3,6 +3,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelspark.sources import csv as C
 from panelspark.sources import html as H
@@ -36,10 +37,10 @@ def test_wide_csv_files_to_long(spark, scratch):
 
 def test_state_population_csv(spark, scratch):
     write(f"{scratch}/sp.csv", "stateLong,state,Pop,Growth,Pop2018,Pop2010,growthSince2010,Percent,density\n"
-                               "Illinois,IL,12659682,-0.0007,12741080,12830632,-0.0133,0.0385,228.0\n"
-                               "Puerto Rico,PR,3032165,-0.0105,3195153,3721525,-0.1852,0.0092,876.4\n")
+                               "Avalonia,AV,1234567,0.0100,1220000,1100000,0.1223,0.0040,51.0\n"
+                               "East Borduria,EB,765432,-0.0200,780000,800000,-0.0432,0.0025,12.5\n")
     df = C.read_state_population(spark, f"{scratch}/sp.csv")
-    assert rows(df.select("state", "Pop")) == [("IL", 12659682), ("PR", 3032165)]
+    assert rows(df.select("state", "Pop")) == [("AV", 1234567), ("EB", 765432)]
     assert TB.duplicate_keys(df, ["state"]).count() == 0
 
 
@@ -159,3 +160,33 @@ def test_typed_cells_fit_or_fail(spark):
             conform(spark.createDataFrame([(cell,)], "n string"), schema).collect()
     small = spark.createDataFrame([(0.004,)] * 3, "x double")
     assert small.agg(money_sum("x").alias("s")).first().s == 0.012
+
+
+def test_wide_files_with_headers_of_their_own(spark, scratch):
+    head = "Province/State,Country/Region,Lat,Long"
+    files = {"g0": [f"{head},1/22/20,1/23/20", ",US,1.5,2,3,4", '"A, ""b""",Italy ,,,5,'],
+             "g1": [f"{head},1/22/2020,1/23/20,X1.24.20,note", ",US,1.5,2,3,4,9,x", ",Short,0,0,1", ",Long,0,0,1,2,3,y,8,9", ""],
+             "g2": [",No header,0,0,1"]}
+    for name, lines in files.items():
+        spark.createDataFrame([("\r\n".join(lines),)], "v string").coalesce(1).write.text(f"{scratch}/{name}")
+    lines = C.read_wide_lines(spark, [f"{scratch}/{n}" for n in files])
+    parsed = C.wide_lines(lines.withColumn("file", F.regexp_extract("file", "/(g[0-9])/", 1)))
+    report = {(r.file, r.kind): r.n for r in C.line_report(parsed).collect()}
+    assert report == {("g1", "short"): 1, ("g1", "long"): 1, ("g2", "no header"): 1}
+    got = {(r.state, r.country, str(r.date)): r.n for r in C.wide_cells(parsed.where("file = 'g1'"), "n").collect()}
+    assert got[("", "US", "2020-01-24")] == 9 and len(got) == 9  # 'note' is no date
+    assert got[("", "Short", "2020-01-22")] == 1 and got[("", "Short", "2020-01-24")] is None
+    first = C.wide_cells(parsed.where("file = 'g0'"), "n")
+    assert {(r.state, r.country, r.Lat, str(r.date), r.n) for r in first.collect()} == {
+        ("", "US", 1.5, "2020-01-22", 3), ("", "US", 1.5, "2020-01-23", 4),
+        ('A, "b"', "Italy", None, "2020-01-22", 5), ('A, "b"', "Italy", None, "2020-01-23", None)}
+
+
+def test_line_form_equals_the_per_file_form(spark, scratch):
+    head = "Province/State,Country/Region,Lat,Long"
+    text = [f"{head},1/22/20,1/23/20", ",US,1.5,2,3,4", "P,Italy,,,5,", ",Peru,7,8,12.0,"]
+    spark.createDataFrame([("\n".join(text),)], "v string").coalesce(1).write.text(f"{scratch}/w")
+    whole = C.wide_file_to_long(C.read_wide(spark, f"{scratch}/w"), "n")
+    lines = C.wide_cells(C.wide_lines(C.read_wide_lines(spark, f"{scratch}/w")), "n")
+    key = lambda r: str(tuple(r))
+    assert sorted(whole.collect(), key=key) == sorted(lines.select(whole.columns).collect(), key=key)
