@@ -122,7 +122,7 @@ def test_upsert_is_idempotent(spark):
 def test_replace_trailing_dates_keeps_missing_pairs(spark):
     old = spark.createDataFrame([("IL", D[0], 1), ("IL", D[1], 2), ("NY", D[1], 3)], "state string, date date, positive int")
     src = spark.createDataFrame([("IL", D[0], 100), ("IL", D[1], 20), ("IL", D[2], 30)], "state string, date date, positive int")
-    got = rows(RF.replace_trailing_dates(old, src, ["state"], "date", overlap_days=1))
+    got = rows(RF.replace_trailing_dates(old, src, ["state"], "date", overlap_days=1, late="window"))
     # watermark D1, re-read from D0: arrived pairs replaced, NY (not re-sent) kept
     assert got == [("IL", D[0], 100), ("IL", D[1], 20), ("IL", D[2], 30), ("NY", D[1], 3)]
 
@@ -187,7 +187,7 @@ def test_partitioned_refresh_rewrites_only_touched_months(spark, scratch):
     jan_files = sorted(os.listdir(f"{path}/month=2020-01-01"))
     batch = spark.createDataFrame([("IL", dt.date(2020, 3, 2), 99), ("IL", dt.date(2020, 3, 3), 100),
                                    ("IL", dt.date(2020, 1, 1), -1)], "state string, date date, positive int")
-    RF.refresh_partitioned(spark, path, batch, "replace_dates", keys=["state"], staging_root=scratch)
+    RF.refresh_partitioned(spark, path, batch, "replace_dates", keys=["state"], staging_root=scratch, late="window")
     got = rows(spark.read.parquet(path).select("state", "date", "positive"))
     # watermark 3/2, re-read from 3/1: Jan (incl. the stale 1/1 row in the batch) untouched
     assert got == [("IL", dt.date(2020, 1, 1), 1), ("IL", dt.date(2020, 1, 2), 2),
@@ -275,7 +275,7 @@ def test_upsert_rejected_batch_keeps_nonpositive_rows(spark):
 def test_append_without_new_rows_keeps_duplicates(spark):
     old = spark.createDataFrame([("h", D[0], "t"), ("h", D[0], "t")], "headlines string, date date, type string")
     src = spark.createDataFrame([("h", D[0], "t")], "headlines string, date date, type string")
-    assert RF.append_new_days(old, src).count() == 2
+    assert RF.append_new_days(old, src, late="window").count() == 2
 
 
 def test_dotted_header_dates(spark, scratch):
