@@ -31,11 +31,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from panelspark.llm.common import stored, type_of
 from panelspark.llm.components import components
 
 SHINGLE, MAX_BITS, BLOCK = 3, 3, 2048
+FILTER_WORDS = 1 << 20  # words of 64 bits in the filter of dropped ids
 SEED = 42  # fixed value: the seed of the shingle hash
 
 
@@ -200,14 +202,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ids = stored(member.groupBy("id").agg(F.count(F.lit(1)).alias("n"),
                                           F.max(F.col("id") == F.col("component_id")).alias("keep")),
                  "simhash-ids")
-    once = ids.where("id is not null and n = 1 and not keep").select(F.col("id").alias(id_col))
+    once = ids.where("id is not null and n = 1 and not keep").select("id")
     odd = ids.where("id is not null and n > 1")
-    # rows with an id of their own: only the dropped ids are joined
-    plain = (docs.where(F.col(id_col).isNotNull())
-             .join(once.unionByName(odd.select(F.col("id").alias(id_col))), id_col, "left_anti")
-             .select(docs.columns))
-    repeated = (docs.join(odd.where("keep").select(F.col("id").alias(id_col)), id_col, "left_semi")
-                .select(docs.columns))
+    # texts stay where they are: only rows that a bounded filter of the dropped
+    # and repeated ids hits are joined, at any size
+    rare = once.unionByName(odd.select("id"))
+    named = docs.where(F.col(id_col).isNotNull())
+    miss, hit = _parted(named, id_col, rare)
+    plain = miss.unionByName(hit.join(rare.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id"), "left_anti"))
+    repeated = hit.join(odd.where("keep").select(F.col("id").alias("__id")), F.col(id_col) == F.col("__id"), "left_semi")
     if odd.limit(1).count():
         lead = labels.select(F.col("fp").alias("__fp"), F.col("component_id").alias("__component"),
                              F.col("label").alias("__label"))
@@ -225,9 +228,31 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return plain
 
 
+def _parted(docs: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` whose id is surely not among ``ids(id)``, and the others.  The
+    filter is a table of at most ``FILTER_WORDS`` words of 64 bits, broadcast
+    whatever the size; beyond its bits more rows count among the others."""
+    words = 1 << 10
+    while words < min(FILTER_WORDS, ids.count()):
+        words *= 2
+
+    def at(c):  # a hash of the id: bits 0 to 5 name the bit, the others the word
+        h = F.xxhash64(F.lit(words), c)
+        return F.pmod(F.shiftright(h, 6), F.lit(words)), F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
+
+    word, bit = at(F.col("id"))
+    held = stored(ids.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits")), "simhash-filter")
+    word, bit = at(F.col(id_col))
+    seen = docs.join(F.broadcast(held), word == F.col("__word"), "left")
+    hit = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return seen.where(~hit).select(docs.columns), seen.where(hit).select(docs.columns)
+
+
 def _with_fp(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    @F.udf("bigint")
-    def fp(text):
-        return fingerprint(text, shingle)
+    def run(batches):
+        for b in batches:
+            fps = [fingerprint(t, shingle) for t in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps, pa.int64())], [*b.schema.names[:-1], "__fp"])
 
-    return docs.withColumn("__fp", fp(F.col(text_col)))
+    rows = docs.withColumn("__text", F.col(text_col).cast("string"))
+    return rows.mapInArrow(run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
