@@ -12,6 +12,7 @@ from panelspark.session import checkpoint_dir
 # Fixed value: the word pattern of the contracts (a run of characters that are
 # neither space nor one of the five ASCII control blanks).
 BLANKS = r"[\x20\x09-\x0D]+"
+BLANK_CHARS = " \t\r\x0b\x0c"  # blanks that a line can hold
 WORD = r"[^\x20\x09-\x0D]+"
 
 

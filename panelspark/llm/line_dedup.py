@@ -4,16 +4,16 @@ Per host, the pages that contain a line (once per page, however often it
 repeats there) are divided by all pages of the host; lines above ``max_ratio``
 on at least ``min_pages`` pages are boilerplate and are dropped.  Lines are
 compared without surrounding blanks; blank lines are neither counted nor
-dropped.  A page that would lose more than ``max_loss`` of its characters in
-this way stays as it is; without ``max_loss`` (the pipeline) the lines go
-whatever share that is, and only a page of which no line would be left, a copy
-of other pages, stays as it is for the near-duplicate stages.
+dropped.  The lines go whatever share of a page they are; only a page of which
+no line would be left, a copy of other pages, stays as it is (near-duplicate
+stages tell copies).  ``max_loss`` can spare pages that would lose more than
+that share of their characters.
 
 The counts are one pre-aggregated shuffle of 16-byte line keys.  A host has at
 most (lines per page / max_ratio) boilerplate lines, so each host's list is
-one small row; it is written first, and the planner broadcasts the lists only
-where their measured size allows, else it joins by host with skew splitting.
-Texts are never exploded back together.
+one small row; the lists are written and measured first, up to ``LIST_KEYS``
+lines in all are broadcast and texts stay where they are, beyond that the rows
+are joined by host with skew splitting.  Texts are never exploded back together.
 
 Edge cases: null and empty texts stay; a null host is a host of its own; every
 row counts as a page, repeated rows and ids included; an empty table gives an
@@ -25,10 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import stored
+from panelspark.llm.common import BLANK_CHARS, stored
 
-MAX_RATIO, MIN_PAGES, MAX_LOSS = 0.10, 5, 0.5
-BLANK_CHARS = " \t\r\x0b\x0c"
+MAX_RATIO, MIN_PAGES = 0.10, 5
+LIST_KEYS = 1 << 20  # boilerplate lines (16-byte keys) that may be broadcast
 
 
 def host_of(url: Column) -> Column:
@@ -62,7 +62,7 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-               max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, max_loss: float | None = MAX_LOSS,
+               max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, max_loss: float | None = None,
                counts: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines cut from ``text_col``; with
     ``counts`` also ``n_lines`` and ``n_dropped`` (columns of ``docs`` with
@@ -71,6 +71,8 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
         F.col("host").alias("__host"), F.col("keys").alias("__keys")), "boilerplate")
     names = docs.columns
     text = F.col(text_col).cast("string")
+    if (lists.agg(F.sum(F.size("__keys"))).first()[0] or 0) <= LIST_KEYS:
+        lists = F.broadcast(lists)
     joined = docs.join(lists, F.col(host_col).eqNullSafe(F.col("__host")), "left")
     kept = F.filter(_lines(text), lambda x: (_trim(x) == "") | ~F.array_contains(F.col("__keys"), _line_key(x)))
     cut = joined.withColumn("__kept", F.when(F.col("__keys").isNotNull(), kept))

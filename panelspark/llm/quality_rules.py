@@ -9,7 +9,8 @@ base counts of the whole text come with it.
 Repeated 3-word windows are found without leaving the row: the windows' hashes
 are sorted with their positions, so equal windows stand side by side.
 
-Edge cases: a null text has no words; texts without three words have no
+Edge cases: blanks at a line's end, a carriage return too, do not count; a null
+text has no words; texts without three words have no
 window; every row is judged on its own, so repeated rows, ids of any kind and
 extra columns do not matter.
 """
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import BLANKS, words
+from panelspark.llm.common import BLANK_CHARS, BLANKS, words
 
 MIN_WORDS, MAX_REPEAT_PCT, MAX_LOSS = 50, 50, 0.5
 SYMBOLS = "#*$%&|<>"
@@ -47,7 +48,7 @@ def line_fails(line: Column) -> Column:
     notice = F.lit(False)
     for phrase in NOTICES:
         notice = notice | F.contains(F.lower(line), F.lit(phrase))
-    menu = (n <= MENU_WORDS) & ~F.rtrim(line).rlike(r"[.!?:;,\"'…”»)]$")
+    menu = (n <= MENU_WORDS) & ~F.rtrim(line, F.lit(BLANK_CHARS)).rlike(r"[.!?:;,\"'…”»)]\z")
     return ((_n_chars(line, SYMBOLS) > SYMBOL_RATIO * n) | (_n_chars(line, "!?") > SHOUT_RATIO * n)
             | (_n_chars(line, SEPARATORS) > SEPARATOR_RATIO * n) | menu | notice)
 

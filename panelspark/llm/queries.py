@@ -134,8 +134,7 @@ b AS (SELECT n.source, list(line) AS bad
       WHERE n.n > {line_dedup.MAX_RATIO} * t.pages GROUP BY n.source),
 c AS (SELECT d.*, list_filter(lines, lambda x: trim(x, {_BLANK}) = '' OR NOT list_contains(coalesce(bad, []), trim(x, {_BLANK}))) AS kept
       FROM d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source),
-k AS (SELECT *, length(replace(array_to_string(kept, chr(10)), chr(10), ''))
-             >= {1 - line_dedup.MAX_LOSS} * length(replace(text, chr(10), '')) AS ok FROM c)
+k AS (SELECT *, len(list_filter(kept, lambda x: trim(x, {_BLANK}) <> '')) > 0 AS ok FROM c)
 SELECT doc_id, source, CASE WHEN ok THEN array_to_string(kept, chr(10)) ELSE text END AS text,
        CAST(len(lines) AS BIGINT) AS n_lines,
        CAST(CASE WHEN ok THEN len(lines) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped
@@ -148,10 +147,10 @@ def _op10_sql() -> str:
     n_of = lambda x, chars: f"(length({x}) - length(translate({x}, '{chars}', '')))"
     n = f"len(regexp_extract_all(x, {word}))"
     notice = " OR ".join(f"contains(lower(x), '{p}')" for p in q.NOTICES)
-    end = r"""'[.!?:;,"''…”»)]$'"""
+    end = r"""'[.!?:;,"''…”»)]$'"""  # RE2: the end of the text
     fails = (f"{n_of('x', q.SYMBOLS)} > {q.SYMBOL_RATIO} * {n} OR {n_of('x', '!?')} > {q.SHOUT_RATIO} * {n} "
              f"OR {n_of('x', q.SEPARATORS)} > {q.SEPARATOR_RATIO} * {n} "
-             f"OR ({n} <= {q.MENU_WORDS} AND NOT regexp_matches(rtrim(x), {end})) OR {notice}")
+             f"OR ({n} <= {q.MENU_WORDS} AND NOT regexp_matches(rtrim(x, {_BLANK}), {end})) OR {notice}")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, {word}) AS ws,
