@@ -192,10 +192,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     width = 2 if kind == "<u2" else 4
     # pieces, so that one long text is spread over blocks too
     cut = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / length).cast("int")))
-    pieces = (tokens.where("n > 0").select("id", "key", "ids", cut.alias("piece"))
-              .select("id", "key", "piece",
+    # rows that repeat id and text share a key: their place in the written file parts them
+    place = F.col("_metadata.row_index").alias("place")
+    pieces = (tokens.where("n > 0").select("id", "key", place, "ids", cut.alias("piece"))
+              .select("id", "key", "piece", "place",
                       F.substring("ids", F.col("piece") * (length * width) + 1, F.lit(length * width)).alias("ids"))
-              .withColumn("block", F.pmod(F.xxhash64("key", "piece"), F.lit(blocks))))
+              .withColumn("block", F.pmod(F.xxhash64("key", "piece", "place"), F.lit(blocks))).drop("place"))
     schema = (f"block bigint, row bigint, n_tokens bigint, input_ids binary, cu_seqlens array<int>, "
               f"position_ids binary, doc_ids array<{id_type}>, pieces array<int>, offsets array<bigint>")
 
