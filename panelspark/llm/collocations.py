@@ -43,6 +43,7 @@ DICTIONARY, WORD_BYTES = 1 << 19, 64
 CHUNK_BYTES = 1 << 23    # text taken apart together
 FLUSH = 1 << 22          # n-grams in one shard's filters
 RANGE = 1 << 21          # n-grams (with repeats) per range of quotients
+PART = 50_000            # candidates ranked together
 TABLE_WORDS = 1 << 19    # different words a task counts before it hands them on
 # The characters that end a piece, and the blanks between words.
 ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b" \t"
@@ -354,13 +355,16 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     triples = cuts.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", pick("l1", "l2").alias("l"),
                           pick("r1", "r2").alias("r"), pick("s1", "s2").alias("score"))
     scored = stored(pairs.unionByName(triples), "collocations")
-    # a language may hold most candidates: parts of about 50,000 are ranked first
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    parts = scored.count() // 50_000 + 1
-    some = (scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
-            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
-            .where(F.col("rank") <= top))
-    return (some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint"))
+    # a language may hold most candidates: parts of bounded size are ranked
+    # first, again and again, until what is left is ranked as a whole
+    n, before = scored.count(), None
+    while n > 2 * PART and n != before:
+        some = scored.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(n // PART + 1)))
+        some = some.withColumn("_place", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
+        scored = stored(some.where(F.col("_place") <= top).drop("_part", "_place"), "collocations")
+        n, before = scored.count(), n
+    return (scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint"))
             .where(F.col("rank") <= top).join(totals, "lang")
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 

@@ -47,7 +47,7 @@ from panelspark.llm.bitfilter import mix
 from panelspark.llm.common import stored, type_of
 
 WINDOW, ROUNDS = 35, 3
-CHUNK_BYTES = 1 << 23   # text parsed together
+CHUNK_BYTES = 1 << 22   # text parsed together
 _EDGE = np.uint64(0)    # the symbol between two texts
 _SALTS = mix(np.arange(1, 65, dtype=np.uint64))  # one for each round's classes
 _BYTE_HASH = mix(np.arange(1, 32 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))

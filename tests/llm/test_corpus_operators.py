@@ -257,10 +257,11 @@ def test_collocations_equal_brute_force(spark, kw):
 
 def test_collocations_in_many_ranges_and_shards(spark, monkeypatch):
     rows = phrases(2, 300)
-    want = brute_collocations(rows)
-    for name, value in (("RANGE", 64), ("FLUSH", 500), ("CHUNK_BYTES", 900), ("TABLE_WORDS", 40)):
+    want = brute_collocations(rows, top=4)
+    for name, value in (("RANGE", 64), ("FLUSH", 500), ("CHUNK_BYTES", 900), ("TABLE_WORDS", 40),
+                        ("PART", 6)):
         monkeypatch.setattr(collocations, name, value)
-    assert want and found(spark, rows) == want
+    assert want and found(spark, rows, top=4) == want
 
 
 def test_collocations_of_odd_texts(spark):
@@ -299,3 +300,85 @@ def test_filters_pack_and_merge_without_loss():
             total[a] += b
     values, counts = collocations.merge(parts)
     assert dict(zip(values.tolist(), counts.tolist())) == dict(total) and (np.diff(values.astype(np.int64)) > 0).all()
+
+
+# ---- line dedup, quality rules, packing: hot rows and line ends ----
+
+OP_DOCS = "doc_id bigint, text string, lang string, source string"
+
+
+def test_line_dedup_cuts_pages_of_mostly_boilerplate(spark):
+    passage = " ".join(f"licence{i}" for i in range(60))
+    rows = [(i, f"own {i}\n{passage}", "en", "h") for i in range(12)] + [(50 + i, f"page {i}", "en", "h") for i in range(40)]
+    from panelspark.llm import line_dedup
+    got = {r.doc_id: r for r in line_dedup.drop_lines(spark.createDataFrame(rows, OP_DOCS), counts=True).collect()}
+    assert all(got[i].text == f"own {i}" and got[i].n_dropped == 1 for i in range(12)) and got[60].text == "page 10"
+    spared = line_dedup.drop_lines(spark.createDataFrame(rows, OP_DOCS), max_loss=0.5).where("doc_id = 3").first()
+    assert passage in spared.text
+
+
+def test_line_dedup_broadcasts_bounded_lists_only(spark, monkeypatch):
+    from panelspark.llm import line_dedup
+    rows = [(i, f"own {i}\nfooter", "en", "h") for i in range(20)]
+    d = spark.createDataFrame(rows, OP_DOCS)
+    want = sorted(map(tuple, line_dedup.drop_lines(d).collect()))
+    monkeypatch.setattr(line_dedup, "LIST_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, line_dedup.drop_lines(d).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", " \t\r\n", "\u0085\n", " \n"])
+def test_quality_rules_agree_with_sql_on_line_ends(spark, end):
+    import duckdb
+
+    from panelspark.llm import queries
+    texts = [end.join(f"Short line {i}." for i in range(30)), end.join(f"menu {i}" for i in range(40)),
+             end.join(f"A longer line number {i} without an end" for i in range(20))]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = queries.quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = {r["doc_id"]: r for r in con.execute(queries.ORACLE_SQL["op10_quality_rules"]).fetchdf().to_dict("records")}
+    assert {r.doc_id: (r.kept, r.n_words) for r in got} == {i: (r["kept"], r["n_words"]) for i, r in want.items()}
+
+
+def test_packing_spreads_repeated_rows(spark):
+    from panelspark.llm import packing
+    hot = "one row that stands in the table again and again " * 3
+    rows = [(1, hot, "en", "s")] * 400 + [(10 + i, f"other text number {i}", "en", "s") for i in range(100)]
+    out = packing.pack(spark.createDataFrame(rows, OP_DOCS), block_tokens=2000, length=512).collect()
+    per = Counter()
+    for r in out:
+        per[r.block] += r.n_tokens
+    assert len(per) > 5 and max(per.values()) < 3 * sum(per.values()) / len(per)
+    assert Counter(d for r in out for d in r.doc_ids)[1] == 400
+
+
+def test_near_dedup_moves_only_rows_that_may_go(spark):
+    from panelspark.llm import simhash
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice("abcdefghijklmnop") + str(rnd.randint(0, 99)) for _ in range(40)), "en", "s")
+            for i in range(60)]
+    rows += [(100 + i, rows[i][1], "en", "s") for i in range(20)] + [(None, rows[2][1], "en", "s"), (5, rows[7][1], "en", "s")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = simhash.drop_near_duplicates(spark.createDataFrame(rows, OP_DOCS))
+        got = sorted(r.doc_id for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+    assert got == sorted([*range(7), 5, *range(8, 60)])  # the second 5 leads the texts of 7
+
+
+@pytest.mark.parametrize("words", [1024, 4])
+def test_the_filter_of_ids_parts_without_loss(spark, monkeypatch, words):
+    from panelspark.llm import simhash
+    monkeypatch.setattr(simhash, "FILTER_WORDS", words)
+    d = spark.range(500).selectExpr("id as doc_id", "'t' as text")
+    miss, hit = simhash._parted(d, "doc_id", spark.range(40).selectExpr("id * 3 as id"))
+    a, b = {r.doc_id for r in miss.collect()}, {r.doc_id for r in hit.collect()}
+    assert a | b == set(range(500)) and not a & b and {3 * i for i in range(40)} <= b
+    assert len(b) < 60 + 440 * (words < 1024)
