@@ -8,13 +8,19 @@ format and of the text around it; boosted depth-two trees score it, and per
 generator a threshold calibrated on the other half of the documents selects
 the spans that are added.
 
-The trees need labels, and the tables have none for personal data: a candidate
-counts as personal if it overlaps a base span, so the model learns which
-formats and contexts go with verified data and carries that over to spans that
-the base patterns miss.  All candidates of all texts are counted into cells of
-equal features (one pre-aggregated shuffle); boosting runs on the cells, at
-most ``MAX_CELLS`` of them, so its size does not depend on the corpus.  The
-fitted trees become one SQL expression.  Texts are never shuffled.
+The trees need labels, and the tables have none for personal data, so each
+generator has a check of its own kind (``_verified``): an address that is whole
+once ``(at)`` and ``(dot)`` are written out, four parts up to 255, Luhn's
+digits, the phone rule once a leading 00 is a plus sign, an IBAN's remainder
+of 97; a local number is verified where it is part of an international one.
+The features describe format and context and restate none of these checks.  The
+model learns where verified data stands and accepts formats that hold mostly
+verified data.  All candidates of all texts are counted into cells of equal
+features (one pre-aggregated shuffle); boosting runs on the ``MAX_CELLS``
+largest, and the rows of the others count against every threshold, so its size
+does not depend on the corpus.  Spans and candidates are matched once and
+written; the fitted trees become one SQL expression over them.  Texts are never
+shuffled.
 
 Positions are code points, end exclusive.  They are found without leaving the
 row: the gaps between matches and the matches themselves are summed up, in
@@ -30,10 +36,13 @@ rows and any ids are fine; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm.common import stored
+
 KINDS = ("email", "ip", "card", "phone", "account")
 MAX_CELLS = 20_000
 ROUNDS, RATE, LEAST_CHILD = 30, 0.3, 5.0
@@ -52,7 +61,7 @@ BASE = {
 # Generators: kind of the span that they propose, and pattern.
 GENERATORS = (
     ("email", rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++"
-              r"(?:\x20?(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]++)++"),
+              r"(?:(?:\x20?\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\x20?(?:\.|\[\.\]|\(\.\))\x20?[0-9]{1,3}){3}(?![0-9.])"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20.-]{1,2}[0-9]{4}){2,3}(?:[\x20.-]{1,2}[0-9]{1,3})?(?![0-9])"),
     ("phone", r"(?<![0-9+])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,5}(?![0-9])"),
@@ -63,7 +72,7 @@ GENERATORS = (
 CONTEXT = (r"(?i)\b(?:e-?mail|mail|contact|write)\b", r"(?i)\b(?:ip|host|server|address|ping)\b",
            r"(?i)\b(?:card|visa|credit|payment|carte|tarjeta|karte)\b",
            r"(?i)\b(?:phone|tel|call|mobile|fax|telefon|llame)\b", r"(?i)\b(?:iban|account|konto|compte|cuenta)\b")
-FEATURES = ("gen", "digits", "marks", "variety", "luhn", "octets", "before", "after", "context", "plus", "dots", "size")
+FEATURES = ("gen", "digits", "marks", "variety", "before", "after", "context", "dots", "size")
 
 
 def _step(df: DataFrame, **cols: Column) -> DataFrame:
@@ -164,9 +173,39 @@ def _bin(n: Column, edges: tuple[int, ...]) -> Column:
     return out
 
 
+def _iban(m: Column) -> Column:
+    """Whether the remainder of 97 of an account number is right."""
+    plain = F.translate(m, " ", "")
+    turned = F.concat(F.substring(plain, F.lit(5), F.char_length(plain)), F.substring(plain, 1, 4))
+    value = lambda c: F.when(c.rlike("[A-Z]"), F.ascii(c) - 55).otherwise(c.try_cast("int"))
+    rest = F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), lambda a, c: F.pmod(
+        a * F.when(c.rlike("[A-Z]"), 100).otherwise(10) + F.coalesce(value(c), F.lit(0)), F.lit(97)))
+    return F.char_length(plain).between(15, 34) & (rest == 1)
+
+
+def _verified(gen: int, m: Column, over_phone: Column) -> Column:
+    """The label of a candidate of one generator."""
+    kind = GENERATORS[gen][0]
+    plain = F.translate(m, " ", "")
+    if kind == "email":
+        whole = F.regexp_replace(F.regexp_replace(plain, r"\(at\)|\[at\]", "@"), r"\(dot\)|\[dot\]", ".")
+        return whole.rlike(rf"\A[{_LOCAL}]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{{2,24}}\z")
+    if kind == "ip":
+        return F.coalesce(_octets(m), F.lit(False))
+    if kind == "card":
+        return _luhn(m)
+    if kind == "account":
+        return _iban(m)
+    if GENERATORS[gen][1].startswith(r"(?<![0-9])00"):
+        digits = F.substring(_digits(m), F.lit(3), F.char_length(m))
+        return digits.rlike("^[1-9]") & F.char_length(digits).between(9, 15) & (
+            F.size(F.array_distinct(F.split(digits, ""))) >= 4)
+    return over_phone
+
+
 def candidates(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``__cand``: array of (s, e, hit, features), ``hit`` whether
-    the candidate overlaps a base span."""
+    """``df`` with ``__cand``: array of (s, e, hit, over, features), ``hit`` the
+    label of the candidate, ``over`` whether it overlaps a base span."""
     names = {f"__cand{i}": p for i, (_, p) in enumerate(GENERATORS)}
     df = find(df, text, names)
 
@@ -186,13 +225,17 @@ def candidates(df: DataFrame, text: str) -> DataFrame:
         feature = dict(zip(FEATURES, (
             x["gen"], _bin(F.length(d), (1, 7, 9, 12, 16, 17)),
             _bin(F.length(m) - F.length(F.translate(m, " .-()[]", "")), (1, 2, 3, 4, 6)),
-            _bin(F.size(F.array_distinct(F.split(d, ""))), (2, 4, 6)), _luhn(m).cast("int"),
-            F.coalesce(_octets(m), F.lit(False)).cast("int"), _class(F.substring(F.col(text), x["s"], F.when(x["s"] > 0, 1).otherwise(0))),
-            _class(F.substring(F.col(text), x["e"] + 1, F.lit(1))), context,
-            m.startswith("+").cast("int"), _bin(F.length(m) - F.length(F.translate(m, ".", "")), (1, 2, 3)),
+            _bin(F.size(F.array_distinct(F.split(d, ""))), (2, 4, 6)),
+            _class(F.substring(F.col(text), x["s"], F.when(x["s"] > 0, 1).otherwise(0))),
+            _class(F.substring(F.col(text), x["e"] + 1, F.lit(1))), context, _bin(F.length(m) - F.length(F.translate(m, ".", "")), (1, 2, 3)),
             _bin(F.length(m), (8, 12, 16, 20, 28)))))
-        hit = F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-        return F.struct(x["s"].alias("s"), x["e"].alias("e"), hit.alias("hit"),
+        meets = lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])
+        over = F.exists("__base", meets)
+        phone = F.exists("__base", lambda b: meets(b) & (b["k"] == KINDS.index("phone")))
+        hit = F.lit(False)
+        for i in range(len(GENERATORS)):
+            hit = F.when(x["gen"] == i, _verified(i, m, phone)).otherwise(hit)
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), hit.alias("hit"), over.alias("over"),
                         *[v.cast("int").alias(k) for k, v in feature.items()])
 
     return _step(df, __cand=F.transform("__raw", described)).drop("__raw")
@@ -275,12 +318,16 @@ def _split(cells, grad, rows):
 
 def train(df: DataFrame) -> tuple[Trees, dict[int, float]]:
     """Trees, and per generator the least margin to accept, from ``__cand``
-    and ``__t``.  One half of the texts fits, the other calibrates."""
-    half = F.pmod(F.xxhash64("__t"), F.lit(2)).alias("half")
-    cells = (df.where(F.size("__cand") > 0).select(half, F.explode("__cand").alias("x"))
-             .groupBy("half", *[F.col(f"x.{f}").alias(f) for f in FEATURES])
-             .agg(F.count_if("x.hit").alias("one"), F.count(F.lit(1)).alias("all"))
-             .orderBy(F.desc("all"), "half", *FEATURES).limit(MAX_CELLS).collect())
+    and ``__half``.  One half of the texts fits, the other calibrates; rows of
+    cells beyond the largest count as wrong ones above every threshold."""
+    counted = stored(df.where(F.size("__cand") > 0).select(F.col("__half").alias("half"), F.explode("__cand").alias("x"))
+                     .groupBy("half", *[F.col(f"x.{f}").alias(f) for f in FEATURES])
+                     .agg(F.count_if("x.hit").alias("one"), F.count(F.lit(1)).alias("all")), "pii-cells")
+    cells = counted.orderBy(F.desc("all"), "half", *FEATURES).limit(MAX_CELLS).collect()
+    spare = {r["gen"]: float(r["n"]) for r in counted.where("half = 1").groupBy("gen").agg(F.sum("all").alias("n")).collect()}
+    for r in cells:
+        if r["half"] == 1:
+            spare[r["gen"]] -= r["all"]
     rows = [(r["half"], {f: r[f] for f in FEATURES}, float(r["one"]), float(r["all"] - r["one"])) for r in cells]
     fitted = [r[1:] for r in rows if r[0] == 0]
     if not any(r[2] for r in rows) or not fitted:
@@ -289,7 +336,7 @@ def train(df: DataFrame) -> tuple[Trees, dict[int, float]]:
     for g in range(len(GENERATORS)):
         held = sorted(((model.margin(x), a, b) for h, x, a, b in rows if h == 1 and x["gen"] == g),
                       key=lambda r: -r[0])
-        one = every = 0.0
+        one, every = 0.0, spare.get(g, 0.0)
         for i, (margin, a, b) in enumerate(held):
             one, every = one + a, every + a + b
             last = i + 1 == len(held) or held[i + 1][0] < margin
@@ -298,13 +345,16 @@ def train(df: DataFrame) -> tuple[Trees, dict[int, float]]:
     return model, limits
 
 
-def personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``base`` and ``spans``: arrays of (s, k, e), ``k`` the
-    number of the kind in ``KINDS``, by start and then kind.  Columns of
-    ``docs`` with these two names are replaced."""
-    names = [c for c in docs.columns if c not in ("base", "spans")]
+def personal_data(docs: DataFrame, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``keep``, all by default) with ``base`` and
+    ``spans``: arrays of (s, k, e), ``k`` the number of the kind in ``KINDS``,
+    by start and then kind.  Columns of ``docs`` with these two names are
+    replaced."""
+    names = [c for c in (docs.columns if keep is None else keep) if c not in ("base", "spans")]
     rows = docs.withColumn("__t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = candidates(base_spans(rows, "__t"), "__t")
+    # matched once: the fit and the result read what is written
+    rows = stored(rows.select(*names, "__base", "__cand", F.pmod(F.xxhash64("__t"), F.lit(2)).alias("__half")), "pii")
     model, limits = train(rows)
     typed = "array<struct<s:int,k:int,e:int>>"
     added = F.array().cast(typed)
@@ -321,7 +371,7 @@ def personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 out = F.when(x["gen"] == g, KINDS.index(k)).otherwise(out)
             return out
 
-        good = F.transform(F.filter("__cand", lambda x: ~x["hit"]), lambda x: F.struct(
+        good = F.transform(F.filter("__cand", lambda x: ~x["over"]), lambda x: F.struct(
             (-model.expression(x)).alias("o"), x["s"].alias("s"), kind_of(x).alias("k"), x["e"].alias("e"),
             limit_of(x).alias("l")))
         rows = _step(rows, __good=F.sort_array(F.filter(good, lambda x: -x["o"] >= x["l"])))

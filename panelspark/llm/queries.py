@@ -29,7 +29,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
 
     def number(i):
         return F.size(F.filter("base", lambda x: x["k"] == i)).cast("bigint")

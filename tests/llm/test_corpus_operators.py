@@ -382,3 +382,53 @@ def test_the_filter_of_ids_parts_without_loss(spark, monkeypatch, words):
     a, b = {r.doc_id for r in miss.collect()}, {r.doc_id for r in hit.collect()}
     assert a | b == set(range(500)) and not a & b and {3 * i for i in range(40)} <= b
     assert len(b) < 60 + 440 * (words < 1024)
+
+
+# ---- personal data: labels of their own ----
+
+def iban(country, body):
+    def number(s):
+        return int("".join(str(int(c, 36)) for c in s))
+    return f"{country}{98 - number(body + country + '00') % 97:02d}{body}"
+
+
+def pii_texts(seed, n=160):
+    """Texts with one variant each that the base patterns miss, and decoys."""
+    rnd = random.Random(seed)
+    digits = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    out = []
+    for i in range(n):
+        acc = iban("DE", "500105175" + digits(9))
+        acc = " ".join(acc[j:j + 4] for j in range(0, len(acc), 4))
+        out += [("account", f"please pay to konto {acc} soon, item {i}"),
+                ("phone", f"call me on tel 0049 {rnd.randint(30, 99)} {rnd.randint(1000000, 9999999)} tonight"),
+                ("email", f"write mail to user{i} (at) mail{i} (dot) example (dot) com today"),
+                ("ip", f"ping the host 10[.]{rnd.randint(0, 255)}[.]{rnd.randint(0, 255)}[.]{rnd.randint(1, 254)} now"),
+                (None, f"article DE{digits(2)} {digits(4)} {digits(4)} {digits(4)} {digits(4)} {digits(2)} in stock"),
+                (None, f"rows 000000000{rnd.randint(10, 99)}0000 of the log"), (None, f"meet @ noon {i} in room {digits(3)}")]
+    return out
+
+
+def test_every_kind_of_span_is_added(spark):
+    from panelspark.llm import pii
+    rows = pii_texts(1)
+    out = pii.personal_data(docs(spark, [t for _, t in rows])).select("doc_id", pii.joined("base").alias("b"),
+                                                                     pii.joined("spans").alias("s")).collect()
+    kinds = {r.doc_id: {x.split(":")[0] for x in r.s.split(",") if x} for r in out}
+    assert all(set(filter(None, r.b.split(","))) <= set(r.s.split(",")) for r in out)
+    for kind in ("account", "phone", "email", "ip"):
+        own = [i for i, (k, _) in enumerate(rows) if k == kind]
+        other = [i for i, (k, _) in enumerate(rows) if k != kind]
+        caught = sum(kind in kinds[i] for i in own) / len(own)
+        wrong = sum(kind in kinds[i] for i in other) / max(1, sum(kind in kinds[i] for i in range(len(rows))))
+        assert caught >= 0.9 and wrong <= 0.1, (kind, caught, wrong)
+
+
+def test_account_numbers_are_verified(spark):
+    from pyspark.sql import functions as F
+
+    from panelspark.llm import pii
+    good = [iban("GB", "WEST12345698765432"), iban("DE", "500105175407324931"), iban("BE", "539007547034")]
+    bad = [g[:-1] + ("1" if g[-1] != "1" else "2") for g in good] + ["DE00", "XX11 2222 3333 4444"]
+    df = spark.createDataFrame([(x,) for x in good + bad], "m string")
+    assert [r[0] for r in df.select(pii._iban(F.col("m"))).collect()] == [True] * 3 + [False] * 5
