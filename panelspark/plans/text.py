@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.dates import long_label
-from panelspark.functions.text import cut_between, drop_control, split_items, strip_fragments, strip_spans
+from panelspark.functions.text import cut_between, drop_control, strip_fragments, strip_spans
+from panelspark.operators.aggregate import count_by
 from panelspark.operators.joins import drop_keys
-from panelspark.operators.reshape import tokenize
+from panelspark.operators.reshape import split_to_rows, tokenize
 from panelspark.operators.select import between_dates
 
 # Fragments deleted from headline text before tokenizing.
@@ -47,8 +48,7 @@ def word_counts(tokens: DataFrame, stop_words: DataFrame, word: str = "word",
     t = drop_keys(t.select(word), stop_words.select(word), [word], null_safe=False)
     if exclude:
         t = t.filter(~F.col(word).isin(list(exclude)))
-    return (t.groupBy(word).agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), F.asc(word)))
+    return count_by(t, word)
 
 
 def marked_items(df: DataFrame, text: str, start: str | None, end: str | None,
@@ -59,7 +59,7 @@ def marked_items(df: DataFrame, text: str, start: str | None, end: str | None,
     delimiter first), split into non-empty items, one row each."""
     body = cut_between(F.col(text), start, end)
     body = drop_control(body, delimiter if crlf_as_delimiter else None)
-    return df.select(*keep, F.explode(split_items(body, delimiter)).alias(out))
+    return split_to_rows(df.withColumn("_body", body), "_body", delimiter, out, keep)
 
 
 # The three headline lists of a day page -- (type, start

@@ -32,8 +32,8 @@ from panelspark.operators.aggregate import rollup_sum0
 from panelspark.operators.joins import missing_days, null_safe_join
 from panelspark.operators.reshape import columns_to_long, long_to_wide, wide_to_long
 from panelspark.operators.select import (
-    between_dates, clean_columns, columns_matching, complete_rows, rows_at_max,
-    sort_desc_last, top_n, with_stages,
+    between_dates, clean_columns, columns_matching, columns_present, complete_rows, drop_positions,
+    rename_all, rows_at_max, sort_desc_last, top_n, with_stages,
 )
 from panelspark.operators.ranking import row_numbers, rows_at_ranks
 from panelspark.operators.scan import gap_fill_rows, last_value, previous_value, running_count, running_state
@@ -618,7 +618,7 @@ def q_name_map(spark, sf):
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_name", "c_mktsegment")
     mapped = j.withColumn("n_name", map_names(F.col("n_name"), NAME_MAP))
-    return mapped.withColumnsRenamed({"n_name": "country", "c_mktsegment": "segment"})
+    return rename_all(mapped, ["c_custkey", "country", "segment"])
 
 
 def q_clean_numbers(spark, sf):
@@ -640,7 +640,7 @@ def q_report_latest_line(spark, sf):
 
 def q_projections(spark, sf):
     c = table(spark, sf, "customer")
-    picked = c.select(*columns_matching(c, r"^c_")).drop("c_name")
+    picked = drop_positions(c.select(*columns_present(c, [*columns_matching(c, r"^c_"), "c_absent"])), [1])
     staged = with_stages(picked, {"bal_k": F.col("c_acctbal") / F.lit(1000.0)},
                          {"bal_k": rround("bal_k", 1)})
     return staged.orderBy(F.desc("c_acctbal"), F.asc("c_custkey"))

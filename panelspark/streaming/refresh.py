@@ -48,16 +48,16 @@ def start_refresh(spark: SparkSession, landing: str, schema: T.StructType, table
                   date: str = "date", value: str | None = None, overlap_days: int = 1,
                   fmt: str = "json", checkpoint: str | None = None, options: dict | None = None,
                   table_schema: T.StructType | None = None, text_keys: Sequence[str] = (),
-                  partitioned: bool = False):
+                  partitioned: bool = True):
     """Start (and return) a streaming query that refreshes ``table`` from
     files landing in ``landing``; ``query.awaitTermination()`` waits for
     the available files to be processed.  Rows that land late (older than
     the stored watermark) are taken like any other.
 
-    ``partitioned=True`` keeps the table as a month-partitioned dataset at
-    ``<table_root>/<table>`` and rewrites only the months a batch touches
-    (the form to use for large tables); otherwise each batch writes a new
-    full version of a catalog table (the source's drop-and-recreate)."""
+    The table is kept as a month-partitioned dataset at
+    ``<table_root>/<table>``; a batch rewrites only the months it touches.
+    With ``partitioned=False`` each batch writes a new full version of a
+    catalog table (the source's drop-and-recreate, for small tables)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{table}"

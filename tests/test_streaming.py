@@ -23,7 +23,7 @@ def test_stream_upsert_processes_only_new_files(spark, scratch):
     landing, root, ckpt = f"{scratch}/landing", f"{scratch}/tables", f"{scratch}/ckpt"
     spark.sql("DROP TABLE IF EXISTS stock_stream")
     kw = dict(mode="upsert", keys=["symbol", "date"], order=["src"], value="adjusted",
-              checkpoint=ckpt, table_schema=STORE)
+              checkpoint=ckpt, table_schema=STORE, partitioned=False)
     land(landing, "b1.json", [{"symbol": "zm", "date": "2020-03-02", "adjusted": 1.0, "src": 1},
                               {"symbol": "zm", "date": "2020-03-02", "adjusted": 7.0, "src": 2},
                               {"symbol": "f", "date": "2020-03-02", "adjusted": 2.0, "src": 1}])
@@ -48,18 +48,18 @@ def test_stream_append_distinct(spark, scratch):
     spark.sql("DROP TABLE IF EXISTS headline_stream")
     land(landing, "d1.json", [{"headlines": "a", "date": "2020-03-01", "type": "t"}] * 2)
     run_refresh(spark, landing, schema, "headline_stream", f"{scratch}/tables", mode="append_distinct",
-                checkpoint=f"{scratch}/ck2")
+                checkpoint=f"{scratch}/ck2", partitioned=False)
     land(landing, "d2.json", [{"headlines": "a", "date": "2020-03-01", "type": "t"},
                               {"headlines": "b", "date": "2020-03-02", "type": "t"}])
     run_refresh(spark, landing, schema, "headline_stream", f"{scratch}/tables", mode="append_distinct",
-                checkpoint=f"{scratch}/ck2")
+                checkpoint=f"{scratch}/ck2", partitioned=False)
     assert rows(spark.table("headline_stream").select("headlines")) == [("a",), ("b",)]
 
 
 def test_stream_into_partitioned_store(spark, scratch):
     landing, root = f"{scratch}/land3", f"{scratch}/tables3"
     kw = dict(mode="upsert", keys=["symbol", "date"], order=["src"], value="adjusted",
-              checkpoint=f"{scratch}/ck3", partitioned=True)
+              checkpoint=f"{scratch}/ck3")
     land(landing, "b1.json", [{"symbol": "zm", "date": "2020-02-28", "adjusted": 1.0, "src": 1},
                               {"symbol": "zm", "date": "2020-03-02", "adjusted": 2.0, "src": 1}])
     run_refresh(spark, landing, SCHEMA, "px", root, **kw)
@@ -74,7 +74,7 @@ def test_stream_replace_dates_catalog_table(spark, scratch):
                            T.StructField("positive", T.IntegerType())])
     landing = f"{scratch}/sd"
     spark.sql("DROP TABLE IF EXISTS state_stream")
-    kw = dict(mode="replace_dates", keys=["state"], checkpoint=f"{scratch}/ck4")
+    kw = dict(mode="replace_dates", keys=["state"], checkpoint=f"{scratch}/ck4", partitioned=False)
     land(landing, "d1.json", [{"state": "IL", "date": "2020-03-01", "positive": 1},
                               {"state": "IL", "date": "2020-03-02", "positive": 2}])
     run_refresh(spark, landing, schema, "state_stream", f"{scratch}/t4", **kw)
