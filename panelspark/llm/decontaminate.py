@@ -370,9 +370,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", rank: int = RANK) -> DataFrame:
     """The rows of ``docs`` in whose text no benchmark item is found."""
-    names = docs.columns
+    names, whole = docs.columns, docs  # frequencies are those of all rows, for every block
     for items in _blocks(benchmark, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(build(docs, items, text_col, rank))
+        shared = docs.sparkSession.sparkContext.broadcast(build(whole, items, text_col, rank))
 
         def run(batches, shared=shared):
             index = shared.value

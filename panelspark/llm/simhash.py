@@ -85,8 +85,10 @@ def half_groups(minimum: int) -> list[tuple[int, ...]]:
 
 def _close(a: np.ndarray, b: np.ndarray, minimum: int, max_bits: int) -> np.ndarray:
     x = a[:, None] ^ b[None, :]
-    equal = (x.view(np.uint8).reshape(*x.shape, 8) == 0).sum(axis=2, dtype=np.uint8)
-    return (equal >= minimum) & (np.bitwise_count(x) <= max_bits)
+    # the tally of equal bytes first; only pairs that reach the minimum are verified
+    near = (x.view(np.uint8).reshape(*x.shape, 8) == 0).sum(axis=2, dtype=np.uint8) >= minimum
+    near[near] = np.bitwise_count(x[near]) <= max_bits
+    return near
 
 
 def list_stars(fps: np.ndarray, minimum: int, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
