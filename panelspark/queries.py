@@ -577,7 +577,7 @@ def q_wide_to_long(spark, sf):
     """K1: three landed files, the third with four-digit years, as lines
     through the reader's own parser."""
     keys = ["state", "country", "Lat", "Long", "date"]
-    counts = _nation_month_counts(spark, sf)
+    counts = stored(_nation_month_counts(spark, sf), "nation-months")  # read by header and lines of every file
     long = [wide_cells(wide_lines(landed_lines(counts, m, m, fmt), WIDE_HEADER), m, WIDE_HEADER, WIDE_HEADER)
             for m, fmt in (("confirmed", "M/d/yy"), ("deaths", "M/d/yy"), ("recovered", "M/d/yyyy"))]
     return null_safe_join(null_safe_join(long[0], long[1], keys, "left"), long[2], keys, "left")
@@ -586,7 +586,7 @@ def q_wide_to_long(spark, sf):
 def _generations(spark, sf) -> DataFrame:
     """Three generations of one landed file, written and read in one scan: few
     months, more months, and all with short and long lines."""
-    counts = _nation_month_counts(spark, sf)
+    counts = stored(_nation_month_counts(spark, sf), "nation-months")
     root = shared_path(spark, "wide-files")
     for i, upto in enumerate((12, 40, None)):
         lines = landed_lines(counts, "confirmed", "", "M/d/yy", upto)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,12 +121,13 @@ def wide_lines(lines: DataFrame, ids: Sequence[str] = WIDE_IDS) -> DataFrame:
     ``ok``, ``short`` or ``long`` (fewer or more cells than the header), or
     ``no header``.  One small row per different header is joined to the lines;
     files may have more or fewer date columns, and no schema passes the driver."""
-    first = [F.get(F.col("cells"), F.lit(i)) == c for i, c in enumerate(ids)]
-    split = lines.where(F.col("line") != "").select("file", _cells(F.regexp_replace("line", "\r$", "")).alias("cells"))
-    is_header = F.coalesce(reduce(lambda a, b: a & b, first), F.lit(False))
-    headers = (split.where(is_header).groupBy("file").agg(F.min("cells").alias("names"))
+    # told from the raw line, so that only data lines and headers are cut into cells
+    is_header = F.col("line").rlike("^" + ",".join(f'"?{re.escape(c)}"?' for c in ids))
+    clean = lines.select("file", F.regexp_replace("line", "\r$", "").alias("line")).where("line <> ''")
+    cut = lambda df: df.select("file", _cells(F.col("line")).alias("cells"))
+    headers = (cut(clean.where(is_header)).groupBy("file").agg(F.min("cells").alias("names"))
                .select(F.col("file").alias("_file"), "names", F.transform("names", parse_mdy).alias("dates")))
-    data = split.where(~is_header).join(headers, F.col("file") == F.col("_file"), "left").drop("_file")
+    data = cut(clean.where(~is_header)).join(headers, F.col("file") == F.col("_file"), "left").drop("_file")
     n, m = F.size("cells"), F.size("names")
     kind = (F.when(F.col("names").isNull(), "no header").when(n < m, "short").when(n > m, "long").otherwise("ok"))
     return data.withColumn("kind", kind)
