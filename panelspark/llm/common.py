@@ -33,6 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that the texts a worker holds stay few."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, rows):
+            yield whole.slice(i, rows)
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null and blank texts give no words."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS, -1), lambda w: w != "")

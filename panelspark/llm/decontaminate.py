@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import type_of
+from panelspark.llm.common import slices, type_of
 
 PASSAGE = 16
 RANK, EXTRA, POWER = 192, 16, 2
@@ -247,7 +247,7 @@ def _frequencies(docs: DataFrame, items: Items, text_col: str) -> tuple[np.ndarr
     def run(batches):
         count, total = np.zeros(size, dtype=np.int64), 0
         get = term.value.get
-        for b in batches:
+        for b in slices(batches):
             for t in b.column(0).to_pylist():
                 words = tokens(t)
                 total += -(-len(words) // PASSAGE)
@@ -350,7 +350,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             from pyspark.sql.pandas.types import to_arrow_type
 
             index = shared.value
-            for b in batches:
+            for b in slices(batches):
                 rows, found = [], []
                 for r, t in enumerate(b.column(1).to_pylist()):
                     for hit in index.hits(t):
@@ -376,7 +376,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         def run(batches, shared=shared):
             index = shared.value
-            for b in batches:
+            for b in slices(batches):
                 keep = [not index.hits(t) for t in b.column(b.num_columns - 1).to_pylist()]
                 yield b.select(list(range(b.num_columns - 1))).filter(pa.array(keep, pa.bool_()))
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from panelspark.llm.common import stored, type_of
+from panelspark.llm.common import slices, stored, type_of
 from panelspark.llm.components import components
 
 SHINGLE, MAX_BITS, BLOCK = 3, 3, 2048
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id, fp)`` per row of ``docs``."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
@@ -252,7 +252,7 @@ def _parted(docs: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, Da
 
 def _with_fp(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t, shingle) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps, pa.int64())], [*b.schema.names[:-1], "__fp"])
 
