@@ -434,6 +434,45 @@ def test_candidates_equal_brute_force():
     assert total > 36
 
 
+def test_latent_cosines_propose_the_candidates(spark):
+    """Without lists the latent space alone loses no item that can be verified;
+    spoilt vectors lose them; with few directions the lists come in."""
+    rng = np.random.default_rng(20)
+    draw = lambda n: [f"w{int(x)}" for x in rng.zipf(1.3, n) % 400]
+    items = [draw(n) for n in [1, 2, 5, 16, 30, 45, 200, 30, 8]]
+    texts = [" ".join([*draw(a), *(x if rng.random() < 0.8 else "other" for x in t), *draw(n - a)])
+             for n in (5, 100, 900, 3000) for t in items for a in [int(rng.integers(n))]]
+    its = decontaminate.Items.of([(i, " ".join(t), None) for i, t in enumerate(items)])
+    index = decontaminate.build(docs(spark, texts), its)
+    assert index.held.tolist() == list(range(len(items))) and not index.post_item.size
+
+    def found(index):
+        return [{h[0] for h in index.hits(t)} for t in texts]
+    want = []
+    for t in texts:
+        words = decontaminate.tokens(t)
+        want.append({k for k in range(len(items)) for w in range(-(-len(words) // decontaminate.PASSAGE))
+                     if index._verified(k, words, w)})
+    assert found(index) == want and sum(map(len, want)) > 36
+    few = decontaminate.build(docs(spark, texts), its, rank=3)
+    assert few.held.size < len(items) and few.post_item.size and found(few) == want
+    index.vectors = np.zeros_like(index.vectors)
+    assert sum(map(len, found(index))) < sum(map(len, want)) / 2
+
+
+def test_benchmark_blocks_are_bounded_by_passages(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 300, 40)) for _ in range(30)]
+    texts = [f"{'other words ' * 40}{t} and more" for t in items[::3]]
+    b = spark.createDataFrame([*enumerate(items), (90, None)], "item_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK", 20)
+    blocks = list(decontaminate._blocks(b, "item_id", "text"))
+    assert len(blocks) > 2 and sorted(i for x in blocks for i in x.ids) == list(range(30))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(spark, texts), b).collect()}
+    assert got == {(i, 3 * i) for i in range(10)}
+    assert decontaminate.drop_leaks(docs(spark, [*texts, "clean"]), b).count() == 1
+
+
 def test_randomised_svd_finds_the_leading_directions(spark):
     rng = np.random.default_rng(8)
     a = rng.standard_normal((30, 4)) @ rng.standard_normal((4, 25))
