@@ -420,19 +420,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return out
 
 
+def _clean(shared):
+    """Whether no item of the broadcast index is found, by text.  Only texts go
+    to Python and only flags come back: the rows stay in the JVM."""
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        index, keep = shared.value, []
+        for i in range(0, len(texts), 512):
+            keep += [not index.hits(t) for t in texts.slice(i, 512).to_pylist()]
+        return pa.array(keep, pa.bool_())
+
+    return clean
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", rank: int | None = None) -> DataFrame:
     """The rows of ``docs`` in whose text no benchmark item is found."""
-    names, whole = docs.columns, docs  # frequencies are those of all rows, for every block
+    whole = docs  # frequencies are those of all rows, for every block
     for items in _blocks(benchmark, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(build(whole, items, text_col, rank))
-
-        def run(batches, shared=shared):
-            index = shared.value
-            for b in slices(batches):
-                keep = [not index.hits(t) for t in b.column(b.num_columns - 1).to_pylist()]
-                yield b.select(list(range(b.num_columns - 1))).filter(pa.array(keep, pa.bool_()))
-
-        docs = docs.select("*", F.col(text_col).cast("string").alias("__text")).mapInArrow(
-            run, docs.schema).select(*names)
+        docs = docs.where(_clean(shared)(F.col(text_col).cast("string")))
     return docs

@@ -335,22 +335,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ``docs`` and ``__score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    def scores(texts):
         model = shared.value
         if _SEEN_FOR[0] is not model:
             _SEEN.clear()
             _SEEN_FOR[0] = model
-        for whole in batches:
-            for i in range(0, whole.num_rows, BATCH):
-                b = whole.slice(i, BATCH)
-                s = pa.array(text_scores(model, b.column(b.num_columns - 1).to_pylist(), _SEEN), pa.float64())
-                if keep:
-                    yield pa.RecordBatch.from_arrays([*b.columns[:-1], s], [*b.schema.names[:-1], "__score"])
-                else:
-                    yield pa.RecordBatch.from_arrays([b.column(0), s], [id_col, "score"])
+        for i in range(0, len(texts), BATCH):
+            yield pa.array(text_scores(model, texts.slice(i, BATCH).to_pylist(), _SEEN), pa.float64())
 
     text = F.col(text_col).cast("string").alias("__text")
-    if keep:
-        schema = docs.select("*", F.lit(0.0).alias("__score")).schema
-        return docs.select("*", text).mapInArrow(run, schema)
+    if keep:  # only texts go to Python, the rows stay in the JVM
+        @F.arrow_udf("double")
+        def scored(texts: pa.Array) -> pa.Array:
+            return pa.concat_arrays([pa.array([], pa.float64()), *scores(texts)])
+
+        return docs.withColumn("__score", scored(text))
+
+    def run(batches):
+        for whole in batches:
+            done = 0
+            for s in scores(whole.column(1)):
+                yield pa.RecordBatch.from_arrays([whole.column(0).slice(done, len(s)), s], [id_col, "score"])
+                done += len(s)
+
     return docs.select(F.col(id_col), text).mapInArrow(run, f"`{id_col}` {type_of(docs, id_col)}, score double")
