@@ -44,10 +44,10 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import bitfilter
 from panelspark.llm.bitfilter import mix
-from panelspark.llm.common import stored, type_of
+from panelspark.llm.common import slices, stored, type_of
 
 WINDOW, ROUNDS = 35, 3
-CHUNK_BYTES = 1 << 22   # text parsed together
+CHUNK_BYTES = 1 << 20   # text parsed together
 _EDGE = np.uint64(0)    # the symbol between two texts
 _SALTS = mix(np.arange(1, 65, dtype=np.uint64))  # one for each round's classes
 _BYTE_HASH = mix(np.arange(1, 32 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -208,7 +208,7 @@ class _Parsed:
 
 def _shared_keys(rows: DataFrame, window: int, rounds: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for chunk in _chunks(batch.column(0).to_pylist()):
                 keys, n = np.unique(_Parsed(chunk, window, rounds).keys, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
@@ -228,7 +228,7 @@ def _hits(rows: DataFrame, id_type: str, filt, window: int, rounds: int) -> Data
 
     def run(batches):
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             done = 0
             for chunk in _chunks(batch.column(1).to_pylist()):
                 p = _Parsed(chunk, window, rounds)
@@ -268,7 +268,7 @@ def _window_digests(rows: DataFrame, window: int) -> DataFrame:
     """``rows(row, words, spans)`` -> one row per window of the spans."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             row, words, spans = (batch.column(i).to_pylist() for i in range(3))
             for r, text, own in zip(row, words, spans):
                 ends = np.flatnonzero(np.frombuffer(text + b" ", dtype=np.uint8) == 32)
@@ -290,7 +290,7 @@ def _cut(rows: DataFrame, id_type: str, window: int) -> DataFrame:
     """``rows(id, words, n_words, spans)`` -> the result without the words of the spans."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, n, spans = (batch.column(i).to_pylist() for i in (1, 2, 3))
             removed, kept = [], []
             for text, size, own in zip(texts, n, spans):

@@ -432,3 +432,9 @@ def test_account_numbers_are_verified(spark):
     bad = [g[:-1] + ("1" if g[-1] != "1" else "2") for g in good] + ["DE00", "XX11 2222 3333 4444"]
     df = spark.createDataFrame([(x,) for x in good + bad], "m string")
     assert [r[0] for r in df.select(pii._iban(F.col("m"))).collect()] == [True] * 3 + [False] * 5
+
+
+def test_substring_chunks_stay_small():
+    """What a task parses together is bounded, so that two tasks fit an executor."""
+    parts = list(substring_dedup._chunks(["word " * 100] * 20_000))
+    assert max(sum(map(len, p)) for p in parts) <= (1 << 20) + 500 and sum(map(len, parts)) == 20_000
