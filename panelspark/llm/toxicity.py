@@ -17,7 +17,8 @@ into one weight per character triple: scoring looks up triples, once for each
 distinct word of a batch.  A text scores as its worst span.
 
 The fit uses at most ``PER_CLASS`` rows of each class, a third of them for the
-threshold.  Scoring is one pass without a shuffle.
+threshold; equal spans are held once, and kernel weights only for triples that
+a landmark has.  Scoring is one pass without a shuffle.
 
 Edge cases: a null or blank text has no span and the least score; null labels
 are not learned from; without rows of both classes every score is the smoothed
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import crc_mod, type_of
+from panelspark.llm.common import crc_mod, slices, type_of
 from panelspark.llm.linear_svm import dual_coordinate_descent, labelled_sample
 
 PER_CLASS = 2500
@@ -46,6 +47,7 @@ NEGATIVES, ROUNDS, ODDS = 6_000, 3, 25
 LONGEST = 40           # longer words are cut into overlapping spans of this length
 CACHE_ENTRIES = 250_000
 BATCH = 512
+GATHERED = 1 << 21     # weights that a step looks up together
 # Digits and signs that stand for letters inside a word.
 STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
 _MARKS = regex.compile(r"[^\p{L}]+")
@@ -108,13 +110,15 @@ class Spans:
 
     alphabet: np.ndarray  # code point -> small number
     letters: int
-    weight: np.ndarray    # letters ** 3 rows; one column per output
+    weight: np.ndarray    # one row per triple; one column per output
+    row: np.ndarray | None = None  # row of each of the letters ** 3 triples, if not its own number
 
     def values(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.weight.shape[1]), dtype=np.float32)
         for group in _by_length(words):
-            for k in range(0, len(group), 4096):
-                part = group[k:k + 4096]
+            step = max(1, min(4096, GATHERED // (self.weight.shape[1] * (len(words[group[0]]) + 2))))
+            for k in range(0, len(group), step):
+                part = group[k:k + step]
                 c = _codes([words[i] for i in part], self.alphabet)
                 total = np.zeros((len(part), self.weight.shape[1]), dtype=np.float32)
                 n = c.shape[1]
@@ -122,6 +126,8 @@ class Spans:
                     if n <= a + b:
                         continue
                     at = (c[:, :n - a - b] * self.letters + c[:, a:n - b]) * self.letters + c[:, a + b:]
+                    if self.row is not None:
+                        at = self.row[at]
                     total += self.weight[at].sum(axis=1) * np.float32(DECAY ** (a + b - 2))
                 out[part] = total / np.float32(_size(n))
         return out
@@ -139,21 +145,29 @@ def _alphabet(words) -> tuple[np.ndarray, int]:
 def landmark_spans(words: list[str]) -> Spans:
     """Scorer whose outputs are the kernel values with each landmark."""
     alphabet, letters = _alphabet(words)
-    weight = np.zeros((letters ** 3, len(words)), dtype=np.float32)
-    for j, w in enumerate(words):
-        c = _codes([w], alphabet)[0]
-        n = c.size
-        for a, b in SKIPS:
-            if n > a + b:
-                at = (c[:n - a - b] * letters + c[a:n - b]) * letters + c[a + b:]
-                np.add.at(weight[:, j], at, np.float32(DECAY ** (a + b - 2) / _size(n)))
-    weight[_with_other(letters)] = 0
-    return Spans(alphabet, letters, weight)
+    own = [list(_triples(_codes([w], alphabet)[0], letters)) for w in words]
+    found = np.unique(np.concatenate([at for parts in own for _, at in parts] or [np.zeros(0, dtype=np.int64)]))
+    found = found[~_with_other(found, letters)]
+    row = np.zeros(letters ** 3, dtype=np.int32)  # row 0 is without weight
+    row[found] = np.arange(1, found.size + 1)
+    weight = np.zeros((found.size + 1, len(words)), dtype=np.float32)
+    for j, (w, parts) in enumerate(zip(words, own)):
+        for skip, at in parts:
+            np.add.at(weight[:, j], row[at], np.float32(DECAY ** skip / _size(len(w) + 2)))
+    weight[0] = 0
+    return Spans(alphabet, letters, weight, row)
 
 
-def _with_other(letters: int) -> np.ndarray:
-    i = np.arange(letters ** 3)
-    return (i // letters ** 2 == 0) | (i // letters % letters == 0) | (i % letters == 0)
+def _triples(c: np.ndarray, letters: int):
+    """The triples of a word's codes, by how many characters they skip."""
+    n = c.size
+    for a, b in SKIPS:
+        if n > a + b:
+            yield a + b - 2, (c[:n - a - b] * letters + c[a:n - b]) * letters + c[a + b:]
+
+
+def _with_other(triple: np.ndarray, letters: int) -> np.ndarray:
+    return (triple // letters ** 2 == 0) | (triple // letters % letters == 0) | (triple % letters == 0)
 
 
 @dataclass
@@ -226,28 +240,34 @@ def _witnesses(pos: list[list[str]], neg: list[list[str]]) -> tuple[Counter, lis
     times as frequent in toxic rows as in clean ones and in more toxic rows
     than chance allows, with their own row counts; and all spans of clean rows.
     Copies of a row count once."""
-    def spread(bags):
-        rows: dict[str, set[int]] = {}
+    def openings(bags):
+        copies: dict[tuple[int, ...], list[list[str]]] = {}
         for b in bags:
-            copy = _copy_of(b)
-            for o in {w[:n] for w in b for n in range(4, min(len(w), 12) + 1)} | {w + "$" for w in b}:
-                rows.setdefault(o, set()).add(copy)
-        return {o: len(own) for o, own in rows.items()}, max(1, len(set(map(_copy_of, bags))))
+            copies.setdefault(_copy_of(b), []).append(b)
+        return copies, ({o for b in own for w in b for o in _openings(w)} for own in copies.values())
 
-    (toxic, n1), (plain, n0) = spread(pos), spread(neg)
+    copies, each = openings(pos)
+    toxic, n1 = Counter(o for own in each for o in own), max(1, len(copies))
+    copies, each = openings(neg)  # of the clean rows only what is in toxic ones
+    plain, n0 = Counter(o for own in each for o in own if o in toxic), max(1, len(copies))
     # per opening: at least this many toxic rows, or chance finds some among so many
     least = max(2, int(np.ceil(np.log(0.02 / max(1, len(toxic))) / np.log(min(n1 / (n1 + n0), 0.7)))))
     least = min(least, max(2, n1 // 4))
-    good = {o: k for o, k in toxic.items() if k >= least and k * n0 >= ODDS * plain.get(o, 0) * n1}
+    good = {o: k for o, k in toxic.items() if k >= least and k * n0 >= ODDS * plain[o] * n1}
     out = Counter()
     for w in {w for b in pos for w in b}:
-        if plain.get(w + "$", 0) * ODDS * n1 <= toxic[w + "$"] * n0:
-            k = max((good.get(o, 0) for o in [w + "$", *(w[:n] for n in range(4, min(len(w), 12) + 1))]), default=0)
+        if plain[w + "$"] * ODDS * n1 <= toxic[w + "$"] * n0:
+            k = max(good.get(o, 0) for o in _openings(w))
             if k:
                 out[w] = toxic[w + "$"]
     return out, sorted({w for b in neg for w in b}.difference(out))
 
 
+def _openings(word: str) -> list[str]:
+    """A span as a whole, marked by its end, and its openings."""
+    return [word + "$", *(word[:n] for n in range(4, min(len(word), 12) + 1))]
+
+
 def _copy_of(bag: list[str]) -> tuple[int, ...]:
     """The three least word hashes of a row: alike for copies of it."""
     return tuple(sorted(map(xxhash.xxh64_intdigest, bag))[:3])
@@ -281,7 +301,7 @@ def _svm(ranked: list[str], witness: Counter, hard: list[str], marks: list[str],
     idx = np.arange(x.shape[1])
     w = dual_coordinate_descent([(idx, r) for r in x], y, x.shape[1], C * many, epochs=40)
     folded = base.weight @ (whiten @ w[:-1]).astype(np.float32)
-    return Model(Spans(base.alphabet, base.letters, folded[:, None].copy()), float(w[-1]), 1.0, 0.0)
+    return Model(Spans(base.alphabet, base.letters, folded[base.row][:, None]), float(w[-1]), 1.0, 0.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", mod: int = 5, held: int = 0,
@@ -295,7 +315,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", mod: int
             yield pa.RecordBatch.from_arrays([pa.array(bags, pa.list_(pa.string())), b.column(1)], ["spans", "label"])
 
     got = sample.mapInArrow(run, "spans array<string>, label int").toArrow()
-    bags, label = got.column("spans").to_pylist(), np.array(got.column("label").to_pylist(), dtype=np.int64)
+    label = np.array(got.column("label").to_pylist(), dtype=np.int64)
+    once: dict[str, str] = {}  # equal spans of all rows are one string
+    bags = [[once.setdefault(s, s) for s in bag]
+            for part in slices(got.to_batches()) for bag in part.column(0).to_pylist()]
+    del got, once
     order = sorted(range(len(bags)), key=lambda i: (label[i], bags[i]))
     order = [order[i] for i in np.random.default_rng(3).permutation(len(order))]
     return fit([bags[i] for i in order], label[order])

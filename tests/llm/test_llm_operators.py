@@ -3,6 +3,9 @@ versions, round trips, and the edge cases of their docstrings."""
 import base64
 import hashlib
 import re
+import tracemalloc
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -339,6 +342,37 @@ def test_toxicity_finds_gapped_insults(spark):
     assert toxicity.train(d, lab.limit(0)).constant == 0.5
 
 
+def test_toxicity_fit_holds_little_on_the_driver():
+    """Kernel weights of the triples that occur, not of every triple of a large
+    alphabet; counts of clean rows only for openings that toxic rows have."""
+    rng = np.random.default_rng(4)
+    chars = [chr(c) for c in range(0x430, 0x430 + 120)]
+    words = ["".join(rng.choice(chars, int(rng.integers(3, 9)))) for _ in range(100)]
+
+    def kernel(a, b):
+        def triples(w):
+            out = Counter()
+            for i, j, k in combinations(range(len(w)), 3):
+                if k - i - 2 <= toxicity.MAX_SKIP:
+                    out[w[i] + w[j] + w[k]] += toxicity.DECAY ** (k - i - 2)
+            return out
+        x, y = triples("<" + a + ">"), triples("<" + b + ">")
+        return sum(v * y[t] for t, v in x.items()) / (toxicity._size(len(a) + 2) * toxicity._size(len(b) + 2))
+
+    tracemalloc.start()
+    values = toxicity.landmark_spans(words).values(words)
+    most = tracemalloc.get_traced_memory()[1]
+    clean = [["".join(rng.choice(list("abcdefgh"), 12)) for _ in range(200)] for _ in range(100)]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    witness, rest = toxicity._witnesses([["stupid", "plain"]] * 3 + [["stupidly", "other"]] * 3, clean + [["plain"]])
+    counted = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert most < 40 << 20 and counted < 10 << 20  # every triple and opening: 736 and 63 MB
+    assert np.allclose(values, [[kernel(a, b) for b in words] for a in words], atol=1e-5)
+    assert witness == {"stupid": 1, "stupidly": 1} and set(rest) == {"plain", *(w for b in clean for w in b)}
+
+
 # ---- decontamination ----
 
 def test_lcs_equals_dynamic_programming():
