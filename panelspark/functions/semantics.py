@@ -118,9 +118,10 @@ def num_text(c, digits: int = 15) -> Column:
     sci = _strip_zeros(F.format_string(f"%.{digits - 1}e", d))
     gen = _strip_zeros(F.format_string(f"%.{digits}g", d))
     integral = F.coalesce((d == F.floor(d)) & (F.abs(d) < F.lit(1e15)), F.lit(False))
-    fixed = F.when(integral, F.format_string("%.0f", d)).when(~gen.contains("e"), gen)
-    if digits < 15:  # integer digits are never dropped
-        fixed = fixed.when((F.abs(d) >= F.lit(10.0 ** digits)) & (F.abs(d) < F.lit(1e15)), F.format_string("%.0f", d))
+    # integer digits are never dropped; a half is rounded to even, as in the source
+    whole = (F.abs(d) >= F.lit(10.0 ** (digits - 1))) & (F.abs(d) < F.lit(1e15))
+    fixed = (F.when(integral, F.format_string("%.0f", d)).when(whole, F.format_string("%.0f", rround(d)))
+             .when(~gen.contains("e"), gen))
     txt = F.when(F.length(fixed) <= F.length(sci), fixed).otherwise(sci)
     return F.when(d.isNull(), F.lit("NA")).when(d == F.lit(0.0), F.lit("0")).otherwise(txt)
 

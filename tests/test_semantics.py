@@ -130,3 +130,14 @@ def test_pretty_num(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r.t for r in df.select(pretty_num("x").alias("t")).collect()]
     assert got == ["12,345", "1,234,568", "123.4568", "123,456,789", "-9,876.5", "0.5", "NA", "1e-09"]
+
+
+def test_pretty_num_rounds_halves_to_even(spark):
+    """As the source prints 2329192.5 with seven digits: not away from zero."""
+    from panelspark.functions import num_text, pretty_num
+    vals = [2329192.5, 2329193.5, -2329192.5, 12345678.5, 9999999.5, 999999.5]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.t for r in df.select(pretty_num("x").alias("t")).collect()]
+    assert got == ["2,329,192", "2,329,194", "-2,329,192", "12,345,678", "1e+07", "999,999.5"]
+    wide = spark.createDataFrame([(100000000000000.5,), (999999999999999.9,), (0.1 + 0.2,)], "x double")
+    assert [r.t for r in wide.select(num_text("x").alias("t")).collect()] == ["100000000000000", "1e+15", "0.3"]
