@@ -36,7 +36,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if state[0] == 0:
             break
-        nxt = stored(_small_star(_large_star(cur)), "edges")
+        nxt = stored(_small_star(_large_star(cur)), "edges", rows=state[0])  # a step adds no edge
         new = _state(nxt)
         cur = nxt
         if new == state:

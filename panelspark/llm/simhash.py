@@ -37,7 +37,8 @@ from panelspark.llm.common import slices, stored, type_of
 from panelspark.llm.components import components
 
 SHINGLE, MAX_BITS, BLOCK = 3, 3, 2048
-FILTER_WORDS = 1 << 20  # words of 64 bits in the filter of dropped ids
+EXACT_IDS = 1 << 18  # dropped ids that may be broadcast themselves
+FILTER_WORDS = 1 << 20  # words of 64 bits in the filter of more dropped ids
 SEED = 42  # fixed value: the seed of the shingle hash
 
 
@@ -173,7 +174,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
 def label_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """``fps(id, fp)`` -> one row per distinct fingerprint:
     ``(fp, component_id, label)``; label is the least fingerprint reachable."""
-    distinct = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    distinct = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct", rows=fps.count())
     labels = components(links(distinct, max_bits, block))
     labelled = distinct.join(labels, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label"))
@@ -199,24 +200,29 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows with that id one stays in each component that it leads; a component
     without ids keeps one row."""
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
-    labels = stored(label_fingerprints(fps, max_bits), "simhash-labels")
+    n = fps.count()
+    labels = stored(label_fingerprints(fps, max_bits), "simhash-labels", rows=n)
     member = fps.join(labels, "fp")
     ids = stored(member.groupBy("id").agg(F.count(F.lit(1)).alias("n"),
                                           F.max(F.col("id") == F.col("component_id")).alias("keep")),
-                 "simhash-ids")
+                 "simhash-ids", rows=n)
     once = ids.where("id is not null and n = 1 and not keep").select("id")
     odd = ids.where("id is not null and n > 1")
-    # texts stay where they are: only rows that a bounded filter of the dropped
-    # and repeated ids hits are joined, at any size
+    # texts stay where they are, at any size: few dropped and repeated ids are
+    # broadcast; of more, only rows that a bounded filter of them hits are joined
     rare = once.unionByName(odd.select("id"))
-    named = docs.where(F.col(id_col).isNotNull())
-    miss, hit = _parted(named, id_col, rare)
-    plain = miss.unionByName(hit.join(rare.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id"), "left_anti"))
-    repeated = hit.join(odd.where("keep").select(F.col("id").alias("__id")), F.col(id_col) == F.col("__id"), "left_semi")
+    hit = docs.where(F.col(id_col).isNotNull())
+    gone, lead = rare.withColumnRenamed("id", "__id"), odd.where("keep").select(F.col("id").alias("__id"))
+    if rare.count() <= EXACT_IDS:
+        plain, lead = hit.join(F.broadcast(gone), F.col(id_col) == F.col("__id"), "left_anti"), F.broadcast(lead)
+    else:
+        miss, hit = _parted(hit, id_col, rare)
+        plain = miss.unionByName(hit.join(gone, F.col(id_col) == F.col("__id"), "left_anti"))
+    repeated = hit.join(lead, F.col(id_col) == F.col("__id"), "left_semi")
     if odd.limit(1).count():
-        lead = labels.select(F.col("fp").alias("__fp"), F.col("component_id").alias("__component"),
-                             F.col("label").alias("__label"))
-        led = (_with_fp(repeated, text_col, shingle).join(lead, "__fp")
+        heads = labels.select(F.col("fp").alias("__fp"), F.col("component_id").alias("__component"),
+                              F.col("label").alias("__label"))
+        led = (_with_fp(repeated, text_col, shingle).join(heads, "__fp")
                .where(F.col(id_col) == F.col("__component")))
         plain = plain.unionByName(led.dropDuplicates([id_col, "__label"]).select(docs.columns))
     if ids.where("id is null").limit(1).count():

@@ -1,5 +1,6 @@
 """Lexical search, collocations and repeated windows against brute force, on
 small tables with the edge cases of their docstrings."""
+import glob
 import hashlib
 import math
 import random
@@ -373,6 +374,52 @@ def test_near_dedup_moves_only_rows_that_may_go(spark):
     assert got == sorted([*range(7), 5, *range(8, 60)])  # the second 5 leads the texts of 7
 
 
+@pytest.mark.parametrize("exact", [1 << 18, 0])
+def test_near_dedup_writes_few_files_and_no_row_twice(spark, monkeypatch, scratch, exact):
+    """Files of small tables do not follow the shuffle partitions; few dropped
+    ids part the texts in one scan, as many tasks as the input has."""
+    from panelspark.llm import common, simhash
+    monkeypatch.setattr(simhash, "EXACT_IDS", exact)
+    paths, fresh = [], common.fresh_path
+    monkeypatch.setattr(common, "fresh_path", lambda s, name: paths.append((name, fresh(s, name))) or paths[-1][1])
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice("abcdefghijklmnop") + str(rnd.randint(0, 99)) for _ in range(40)), "en", "s")
+            for i in range(300)]
+    rows += [(1000 + i, rows[i % 150][1], "en", "s") for i in range(200)]
+    # pairs within one list: their edges take rounds to settle
+    rows += [(2000 + i, rows[i][1] + " x1", "en", "s") for i in range(40)]
+    spark.createDataFrame(rows, OP_DOCS).repartition(4).write.parquet(scratch + "/docs")
+    held = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        d = spark.read.parquet(scratch + "/docs")
+        out = simhash.drop_near_duplicates(d)
+        if exact:
+            assert out.rdd.getNumPartitions() == d.rdd.getNumPartitions()
+        got = sorted(r.doc_id for r in out.collect())
+        files = [(name, len(glob.glob(path.removeprefix("file:") + "/*.parquet"))) for name, path in paths]
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert set(range(300)) <= set(got) and not [i for i in got if 1000 <= i < 2000] and len(got) == len(set(got))
+    # the first edges come as they are found
+    first = next(i for i, (name, _) in enumerate(files) if name == "edges")
+    few = [x for i, x in enumerate(files) if i != first and x[0] not in ("simhash-fp", "simhash-filter")]
+    assert {"simhash-distinct", "simhash-labels", "simhash-ids", "edges"} <= {name for name, _ in few}
+    assert all(n == 1 for _, n in few), files
+
+
+@pytest.mark.parametrize("exact", [1 << 18, 0])
+def test_near_dedup_parts_alike_by_ids_and_by_filter(spark, monkeypatch, exact):
+    from panelspark.llm import simhash
+    monkeypatch.setattr(simhash, "EXACT_IDS", exact)
+    one, two, three = "a b c d e f", "other words in this one here", "third text of its own here"
+    rows = [(5, one), (5, two), (5, two), (7, one), (8, two), (9, three), (9, three), (None, one), (None, "bare text")]
+    out = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [(5, one), (5, two), (9, three), (None, "bare text")]))
+
+
 @pytest.mark.parametrize("words", [1024, 4])
 def test_the_filter_of_ids_parts_without_loss(spark, monkeypatch, words):
     from panelspark.llm import simhash
